@@ -16,13 +16,13 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
-    """Hint a broadcast when the estimate allows it.
+def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES, size: int | None = None) -> DataFrame:
+    """Hint a broadcast when the size (Spark's estimate unless given) allows it.
 
     Otherwise the side is left to a shuffle join, where adaptive execution splits the
     partitions of hot keys.
     """
-    return F.broadcast(df) if estimated_bytes(df) <= limit else df
+    return F.broadcast(df) if (estimated_bytes(df) if size is None else size) <= limit else df
 
 
 def interval_join(
@@ -60,11 +60,12 @@ def lookup(
     on: Sequence[tuple[str, str]],
     fields: dict[str, Column],
     limit: int = BROADCAST_LIMIT_BYTES,
+    size: int | None = None,
 ) -> DataFrame:
     """Left join with a dimension; a miss keeps the row.
 
-    ``on`` pairs a fact column with a dimension column (dimension columns are text, as
-    stored). ``fields`` maps the output name to an expression over the dimension. A name
+    ``on`` pairs a fact column with a dimension column; keys of different types are compared
+    as text, which is how dimensions are stored. The dimension holds one row per key. ``fields`` maps the output name to an expression over the dimension. A name
     the facts already have is replaced on a hit and kept on a miss.
     """
     keys = [f"_key{i}" for i in range(len(on))]
@@ -74,8 +75,11 @@ def lookup(
     )
     same = F.lit(True)
     for k, (ours, _) in zip(keys, on):
-        same = same & (facts[ours].cast("string") == F.col(k))
-    joined = facts.join(broadcast_if_small(side, limit), same, "left")
+        if facts.schema[ours].dataType == side.schema[k].dataType:
+            same = same & (F.col(ours) == F.col(k))
+        else:
+            same = same & (F.col(ours).cast("string") == F.col(k).cast("string"))
+    joined = facts.join(broadcast_if_small(side, limit, size), same, "left")
     hit = F.col(keys[0]).isNotNull()
     kept = [
         F.when(hit, F.col(f"_dim_{c}")).otherwise(F.col(c)).alias(c) if c in fields else F.col(c)

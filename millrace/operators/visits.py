@@ -53,7 +53,7 @@ def user_jumps(
         raise ValueError("a slice must be at least as long as the timeout")
     if pages.isStreaming:
         return _stream_jumps(pages, timeout_ms, ties, span)
-    at_start = F.col("ts") % span < timeout_ms
+    at_start = F.pmod("ts", F.lit(span)) < timeout_ms
     sliced = pages.withColumn("_home", F.floor(F.col("ts") / span)).withColumn(
         "_slice", F.explode(F.when(at_start, F.array("_home", F.col("_home") - 1)).otherwise(F.array("_home")))
     )
@@ -73,7 +73,7 @@ def _stream_jumps(pages: DataFrame, timeout_ms: int, ties: Sequence[str], span:
     soon as the watermark has passed the timeout.
     """
     home = F.floor(F.col("ts") / span)
-    at_start = F.col("ts") % span < timeout_ms
+    at_start = F.pmod("ts", F.lit(span)) < timeout_ms
     entries = session_entries(pages).withColumn("_slice", home).alias("e")
     later = pages.select(
         F.col("mid").alias("_mid"),

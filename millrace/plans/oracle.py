@@ -443,3 +443,45 @@ _KEYWORD_STATS = """
          strftime(time_bucket(INTERVAL 10 SECOND, event_time) + INTERVAL 10 SECOND, '%Y-%m-%d %H:%M:%S') AS edt
   FROM searched_words GROUP BY 1, 4, 5
 """
+
+
+def stream_oracles() -> dict[str, str]:
+    """For the streaming forms: only what the watermark at the end of the input lets out."""
+    closed = "CAST(edt AS TIMESTAMP) <= (SELECT max(event_time) FROM {rows}) - INTERVAL {delay} SECOND"
+    by_province = _with(
+        ("province_named",), "SELECT * FROM province_named WHERE " + closed.format(rows="wide", delay=0)
+    )
+    return {
+        "stream_new_visitor_repair": all_oracles()["new_visitor_repair"],
+        "stream_unique_visits": _with(
+            ("uniques",), "SELECT mid, CAST(CAST(event_time AS DATE) AS VARCHAR) AS day FROM uniques"
+        ),
+        "stream_user_jumps": _with(
+            ("jumps",),
+            """
+            SELECT event_id, mid, page_id, ts FROM jumps
+            WHERE ts + 10000 < (SELECT max(ts) FROM pages_log)
+            """,
+        ),
+        "stream_order_wide": _with(
+            ("wide",), "SELECT detail_id, order_id, sku_id, split_total_amount, create_time FROM wide"
+        ),
+        "stream_payment_wide": _with(
+            ("paid",), "SELECT payment_id, detail_id, user_id, total_amount, callback_time FROM paid"
+        ),
+        "stream_visitor_stats": _with(
+            ("visitor_rows",),
+            f", stats AS ({_VISITOR_STATS}) SELECT * EXCLUDE (uv_ct) FROM stats WHERE "
+            + closed.format(rows="visitor_rows", delay=20),
+        ),
+        "stream_product_stats": _with(
+            ("product_named",),
+            "SELECT * FROM product_named WHERE " + closed.format(rows="product_rows", delay=0),
+        ),
+        "stream_province_stats": by_province,
+        "stream_province_stats_sql": by_province,
+        "stream_keyword_stats": _with(
+            ("searched_words",),
+            f", stats AS ({_KEYWORD_STATS}) SELECT * FROM stats WHERE " + closed.format(rows="searched", delay=2),
+        ),
+    }

@@ -1,0 +1,70 @@
+"""New-visitor repair on a stream: one remembered date per device."""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.types import StringType, StructField, StructType
+
+from millrace.functions import times
+
+
+class FirstVisitDay(StatefulProcessor):
+    """Keeps the date of the first new-visitor row per device, without expiry.
+
+    Rows come in chunks of bounded size and leave the same way; a device of any size is
+    never held as a whole. The earliest date of a chunk counts as its first, chunks
+    follow in order of arrival.
+    """
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        state = StructType([StructField("day", StringType())])
+        self.first_day = handle.getValueState("first_day", state)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        known = self.first_day.get()[0] if self.first_day.exists() else None
+        for chunk in rows:
+            new = chunk["is_new"] == "1"
+            if known is None and new.any():
+                known = chunk.loc[new, "day"].min()
+                self.first_day.update((known,))
+            chunk.loc[new & (chunk["day"] != known), "is_new"] = "0"
+            yield chunk[["mid", "is_new", "rest"]]
+
+    def close(self) -> None:
+        pass
+
+
+def repair_stream(logs: DataFrame) -> DataFrame:
+    """Streaming form of ``operators.logs.repair_new_visitors``.
+
+    Only rows that claim to be new need the state; the others pass by. Columns that the
+    operator does not look at travel as one JSON text.
+    """
+    rest = [c for c in logs.columns if c not in ("mid", "is_new")]
+    schema = StructType([logs.schema[c] for c in rest])
+    claims = logs.where("is_new = '1'")
+    repaired = (
+        claims.select(
+            "mid",
+            "is_new",
+            times.millis_to_day(F.col("ts")).alias("day"),
+            F.to_json(F.struct(*rest)).alias("rest"),
+        )
+        .groupBy("mid")
+        .transformWithStateInPandas(
+            statefulProcessor=FirstVisitDay(),
+            outputStructType="mid string, is_new string, rest string",
+            outputMode="Append",
+            timeMode="None",
+        )
+        .select("mid", "is_new", F.from_json("rest", schema).alias("row"))
+        .select("mid", "is_new", "row.*")
+        .select(*logs.columns)
+    )
+    others = logs.where("is_new IS NULL OR is_new <> '1'")
+    return repaired.unionByName(others)

@@ -130,8 +130,12 @@ PRODUCT_COLUMNS = (
 
 
 def product_stats(facts: DataFrame, dims: Mapping[str, DataFrame], size: str = "10 seconds") -> DataFrame:
+    return name_products(product_counts(facts, size), dims)
+
+
+def name_products(counts: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
     """Product counts with product dimensions, joined after the aggregation."""
-    named = add_product(product_counts(facts, size), dims)
+    named = add_product(counts, dims)
     return named.withColumn("sku_price", F.lit(None).cast("decimal(18,2)")).select(*PRODUCT_COLUMNS)
 
 
@@ -154,9 +158,13 @@ PROVINCE_COLUMNS = (
 
 
 def province_stats(orders: DataFrame, provinces: DataFrame, size: str = "10 seconds") -> DataFrame:
+    return name_provinces(province_counts(orders, size), provinces)
+
+
+def name_provinces(counts: DataFrame, provinces: DataFrame) -> DataFrame:
     """Province counts with the province dimension, joined after the aggregation."""
     named = lookup(
-        province_counts(orders, size),
+        counts,
         provinces,
         [("province_id", "ID")],
         {

@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from millrace import schemas
 from millrace.functions import times
@@ -13,8 +14,17 @@ from millrace.operators.joins import BROADCAST_LIMIT_BYTES, estimated_bytes, int
 
 
 def typed(raw: DataFrame, schema: str, time_column: str | None = "create_time", value: str = "value") -> DataFrame:
-    """JSON text to typed columns, with the event time read from a text column."""
-    rows = raw.select(F.from_json(F.col(value).cast("string"), schema).alias("row")).where("row IS NOT NULL").select("row.*")
+    """JSON text to typed columns, with the event time read from a text column.
+
+    Fields are read as text and cast, so a number may also come as a string.
+    """
+    fields = StructType.fromDDL(schema)
+    as_text = StructType([StructField(f.name, StringType()) for f in fields])
+    rows = (
+        raw.select(F.from_json(F.col(value).cast("string"), as_text).alias("row"))
+        .where("row IS NOT NULL")
+        .select(*[F.col(f"row.{f.name}").try_cast(f.dataType).alias(f.name) for f in fields])
+    )
     if time_column is None:
         return rows
     return rows.withColumn("event_time", times.text_to_time(F.col(time_column)))
@@ -53,8 +63,6 @@ _FROM_DETAIL = {
 
 def _conform(df: DataFrame, schema: str, extra: Sequence[str] = ()) -> DataFrame:
     """Columns of a schema in its order; those the frame lacks are null."""
-    from pyspark.sql.types import StructType
-
     fields = StructType.fromDDL(schema)
     have = set(df.columns)
     return df.select(

@@ -41,17 +41,20 @@ class DimensionTables:
         ]
         return sorted(int(v) for v in done)
 
-    def read(self, table: str, schema: StructType, before: int | None = None) -> DataFrame:
+    def read(
+        self, table: str, schema: StructType, before: int | None = None, spark: SparkSession | None = None
+    ) -> DataFrame:
         """The newest version, or the newest older than a batch; empty when there is none."""
+        spark = spark or self.spark
         versions = [v for v in self._versions(table) if before is None or v < before]
         if not versions:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(f"{self.path}/{table}/version={versions[-1]}")
+            return spark.createDataFrame([], schema)
+        return spark.read.schema(schema).parquet(f"{self.path}/{table}/version={versions[-1]}")
 
     def merge(self, table: str, columns: Sequence[str], key: str, changes: DataFrame, batch_id: int, deletes: bool = True) -> None:
         """Apply the changes of a batch, in order of ``seq`` (not negative)."""
         schema = dimension_schema(",".join(columns), key)
-        current = self.read(table, schema, before=batch_id)
+        current = self.read(table, schema, batch_id, changes.sparkSession)
         pairs = [x for c in columns for x in (F.lit(c), F.col(c))]
         as_changes = current.select(
             F.lit("insert").alias("type"), F.create_map(*pairs).alias("data"), F.lit(-1).cast("bigint").alias("seq")

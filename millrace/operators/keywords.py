@@ -14,9 +14,13 @@ from millrace.operators.joins import broadcast_if_small
 
 def search_terms(pages: DataFrame) -> DataFrame:
     """What was searched for: the item of a result-list page."""
-    return pages.where("page_id = 'good_list' AND item IS NOT NULL").select(
-        F.col("item").alias("fullword"), "event_time"
-    )
+    searched = (F.col("page_id") == "good_list") & F.col("item").isNotNull()
+    if pages.isStreaming:
+        # a filter that names the event time is not moved below the watermark, so that
+        # every page advances it, not only the searches
+        term = F.when(F.col("event_time").isNotNull() & searched, F.col("item"))
+        return pages.select(term.alias("fullword"), "event_time").where("fullword IS NOT NULL")
+    return pages.where(searched).select(F.col("item").alias("fullword"), "event_time")
 
 
 def split_keywords(rows: DataFrame, text: str, terms: Sequence[str] = ()) -> DataFrame:

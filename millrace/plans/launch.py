@@ -22,15 +22,16 @@ Writer = Callable[[DataFrame, int], None]
 def start_job(
     name: str,
     read_topic: Reader,
-    writer: Callable[[str], Writer],
+    writer: Callable[[str, str], Writer],
     read_dim: Reader | None = None,
     root: str | None = None,
     every: str | None = None,
 ) -> StreamingQuery:
     """Start one of ``JOBS`` as one query, whatever the number of its outputs.
 
-    ``writer`` gives the writer of a topic or table by name. Dimensions are read again
-    for every batch, so changes to them are seen.
+    ``writer`` gives the writer of a job to a topic or table: two jobs may share a table,
+    each with its own count of batches. Dimensions are read again for every batch, so
+    changes to them are seen.
     """
     job = JOBS[name]
 
@@ -40,7 +41,7 @@ def start_job(
         rows = batch.persist()
         try:
             for output, frame in job.outputs(rows, dims).items():
-                writer(output)(frame, batch_id)
+                writer(name, output)(frame, batch_id)
         finally:
             rows.unpersist()
 

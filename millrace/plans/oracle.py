@@ -482,6 +482,6 @@ def stream_oracles() -> dict[str, str]:
         "stream_province_stats_sql": by_province,
         "stream_keyword_stats": _with(
             ("searched_words",),
-            f", stats AS ({_KEYWORD_STATS}) SELECT * FROM stats WHERE " + closed.format(rows="searched", delay=2),
+            f", stats AS ({_KEYWORD_STATS}) SELECT * FROM stats WHERE " + closed.format(rows="pages_log", delay=2),
         ),
     }

@@ -74,14 +74,14 @@ def jdbc_writer(
     return write
 
 
-def folder_writer(path: str, table: str | None = None) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function that writes each batch to its own folder.
+def folder_writer(path: str, job: str, table: str | None = None) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function that writes each batch of a job to its own folder.
 
     A batch that is run again replaces its folder, so the table holds each row once.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = conform(batch, TABLES[table]) if table else batch
-        rows.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        rows.write.mode("overwrite").parquet(f"{path}/job={job}/batch={batch_id}")
 
     return write

@@ -162,7 +162,7 @@ def test_stored_rows_have_exactly_the_columns_of_the_table(spark):
 
 
 def test_a_folder_batch_written_again_replaces_itself(spark, tmp_path):
-    write = tables.folder_writer(str(tmp_path))
+    write = tables.folder_writer(str(tmp_path), "j")
     write(spark.range(5), 0)
     write(spark.range(5), 0)
     write(spark.range(2), 1)

@@ -9,26 +9,25 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 LATIN_RUN = "[A-Za-z0-9]+"
-CJK_CHAR = r"[一-鿿㐀-䶿]"
+CJK_CHAR = "[一-鿿㐀-䶿]"
+
+# Overlapping pairs of Chinese characters; one on its own stays as it is. The word is
+# captured ahead, then a Latin run or one character is consumed.
+_PAIR = f"{CJK_CHAR}{{2}}"
+_ALONE = f"(?<!{CJK_CHAR}){CJK_CHAR}(?!{CJK_CHAR})"
+_LATIN_OR_PAIR = f"(?=({LATIN_RUN}|{_PAIR}|{_ALONE}))(?:{LATIN_RUN}|{CJK_CHAR})"
 
 # One alternation is tried word by word at every position, so it is for short lists;
 # larger vocabularies go through operators.keywords.dictionary_keywords.
 MAX_INLINE_TERMS = 2_000
 
 
-def _pairs(run: Column) -> Column:
-    """Overlapping two-character pieces of a run; a single character stays as it is."""
-    return F.when(F.length(run) <= 1, F.array(run)).otherwise(
-        F.transform(F.sequence(F.lit(1), F.length(run) - 1), lambda at: F.substring(run, at, F.lit(2)))
-    )
-
-
 def words(text: Column, terms: Sequence[str] = ()) -> Column:
     """Array of the words of ``text``, in reading order, repeats kept.
 
-    Letter and digit runs become one lower-case word each. Chinese runs become the
-    longest match at each position against ``terms`` (single characters where nothing
-    matches), or overlapping character pairs when no terms are given.
+    Letter and digit runs become one word each. Chinese runs become the longest match at
+    each position against ``terms`` (single characters where nothing matches), or
+    overlapping character pairs when no terms are given.
     """
     latin = F.regexp_extract_all(text, F.lit(LATIN_RUN), F.lit(0))
     if terms:
@@ -38,9 +37,8 @@ def words(text: Column, terms: Sequence[str] = ()) -> Column:
         listed = "|".join(re.escape(t) for t in sorted(set(terms), key=lambda t: (-len(t), t)))
         mixed = F.regexp_extract_all(text, F.lit(f"{listed}|{LATIN_RUN}|{CJK_CHAR}"), F.lit(0))
     else:
-        runs = F.regexp_extract_all(text, F.lit(f"{LATIN_RUN}|{CJK_CHAR}+"), F.lit(0))
-        mixed = F.flatten(F.transform(runs, lambda run: F.when(run.rlike(CJK_CHAR), _pairs(run)).otherwise(F.array(run))))
-    # most texts have no Chinese at all and skip the second, slower branch
+        mixed = F.regexp_extract_all(text, F.lit(_LATIN_OR_PAIR), F.lit(1))
+    # most texts have no Chinese at all and take the simpler pattern
     return F.when(text.rlike(CJK_CHAR), mixed).otherwise(latin)
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from millrace import schemas
+from millrace.functions.once import once
 from millrace.operators.joins import broadcast_if_small
 
 MIN_FIELDS = 3
@@ -18,7 +19,7 @@ def parse_changes(raw: DataFrame, value: str = "value") -> DataFrame:
     """JSON text to ``table, type, data`` with the payload as a map of text."""
     record = F.from_json(F.col(value).cast("string"), schemas.CHANGE_RECORD)
     kept = [c for c in raw.columns if c != value]
-    return raw.select(*kept, record.alias("record")).where("record IS NOT NULL").select(*kept, "record.*")
+    return raw.select(*kept, once(record).alias("record")).where("record IS NOT NULL").select(*kept, "record.*")
 
 
 def usable_changes(changes: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from millrace import schemas
 from millrace.functions import times
+from millrace.functions.once import once
 
 
 def parse_logs(raw: DataFrame, value: str = "value", encoded: bool = True) -> DataFrame:
@@ -19,9 +20,9 @@ def parse_logs(raw: DataFrame, value: str = "value", encoded: bool = True) -> Da
     text = F.try_url_decode(F.col(value).cast("string")) if encoded else F.col(value).cast("string")
     log = F.from_json("body", schemas.RAW_LOG, {"columnNameOfCorruptRecord": "_corrupt"})
     return (
-        raw.select(text.alias("body"))
+        raw.select(once(text).alias("body"))
         .where("body IS NOT NULL")
-        .select("body", log.alias("log"))
+        .select("body", once(log).alias("log"))
         .where("log IS NOT NULL AND log._corrupt IS NULL")
         .select(
             "log.common.*",

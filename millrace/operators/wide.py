@@ -10,6 +10,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from millrace import schemas
 from millrace.functions import times
+from millrace.functions.once import once
 from millrace.operators.joins import BROADCAST_LIMIT_BYTES, estimated_bytes, interval_join, lookup
 
 
@@ -21,7 +22,7 @@ def typed(raw: DataFrame, schema: str, time_column: str | None = "create_time",
     fields = StructType.fromDDL(schema)
     as_text = StructType([StructField(f.name, StringType()) for f in fields])
     rows = (
-        raw.select(F.from_json(F.col(value).cast("string"), as_text).alias("row"))
+        raw.select(once(F.from_json(F.col(value).cast("string"), as_text)).alias("row"))
         .where("row IS NOT NULL")
         .select(*[F.col(f"row.{f.name}").try_cast(f.dataType).alias(f.name) for f in fields])
     )

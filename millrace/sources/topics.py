@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.functions.once import once
+
 
 def kafka_options(servers: str, topic: str, group: str | None = None, start: str = "latest") -> dict[str, str]:
     options = {"kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": start}
@@ -46,7 +48,7 @@ def json_view(raw: DataFrame, name: str, schema: str, event_time: str | None = N
     ``event_time`` is SQL over its columns giving the ``rowtime`` column; with a watermark
     ``delay`` behind it.
     """
-    rows = raw.select(F.from_json("value", schema).alias("row")).where("row IS NOT NULL").select("row.*")
+    rows = raw.select(once(F.from_json("value", schema)).alias("row")).where("row IS NOT NULL").select("row.*")
     if event_time:
         rows = rows.withColumn("rowtime", F.expr(event_time))
         if raw.isStreaming:

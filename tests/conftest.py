@@ -15,7 +15,7 @@ def spark():
         master="local[8]",
         time_zone="UTC",
         shuffle_partitions=4,
-        options={"spark.ui.enabled": "false", "spark.driver.memory": "4g", "spark.driver.bindAddress": "127.0.0.1"},
+        options={"spark.ui.enabled": "false", "spark.driver.memory": "4g", "spark.driver.host": "127.0.0.1", "spark.driver.bindAddress": "127.0.0.1"},
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

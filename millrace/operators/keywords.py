@@ -66,53 +66,61 @@ def dictionary_keywords(rows: DataFrame, text: str, dictionary: DataFrame, max_l
     """As ``split_keywords``, Chinese runs split by the longest match in a dictionary table.
 
     ``dictionary`` has a column ``word`` and may be of any size. Every distinct run is
-    split once, however often it occurs: its substrings are matched by an equi-join, and
-    the longest match at each position is followed from left to right. Characters
-    outside any match become words of their own.
+    split once, however often it occurs: the pieces that start at each of its characters
+    are matched by an equi-join, and the longest match is followed from left to right.
+    Characters outside any match become words of their own.
     """
-    cjk_run = F.lit(f"{words.CJK_CHAR}+")
     mixed_run = F.lit(f"{words.LATIN_RUN}|{words.CJK_CHAR}+")
     kept = [c for c in rows.columns if c != text]
     pieces = rows.select(*kept, F.explode(F.regexp_extract_all(text, mixed_run, F.lit(0))).alias("_run"))
     latin = pieces.where(~F.col("_run").rlike(words.CJK_CHAR)).select(*kept, F.lower("_run").alias("keyword"))
+    chinese = pieces.where(F.col("_run").rlike(words.CJK_CHAR)).withColumn("_id", _run_id(F.col("_run")))
 
-    runs = rows.select(F.explode(F.regexp_extract_all(text, cjk_run, F.lit(0))).alias("_run")).distinct()
-    spots = runs.select("_run", F.explode(F.sequence(F.lit(1), F.length("_run"))).alias("_at"))
-    tries = spots.where(F.col("_at") < F.length("_run")).select(
-        "_run",
-        "_at",
-        F.explode(F.sequence(F.lit(2), F.least(F.lit(max_length), F.length("_run") - F.col("_at") + 1))).alias("_len"),
+    runs = (
+        rows.select(F.explode(F.regexp_extract_all(text, F.lit(f"{words.CJK_CHAR}+"), F.lit(0))).alias("_run"))
+        .distinct()
+        .withColumn("_id", _run_id(F.col("_run")))
     )
-    vocabulary = dictionary.where(F.length("word") > 1).select(F.col("word").alias("_word")).distinct()
-    hits = (
-        tries.join(
-            broadcast_if_small(vocabulary), F.expr("substring(_run, _at, _len)") == F.col("_word"), "left_semi"
-        )
-        .groupBy("_run", "_at")
-        .agg(F.max("_len").alias("_len"))
-        # at most one entry per character of one run, never more than the run itself
-        .groupBy("_run")
-        .agg(F.map_from_entries(F.collect_list(F.struct("_at", "_len"))).alias("_longest"))
+    # a row per character holds the next few characters, never the run
+    ahead = F.lit(f"(?=({words.CJK_CHAR}{{1,{max_length}}})){words.CJK_CHAR}")
+    starts = runs.select("_id", F.posexplode(F.regexp_extract_all("_run", ahead, F.lit(1))).alias("_at", "_ahead"))
+    sizes = F.sequence(F.lit(2), F.length("_ahead"))
+    tries = (
+        starts.where(F.length("_ahead") > 1)
+        .select("_id", "_at", "_ahead", F.explode(sizes).alias("_size"))
+        .select("_id", "_at", "_size", F.expr("left(_ahead, _size)").alias("_piece"))
     )
-    split = runs.join(hits, "_run", "left").select("_run", _follow(F.col("_run"), F.col("_longest")).alias("_words"))
-    chinese = (
-        pieces.where(F.col("_run").rlike(words.CJK_CHAR))
-        .join(split, "_run")
-        .select(*kept, F.explode("_words").alias("keyword"))
+    vocabulary = dictionary.where(F.length("word") > 1).select(F.col("word").alias("_word")).distinct()
+    hits = tries.join(broadcast_if_small(vocabulary), F.col("_piece") == F.col("_word"), "left_semi")
+    longest = (
+        starts.select("_id", "_at", F.lit(1).alias("_size"))
+        .unionByName(hits.select("_id", "_at", "_size"))
+        .groupBy("_id", "_at")
+        .agg(F.max("_size").alias("_size"))
+        # one entry per character: never larger than the text the run comes from
+        .groupBy("_id")
+        .agg(F.array_sort(F.collect_list(F.struct("_at", "_size"))).alias("_longest"))
     )
-    return latin.unionByName(chinese)
+    split = runs.join(longest, "_id").select("_id", _follow(F.col("_run"), F.col("_longest")).alias("_words"))
+    found = chinese.join(split, "_id").select(*kept, F.explode("_words").alias("keyword"))
+    return latin.unionByName(found)
+
+
+def _run_id(run: Column) -> Column:
+    """A short run is its own id, a long one goes by its digest."""
+    return F.when(F.length(run) <= 64, run).otherwise(F.sha2(run, 256))
 
 
 def _follow(run: Column, longest: Column) -> Column:
-    """Words of a run, given the longest match length by start position."""
-    start = F.struct(F.lit(1).alias("next"), F.array().cast("array<string>").alias("words"))
+    """Words of a run, given ``_at`` (from 0) and longest match ``_size`` per character."""
+    start = F.struct(F.lit(0).alias("next"), F.array().cast("array<string>").alias("words"))
 
-    def step(state: Column, at: Column) -> Column:
-        size = F.coalesce(F.try_element_at(longest, at), F.lit(1))
+    def step(state: Column, here: Column) -> Column:
+        at, size = here["_at"], here["_size"]
         taken = F.struct(
             (at + size).alias("next"),
-            F.array_append(state["words"], F.substring(run, at, size)).alias("words"),
+            F.array_append(state["words"], F.substring(run, at + 1, size)).alias("words"),
         )
         return F.when(at == state["next"], taken).otherwise(state)
 
-    return F.aggregate(F.sequence(F.lit(1), F.length(run)), start, step, lambda state: state["words"])
+    return F.aggregate(longest, start, step, lambda state: state["words"])

@@ -51,6 +51,10 @@ class DimensionTables:
             return spark.createDataFrame([], schema)
         return spark.read.schema(schema).parquet(f"{self.path}/{table}/version={versions[-1]}")
 
+    def latest(self, table: str) -> DataFrame:
+        """The newest version of a table that exists."""
+        return self.spark.read.parquet(f"{self.path}/{table}/version={self._versions(table)[-1]}")
+
     def merge(self, table: str, columns: Sequence[str], key: str, changes: DataFrame, batch_id: int, deletes: bool = True) -> None:
         """Apply the changes of a batch, in order of ``seq`` (not negative)."""
         schema = dimension_schema(",".join(columns), key)

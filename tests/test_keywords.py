@@ -31,12 +31,26 @@ def test_terms_are_matched_longest_first(spark):
 
 def test_dictionary_table_gives_the_same_words(spark):
     dictionary = spark.createDataFrame([(t,) for t in TERMS], "word string")
-    df = texts(spark, PHONE, "手机手机壳", "no chinese", "壳", None, "")
+    df = texts(spark, PHONE, "手机手机壳", "no chinese", "壳", None, "", "深空手机移动联" * 40, PHONE)
     by_join = keywords.dictionary_keywords(df, "text", dictionary)
     by_terms = keywords.split_keywords(df, "text", TERMS)
     assert sorted(map(tuple, by_join.collect())) == sorted(map(tuple, by_terms.collect()))
 
 
+def test_a_large_dictionary_is_joined_by_shuffle(spark):
+    many = spark.range(200_000).selectExpr("concat('词', id) AS word")
+    got = keywords.dictionary_keywords(texts(spark, "手机"), "text", many)
+    assert "broadcast" in got._jdf.queryExecution().optimizedPlan().toString()
+    before = keywords.broadcast_if_small
+    keywords.broadcast_if_small = lambda df: before(df, 10)
+    try:
+        got = keywords.dictionary_keywords(texts(spark, "手机"), "text", many)
+        assert "broadcast" not in got._jdf.queryExecution().optimizedPlan().toString()
+        assert sorted(r.keyword for r in got.collect()) == ["手", "机"]
+    finally:
+        keywords.broadcast_if_small = before
+
+
 def test_text_without_words_gives_no_row(spark):
     assert split(texts(spark, "", "!!", None)) == []
 

@@ -135,6 +135,7 @@ class Job:
         return self.outputs(self.core(topics), dims or {})
 
 
+# The names of topics and tables, here and in the functions above.
 _PRODUCT_DIMS = ("sku", "spu", "category3", "trademark")
 
 JOBS: dict[str, Job] = {

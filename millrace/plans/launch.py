@@ -69,10 +69,11 @@ def start_change_routing(
         try:
             write_facts(changes.fact_messages(routed), batch_id)
             for route in dimension_routes(routing):
-                mine = changes.dimension_changes(routed).where(F.col("sink_table") == route["table"])
-                if mine.isEmpty():
-                    continue
-                dims.merge(route["table"], route["columns"].split(","), route["key"], mine, batch_id, deletes)
+                table, columns, key = route["table"], route["columns"].split(","), route["key"]
+                dims.ensure(table, columns, key)
+                mine = changes.dimension_changes(routed).where(F.col("sink_table") == table)
+                if not mine.isEmpty():
+                    dims.merge(table, columns, key, mine, batch_id, deletes)
         finally:
             routed.unpersist()
 

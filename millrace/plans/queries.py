@@ -37,8 +37,8 @@ def wide_orders(t: ShopTables) -> DataFrame:
     return wide.order_wide(t.orders, t.details, SPAN, SPAN)
 
 
-def wide_payments(t: ShopTables) -> DataFrame:
-    return wide.payment_wide(t.payments, wide_orders(t), SPAN)
+def wide_orders_with_province(t: ShopTables) -> DataFrame:
+    return t.with_province(wide_orders(t))
 
 
 def as_of():
@@ -50,7 +50,9 @@ def visitor_fact_rows(t: ShopTables) -> DataFrame:
 
 
 def product_fact_rows(t: ShopTables) -> DataFrame:
-    return order_stats.product_facts(t.pages, wide_orders(t), wide_payments(t), t.carts, t.favors, t.refunds, t.comments)
+    orders = wide_orders(t)
+    payments = wide.payment_wide(t.payments, orders, SPAN)
+    return order_stats.product_facts(t.pages_anywhere, orders, payments, t.carts, t.favors, t.refunds, t.comments)
 
 
 LOG_COLUMNS = ("mid", "vc", "ch", "ar", "is_new", "page_id", "last_page_id", "item", "during_time", "ts")
@@ -67,7 +69,7 @@ def log_parse(t: ShopTables) -> DataFrame:
 
 @_query
 def new_visitor_repair(t: ShopTables) -> DataFrame:
-    return logs.repair_new_visitors(t.pages).select("event_id", "mid", "is_new", "ts")
+    return logs.repair_new_visitors(t.pages_anywhere).select("event_id", "mid", "is_new", "ts")
 
 
 @_query
@@ -97,22 +99,22 @@ def repaired_log_text(t: ShopTables) -> DataFrame:
 
 @_query
 def session_entries(t: ShopTables) -> DataFrame:
-    return visits.session_entries(t.pages).select("event_id", "mid", "page_id", "ts")
+    return visits.session_entries(t.pages_anywhere).select("event_id", "mid", "page_id", "ts")
 
 
 @_query
 def unique_visits(t: ShopTables) -> DataFrame:
-    return visits.unique_visits(t.pages, TIE).select("event_id", "mid", "page_id", "ts")
+    return visits.unique_visits(t.pages_anywhere, TIE).select("event_id", "mid", "page_id", "ts")
 
 
 @_query
 def user_jumps(t: ShopTables) -> DataFrame:
-    return visits.user_jumps(t.pages, ties=TIE).select("event_id", "mid", "page_id", "ts")
+    return visits.user_jumps(t.pages_anywhere, ties=TIE).select("event_id", "mid", "page_id", "ts")
 
 
 @_query
 def user_jumps_30m(t: ShopTables) -> DataFrame:
-    return visits.user_jumps(t.pages, 30 * 60 * 1000, TIE).select("event_id", "mid", "page_id", "ts")
+    return visits.user_jumps(t.pages_anywhere, 30 * 60 * 1000, TIE).select("event_id", "mid", "page_id", "ts")
 
 
 # change records
@@ -165,7 +167,7 @@ def dim_upsert_latest(t: ShopTables) -> DataFrame:
 
 @_query
 def order_wide_interval(t: ShopTables) -> DataFrame:
-    return wide_orders(t).select(
+    return wide_orders_with_province(t).select(
         "detail_id", "order_id", "sku_id", "order_price", "sku_num", "sku_name", "province_id", "order_status",
         "user_id", "total_amount", "split_total_amount", "create_time", "create_date", "create_hour",
     )
@@ -173,7 +175,8 @@ def order_wide_interval(t: ShopTables) -> DataFrame:
 
 @_query
 def payment_wide_interval(t: ShopTables) -> DataFrame:
-    return wide_payments(t).select(
+    orders = wide_orders_with_province(t)
+    return wide.payment_wide(t.payments, orders, SPAN).select(
         "payment_id", "subject", "payment_type", "payment_create_time", "callback_time", "detail_id", "order_id",
         "sku_id", "user_id", "total_amount", "split_total_amount", "order_create_time", "province_id", "order_status",
     )
@@ -181,7 +184,7 @@ def payment_wide_interval(t: ShopTables) -> DataFrame:
 
 @_query
 def order_wide_dims(t: ShopTables) -> DataFrame:
-    return wide.add_dimensions(wide_orders(t), t.dims, as_of()).select(
+    return wide.add_dimensions(wide_orders_with_province(t), t.dims, as_of()).select(
         "detail_id", "order_id", "sku_id", "sku_name", "split_total_amount", "user_age", "user_gender",
         "province_name", "province_area_code", "province_iso_code", "province_3166_2_code", "spu_id", "tm_id",
         "category3_id", "spu_name", "tm_name", "category3_name",
@@ -238,12 +241,12 @@ def product_stats(t: ShopTables) -> DataFrame:
 
 @_query
 def province_stats(t: ShopTables) -> DataFrame:
-    return order_stats.province_stats(wide_orders(t), t.dims["province"])
+    return order_stats.province_stats(wide_orders_with_province(t), t.dims["province"])
 
 
 @_query
 def province_stats_sql(t: ShopTables) -> DataFrame:
-    return order_stats.province_stats_sql(wide.add_province(wide_orders(t), t.dims["province"]))
+    return order_stats.province_stats_sql(wide.add_province(wide_orders_with_province(t), t.dims["province"]))
 
 
 @_query
@@ -251,7 +254,7 @@ def sink_projection(t: ShopTables) -> DataFrame:
     """Province statistics as rows of the store: named columns in its order, typed."""
     from millrace.sinks.tables import PROVINCE_TABLE, conform
 
-    rows = order_stats.province_stats(wide_orders(t), t.dims["province"])
+    rows = order_stats.province_stats(wide_orders_with_province(t), t.dims["province"])
     return conform(rows, PROVINCE_TABLE).drop("ts")
 
 
@@ -260,18 +263,18 @@ def sink_projection(t: ShopTables) -> DataFrame:
 
 @_query
 def search_terms(t: ShopTables) -> DataFrame:
-    return keywords.search_terms(t.pages).select("fullword", F.unix_millis("event_time").alias("ts"))
+    return keywords.search_terms(t.pages_anywhere).select("fullword", F.unix_millis("event_time").alias("ts"))
 
 
 @_query
 def search_keywords(t: ShopTables) -> DataFrame:
-    found = keywords.split_keywords(keywords.search_terms(t.pages), "fullword")
+    found = keywords.split_keywords(keywords.search_terms(t.pages_anywhere), "fullword")
     return found.select("keyword", F.unix_millis("event_time").alias("ts"))
 
 
 @_query
 def keyword_stats_search(t: ShopTables) -> DataFrame:
-    return keywords.keyword_stats(keywords.split_keywords(keywords.search_terms(t.pages), "fullword"))
+    return keywords.keyword_stats(keywords.split_keywords(keywords.search_terms(t.pages_anywhere), "fullword"))
 
 
 @_query

@@ -6,6 +6,7 @@ the next, as topics would be. Windows still open at the end are not part of a re
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,8 +26,6 @@ class Streams:
     """Streams over the sample tables, with folders between the layers."""
 
     def __init__(self, spark: SparkSession, folder: str, name: str):
-        import uuid
-
         self.caller = spark
         # one state partition per core
         self.spark = stream_session(spark, spark.sparkContext.defaultParallelism)
@@ -53,12 +52,12 @@ class Streams:
         return self.spark.readStream.schema(df.schema).parquet(path)
 
     def pages(self, delay: str) -> DataFrame:
-        return watermarks.with_event_time(self.live.pages, delay)
+        return watermarks.with_event_time(self.live.pages_anywhere, delay)
 
     def order_wide(self) -> DataFrame:
         orders = watermarks.with_event_time(self.live.orders, watermarks.ORDERED)
         details = watermarks.with_event_time(self.live.details, watermarks.ORDERED)
-        return wide.order_wide(orders, details, SPAN, SPAN)
+        return self.static.with_province(wide.order_wide(orders, details, SPAN, SPAN))
 
     def payment_wide(self, orders: DataFrame) -> DataFrame:
         payments = self.table(self.static.payments, "payment_info")
@@ -68,11 +67,11 @@ class Streams:
             SPAN,
         )
 
-    def unique_visits(self) -> DataFrame:
-        return visits.unique_visits(self.pages(watermarks.VISIT_MEMORY), TIE)
+    def unique_visits(self, pages: DataFrame) -> DataFrame:
+        return visits.unique_visits(watermarks.with_event_time(pages, watermarks.VISIT_MEMORY), TIE)
 
-    def user_jumps(self) -> DataFrame:
-        return visits.user_jumps(self.pages(watermarks.ORDERED), ties=TIE)
+    def user_jumps(self, pages: DataFrame) -> DataFrame:
+        return visits.user_jumps(watermarks.with_event_time(pages, watermarks.ORDERED), ties=TIE)
 
 
 def _query(build: Callable[[Streams], DataFrame]) -> Callable[[Streams], DataFrame]:
@@ -87,19 +86,19 @@ def all_stream_queries() -> dict[str, Query]:
 
 @_query
 def stream_new_visitor_repair(s: Streams) -> DataFrame:
-    rows = logs.repair_new_visitors(s.live.pages)
+    rows = logs.repair_new_visitors(s.live.pages_anywhere)
     return s.result(rows.select("event_id", "mid", "is_new", "ts"), "repaired")
 
 
 @_query
 def stream_unique_visits(s: Streams) -> DataFrame:
     # the first to arrive is kept; which row that is may differ from the batch form
-    return s.result(s.unique_visits().selectExpr("mid", "CAST(CAST(event_time AS DATE) AS STRING) AS day"), "uniques")
+    return s.result(s.unique_visits(s.live.pages_anywhere).selectExpr("mid", "CAST(CAST(event_time AS DATE) AS STRING) AS day"), "uniques")
 
 
 @_query
 def stream_user_jumps(s: Streams) -> DataFrame:
-    return s.result(s.user_jumps().select("event_id", "mid", "page_id", "ts"), "jumps")
+    return s.result(s.user_jumps(s.live.pages_anywhere).select("event_id", "mid", "page_id", "ts"), "jumps")
 
 
 @_query
@@ -115,8 +114,8 @@ def stream_payment_wide(s: Streams) -> DataFrame:
 
 @_query
 def stream_visitor_stats(s: Streams) -> DataFrame:
-    uniques = s.layer(s.unique_visits(), "unique_visit")
-    jumps = s.layer(s.user_jumps(), "user_jump")
+    uniques = s.layer(s.unique_visits(s.live.pages), "unique_visit")
+    jumps = s.layer(s.user_jumps(s.live.pages), "user_jump")
     facts = traffic.visitor_facts(s.live.pages, uniques, jumps)
     # without uv: which row of a day is its first visit depends on arrival
     stats = traffic.visitor_stats(watermarks.with_event_time(facts, watermarks.VISITOR))
@@ -128,7 +127,7 @@ def stream_product_stats(s: Streams) -> DataFrame:
     orders = s.layer(s.order_wide(), "order_wide")
     paid = s.layer(s.payment_wide(orders), "payment_wide")
     t = s.live
-    facts = order_stats.product_facts(t.pages, orders, paid, t.carts, t.favors, t.refunds, t.comments)
+    facts = order_stats.product_facts(t.pages_anywhere, orders, paid, t.carts, t.favors, t.refunds, t.comments)
     facts = watermarks.with_event_time(facts, watermarks.ORDERED)
     return s.result(order_stats.product_stats(facts, s.static.dims), "product_stats")
 

@@ -51,6 +51,12 @@ class DimensionTables:
             return spark.createDataFrame([], schema)
         return spark.read.schema(schema).parquet(f"{self.path}/{table}/version={versions[-1]}")
 
+    def ensure(self, table: str, columns: Sequence[str], key: str) -> None:
+        """Create a table without rows where there is none, so that it can be joined."""
+        if not self._versions(table):
+            empty = self.spark.createDataFrame([], dimension_schema(",".join(columns), key))
+            empty.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/{table}/version=-1")
+
     def latest(self, table: str) -> DataFrame:
         """The newest version of a table that exists."""
         return self.spark.read.parquet(f"{self.path}/{table}/version={self._versions(table)[-1]}")

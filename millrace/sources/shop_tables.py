@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from millrace import schemas
 from millrace.functions import times
+from millrace.functions.once import once
 from millrace.operators.joins import lookup
 
 # Page shown for each type of event.
@@ -67,7 +68,7 @@ class ShopTables:
             F.col("user_id"),
             "event_type",
             "value",
-            F.get_json_object("props", "$.k").cast("int").alias("k"),
+            once(F.get_json_object("props", "$.k").cast("int")).alias("k"),
             ms.alias("ts"),
             times.millis_to_time(ms).alias("event_time"),
         )
@@ -75,14 +76,23 @@ class ShopTables:
     @cached_property
     def pages(self) -> DataFrame:
         """Page logs; ``event_id`` breaks ties of time."""
+        area = {"ar": F.col("c_nationkey").cast("string")}
+        return self._pages(lookup(self.events, self._static("customer"), [("user_id", "c_custkey")], area))
+
+    @cached_property
+    def pages_anywhere(self) -> DataFrame:
+        """Page logs without their area, for what does not look at it: no join for it."""
+        return self._pages(self.events.withColumn("ar", F.lit(None).cast("string")))
+
+    @staticmethod
+    def _pages(events: DataFrame) -> DataFrame:
         page = F.create_map(*[F.lit(x) for pair in PAGE_OF_EVENT.items() for x in pair])
         k = F.col("k")
         shown = F.array(
             F.struct(k.cast("string").alias("item"), F.lit("sku_id").alias("item_type")),
             F.struct((k + 1).cast("string").alias("item"), F.lit("activity_id").alias("item_type")),
         )
-        with_area = lookup(self.events, self._static("customer"), [("user_id", "c_custkey")], {"ar": F.col("c_nationkey").cast("string")})
-        return with_area.select(
+        return events.select(
             "event_id",
             F.col("user_id").cast("string").alias("mid"),
             (k % 3).cast("string").alias("vc"),
@@ -164,8 +174,9 @@ class ShopTables:
 
     @cached_property
     def orders(self) -> DataFrame:
+        """Orders; their province comes with ``with_province``, after the joins that cut rows."""
         time = F.col("o_orderdate").cast("timestamp")
-        rows = self._facts("orders").select(
+        return self._facts("orders").select(
             F.col("o_orderkey").alias("id"),
             F.col("o_custkey").alias("user_id"),
             F.col("o_orderstatus").alias("order_status"),
@@ -173,6 +184,9 @@ class ShopTables:
             times.time_to_text(time).alias("create_time"),
             time.alias("event_time"),
         )
+
+    def with_province(self, rows: DataFrame) -> DataFrame:
+        """Fill ``province_id`` from the nation of the customer."""
         area = {"province_id": F.col("c_nationkey").cast("bigint")}
         return lookup(rows, self._static("customer"), [("user_id", "c_custkey")], area)
 

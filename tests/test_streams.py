@@ -287,7 +287,10 @@ def test_every_job_also_runs_on_static_frames(spark):
 
 
 def test_changes_are_routed_with_routes_read_per_batch(spark, live, tmp_path):
-    routes = [("user", "insert", "hbase", "dim_user", "id,name", None, None)]
+    routes = [
+        ("user", "insert", "hbase", "dim_user", "id,name", None, None),
+        ("brand", "insert", "HBase", "dim_brand", "tm_id,tm_name", "tm_id", None),
+    ]
     extra = [
         ("user", "delete", "hbase", "dim_user", "id,name", None, None),
         ("orders", "insert", "kafka", "dwd_order", "id", None, None),
@@ -319,6 +322,9 @@ def test_changes_are_routed_with_routes_read_per_batch(spark, live, tmp_path):
 
     users = tables.read("DIM_USER", dimension_schema("id,name")).collect()
     assert [tuple(r) for r in users] == [("2", "b")]
+    # a table without changes exists, without rows
+    assert tables.latest("DIM_BRAND").columns == ["tm_id", "tm_name"]
+    assert tables.latest("DIM_BRAND").count() == 0
     sent = spark.read.text(str(tmp_path / "facts" / "by_topic"))
     assert [(r.topic, json.loads(r.value)) for r in sent.collect()] == [("DWD_ORDER", {"id": "8"})]
 

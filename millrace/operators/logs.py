@@ -44,7 +44,8 @@ def repair_new_visitors(logs: DataFrame) -> DataFrame:
 
     The first date per device is a plain minimum, so it is pre-aggregated before the
     shuffle and joined back: unlike a window per device, a device that holds a large
-    part of all rows is never sorted in one task.
+    part of all rows is never sorted in one task. The input is read twice: where parsing is
+    costly, write the parsed logs to a table first.
     """
     if logs.isStreaming:
         from millrace.streaming.new_visitors import repair_stream

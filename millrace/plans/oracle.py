@@ -453,9 +453,7 @@ def stream_oracles() -> dict[str, str]:
     )
     return {
         "stream_new_visitor_repair": all_oracles()["new_visitor_repair"],
-        "stream_unique_visits": _with(
-            ("uniques",), "SELECT mid, CAST(CAST(event_time AS DATE) AS VARCHAR) AS day FROM uniques"
-        ),
+        "stream_unique_visits": all_oracles()["unique_visits"],
         "stream_user_jumps": _with(
             ("jumps",),
             """
@@ -471,7 +469,7 @@ def stream_oracles() -> dict[str, str]:
         ),
         "stream_visitor_stats": _with(
             ("visitor_rows",),
-            f", stats AS ({_VISITOR_STATS}) SELECT * EXCLUDE (uv_ct) FROM stats WHERE "
+            f", stats AS ({_VISITOR_STATS}) SELECT * FROM stats WHERE "
             + closed.format(rows="visitor_rows", delay=20),
         ),
         "stream_product_stats": _with(

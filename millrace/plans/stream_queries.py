@@ -92,8 +92,8 @@ def stream_new_visitor_repair(s: Streams) -> DataFrame:
 
 @_query
 def stream_unique_visits(s: Streams) -> DataFrame:
-    # the first to arrive is kept; which row that is may differ from the batch form
-    return s.result(s.unique_visits(s.live.pages_anywhere).selectExpr("mid", "CAST(CAST(event_time AS DATE) AS STRING) AS day"), "uniques")
+    # the first to arrive is kept: the same row as in the batch form, as events are in order
+    return s.result(s.unique_visits(s.live.pages_anywhere).select("event_id", "mid", "page_id", "ts"), "uniques")
 
 
 @_query
@@ -117,9 +117,8 @@ def stream_visitor_stats(s: Streams) -> DataFrame:
     uniques = s.layer(s.unique_visits(s.live.pages), "unique_visit")
     jumps = s.layer(s.user_jumps(s.live.pages), "user_jump")
     facts = traffic.visitor_facts(s.live.pages, uniques, jumps)
-    # without uv: which row of a day is its first visit depends on arrival
     stats = traffic.visitor_stats(watermarks.with_event_time(facts, watermarks.VISITOR))
-    return s.result(stats.drop("uv_ct"), "visitor_stats")
+    return s.result(stats, "visitor_stats")
 
 
 @_query

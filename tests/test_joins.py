@@ -23,8 +23,8 @@ def pairs(df):
     return sorted((r.k, r.t, r.dt) for r in df.collect())
 
 
-def five_seconds(left, right):
-    return joins.interval_join(left, right, [("k", "dk")], "order_time", "detail_time", "5 seconds", "5 seconds")
+def five_seconds(left, right, slices=60):
+    return joins.interval_join(left, right, [("k", "dk")], "order_time", "detail_time", "5 seconds", "5 seconds", slices)
 
 
 def test_both_ends_of_the_interval_count(spark):
@@ -39,10 +39,10 @@ row = st.tuples(st.integers(1, 3), st.integers(0, 40).map(lambda s: s * 500))
 
 
 @settings(max_examples=10, deadline=None)
-@given(st.lists(row, min_size=1, max_size=20), st.lists(row, min_size=1, max_size=20))
-def test_interval_join_equals_a_loop(spark, left, right):
+@given(st.lists(row, min_size=1, max_size=20), st.lists(row, min_size=1, max_size=20), st.sampled_from([1, 2, 60]))
+def test_interval_join_equals_a_loop(spark, left, right, slices):
     expected = sorted((k, t, dt) for k, t in left for dk, dt in right if k == dk and t - 5_000 <= dt <= t + 5_000)
-    assert pairs(five_seconds(orders(spark, left), details(spark, right))) == expected
+    assert pairs(five_seconds(orders(spark, left), details(spark, right), slices)) == expected
 
 
 def test_a_hot_key_is_split_over_tasks(spark):
@@ -72,6 +72,15 @@ def test_a_hot_key_is_split_over_tasks(spark):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+def test_a_hot_key_on_both_sides_meets_only_its_neighbours(spark):
+    """Every row has the same key; all pairs would be a hundred million."""
+    left = orders(spark, [(1, i * 60_000) for i in range(10_000)])
+    right = details(spark, [(1, i * 60_000 + 4_000) for i in range(10_000)])
+    joined = five_seconds(left, right)
+    assert joined.count() == 10_000
+    assert "_right_slice" in joined._jdf.queryExecution().executedPlan().toString()
+
+
 def test_lookup_keeps_misses_and_replaces_on_a_hit(spark):
     facts = spark.createDataFrame([(1, "own"), (2, "own"), (None, "own")], "sku_id bigint, sku_name string")
     dim = spark.createDataFrame([("1", None, "x")], "ID string, SKU_NAME string, EXTRA string")

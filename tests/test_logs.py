@@ -38,6 +38,13 @@ def test_numbers_sent_as_text_are_accepted(spark):
     assert (row.ts, row.during_time, row.item) == (10_000, 12, "5")
 
 
+def test_text_is_decoded_and_parsed_once_per_row(spark):
+    rows = logs.page_logs(logs.parse_logs(raw(spark, log()).repartition(2))).where("is_new = '1' AND ts > 0")
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 1
+    assert plan.count("UrlCodec.decode") == 1
+
+
 def test_split_by_non_empty_start(spark):
     rows = logs.parse_logs(
         raw(

@@ -24,7 +24,7 @@ def typed(raw: DataFrame, schema: str, time_column: str | None = "create_time",
     rows = (
         raw.select(once(F.from_json(F.col(value).cast("string"), as_text)).alias("row"))
         .where("row IS NOT NULL")
-        .select(*[F.col(f"row.{f.name}").try_cast(f.dataType).alias(f.name) for f in fields])
+        .selectExpr(*[f"try_cast(row.{f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in fields])
     )
     if time_column is None:
         return rows
@@ -66,8 +66,8 @@ def _conform(df: DataFrame, schema: str, extra: Sequence[str] = ()) -> DataFrame
     """Columns of a schema in its order; those the frame lacks are null."""
     fields = StructType.fromDDL(schema)
     have = set(df.columns)
-    return df.select(
-        *[(F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in fields],
+    return df.selectExpr(
+        *[f"CAST({f.name if f.name in have else 'NULL'} AS {f.dataType.simpleString()}) AS {f.name}" for f in fields],
         *extra,
     )
 

@@ -21,6 +21,10 @@ from millrace.streaming.watermarks import with_event_time
 
 Frames = Mapping[str, DataFrame]
 
+# Logs of a device with the same time are taken in order of their text, so that running a
+# job again gives the same rows.
+_TIE = ("body",)
+
 
 def _pages(raw: DataFrame, delay: str | None = None) -> DataFrame:
     """Page logs as written by the log job: plain JSON, not encoded."""
@@ -47,11 +51,11 @@ def change_records(topics: Frames) -> DataFrame:
 
 
 def unique_visits(topics: Frames) -> DataFrame:
-    return visits.unique_visits(_pages(topics["DWD_PAGE_LOG"], watermarks.VISIT_MEMORY))
+    return visits.unique_visits(_pages(topics["DWD_PAGE_LOG"], watermarks.VISIT_MEMORY), _TIE)
 
 
 def user_jumps(topics: Frames) -> DataFrame:
-    return visits.user_jumps(_pages(topics["DWD_PAGE_LOG"], watermarks.ORDERED))
+    return visits.user_jumps(_pages(topics["DWD_PAGE_LOG"], watermarks.ORDERED), ties=_TIE)
 
 
 def wide_orders(topics: Frames) -> DataFrame:

@@ -31,6 +31,8 @@ def build_session(
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
         .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "128m")
+        # recording the call site of every column triples the calls needed to build a plan
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB_STORE)
         .config("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     )

@@ -9,7 +9,6 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from millrace.functions import times
@@ -51,7 +50,7 @@ def conform(rows: DataFrame, ddl: str) -> DataFrame:
     fields = StructType.fromDDL(ddl)
     if "ts" in fields.fieldNames() and "ts" not in rows.columns:
         rows = rows.withColumn("ts", times.now_millis())
-    return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields])
+    return rows.selectExpr(*[f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in fields])
 
 
 def jdbc_writer(

@@ -18,6 +18,22 @@ from millrace.functions import times
 from millrace.functions.once import once
 from millrace.operators.joins import lookup
 
+# Schemas of the sample tables. Given to the reader, they spare it a job per
+# table that looks them up in the files.
+TABLES = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+}
+
 # Page shown for each type of event.
 PAGE_OF_EVENT = {
     "view": "good_detail",
@@ -48,14 +64,17 @@ class ShopTables:
         self.spark = spark
         self.folder = folder.rstrip("/")
         self.streaming = streaming
+        self._tables: dict[str, DataFrame] = {}
 
     def _static(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.schema(TABLES[name]).parquet(f"{self.folder}/{name}.parquet")
+        return self._tables[name]
 
     def _facts(self, name: str) -> DataFrame:
         if not self.streaming:
             return self._static(name)
-        reader = self.spark.readStream.schema(self._static(name).schema)
+        reader = self.spark.readStream.schema(TABLES[name])
         return reader.option("pathGlobFilter", f"{name}.parquet").parquet(self.folder)
 
     # events

@@ -94,6 +94,13 @@ def test_create_table_from_routing(spark):
     )
 
 
+def test_the_statement_runs(spark, tmp_path):
+    spark.sql(create_table_sql("dim_t", "id,name", None, f"LOCATION '{tmp_path}'"))
+    spark.sql(create_table_sql("dim_t", "id,name", None, f"LOCATION '{tmp_path}'"))
+    assert spark.table("dim_t").dtypes == [("id", "string"), ("name", "string")]
+    spark.sql("DROP TABLE dim_t")
+
+
 def applied(spark, rows, **options):
     frame = spark.createDataFrame(rows, "seq bigint, type string, data map<string,string>")
     got = changes.apply_changes(frame, "id", ["id", "name", "tel"], "seq", **options)

@@ -2,6 +2,7 @@
 
 import json
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -95,6 +96,29 @@ def test_bounces_do_not_depend_on_slices(spark, live, tmp_path):
     assert sorted(r.ts for r in rows(spark, short, tmp_path).collect()) == [9_000, 20_500, 49_999, 59_999]
 
 
+def test_random_bounces_equal_the_batch_form(spark, live, tmp_path):
+    dice = random.Random(7)
+    topic = Topic(tmp_path / "pages")
+    clock = 0
+    for _ in range(4):
+        times_of_batch = dice.sample(range(clock + 1, clock + 200_000), 120)
+        clock += 200_000
+        topic.add(
+            *[
+                page(f"m{dice.randrange(12)}", t, dice.choice([None, None, "home"]), is_new=dice.choice("01"))
+                for t in times_of_batch
+            ]
+        )
+    topic.add(flush(10 * DAY))
+    static = logs.parse_logs(spark.read.text(topic.path), encoded=False)
+    for timeout in (1_000, 10_000):
+        bounces = visits.user_jumps(pages(topic, live, "0 seconds"), timeout)
+        got = rows(spark, bounces, tmp_path, f"jumps{timeout}")
+        expected = sorted((r.mid, r.ts) for r in visits.user_jumps(static, timeout).collect())
+        assert len(expected) > 20
+        assert sorted((r.mid, r.ts) for r in got.collect()) == expected
+
+
 def test_unique_visits_once_per_device_and_date(spark, live, tmp_path):
     topic = Topic(tmp_path / "pages")
     topic.add(page("a", 1_000), page("a", 2_000, "home"), page("b", 3_000, "home"))

@@ -52,13 +52,21 @@ def scan_secrets(docs: DataFrame, text: str = "text") -> DataFrame:
     A null or empty text has no spans. Repeated rows are each scanned, and counted. Other
     columns stay as they are, except one of the name ``secrets``, which is replaced.
     """
-    clean = F.translate(F.coalesce(F.col(text), F.lit("")), _EDGE + _PART, _OTHER * 2)
-    tried = docs.select(F.explode(_candidates(clean)).alias("c")).select(
+    raw = F.col(text)
+    clean = F.translate(raw, _EDGE + _PART, _OTHER * 2)
+    # cheap tests of the text as it is spare most texts everything else
+    has_assign = (F.contains(raw, F.lit("=")) | F.contains(raw, F.lit(":"))) & raw.rlike(ASSIGN)
+    has_random = raw.rlike("[0-9]") & raw.rlike("[A-Za-z0-9+/_-]{20}")
+    tried = docs.select(F.explode(_candidates(clean, has_random)).alias("c")).select(
         F.col("c.class").alias("class"), F.col("c.cell").alias("cell")
     )
     limits = _limits(tried.groupBy("class", "cell").agg(F.count(F.lit(1)).alias("n")))
-    base = F.concat(_assigned(clean), _plain(clean, ACCESS, "access", "AKIA"), _plain(clean, HEX, "hex"))
-    kept = F.filter(_candidates(clean), lambda c: c["cell"] < _limit_of(c["class"], limits))
+    base = F.concat(
+        _assigned(clean, has_assign),
+        _plain(clean, F.contains(raw, F.lit("AKIA")), ACCESS, "access"),
+        _plain(clean, raw.rlike(HEX), HEX, "hex"),
+    )
+    kept = F.filter(_candidates(clean, has_random), lambda c: c["cell"] < _limit_of(c["class"], limits))
     random = F.transform(kept, lambda c: F.struct(c["start"].alias("start"), c["end"].alias("end"), F.lit("random").alias("kind")))
     found = docs.withColumn("_base", F.explode(F.array(base)))
     alone = F.filter(
@@ -135,8 +143,7 @@ def _spans(marked: Column) -> Column:
 _NONE = "CAST(array() AS array<struct<start: int, end: int, kind: string>>)"
 
 
-def _plain(clean: Column, pattern: str, kind: str, keyword: str | None = None) -> Column:
-    gate = F.contains(clean, F.lit(keyword)) if keyword else clean.rlike(pattern)
+def _plain(clean: Column, gate: Column, pattern: str, kind: str) -> Column:
     found = F.transform(
         _spans(F.regexp_replace(clean, F.lit(pattern), F.lit(f"{_EDGE}$0{_EDGE}"))),
         lambda s: F.struct(s["start"].alias("start"), (s["start"] + F.length(s["piece"])).alias("end"), F.lit(kind).alias("kind")),
@@ -144,19 +151,17 @@ def _plain(clean: Column, pattern: str, kind: str, keyword: str | None = None) -
     return F.when(gate, found).otherwise(F.expr(_NONE))
 
 
-def _assigned(clean: Column) -> Column:
+def _assigned(clean: Column, gate: Column) -> Column:
     marked = F.regexp_replace(clean, F.lit(ASSIGN), F.lit(f"{_EDGE}$1{_PART}$2{_EDGE}"))
-    long_enough = F.filter(
-        _spans(marked), lambda s: F.length(F.element_at(F.split(s["piece"], _PART), -1)) >= LEAST_ASSIGNED
-    )
+    long_enough = F.filter(_spans(marked), lambda s: F.length(F.element_at(F.split(s["piece"], _PART), -1)) >= LEAST_ASSIGNED)
     found = F.transform(
         long_enough,
         lambda s: F.struct(s["start"].alias("start"), (s["start"] + F.length(s["piece"]) - 1).alias("end"), F.lit("assign").alias("kind")),
     )
-    return F.when(clean.rlike(ASSIGN), found).otherwise(F.expr(_NONE))
+    return F.when(gate, found).otherwise(F.expr(_NONE))
 
 
-def _candidates(clean: Column) -> Column:
+def _candidates(clean: Column, gate: Column) -> Column:
     """``start, end, class, cell`` of every candidate of the battery; cell 0 shows no structure."""
     found = _spans(F.regexp_replace(clean, F.lit(CANDIDATE), F.lit(f"{_EDGE}$0{_EDGE}")))
     mixed = F.filter(found, lambda s: s["piece"].rlike("[0-9]") & s["piece"].rlike("[A-Za-z]"))
@@ -169,7 +174,6 @@ def _candidates(clean: Column) -> Column:
             F.least(F.floor(-F.log10(_p_value(s["piece"])) * CELLS), F.lit(CELLS * MOST_LOG)).cast("int").alias("cell"),
         ),
     )
-    gate = clean.rlike(r"(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{20,}")
     return F.when(gate, tested).otherwise(F.expr("CAST(array() AS array<struct<start: int, end: int, class: int, cell: int>>)"))
 
 

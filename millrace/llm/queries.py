@@ -54,3 +54,8 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_decontamination": op8_decontamination,
         "op10_near_duplicates": op10_near_duplicates,
     }
+
+
+def llm_oracles() -> dict[str, str]:
+    """SQL for those that plain SQL can express."""
+    return {}

@@ -98,6 +98,7 @@ class Lexicon:
         self.first, self.targets, self.before = numbers(states + 1), numbers(arcs), numbers(arcs)
         self.final, self.ends, self.ids = numbers(states), numbers(words + 1), numbers(ids)
         self.labels = at
+        self._keys: np.ndarray | None = None
 
     def rank(self, word: bytes) -> int:
         """The place of the word in order, or -1."""
@@ -112,6 +113,38 @@ class Lexicon:
             state = self.targets[at]
         return total if self.final[state] else -1
 
+    def output(self, rank: int) -> list[int]:
+        """The ids of the word with this place."""
+        return self.ids[self.ends[rank] : self.ends[rank + 1]].tolist()
+
     def __call__(self, word: bytes) -> list[int] | None:
         rank = self.rank(word)
-        return None if rank < 0 else self.ids[self.ends[rank] : self.ends[rank + 1]].tolist()
+        return None if rank < 0 else self.output(rank)
+
+    def ranks(self, words: list[bytes]) -> np.ndarray:
+        """The places of many words, or -1: all of them take their next step at the same time."""
+        found = np.full(len(words), -1, np.int64)
+        if not words or not len(self.targets):
+            return found
+        if self._keys is None:
+            first, labels = np.asarray(self.first), np.frombuffer(self.memory, np.uint8, len(self.targets), self.labels)
+            # arcs stand in order of state and label
+            self._keys = np.repeat(np.arange(len(first) - 1, dtype=np.int64), np.diff(first)) << 8 | labels
+        targets, before, final = np.asarray(self.targets), np.asarray(self.before), np.asarray(self.final)
+        sizes = np.array([len(w) for w in words])
+        flat, start = np.frombuffer(b"".join(words), np.uint8), np.cumsum(sizes) - sizes
+        live, state, total = np.arange(len(words)), np.full(len(words), self.root), np.zeros(len(words), np.int64)
+        step = 0
+        while len(live):
+            ended = sizes[live] == step
+            if ended.any():
+                over = live[ended]
+                found[over] = np.where(final[state[ended]] == 1, total[ended], -1)
+                live, state, total = live[~ended], state[~ended], total[~ended]
+            key = state.astype(np.int64) << 8 | flat[start[live] + step]
+            at = np.minimum(np.searchsorted(self._keys, key), len(self._keys) - 1)
+            hit = self._keys[at] == key
+            live, at, total = live[hit], at[hit], total[hit]
+            state, total = targets[at], total + before[at]
+            step += 1
+        return found

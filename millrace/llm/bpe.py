@@ -6,6 +6,7 @@ import hashlib
 import heapq
 import json
 import re
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -18,23 +19,31 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.llm.automaton import Lexicon, compile_words
+from millrace.llm.merging import Merger
 
 # Frequent words that are compiled; their number bounds what the driver and a broadcast hold.
 LEXICON_WORDS = 60_000
-# Looked-up words that a worker keeps at hand.
-KEPT_WORDS = 250_000
 # Different words that a task counts before it hands them on.
 COUNTED_WORDS = 200_000
-# Longer words are merged, never compiled or kept.
+# Documents that are encoded together.
+BATCH = 512
+# Longer words, in bytes, are merged one by one and never compiled.
 LONGEST_WORD = 64
 
 # White space (the Unicode property), and the pattern that cuts words into
 # the pieces that are merged on their own.
 _SPACE = "\t-\r " + "".join(map(chr, (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
-_WORD = re.compile(f" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
 _PIECE = regex.compile(
     rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_SPACE}\p{{L}}\p{{N}}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"
 )
+# The same for texts of Latin-1 characters, whose letters and numbers can be written out.
+_LETTER = "".join(c for c in map(chr, range(256)) if unicodedata.category(c)[0] == "L")
+_NUMBER = "".join(c for c in map(chr, range(256)) if unicodedata.category(c)[0] == "N")
+_LATIN_SPACE = "\\t-\\r \\x85\\xa0"
+_LATIN_PIECE = re.compile(
+    rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTER}]+| ?[{_NUMBER}]+| ?[^{_LATIN_SPACE}{_LETTER}{_NUMBER}]+|"
+    rf"[{_LATIN_SPACE}]+(?![^{_LATIN_SPACE}])|[{_LATIN_SPACE}]+"
+)
 
 
 @dataclass(frozen=True)
@@ -110,70 +119,89 @@ def _merge_long(parts: list[int], ranks: dict) -> list[int]:
     return [p for p in parts if p >= 0]
 
 
-def encode_word(word: str, vocabulary: Vocabulary) -> list[int]:
-    return [i for piece in _PIECE.findall(word) for i in merge(piece.encode("utf-8", "replace"), vocabulary)]
+def cut(text: str) -> list[str]:
+    """The pieces of a text that are merged on their own."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return _PIECE.findall(text)
+    return _LATIN_PIECE.findall(text)
 
 
 class Codec:
-    """Encodes and decodes whole texts.
+    """Encodes and decodes whole texts, many at a time.
 
-    Words that the automaton holds get their ids from it, all others are merged.
+    Pieces that the automaton holds get their ids from it, all others are merged.
     """
 
     def __init__(self, vocabulary: Vocabulary, lexicon: bytes):
         self.vocabulary, self.lexicon = vocabulary, Lexicon(lexicon)
         self.bytes_of = {i: b for b, i in vocabulary.ids.items()} | {i: t.encode() for t, i in vocabulary.special.items()}
+        single = [vocabulary.ids[bytes([b])] for b in range(256)]
+        self.merger = Merger(single, vocabulary.ranks, 1 + max(self.bytes_of))
         self.special = re.compile("|".join(map(re.escape, sorted(vocabulary.special, key=len, reverse=True))) or r"(?!)")
+        # pieces of the automaton that were met: never more than it holds
         self.kept: dict[str, tuple[int, str, bytes]] = {}
 
-    def ids_of_word(self, word: str) -> list[int]:
-        if len(word) <= LONGEST_WORD:
-            found = self.lexicon(word.encode("utf-8", "replace"))
-            if found is not None:
-                return found
-        return encode_word(word, self.vocabulary)
-
-    def _word(self, word: str) -> tuple[int, str, bytes]:
-        """Number of ids, ids as text, and the bytes that they decode to."""
-        ids = self.ids_of_word(word)
-        out = len(ids), ",".join(map(str, ids)), self.decode(ids)
-        if len(word) <= LONGEST_WORD:
-            if len(self.kept) >= KEPT_WORDS:
-                self.kept.clear()
-            self.kept[word] = out
+    def pieces(self, text: str) -> list[str]:
+        """The pieces of a text, special strings among them."""
+        if not any(s in text for s in self.vocabulary.special):
+            return cut(text)
+        out, at = [], 0
+        for m in self.special.finditer(text):
+            out += cut(text[at : m.start()])
+            out.append(m.group())
+            at = m.end()
+        return out + cut(text[at:])
+
+    def table(self, pieces: set[str]) -> dict[str, tuple[int, str, bytes]]:
+        """Per piece the number of its ids, the ids as text, and the bytes that they decode to."""
+        special = self.vocabulary.special
+        words = [p for p in pieces if p not in special]
+        raw = [w.encode("utf-8", "replace") for w in words]
+        ranks = self.lexicon.ranks(raw).tolist()
+        unseen = [i for i, r in enumerate(ranks) if r < 0]
+        short = [i for i in unseen if len(raw[i]) <= LONGEST_WORD]
+        merged = dict(zip(short, self.merger([raw[i] for i in short])))
+        out = {}
+        for i, word in enumerate(words):
+            if ranks[i] >= 0:
+                out[word] = self.kept[word] = self._entry(self.lexicon.output(ranks[i]))
+            else:
+                out[word] = self._entry(merged[i] if i in merged else merge(raw[i], self.vocabulary))
+        for piece in pieces & special.keys():
+            out[piece] = self._entry([special[piece]])
         return out
 
-    def parts(self, text: str) -> Iterator[tuple[int, str, bytes]]:
-        """Per word of the text, and per special string in it, what ``_word`` tells."""
-        at = 0
-        for m in [*self.special.finditer(text), None]:
-            end = m.start() if m else len(text)
-            plain = text if at == 0 and m is None else text[at:end]
-            get, make = self.kept.get, self._word
-            for word in _WORD.findall(plain):
-                yield get(word) or make(word)
-            if m:
-                i = self.vocabulary.special[m.group()]
-                yield 1, str(i), m.group().encode()
-                at = m.end()
-
-    def encode(self, text: str | None) -> list[int]:
-        return [int(i) for _, ids, _ in self.parts(text or "") for i in ids.split(",")]
+    def _entry(self, ids: list[int]) -> tuple[int, str, bytes]:
+        return len(ids), ",".join(map(str, ids)), self.decode(ids)
+
+    def parts(self, texts: list[str | None]) -> Iterator[list[tuple[int, str, bytes]]]:
+        """For each text what ``table`` tells of its pieces, in order."""
+        cuts = [self.pieces(t or "") for t in texts]
+        new = set().union(*cuts) - self.kept.keys()
+        table = self.table(new)
+        get, kept = table.get, self.kept
+        for c in cuts:
+            yield [get(p) or kept[p] for p in c]
+
+    def encode(self, texts: list[str | None]) -> list[list[int]]:
+        return [[int(i) for _, ids, _ in parts for i in ids.split(",")] for parts in self.parts(texts)]
 
     def decode(self, ids: list[int]) -> bytes:
         """The bytes of a sequence; ``.decode("utf-8", "replace")`` gives the text."""
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
-    def digest(self, text: str | None) -> tuple[int, str, str]:
+    def digests(self, texts: list[str | None]) -> Iterator[tuple[int, str, str]]:
         """Number of ids, SHA-256 of the ids as text, SHA-256 of the decoded text."""
-        parts = list(self.parts(text or ""))
-        ids = ",".join([p[1] for p in parts])
-        decoded = b"".join([p[2] for p in parts])
-        try:
-            decoded.decode("utf-8")
-        except UnicodeDecodeError:
-            decoded = decoded.decode("utf-8", "replace").encode()
-        return sum([p[0] for p in parts]), hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(decoded).hexdigest()
+        for parts in self.parts(texts):
+            ids = ",".join([p[1] for p in parts])
+            decoded = b"".join([p[2] for p in parts])
+            try:
+                decoded.decode("utf-8")
+            except UnicodeDecodeError:
+                decoded = decoded.decode("utf-8", "replace").encode()
+            yield sum([p[0] for p in parts]), hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(decoded).hexdigest()
 
 
 def frequent_words(docs: DataFrame, text: str = "text", n: int = LEXICON_WORDS) -> list[str]:
@@ -186,13 +214,13 @@ def frequent_words(docs: DataFrame, text: str = "text", n: int = LEXICON_WORDS)
         counts: Counter[str] = Counter()
 
         def lot() -> pa.RecordBatch:
-            words = [w for w in counts if len(w) <= LONGEST_WORD]
+            words = [w for w in counts if len(w.encode("utf-8", "replace")) <= LONGEST_WORD]
             columns = [pa.array(words, pa.string()), pa.array([counts[w] for w in words], pa.int64())]
             return pa.RecordBatch.from_arrays(columns, ["word", "n"])
 
         for batch in batches:
             for text_ in batch.column(0):
-                counts.update(_WORD.findall(text_.as_py() or ""))
+                counts.update(cut(text_.as_py() or ""))
                 if len(counts) > COUNTED_WORDS:
                     yield lot()
                     counts.clear()
@@ -204,7 +232,8 @@ def frequent_words(docs: DataFrame, text: str = "text", n: int = LEXICON_WORDS)
 
 
 def build_lexicon(words: list[str], vocabulary: Vocabulary) -> bytes:
-    return compile_words((w.encode("utf-8", "replace"), encode_word(w, vocabulary)) for w in words)
+    raw = sorted({w.encode("utf-8", "replace") for w in words})
+    return compile_words((w, merge(w, vocabulary)) for w in raw)
 
 
 def encode_documents(docs: DataFrame, vocabulary_path: str, text: str = "text", lexicon_words: int = LEXICON_WORDS, keep_ids: bool = False) -> DataFrame:
@@ -235,14 +264,14 @@ def encode_documents(docs: DataFrame, vocabulary_path: str, text: str = "text",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(shipped)
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for at in range(0, batch.num_rows, BATCH):
+                part = batch.slice(at, BATCH)
                 texts = part[column].to_pylist()
-                digests = [codec.digest(t) for t in texts]
+                digests = list(codec.digests(texts))
                 arrays = [part[c] for c in kept]
                 arrays += [pa.array(c, k) for c, k in zip(zip(*digests), (pa.int64(), pa.string(), pa.string()))]
                 if keep_ids:
-                    arrays.append(pa.array([codec.encode(t) for t in texts], pa.list_(pa.int32())))
+                    arrays.append(pa.array(codec.encode(texts), pa.list_(pa.int32())))
                 yield pa.RecordBatch.from_arrays(arrays, [*kept, *names])
 
     return given.mapInArrow(run, schema)

@@ -18,6 +18,8 @@ RAW = frozenset("script style textarea title xmp iframe noembed noframes templat
 # What a page shows besides its main text, whatever its density.
 ASIDE = frozenset("head nav header footer aside form script style noscript template button select textarea input label fieldset iframe object embed svg canvas audio video map dialog menu".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img".split())
+# Parts of a text, never the whole.
+PARTS = frozenset("p li ul ol dl dt dd br h1 h2 h3 h4 h5 h6 table tbody thead tr td th blockquote pre figure figcaption".split())
 # Elements that a new one of the same row closes, up to the nearest of the elements behind.
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr"}, {"table", "tbody", "thead", "tfoot"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
 # Names of classes and ids that say the same as the elements above.
@@ -162,11 +164,11 @@ def _densities(order: list[Node], body: Node) -> None:
     """
     ratio = body.link_chars / max(body.chars, 1)
     for node in order:
-        c, t, lc, lt = node.chars, max(node.tags, 1), node.link_chars, max(node.link_tags, 1)
+        # one where there is none, so that nothing is divided by 0 and the base is above 1
+        c, t, lc, lt = node.chars, max(node.tags, 1), max(node.link_chars, 1), max(node.link_tags, 1)
         if c:
             base = math.log(c / max(c - lc, 1) * lc + ratio * c + math.e)
-            inner = c / max(lc, 1) * t / lt
-            node.density = c / t * math.log(max(inner, 1.0)) / max(math.log(max(base, 1.0 + 1e-9)), 1e-9) if base > 1 else c / t * math.log(max(inner, 1.0) + 1)
+            node.density = c / t * math.log(max(c / lc * t / lt, 1.0)) / math.log(base)
         node.density_sum = sum(x.density for x in node.children if not isinstance(x, str))
 
 
@@ -180,39 +182,26 @@ def _find(node: Node, name: str) -> Node | None:
     return None
 
 
-def _main_nodes(body: Node, order: list[Node]) -> list[Node]:
-    """Nodes whose text is the main text, in page order.
+def _main_node(body: Node, order: list[Node]) -> Node:
+    """The node whose text is the main text.
 
-    Texts of the page count as children of their own: a node that holds nothing but texts has
-    its density as its sum. The threshold is the smallest density on the path from the body
-    to the node with the largest sum; every topmost node at or above it is a part of the
-    main text where its sum is the largest below it.
+    It starts from the node with the largest sum of densities; one without elements counts
+    with its own density. The threshold is the smallest density on the path from the body to
+    it. A part of a text (a paragraph, a cell) is left for the block around it, and that for
+    the article around it where its density reaches the threshold.
     """
     parents = {id(c): n for n in order for c in n.children if not isinstance(c, str)}
     for node in order:
-        if not any(not isinstance(c, str) for c in node.children):
+        if all(isinstance(c, str) for c in node.children):
             node.density_sum = node.density
-    inside = []
-    todo = [body]
-    while todo:
-        node = todo.pop()
-        inside.append(node)
-        todo += [c for c in reversed(node.children) if not isinstance(c, str)]
-    best = max(inside, key=lambda n: n.density_sum)
-    threshold, node = best.density, best
-    while node is not body and id(node) in parents:
-        node = parents[id(node)]
-        threshold = min(threshold, node.density)
-    # the largest sum within what is dense enough; what is as dense beside it belongs to it
-    container = best
-    while container is not body and container.name in INLINE | {"p", "li", "br", "h1", "h2", "h3", "h4", "h5", "h6", "td", "tr", "blockquote", "pre"}:
-        container = parents.get(id(container), body)
-    article = container
-    while article is not body and article.name not in ("article", "main"):
-        article = parents.get(id(article), body)
-    if article is not body and article.density >= threshold:
-        return [article]
-    return [container]
+    best = max(reversed(order), key=lambda n: n.density_sum)
+    path = [best]
+    while path[-1] is not body:
+        path.append(parents[id(path[-1])])
+    threshold = min(n.density for n in path)
+    whole = next((n for n in path if n.name not in INLINE and n.name not in PARTS), body)
+    around = path[path.index(whole) :]
+    return next((n for n in around if n.name in ("article", "main") and n.density >= threshold), whole)
 
 
 def _blocks(node: Node) -> list[str]:
@@ -251,7 +240,7 @@ def main_text(page: str | None) -> str:
     if not body.chars:
         return ""
     _densities(order, body)
-    return "\n".join(x for n in _main_nodes(body, order) for x in _blocks(n))
+    return "\n".join(_blocks(_main_node(body, order)))
 
 
 def extract_text(pages: DataFrame, source: str = "html") -> DataFrame:

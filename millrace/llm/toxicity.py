@@ -21,7 +21,9 @@ TRAINING_ROWS = 12_000
 FOLDS = 5
 # Weight of the squared change of the score when an identity term is swapped.
 COUNTERFACTUAL_WEIGHT = 2.0
-RIDGE = 2e-4
+# Standard errors that the shares of a cell among the two labels are apart, at least.
+LEAST_Z = 4.5
+RIDGE = 1e-4
 STEPS = 300
 
 # Terms that name a group without judging it, by kind; a term is swapped with others of its kind.
@@ -132,9 +134,14 @@ def fit(labels: np.ndarray, cells: list[np.ndarray], swaps: list[np.ndarray], we
     """``swaps``: cells that a swap adds, and -1 - cell for those that it takes away."""
     if not len(labels):
         return Model(np.zeros(CELLS, np.float32), 0.0)
-    # a cell of one document tells nothing about others
-    seen = np.bincount(np.concatenate([*cells, np.empty(0, np.int64)]).astype(np.int64), minlength=CELLS)
-    used = np.flatnonzero(seen >= 3)
+    # most cells come with either label as often as chance has it, and stay out
+    flat, owner = _flat(cells)
+    seen = np.bincount(flat, minlength=CELLS)
+    toxic = np.bincount(flat, weights=labels[owner], minlength=CELLS)
+    n1, n0 = max(labels.sum(), 1), max(len(labels) - labels.sum(), 1)
+    share = seen / len(labels)
+    spread = np.sqrt(np.maximum(share * (1 - share) * (1 / n1 + 1 / n0), 1e-12))
+    used = np.flatnonzero((seen >= 3) & (np.abs(toxic / n1 - (seen - toxic) / n0) >= LEAST_Z * spread))
     place = np.full(CELLS, -1)
     place[used] = np.arange(len(used))
     flat, owner = _flat([place[c][place[c] >= 0] for c in cells])
@@ -148,7 +155,6 @@ def fit(labels: np.ndarray, cells: list[np.ndarray], swaps: list[np.ndarray], we
     share = np.where(labels == 1, 0.5 / max(positive, 1), 0.5 / max(n - positive, 1))
     w, b = np.zeros(k), 0.0
     squares, square_b = np.full(k, 1e-8), 1e-8
-    # longer texts have more cells of no meaning: they are toned down by their own scale
     for _ in range(STEPS):
         z = np.bincount(owner, weights=w[flat], minlength=n) + b
         slope = share * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - labels)

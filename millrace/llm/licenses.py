@@ -171,8 +171,10 @@ def scan_licenses(docs: DataFrame, text: str = "text", signatures: list[Rule] |
     return (
         docs.withColumn("_words", F.explode(F.array(F.trim(bare))))
         .withColumn("n_words", _n_words(F.col("_words")))
-        .withColumn("licenses", F.when(telling, found).otherwise(nothing))
-        .drop("_words")
+        # lowered once, not once per rule: a generator keeps the expression from being copied
+        .withColumn("_low", F.explode(F.array(F.when(telling, _lower()))))
+        .withColumn("licenses", F.when(F.col("_low").isNotNull(), found).otherwise(nothing))
+        .drop("_words", "_low")
     )
 
 
@@ -192,7 +194,7 @@ def _lower() -> Column:
 
 def _places(pattern: Column) -> Column:
     """``start, end`` in words of every match between spaces."""
-    marked = F.regexp_replace(_lower(), F.concat(F.lit("(?<= )(?:"), pattern, F.lit(")(?= )")), F.lit(f"{_MARK}$0{_MARK}"))
+    marked = F.regexp_replace(F.col("_low"), F.concat(F.lit("(?<= )(?:"), pattern, F.lit(")(?= )")), F.lit(f"{_MARK}$0{_MARK}"))
     spaces = lambda piece: (F.length(piece) - F.length(F.replace(piece, F.lit(" "), F.lit("")))).cast("long")
     return F.aggregate(
         F.split(marked, _MARK, -1),
@@ -237,7 +239,7 @@ def _rule_places(signatures: list[Rule]) -> Column:
         )
         + ")"
     )
-    held = F.filter(table, lambda r: F.contains(_lower(), r["keyword"]))
+    held = F.filter(table, lambda r: F.contains(F.col("_low"), r["keyword"]))
     each = F.transform(held, lambda r: F.transform(_places(r["pattern"]), _placed(r["label"], False, r["worth"])))
     return F.aggregate(
         F.flatten(each),

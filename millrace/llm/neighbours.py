@@ -6,21 +6,24 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.tables import settle
 
 # Neighbours kept per vector, and rounds of the descent at most.
-DEGREE = 40
-ROUNDS = 6
+DEGREE = 32
+ROUNDS = 5
 # Of a vector's neighbours in either direction so many are introduced to each other in a round.
-SAMPLE = 40
+SAMPLE = 24
+# Introductions that one host offers a guest, and hosts that one group of rows holds.
+OFFERS = 6
+HOSTS = 128
 # Vectors of one leaf of a random projection tree, which start as each other's neighbours.
 LEAF = 256
 TREES = 2
 # The descent ends when a round changes less than this share of the graph.
-LEAST_CHANGE = 0.01
+LEAST_CHANGE = 0.05
 # Candidates that a search keeps, and its steps at most.
 BEAM = 80
 STEPS = 3
@@ -79,7 +82,7 @@ def build_graph(points: DataFrame, degree: int = DEGREE) -> DataFrame:
         return points.sparkSession.createDataFrame([], "id long, other long, d double, fresh boolean")
     graph = settle(_nearest_only(_start(points, n, degree), degree).withColumn("fresh", F.lit(True)))
     for turn in range(ROUNDS):
-        found = _introduced(graph, points, turn)
+        found = _introduced(graph, points, turn, max(1, n // HOSTS))
         merged = graph.select("id", "other", "d", F.lit(True).alias("old")).unionByName(found.select("id", "other", "d", F.lit(False).alias("old")))
         merged = merged.groupBy("id", "other").agg(F.min("d").alias("d"), F.max("old").alias("old"))
         graph = settle(_nearest_only(merged, degree).select("id", "other", "d", (~F.col("old")).alias("fresh")))
@@ -91,9 +94,6 @@ def build_graph(points: DataFrame, degree: int = DEGREE) -> DataFrame:
 
 def _nearest_only(edges: DataFrame, degree: int) -> DataFrame:
     """The nearest of each point; a few per task and point cross the shuffle."""
-    best = F.min_by  # noqa: F841
-    from pyspark.sql import Window
-
     order = Window.partitionBy("id").orderBy("d", "other")
     return edges.withColumn("_nth", F.row_number().over(order)).where(F.col("_nth") <= degree).drop("_nth")
 
@@ -111,14 +111,7 @@ def _start(points: DataFrame, n: int, degree: int) -> DataFrame:
         rng = np.random.default_rng(tree)
         normals = rng.standard_normal((planes, size))
 
-        @F.pandas_udf("long")
-        def leaf(v: pd.Series, normals: object = normals) -> pd.Series:
-            if not len(normals) or not len(v):
-                return pd.Series(np.zeros(len(v), np.int64))
-            side = np.stack(v.to_numpy()) @ normals.T > 0
-            return pd.Series(side @ (1 << np.arange(len(normals), dtype=np.int64)))
-
-        placed = points.withColumn("leaf", leaf("v"))
+        placed = points.withColumn("leaf", _leaf(normals)("v"))
         sizes = placed.groupBy("leaf").count().withColumn("pieces", F.ceil(F.col("count") / (2 * LEAF)))
         placed = placed.join(F.broadcast(sizes) if planes <= 16 else sizes, "leaf")
         placed = placed.withColumn("piece", F.pmod(F.xxhash64("id", F.lit(tree)), F.col("pieces")))
@@ -127,6 +120,18 @@ def _start(points: DataFrame, n: int, degree: int) -> DataFrame:
     return found.groupBy("id", "other").agg(F.min("d").alias("d"))
 
 
+def _leaf(normals: np.ndarray):
+    """The sides of the planes that a vector lies on, as bits."""
+
+    @F.pandas_udf("long")
+    def leaf(v: pd.Series) -> pd.Series:
+        if not len(normals) or not len(v):
+            return pd.Series(np.zeros(len(v), np.int64))
+        return pd.Series((np.stack(v.to_numpy()) @ normals.T > 0) @ (1 << np.arange(len(normals), dtype=np.int64)))
+
+    return leaf
+
+
 def _all_near(degree: int):
     """The nearest of every point among those of one piece of a leaf."""
 
@@ -147,37 +152,46 @@ def _squares(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.maximum((a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2 * a @ b.T, 0)
 
 
-def _introduced(graph: DataFrame, points: DataFrame, turn: int) -> DataFrame:
+def _introduced(graph: DataFrame, points: DataFrame, turn: int, tables: int) -> DataFrame:
     """New edges from introducing the neighbours of each point to each other."""
     back = graph.select(F.col("other").alias("host"), F.col("id").alias("guest"), "fresh")
     # those who have a hub as neighbour are drawn by lot, reduced before the shuffle
     lot = F.xxhash64("guest", "host", F.lit(turn))
-    from pyspark.sql import Window
-
     drawn = Window.partitionBy("host").orderBy("lot")
     back = back.withColumn("lot", lot).withColumn("nth", F.row_number().over(drawn)).where(F.col("nth") <= SAMPLE).drop("lot", "nth")
     there = graph.select(F.col("id").alias("host"), F.col("other").alias("guest"), "fresh")
     party = there.unionByName(back).groupBy("host", "guest").agg(F.max("fresh").alias("fresh"))
     worst = graph.groupBy("id").agg(F.max("d").alias("worst"))
     known = points.join(worst, "id", "left").select(F.col("id").alias("guest"), F.col("v").cast("array<float>").alias("v"), "worst")
-    return party.join(known, "guest").groupBy("host").applyInPandas(_meet, "id long, other long, d double").groupBy("id", "other").agg(F.min("d").alias("d"))
+    return party.join(known, "guest").groupBy(F.pmod(F.xxhash64("host"), F.lit(tables)).alias("table")).applyInPandas(_meet, "id long, other long, d double").groupBy("id", "other").agg(F.min("d").alias("d"))
 
 
 def _meet(part: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of guests, one of them new, that are nearer than the farthest neighbour of either."""
-    ids, v = part["guest"].to_numpy(), np.stack(part["v"].to_numpy()).astype(np.float64)
+    """For every host and guest the nearest few other guests that are nearer than its farthest
+    neighbour, where one of the two is new."""
+    part = part.sort_values("host", kind="stable")
+    host, ids = part["host"].to_numpy(), part["guest"].to_numpy()
+    vectors = np.stack(part["v"].to_numpy())
     fresh, worst = part["fresh"].to_numpy(dtype=bool), part["worst"].to_numpy(dtype=np.float64)
-    d = _squares(v, v)
-    useful = (d < np.where(np.isnan(worst), np.inf, worst)[:, None]) & (fresh[:, None] | fresh[None, :])
-    np.fill_diagonal(useful, False)
-    a, b = np.nonzero(useful)
-    return pd.DataFrame({"id": ids[a], "other": ids[b], "d": d[a, b]})
+    edge = np.append(np.flatnonzero(np.concatenate(([True], host[1:] != host[:-1]))), len(host))
+    out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    for a, b in zip(edge, edge[1:]):
+        v = vectors[a:b]
+        d = _squares(v, v).astype(np.float64)
+        useful = (d < worst[a:b, None]) & (fresh[a:b, None] | fresh[None, a:b])
+        np.fill_diagonal(useful, False)
+        d[~useful] = np.inf
+        keep = min(OFFERS, b - a)
+        at = np.argpartition(d, keep - 1, axis=1)[:, :keep] if keep < b - a else np.tile(np.arange(b - a), (b - a, 1))
+        near = np.take_along_axis(d, at, 1)
+        row, col = np.nonzero(np.isfinite(near))
+        out.append((ids[a:b][row], ids[a:b][at[row, col]], near[row, col]))
+    columns = [np.concatenate(c) for c in zip(*out)] if out else [[], [], []]
+    return pd.DataFrame(dict(zip(("id", "other", "d"), columns))).drop_duplicates(["id", "other"])
 
 
 def search(points: DataFrame, graph: DataFrame, queries: DataFrame, k: int, beam: int = BEAM) -> DataFrame:
     """Greedy search of the graph from the queries' own nodes, all queries a step at a time."""
-    from pyspark.sql import Window
-
     edges = graph.select("id", "other")
     asked = settle(points.join(queries.withColumnRenamed("query_id", "id"), "id").select(F.col("id").alias("query_id"), F.col("v").alias("q")))
     nearest_first = Window.partitionBy("query_id").orderBy("d", "vec_id")

@@ -8,8 +8,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-LATIN_RUN = "[A-Za-z0-9]+"
-CJK_CHAR = "[一-鿿㐀-䶿]"
+# Scripts that are written without spaces are split by character; runs of all other letters,
+# with their marks, and of digits are words.
+CJK_CHAR = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}]"
+LATIN_RUN = r"[\p{L}\p{M}\p{N}&&[^\p{IsHan}\p{IsHiragana}\p{IsKatakana}]]+"
 
 # Overlapping pairs of Chinese characters; one on its own stays as it is. The word is
 # captured ahead, then a Latin run or one character is consumed.

@@ -37,6 +37,8 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--config", help="JDBC address of the database with the routing table")
     parser.add_argument("--every", default="10 seconds", help="trigger interval")
     parser.add_argument("--state-partitions", type=int, default=200)
+    parser.add_argument("--start", default="latest", help="where a job that never ran starts: latest, earliest or offsets as JSON")
+    parser.add_argument("--max-per-trigger", type=int, help="records of a topic in one batch, at most")
     given = parser.parse_args(arguments)
 
     spark = build_session(given.job, shuffle_partitions=given.state_partitions)
@@ -44,7 +46,7 @@ def main(arguments: list[str] | None = None) -> None:
     dims = DimensionTables(spark, given.dims)
 
     def read_topic(topic: str):
-        return kafka_text(spark, given.servers, topic, group=given.job)
+        return kafka_text(spark, given.servers, topic, given.job, given.start, given.max_per_trigger)
 
     def writer(job: str, output: str):
         if output in TABLES:

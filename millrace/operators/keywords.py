@@ -62,13 +62,14 @@ def text_keywords(texts: DataFrame, text: str = "text", by: Sequence[str] = (),
     return found.groupBy(*by, "keyword").agg(F.count(F.lit(1)).alias("ct"))
 
 
-def dictionary_keywords(rows: DataFrame, text: str, dictionary: DataFrame, max_length: int = 8) -> DataFrame:
+def dictionary_keywords(rows: DataFrame, text: str, dictionary: DataFrame) -> DataFrame:
     """As ``split_keywords``, Chinese runs split by the longest match in a dictionary table.
 
     ``dictionary`` has a column ``word`` and may be of any size. Every distinct run is
-    split once, however often it occurs: the pieces that start at each of its characters
-    are matched by an equi-join, and the longest match is followed from left to right.
-    Characters outside any match become words of their own.
+    split once, however often it occurs: the pieces that start at each of its characters,
+    of every length that a word of the dictionary has, are matched by an equi-join, and the
+    longest match is followed from left to right. Characters outside any match become
+    words of their own.
     """
     mixed_run = F.lit(f"{words.LATIN_RUN}|{words.CJK_CHAR}+")
     kept = [c for c in rows.columns if c != text]
@@ -81,16 +82,15 @@ def dictionary_keywords(rows: DataFrame, text: str, dictionary: DataFrame, max_l
         .distinct()
         .withColumn("_id", _run_id(F.col("_run")))
     )
-    # a row per character holds the next few characters, never the run
-    ahead = F.lit(f"(?=({words.CJK_CHAR}{{1,{max_length}}})){words.CJK_CHAR}")
-    starts = runs.select("_id", F.posexplode(F.regexp_extract_all("_run", ahead, F.lit(1))).alias("_at", "_ahead"))
-    sizes = F.sequence(F.lit(2), F.length("_ahead"))
+    vocabulary = dictionary.where(F.length("word") > 1).select(F.col("word").alias("_word")).distinct()
+    # as many numbers as there are different lengths of words, few whatever the dictionary
+    lengths = vocabulary.agg(F.collect_set(F.length("_word"))).scalar()
+    starts = runs.select("_id", "_run", F.explode(F.sequence(F.lit(0), F.length("_run") - 1)).alias("_at"))
     tries = (
-        starts.where(F.length("_ahead") > 1)
-        .select("_id", "_at", "_ahead", F.explode(sizes).alias("_size"))
-        .select("_id", "_at", "_size", F.expr("left(_ahead, _size)").alias("_piece"))
+        starts.select("_id", "_run", "_at", F.explode(lengths).alias("_size"))
+        .where(F.col("_at") + F.col("_size") <= F.length("_run"))
+        .select("_id", "_at", "_size", F.expr("substring(_run, _at + 1, _size)").alias("_piece"))
     )
-    vocabulary = dictionary.where(F.length("word") > 1).select(F.col("word").alias("_word")).distinct()
     hits = tries.join(broadcast_if_small(vocabulary), F.col("_piece") == F.col("_word"), "left_semi")
     longest = (
         starts.select("_id", "_at", F.lit(1).alias("_size"))

@@ -88,7 +88,13 @@ def display_rows(logs: DataFrame) -> DataFrame:
 
 def log_text(logs: DataFrame) -> DataFrame:
     """Log text for the next layer: the original text with the repaired flag put in."""
-    # the flag only ever changes from 1 to 0, inside the flat "common" object
-    flag = r'("common"\s*:\s*\{[^{}]*?"is_new"\s*:\s*)("1"|1)'
+    # the flag only ever changes from 1 to 0, directly inside the "common" object; members
+    # before it are passed over whole, with the braces in their strings and their own objects
+    text = r'"(?:[^"\\]|\\.)*+"'
+    inner = rf'\{{(?:{text}|[^"{{}}])*+\}}'
+    nested = rf'\{{(?:{text}|[^"{{}}]|{inner})*+\}}'
+    listed = rf'\[(?:{text}|[^"\[\]{{}}]|{nested})*+\]'
+    member = rf'{text}\s*:\s*(?:{text}|{nested}|{listed}|[^"{{}}\[\],]++)\s*,\s*'
+    flag = rf'("common"\s*:\s*\{{\s*(?:{member})*?"is_new"\s*:\s*)("1"|1)'
     patched = F.regexp_replace("body", flag, '$1"0"')
     return logs.select(F.when(F.col("is_new") == "0", patched).otherwise(F.col("body")).alias("value"))

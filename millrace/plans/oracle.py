@@ -228,7 +228,7 @@ _CTE: dict[str, tuple[tuple[str, ...], str]] = {
     "searched_words": (
         ("searched",),
         """
-        SELECT lower(unnest(regexp_extract_all(fullword, '[A-Za-z0-9]+'))) AS keyword, ts, event_time FROM searched
+        SELECT lower(unnest(regexp_extract_all(fullword, '[\\pL\\pM\\pN]+'))) AS keyword, ts, event_time FROM searched
         """,
     ),
 }
@@ -417,12 +417,12 @@ def all_oracles() -> dict[str, str]:
             ("product_named",),
             f"""
             , counted AS ({_COUNTS.format(cols="spu_name, stt, edt", t="product_named")})
-            SELECT lower(unnest(regexp_extract_all(spu_name, '[A-Za-z0-9]+'))) AS keyword, ct, source, stt, edt FROM counted
+            SELECT lower(unnest(regexp_extract_all(spu_name, '[\\pL\\pM\\pN]+'))) AS keyword, ct, source, stt, edt FROM counted
             """,
         ),
         "document_keywords": """
             SELECT lang, keyword, count(*) AS ct
-            FROM (SELECT lang, lower(unnest(regexp_extract_all(text, '[A-Za-z0-9]+'))) AS keyword FROM documents)
+            FROM (SELECT lang, lower(unnest(regexp_extract_all(text, '[\\pL\\pM\\pN]+'))) AS keyword FROM documents)
             GROUP BY lang, keyword
         """,
     }

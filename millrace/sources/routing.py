@@ -35,14 +35,27 @@ def load_routing(table: DataFrame) -> DataFrame:
 
 
 def dimension_routes(routing: DataFrame) -> list[dict[str, str]]:
-    """Dimension tables named in a loaded routing table: table, columns and key."""
+    """Dimension tables named in a loaded routing table: table, columns and key.
+
+    Whatever the operation, a route to a table makes it: the table has the columns of all its
+    routes, those of the insert first, whose key and clause count where it has them. A
+    table for which no route names a column is an error.
+    """
     rows = (
         routing.where(F.lower("sink_type") == "hbase")
-        .where("operate_type = 'insert'")
-        .select(F.upper("sink_table").alias("table"), "sink_columns", "sink_pk", "sink_extend")
+        .select(F.upper("sink_table").alias("table"), "operate_type", "sink_columns", "sink_pk", "sink_extend")
         .collect()
     )
-    tables = {r["table"]: r for r in rows}
+    tables: dict[str, dict[str, str]] = {}
+    for r in sorted(rows, key=lambda r: (r["operate_type"] != "insert", r["operate_type"] or "")):
+        known = tables.setdefault(r["table"], {"sink_columns": "", "sink_pk": "", "sink_extend": ""})
+        names = [*known["sink_columns"].split(","), *(c.strip() for c in (r["sink_columns"] or "").split(","))]
+        known["sink_columns"] = ",".join(dict.fromkeys(n for n in names if n))
+        for c in ("sink_pk", "sink_extend"):
+            known[c] = known[c] or r[c] or ""
+    bare = sorted(name for name, r in tables.items() if not r["sink_columns"])
+    if bare:
+        raise ValueError(f"no route names the columns of {', '.join(bare)}")
     return [
         {
             "table": name,

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, decontaminate, html_text, language, licenses, near_dups, secrets, token_counts, toxicity
+from millrace.llm import bpe, decontaminate, html_text, language, licenses, near_dups, neighbours, secrets, token_counts, toxicity
 from millrace.llm.tables import table
 
 
@@ -44,6 +44,10 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.length_histogram(lengths)
 
 
+def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), bpe.default_vocabulary())
 
@@ -92,6 +96,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_language_id": op1_language_id,
         "op2_licenses": op2_licenses,
         "op3_token_counts": op3_token_counts,
+        "op4_nearest": op4_nearest,
         "op5_bpe": op5_bpe,
         "op6_secrets": op6_secrets,
         "op7_main_text": op7_main_text,

@@ -137,14 +137,18 @@ def test_base_secrets_are_those_of_the_patterns(spark):
         assert ",".join(f"{s['kind']}:{s['start']}:{s['end']}" for s in base) == naive_base(r["text"] or ""), r["text"]
 
 
-def test_random_runs_are_found_and_redacted(spark):
+def test_most_random_runs_are_found_and_no_structured_ones(spark):
+    # some random runs look structured by chance and are dismissed: that share is bounded, not 0
     rnd = random.Random(2)
-    key = "".join(rnd.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(60))
-    rows = [(0, f"see {key} end"), (1, "see aaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaa1a end"), (2, "plain words only")]
-    scanned = secrets.scan_secrets(frame(spark, rows))
-    kinds = {r["doc_id"]: [(s["kind"], s["start"]) for s in r["secrets"]] for r in scanned.collect()}
-    assert kinds == {0: [("random", 4)], 1: [], 2: []}
-    assert secrets.redact(scanned).where("doc_id = 0").first()["text"] == "see [SECRET] end"
+    signs = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    rows = [(i, "see " + "".join(rnd.choice(signs) for _ in range(60)) + " end") for i in range(40)]
+    rows += [(100 + i, f"see {'xyz' * 14}{i}{'xyz' * 5} end") for i in range(5)] + [(200, "plain words only")]
+    scanned = secrets.scan_secrets(frame(spark, rows)).cache()
+    kinds = {r["doc_id"]: [(s["kind"], s["start"], s["end"]) for s in r["secrets"]] for r in scanned.collect()}
+    assert sum(kinds[i] == [("random", 4, 64)] for i in range(40)) >= 34
+    assert not any(kinds[i] for i in kinds if i >= 100)
+    for r in secrets.redact(scanned).where("doc_id < 40 AND size(secrets) > 0").collect():
+        assert r["text"] == "see [SECRET] end"
 
 
 # encoding

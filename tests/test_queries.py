@@ -13,7 +13,7 @@ def con():
     return duck(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
 def test_query_equals_sql(spark, con, name):
     names, expected = rows_of_sql(con, entry.oracle_sql()[name])
     got_names, got = rows_of_frame(entry.queries()[name](spark, FOLDER))

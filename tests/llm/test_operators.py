@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.llm import automaton, bpe, decontaminate, html_text, language, licenses, merging, near_dups, secrets, sketching, token_counts, toxicity
+from millrace.llm import automaton, bpe, decontaminate, html_text, language, licenses, merging, near_dups, neighbours, secrets, sketching, token_counts, toxicity
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -259,6 +259,48 @@ def test_languages_are_told_apart_and_junk_is_rejected(spark):
     assert language.identify_languages(spark.createDataFrame([], DOCS)).count() == 0
 
 
+# neighbours
+
+VECTORS = "vec_id long, embedding array<double>, node long, `from` string"
+
+
+def test_nearest_are_those_of_all_distances(spark):
+    rng = np.random.default_rng(12)
+    rows = [(i, rng.standard_normal(16).tolist(), 1, "x") for i in range(150)]
+    rows += [(1000 + i, rows[7][1], 1, "x") for i in range(60)]  # copies of one vector
+    rows += [(i + 2000, [3.0] * 16, 1, "x") for i in range(3)]
+    nan = float("nan")
+    rows += [(3000, None, 1, "x"), (3100, [0.0] * 16, 1, "x"), (3200, [nan] * 16, 1, "x"), (3300, [None] * 16, 1, "x"), (3400, [1.0, 2.0], 1, "x"), (None, rows[1][1], 1, "x"), (5, [9.9] * 16, 1, "x")]
+    rng.shuffle(rows)
+    rows = [(None if a is None else int(a), b, 1, d) for a, b, _, d in rows]
+    table = spark.createDataFrame(rows, VECTORS)
+    asked = F.col("vec_id") % 10 == 0
+    got = sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in neighbours.nearest(table, asked).collect())
+    usable = table.where("vec_id <> 3400 OR vec_id IS NULL")
+    expected = sorted(neighbours.exact(usable, asked))
+    assert [x[:3] for x in got] == [x[:3] for x in expected]
+    assert np.allclose([x[3] for x in got], [x[3] for x in expected], rtol=1e-12)
+    assert {x[0] for x in got} >= {0, 1000, 2000} and not {x[0] for x in got} & {3100, 3200, 3300, 3400}
+
+
+def test_few_vectors_find_all_others(spark):
+    assert neighbours.nearest(spark.createDataFrame([], VECTORS), F.col("vec_id") >= 0).count() == 0
+    one = spark.createDataFrame([(1, [1.0, 2.0], 1, "x"), (2, [1.0, 2.0], 1, "x")], VECTORS)
+    assert [tuple(r) for r in neighbours.nearest(one, F.col("vec_id") == 2).collect()] == [(2, 1, 1, 0.0)]
+    three = one.union(spark.createDataFrame([(3, [1.0, 1.0], 1, "x")], VECTORS))
+    assert [tuple(r) for r in neighbours.nearest(three, F.col("vec_id") == 3).orderBy("rank").collect()] == [(3, 1, 1, 1.0), (3, 2, 2, 1.0)]
+
+
+def test_most_true_neighbours_are_found_through_the_graph(spark):
+    rng = np.random.default_rng(13)
+    rows = [(i, rng.standard_normal(24).tolist(), 1, "x") for i in range(1500)]
+    table = spark.createDataFrame(rows, VECTORS)
+    asked = F.col("vec_id") % 50 == 0
+    got = {(r["query_id"], r["vec_id"]) for r in neighbours.nearest(table, asked).collect()}
+    expected = {(q, v) for q, _, v, _ in neighbours.exact(table, asked)}
+    assert len(got & expected) >= 0.95 * len(expected)
+
+
 # toxicity
 
 

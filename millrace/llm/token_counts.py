@@ -8,6 +8,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.llm.tables import settle
+
 # Lengths next to each other that one task sums up.
 BLOCK = 256
 
@@ -58,12 +60,13 @@ def length_histogram(lengths: DataFrame, n_tokens: str = "n_tokens") -> DataFram
     rows is answered from the row below it: its truncated total is
     ``tokens_within + docs_over * limit``.
 
-    Documents are counted per length before anything is sorted. Sums over lengths are taken
+    Documents are counted per length before anything is sorted; the counts are written once
+    and read by what follows, so each text is encoded once. Sums over lengths are taken
     in blocks of ``BLOCK`` lengths, with the sums over whole blocks carried in, so no task
     holds all lengths. Null lengths count for nothing; no documents, no rows.
     """
     counts = lengths.where(F.col(n_tokens).isNotNull()).groupBy(F.col(n_tokens).cast("long").alias("context_limit")).agg(F.count(F.lit(1)).alias("n_docs"))
-    counts = counts.withColumn("_block", F.floor(F.col("context_limit") / BLOCK))
+    counts = settle(counts).withColumn("_block", F.floor(F.col("context_limit") / BLOCK))
     tokens = F.col("n_docs") * F.col("context_limit")
     blocks = counts.groupBy("_block").agg(F.sum("n_docs").alias("_docs"), F.sum(tokens).alias("_tokens"))
     # one row per block of lengths: as many as the longest text has blocks

@@ -338,3 +338,36 @@ def test_broken_pages_do_not_fail():
     for _ in range(500):
         html_text.main_text("".join(rnd.choice(bits) for _ in range(rnd.randint(0, 30))))
     assert html_text.main_text("<div>" * 5000 + "deep") == "deep"
+
+
+# pipeline
+
+
+def test_pipeline_keeps_clean_documents_only(spark, tmp_path):
+    import corpus_pipeline
+    from tokenizers import Tokenizer
+
+    rnd = random.Random(14)
+    syllables = {"en": ["the", "ing", "tion", "er", "and"], "de": ["sch", "ung", "ein", "ich", "aus"]}
+
+    def prose(lang, n=80):
+        return " ".join("".join(rnd.choice(syllables[lang]) for _ in range(2)) for _ in range(n))
+
+    rows = [(i, prose(("en", "de")[i % 2]), ("en", "de")[i % 2], "host.example", 0) for i in range(40)]
+    item, secret = prose("en", 16), prose("en")
+    rows += [
+        (100, rows[0][1], "en", "host.example", 0),
+        (101, f"{prose('en')} {item}", "en", "host.example", 0),
+        (102, f"{secret} password=abcdefgh12345", "en", "host.example", 0),
+        (103, "!!! 123", None, None, 0),
+        (104, None, "en", None, 0),
+    ]
+    spark.createDataFrame(rows, DOCS).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    got = {r["doc_id"]: r for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
+    assert sorted(got) == [*range(40), 102]
+    library = Tokenizer.from_file(bpe.default_vocabulary())
+    for doc_id, text in [(i, t) for i, t, *_ in rows[:40]] + [(102, f"{secret} [SECRET]")]:
+        ids = library.encode(text, add_special_tokens=False).ids
+        assert got[doc_id]["n_tokens"] == len(ids)
+        assert got[doc_id]["ids_sha256"] == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()

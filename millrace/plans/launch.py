@@ -73,7 +73,7 @@ def start_change_routing(
                 dims.ensure(table, columns, key)
                 mine = changes.dimension_changes(routed).where(F.col("sink_table") == table)
                 if not mine.isEmpty():
-                    dims.merge(table, columns, key, mine, batch_id, deletes)
+                    dims.merge(table, columns, key, mine, deletes)
         finally:
             routed.unpersist()
 

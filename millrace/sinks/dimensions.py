@@ -19,10 +19,12 @@ def create_table_sql(table: str, sink_columns: str, sink_pk: str | None = None,
 
 
 class DimensionTables:
-    """One folder per table, one sub-folder per batch that holds the whole table.
+    """One folder per table, one sub-folder per version that holds the whole table.
 
-    A batch reads the newest older version and writes its own, so running a batch again
-    gives the same table. With a table format that has MERGE, only ``merge`` changes.
+    A batch reads the newest version and writes the next. Its changes set the last state of
+    each key they touch, so running a batch again gives the same table, and batch numbers
+    that start anew (a lost checkpoint) overwrite nothing. With a table format that has
+    MERGE, only ``merge`` changes.
     """
 
     def __init__(self, spark: SparkSession, path: str):
@@ -41,12 +43,10 @@ class DimensionTables:
         ]
         return sorted(int(v) for v in done)
 
-    def read(
-        self, table: str, schema: StructType, before: int | None = None, spark: SparkSession | None = None
-    ) -> DataFrame:
-        """The newest version, or the newest older than a batch; empty when there is none."""
+    def read(self, table: str, schema: StructType, spark: SparkSession | None = None) -> DataFrame:
+        """The newest version; empty when there is none."""
         spark = spark or self.spark
-        versions = [v for v in self._versions(table) if before is None or v < before]
+        versions = self._versions(table)
         if not versions:
             return spark.createDataFrame([], schema)
         return spark.read.schema(schema).parquet(f"{self.path}/{table}/version={versions[-1]}")
@@ -61,14 +61,15 @@ class DimensionTables:
         """The newest version of a table that exists."""
         return self.spark.read.parquet(f"{self.path}/{table}/version={self._versions(table)[-1]}")
 
-    def merge(self, table: str, columns: Sequence[str], key: str, changes: DataFrame, batch_id: int, deletes: bool = True) -> None:
+    def merge(self, table: str, columns: Sequence[str], key: str, changes: DataFrame, deletes: bool = True) -> None:
         """Apply the changes of a batch, in order of ``seq`` (not negative)."""
         schema = dimension_schema(",".join(columns), key)
-        current = self.read(table, schema, batch_id, changes.sparkSession)
+        current = self.read(table, schema, changes.sparkSession)
         pairs = [x for c in columns for x in (F.lit(c), F.col(c))]
         as_changes = current.select(
             F.lit("insert").alias("type"), F.create_map(*pairs).alias("data"), F.lit(-1).cast("bigint").alias("seq")
         )
         rows = as_changes.unionByName(changes.select("type", "data", F.col("seq").cast("bigint").alias("seq")))
         merged = apply_changes(rows, key, columns, "seq", deletes)
-        merged.write.mode("overwrite").parquet(f"{self.path}/{table}/version={batch_id}")
+        version = max(self._versions(table), default=-1) + 1
+        merged.write.mode("overwrite").parquet(f"{self.path}/{table}/version={version}")

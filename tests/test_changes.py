@@ -153,16 +153,20 @@ def test_tables_merge_batch_by_batch_and_a_repeated_batch_changes_nothing(spark,
     tables = DimensionTables(spark, str(tmp_path))
     schema = changes.dimension_schema("id,name")
 
-    def merge(batch_id, *rows):
+    def merge(*rows):
         frame = spark.createDataFrame(list(rows), "seq bigint, type string, data map<string,string>")
-        tables.merge("DIM_T", ["id", "name"], "id", frame, batch_id)
+        tables.merge("DIM_T", ["id", "name"], "id", frame)
 
     def rows():
         return sorted(tuple(r) for r in tables.read("DIM_T", schema).collect())
 
     assert rows() == []
-    merge(0, (0, "insert", {"id": "1", "name": "a"}), (1, "insert", {"id": "2", "name": "b"}))
-    merge(1, (2, "delete", {"id": "1"}), (3, "update", {"id": "2", "name": "c"}))
+    merge((0, "insert", {"id": "1", "name": "a"}), (1, "insert", {"id": "2", "name": "b"}))
+    merge((2, "delete", {"id": "1"}), (3, "update", {"id": "2", "name": "c"}))
     assert rows() == [("2", "c")]
-    merge(1, (2, "delete", {"id": "1"}), (3, "update", {"id": "2", "name": "c"}))
+    merge((2, "delete", {"id": "1"}), (3, "update", {"id": "2", "name": "c"}))
     assert rows() == [("2", "c")]
+    # batches counted from 0 again, with a store that knows nothing of the earlier ones
+    tables = DimensionTables(spark, str(tmp_path))
+    merge((0, "insert", {"id": "3", "name": "d"}))
+    assert rows() == [("2", "c"), ("3", "d")]

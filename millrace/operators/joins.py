@@ -76,13 +76,18 @@ def lookup(
     fields: dict[str, Column],
     limit: int = BROADCAST_LIMIT_BYTES,
     size: int | None = None,
+    first_by: Sequence[Column | str] = (),
 ) -> DataFrame:
     """Left join with a dimension; a miss keeps the row.
 
     ``on`` pairs a fact column with a dimension column; keys of different types are compared
-    as text, which is how dimensions are stored. The dimension holds one row per key. ``fields`` maps the output name to an expression over the dimension. A name
-    the facts already have is replaced on a hit and kept on a miss.
+    as text, which is how dimensions are stored. The dimension holds one row per key, or
+    ``first_by`` gives the order in which the first row of a key wins. ``fields`` maps the
+    output name to an expression over the dimension. A name the facts already have is
+    replaced on a hit and kept on a miss.
     """
+    if first_by:
+        dim = first_per_key(dim, [theirs for _, theirs in on], first_by)
     keys = [f"_key{i}" for i in range(len(on))]
     side = dim.select(
         *[F.col(theirs).alias(k) for k, (_, theirs) in zip(keys, on)],

@@ -7,6 +7,8 @@ during_time, start, display, ts, event_time, body``. ``ts`` is epoch millisecond
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,14 +17,17 @@ from millrace.functions import times
 from millrace.functions.once import once
 
 
-def parse_logs(raw: DataFrame, value: str = "value", encoded: bool = True) -> DataFrame:
-    """Decode and parse log text; rows that are not a JSON object are dropped."""
+def parse_logs(raw: DataFrame, value: str = "value", encoded: bool = True, keep: Sequence[str] = ()) -> DataFrame:
+    """Decode and parse log text; rows that are not a JSON object are dropped.
+
+    Columns of ``raw`` named in ``keep``, such as its partition and offset, stay.
+    """
     text = F.try_url_decode(F.col(value).cast("string")) if encoded else F.col(value).cast("string")
     log = F.from_json("body", schemas.RAW_LOG, {"columnNameOfCorruptRecord": "_corrupt"})
     return (
-        raw.select(once(text).alias("body"))
+        raw.select(once(text).alias("body"), *keep)
         .where("body IS NOT NULL")
-        .select("body", once(log).alias("log"))
+        .select("body", once(log).alias("log"), *keep)
         .where("log IS NOT NULL AND log._corrupt IS NULL")
         .select(
             "log.common.*",
@@ -35,6 +40,7 @@ def parse_logs(raw: DataFrame, value: str = "value", encoded: bool = True) -> Da
             F.col("log.ts").try_cast("bigint").alias("ts"),
             times.millis_to_time(F.col("log.ts").try_cast("bigint")).alias("event_time"),
             "body",
+            *keep,
         )
     )
 
@@ -78,11 +84,25 @@ def page_logs(logs: DataFrame) -> DataFrame:
 
 
 def display_rows(logs: DataFrame) -> DataFrame:
-    """One row per displayed item of a page log, with the page it was shown on."""
+    """One row per displayed item of a page log, with the page it was shown on.
+
+    ``fields`` is the item as JSON text with all that the device sent about it, of whatever
+    type, and the page as ``page_id``; what is no object has no row.
+    """
+    listed = F.from_json(F.get_json_object("body", "$.display"), "array<variant>")
+    shown = F.from_json(F.to_json("one"), "map<string, variant>")
+    sent = F.map_filter("shown", lambda name, _: name != "page_id")
+    page = F.create_map(F.lit("page_id"), F.col("page_id").cast("variant"))
+
+    def field(name: str) -> Column:
+        return F.try_variant_get(F.col("shown")[name], "$", "string").alias(name)
+
     return (
         page_logs(logs)
-        .select("mid", "page_id", "ts", F.explode("display").alias("shown"))
-        .select("mid", "page_id", "shown.item", "shown.item_type", "ts")
+        .select("mid", "page_id", "ts", F.explode(listed).alias("one"))
+        .select("mid", "page_id", "ts", shown.alias("shown"))
+        .where("shown IS NOT NULL")
+        .select("mid", "page_id", field("item"), field("item_type"), "ts", F.to_json(F.map_concat(sent, page)).alias("fields"))
     )
 
 

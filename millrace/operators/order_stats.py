@@ -56,9 +56,14 @@ def product_facts(
 
     ``payments`` holds wide payments with ``event_time`` at payment creation.
     """
-    clicks = pages.where("page_id = 'good_detail'").select("event_time", F.col("item").alias("sku_id"))
+    is_click, explode = F.col("page_id") == "good_detail", F.explode
+    if pages.isStreaming:
+        # what names the event time, or keeps rows without displays, is not moved below the
+        # watermark, so that every page advances it
+        is_click, explode = F.when(is_click, F.col("event_time")).isNotNull(), F.explode_outer
+    clicks = pages.where(is_click).select("event_time", F.col("item").alias("sku_id"))
     displays = (
-        pages.select("event_time", F.explode("display").alias("shown"))
+        pages.select("event_time", explode("display").alias("shown"))
         .where("shown.item_type = 'sku_id'")
         .select("event_time", F.col("shown.item").alias("sku_id"))
     )

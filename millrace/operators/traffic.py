@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,12 +14,13 @@ DIMENSIONS = ("vc", "ch", "ar", "is_new")
 MEASURES = ("uv_ct", "pv_ct", "sv_ct", "uj_ct", "dur_sum")
 
 
-def visitor_facts(pages: DataFrame, uniques: DataFrame, jumps: DataFrame) -> DataFrame:
+def visitor_facts(pages: DataFrame, uniques: DataFrame, jumps: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Unique visitors, page views, session starts and bounces as rows of one shape.
 
-    Page views and session starts come out of the same scan of the pages.
+    Page views and session starts come out of the same scan of the pages. Columns named in
+    ``keep`` stay, for what is to be looked up once for all rows.
     """
-    base = ["event_time", "ts", *DIMENSIONS]
+    base = ["event_time", "ts", *DIMENSIONS, *keep]
     during = F.coalesce(F.col("during_time"), F.lit(0)).cast("bigint")
     kinds = F.when(is_entry(), F.array(F.lit("pv"), F.lit("sv"))).otherwise(F.array(F.lit("pv")))
     rows = (

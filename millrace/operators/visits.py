@@ -47,6 +47,9 @@ def user_jumps(
     in slices of time: a device that holds a large part of all rows is spread over many
     tasks. A row shortly after the start of a slice is copied to the slice before, where
     it can only be a successor. With the default slice that is one row in sixty.
+
+    Rows without a device count as one device. Of entries that agree in device, time and
+    ``ties`` one can bounce: they are taken as one event delivered again.
     """
     span = slice_ms or 60 * timeout_ms
     if span < timeout_ms:
@@ -70,11 +73,13 @@ def _stream_jumps(pages: DataFrame, timeout_ms: int, ties: Sequence[str], span:
     """The same as an outer join of entries with later pages, kept where none was found.
 
     The bounds on event time let Spark emit an unmatched entry, and drop its state, as
-    soon as the watermark has passed the timeout.
+    soon as the watermark has passed the timeout. A repeat of an entry behind the watermark
+    is late, one before it is dropped here.
     """
     home = F.floor(F.col("ts") / span)
     at_start = F.pmod("ts", F.lit(span)) < timeout_ms
-    entries = session_entries(pages).withColumn("_slice", home).alias("e")
+    entries = session_entries(pages).dropDuplicatesWithinWatermark(["mid", "event_time", *ties])
+    entries = entries.withColumn("_slice", home).alias("e")
     later = pages.select(
         F.col("mid").alias("_mid"),
         F.col("event_time").alias("_time"),
@@ -88,5 +93,5 @@ def _stream_jumps(pages: DataFrame, timeout_ms: int, ties: Sequence[str], span:
     within = (F.col("_time") >= F.col("event_time")) & (
         F.col("_time") < F.col("event_time") + F.expr(f"INTERVAL {timeout_ms / 1000} SECONDS")
     )
-    followed = (F.col("_mid") == F.col("mid")) & (F.col("_later_slice") == F.col("_slice")) & within & after
-    return entries.join(later, followed, "left_outer").where("_mid IS NULL").select(*pages.columns)
+    followed = F.col("_mid").eqNullSafe(F.col("mid")) & (F.col("_later_slice") == F.col("_slice")) & within & after
+    return entries.join(later, followed, "left_outer").where("_later_slice IS NULL").select(*pages.columns)

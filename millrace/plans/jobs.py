@@ -21,15 +21,20 @@ from millrace.streaming.watermarks import with_event_time
 
 Frames = Mapping[str, DataFrame]
 
-# Logs of a device with the same time are taken in order of their text, so that running a
-# job again gives the same rows.
-_TIE = ("body",)
+# Where a record stands in its topic.
+_PLACE = ("partition", "offset")
 
 
-def _pages(raw: DataFrame, delay: str | None = None) -> DataFrame:
+def _pages(raw: DataFrame, delay: str) -> DataFrame:
     """Page logs as written by the log job: plain JSON, not encoded."""
-    rows = logs.parse_logs(raw, encoded=False)
-    return with_event_time(rows, delay) if delay else rows
+    rows = logs.parse_logs(raw, encoded=False, keep=[c for c in _PLACE if c in raw.columns])
+    return with_event_time(rows, delay)
+
+
+def _ties(pages: DataFrame) -> tuple[str, ...]:
+    """Logs of a device with the same time go by their place in the topic, or by their text
+    where a source has none, so that running a job again gives the same rows."""
+    return _PLACE if set(_PLACE) <= set(pages.columns) else ("body",)
 
 
 def repaired_logs(topics: Frames) -> DataFrame:
@@ -40,7 +45,7 @@ def split_logs(rows: DataFrame, dims: Frames) -> dict[str, DataFrame]:
     return {
         "DWD_START_LOG": logs.log_text(logs.start_logs(rows)),
         "DWD_PAGE_LOG": logs.log_text(logs.page_logs(rows)),
-        "DWD_DISPLAY_LOG": to_messages(logs.display_rows(rows)),
+        "DWD_DISPLAY_LOG": logs.display_rows(rows).selectExpr("fields AS value"),
     }
 
 
@@ -51,11 +56,13 @@ def change_records(topics: Frames) -> DataFrame:
 
 
 def unique_visits(topics: Frames) -> DataFrame:
-    return visits.unique_visits(_pages(topics["DWD_PAGE_LOG"], watermarks.VISIT_MEMORY), _TIE)
+    pages = _pages(topics["DWD_PAGE_LOG"], watermarks.VISIT_MEMORY)
+    return visits.unique_visits(pages, _ties(pages))
 
 
 def user_jumps(topics: Frames) -> DataFrame:
-    return visits.user_jumps(_pages(topics["DWD_PAGE_LOG"], watermarks.ORDERED), ties=_TIE)
+    pages = _pages(topics["DWD_PAGE_LOG"], watermarks.ORDERED)
+    return visits.user_jumps(pages, ties=_ties(pages))
 
 
 def wide_orders(topics: Frames) -> DataFrame:
@@ -77,23 +84,27 @@ def wide_payments(topics: Frames) -> DataFrame:
 
 
 def visitor_stats(topics: Frames) -> DataFrame:
-    facts = traffic.visitor_facts(
-        _pages(topics["DWD_PAGE_LOG"]), _pages(topics["DWM_UNIQUE_VISIT"]), _pages(topics["DWM_USER_JUMP_DETAIL"])
-    )
-    return traffic.visitor_stats(with_event_time(facts, watermarks.VISITOR))
+    read = ("DWD_PAGE_LOG", "DWM_UNIQUE_VISIT", "DWM_USER_JUMP_DETAIL")
+    return traffic.visitor_stats(traffic.visitor_facts(*[_pages(topics[t], watermarks.VISITOR) for t in read]))
 
 
 def product_counts(topics: Frames) -> DataFrame:
+    """Each topic has its own watermark, so that one topic ahead of the others makes none of
+    their rows late."""
+
+    def typed(topic: str, schema: str, time: str = "create_time") -> DataFrame:
+        return with_event_time(wide.typed(topics[topic], schema, time), watermarks.ORDERED)
+
     facts = order_stats.product_facts(
-        pages=_pages(topics["DWD_PAGE_LOG"]),
-        orders=wide.typed(topics["DWM_ORDER_WIDE"], schemas.ORDER_WIDE),
-        payments=wide.typed(topics["DWM_PAYMENT_WIDE"], schemas.PAYMENT_WIDE, "payment_create_time"),
-        carts=wide.typed(topics["DWD_CART_INFO"], schemas.CART),
-        favors=wide.typed(topics["DWD_FAVOR_INFO"], schemas.FAVOR),
-        refunds=wide.typed(topics["DWD_ORDER_REFUND_INFO"], schemas.REFUND),
-        comments=wide.typed(topics["DWD_COMMENT_INFO"], schemas.COMMENT),
+        pages=_pages(topics["DWD_PAGE_LOG"], watermarks.ORDERED),
+        orders=typed("DWM_ORDER_WIDE", schemas.ORDER_WIDE),
+        payments=typed("DWM_PAYMENT_WIDE", schemas.PAYMENT_WIDE, "payment_create_time"),
+        carts=typed("DWD_CART_INFO", schemas.CART),
+        favors=typed("DWD_FAVOR_INFO", schemas.FAVOR),
+        refunds=typed("DWD_ORDER_REFUND_INFO", schemas.REFUND),
+        comments=typed("DWD_COMMENT_INFO", schemas.COMMENT),
     )
-    return order_stats.product_counts(with_event_time(facts, watermarks.ORDERED))
+    return order_stats.product_counts(facts)
 
 
 def named_products(rows: DataFrame, dims: Frames) -> dict[str, DataFrame]:

@@ -271,24 +271,70 @@ _COUNTS = """
 
 def all_oracles() -> dict[str, str]:
     return {
-        "log_parse": _with(("pages_log",), f"SELECT {_PAGE_ONLY} FROM pages_log WHERE item <> '13'"),
+        "log_parse": _with(("pages_log",), f"SELECT {_PAGE_ONLY} FROM pages_log"),
         "new_visitor_repair": _with(("pages_log",), f"SELECT event_id, mid, is_new, ts FROM ({_REPAIRED} FROM pages_log)"),
         "split_start": _with(
-            ("pages_log",), "SELECT mid, 'icon' AS entry, ts FROM pages_log WHERE ch = 'signup' AND item <> '13'"
+            ("pages_log",), "SELECT mid, 'icon' AS entry, ts FROM pages_log WHERE ch = 'signup'"
         ),
-        "split_page": _with(("pages_log",), f"SELECT {_LOG} FROM pages_log WHERE ch <> 'signup' AND item <> '13'"),
+        "split_page": _with(("pages_log",), f"SELECT {_LOG} FROM pages_log WHERE ch <> 'signup'"),
         "split_display": _with(
             ("pages_log",),
             """
-            SELECT mid, page_id, CAST(k AS VARCHAR) AS item, 'sku_id' AS item_type, ts
-            FROM pages_log WHERE event_type = 'view' AND item <> '13'
-            UNION ALL SELECT mid, page_id, CAST(k + 1 AS VARCHAR), 'activity_id', ts
-            FROM pages_log WHERE event_type = 'view' AND item <> '13'
+            , shown AS (
+              SELECT mid, page_id, k, 'sku_id' AS item_type, 0 AS place, ts FROM pages_log WHERE event_type = 'view'
+              UNION ALL SELECT mid, page_id, k + 1, 'activity_id', 1, ts FROM pages_log WHERE event_type = 'view'
+            )
+            SELECT mid, page_id, CAST(k AS VARCHAR) AS item, item_type, ts,
+                   '{"item":"' || k || '","item_type":"' || item_type || '","display_type":"query","order":' || place ||
+                   ',"page_id":"' || page_id || '"}' AS fields
+            FROM shown
             """,
         ),
         "repaired_log_text": _with(
-            ("pages_log",), f"SELECT mid, is_new, ts FROM ({_REPAIRED} FROM pages_log WHERE item <> '13')"
+            ("pages_log",), f"SELECT mid, is_new, ts FROM ({_REPAIRED} FROM pages_log)"
+        ),
+        "typed_orders": _with(
+            ("order_rows",),
+            """
+            SELECT id, user_id, order_status, total_amount, strftime(event_time, '%Y-%m-%d %H:%M:%S') AS create_time,
+                   epoch_ms(event_time) AS ts FROM order_rows
+            """,
+        ),
+        "typed_details": """
+            SELECT l_orderkey * 10 + l_linenumber AS id, l_orderkey AS order_id, l_partkey AS sku_id,
+                   CAST(l_quantity AS BIGINT) AS sku_num, CAST(l_extendedprice AS DECIMAL(18,2)) AS order_price,
+                   'sku ' || l_partkey AS sku_name, epoch_ms(l_shipdate) AS ts FROM lineitem
+        """,
+        "json_topic_view": _with(
+            ("order_rows",),
+            "SELECT strftime(event_time, '%Y-%m-%d') AS day, count(*) AS orders, sum(total_amount) AS amount FROM order_rows GROUP BY 1",
+        ),
+        "text_times": _with(
+            ("order_rows",),
+            """
+            SELECT id, epoch_ms(event_time) AS time_ms, epoch_ms(event_time) AS ms,
+                   epoch_ms(date_trunc('day', event_time)) AS day_ms, strftime(event_time, '%Y%m%d') AS day FROM order_rows
+            """,
         ),
+        "first_row_wins": """
+            SELECT CAST(n_nationkey AS VARCHAR) AS ID, n_name AS NAME,
+                   (SELECT arg_min(c_name, c_custkey) FROM customer WHERE c_nationkey = n_nationkey) AS first_customer
+            FROM nation
+        """,
+        "replayed_events": _with(("ev",), "SELECT event_id, CAST(user_id AS VARCHAR) AS mid, ts FROM ev"),
+        "chinese_pairs": """
+            WITH t AS (SELECT p_name, translate(lpad(CAST(p_partkey AS VARCHAR), 9, '0'), '0123456789', '零一二三四五六七八九')
+                              || '零一二三四五六七八九' AS run FROM part),
+            w AS (SELECT substr(run, i, 2) AS keyword FROM t, generate_series(1, 18) AS g(i)
+                  UNION ALL SELECT unnest(string_split(lower(p_name), ' ')) FROM t)
+            SELECT keyword, count(*) AS ct FROM w GROUP BY 1
+        """,
+        "chinese_dictionary": """
+            WITH t AS (SELECT lower(p_name) || translate(lpad(CAST(p_partkey AS VARCHAR), 9, '0'), '0123456789', '零一二三四五六七八九')
+                              || '零一二三四五六七八九' AS text FROM part),
+            w AS (SELECT unnest(regexp_extract_all(text, '零一二三四五六七八九|一二三|零零|二三|[零一二三四五六七八九]|[a-z0-9]+')) AS keyword FROM t)
+            SELECT keyword, count(*) AS ct FROM w GROUP BY 1
+        """,
         "session_entries": _with(
             ("pages_log",), "SELECT event_id, mid, page_id, ts FROM pages_log WHERE last_page_id IS NULL"
         ),
@@ -331,8 +377,10 @@ def all_oracles() -> dict[str, str]:
               FROM routed WHERE sink_table = 'dim_signup'
             )
             SELECT data_user_id AS user_id, arg_max(data_value, seq) AS value,
-                   arg_max(data_ts, seq) FILTER ("type" = 'insert') AS ts
+                   arg_max(data_ts, seq) FILTER ("type" = 'insert') AS ts, CAST(NULL AS VARCHAR) AS event_id
             FROM mine WHERE seq > gone GROUP BY data_user_id
+            UNION ALL SELECT arg_max(data_user_id, seq), NULL, NULL, data_event_id
+            FROM routed WHERE sink_table = 'dim_purchase' GROUP BY data_event_id
             """,
         ),
         "order_wide_interval": _with(
@@ -446,40 +494,16 @@ _KEYWORD_STATS = """
 
 
 def stream_oracles() -> dict[str, str]:
-    """For the streaming forms: only what the watermark at the end of the input lets out."""
-    closed = "CAST(edt AS TIMESTAMP) <= (SELECT max(event_time) FROM {rows}) - INTERVAL {delay} SECOND"
-    by_province = _with(
-        ("province_named",), "SELECT * FROM province_named WHERE " + closed.format(rows="wide", delay=0)
-    )
+    """For the streaming forms: the same rows as in the batch forms."""
+    batch = all_oracles()
+    same = ("new_visitor_repair", "unique_visits", "user_jumps", "visitor_stats", "product_stats", "province_stats")
     return {
-        "stream_new_visitor_repair": all_oracles()["new_visitor_repair"],
-        "stream_unique_visits": all_oracles()["unique_visits"],
-        "stream_user_jumps": _with(
-            ("jumps",),
-            """
-            SELECT event_id, mid, page_id, ts FROM jumps
-            WHERE ts + 10000 < (SELECT max(ts) FROM pages_log)
-            """,
-        ),
+        **{f"stream_{name}": batch[name] for name in (*same, "province_stats_sql")},
+        "stream_keyword_stats": batch["keyword_stats_search"],
         "stream_order_wide": _with(
             ("wide",), "SELECT detail_id, order_id, sku_id, split_total_amount, create_time FROM wide"
         ),
         "stream_payment_wide": _with(
             ("paid",), "SELECT payment_id, detail_id, user_id, total_amount, callback_time FROM paid"
         ),
-        "stream_visitor_stats": _with(
-            ("visitor_rows",),
-            f", stats AS ({_VISITOR_STATS}) SELECT * FROM stats WHERE "
-            + closed.format(rows="visitor_rows", delay=20),
-        ),
-        "stream_product_stats": _with(
-            ("product_named",),
-            "SELECT * FROM product_named WHERE " + closed.format(rows="product_rows", delay=0),
-        ),
-        "stream_province_stats": by_province,
-        "stream_province_stats_sql": by_province,
-        "stream_keyword_stats": _with(
-            ("searched_words",),
-            f", stats AS ({_KEYWORD_STATS}) SELECT * FROM stats WHERE " + closed.format(rows="pages_log", delay=2),
-        ),
     }

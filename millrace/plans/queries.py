@@ -7,15 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace import schemas
 from millrace.functions import times
 from millrace.operators import changes, keywords, logs, order_stats, traffic, visits, wide
+from millrace.operators.joins import lookup
 from millrace.sources.routing import load_routing
 from millrace.sources.shop_tables import ShopTables
+from millrace.sources.topics import json_view
+from millrace.streaming import watermarks
+from millrace.streaming.run import to_messages
 
 # Sample order lines ship within 30 days of the order at best, not within seconds.
 SPAN = "30 days"
 AS_OF = "2024-02-01"
 TIE = ("event_id",)
+HAN_DIGITS = "零一二三四五六七八九"
+HAN_WORDS = (HAN_DIGITS, "一二三", "零零", "二三")
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -46,7 +53,10 @@ def as_of():
 
 
 def visitor_fact_rows(t: ShopTables) -> DataFrame:
-    return traffic.visitor_facts(t.pages, visits.unique_visits(t.pages, TIE), visits.user_jumps(t.pages, ties=TIE))
+    """The area is looked up once, for all kinds of rows."""
+    pages = t.pages_anywhere
+    uniques, jumps = visits.unique_visits(pages, TIE), visits.user_jumps(pages, ties=TIE)
+    return t.with_area(traffic.visitor_facts(pages, uniques, jumps, keep=("mid",)))
 
 
 def product_fact_rows(t: ShopTables) -> DataFrame:
@@ -158,8 +168,11 @@ def route_fact_topics(t: ShopTables) -> DataFrame:
 
 @_query
 def dim_upsert_latest(t: ShopTables) -> DataFrame:
-    rows = changes.dimension_changes(_routed(t)).where("sink_table = 'DIM_SIGNUP'")
-    return changes.apply_changes(rows, "user_id", ["user_id", "value", "ts"], "seq")
+    """Both dimension tables, one below the other."""
+    rows = changes.dimension_changes(_routed(t))
+    signups = changes.apply_changes(rows.where("sink_table = 'DIM_SIGNUP'"), "user_id", ["user_id", "value", "ts"], "seq")
+    buyers = changes.apply_changes(rows.where("sink_table = 'DIM_PURCHASE'"), "event_id", ["event_id", "user_id"], "seq")
+    return signups.unionByName(buyers, allowMissingColumns=True)
 
 
 # wide facts
@@ -214,6 +227,60 @@ def user_age(t: ShopTables) -> DataFrame:
     return users.select("ID", "BIRTHDAY", times.age_in_years(F.to_date("BIRTHDAY"), as_of()).alias("age"))
 
 
+# typed topics and dimension reads
+
+
+@_query
+def typed_orders(t: ShopTables) -> DataFrame:
+    """Orders written as JSON text and parsed back."""
+    rows = wide.typed(to_messages(t.orders.drop("event_time")), schemas.ORDER_INFO)
+    return rows.select("id", "user_id", "order_status", "total_amount", "create_time", F.unix_millis("event_time").alias("ts"))
+
+
+@_query
+def typed_details(t: ShopTables) -> DataFrame:
+    rows = wide.typed(to_messages(t.details.drop("event_time")), schemas.ORDER_DETAIL)
+    return rows.select("id", "order_id", "sku_id", "sku_num", "order_price", "sku_name", F.unix_millis("event_time").alias("ts"))
+
+
+@_query
+def json_topic_view(t: ShopTables) -> DataFrame:
+    """A topic of JSON text as a view, grouped in SQL by the day of its row time."""
+    schema = "id bigint, total_amount decimal(18,2), create_time string"
+    json_view(to_messages(t.orders.drop("event_time")), "orders_topic", schema, "to_timestamp(create_time)")
+    return t.spark.sql(
+        "SELECT date_format(rowtime, 'yyyy-MM-dd') AS day, count(id) AS orders, "
+        "CAST(sum(total_amount) AS DECIMAL(38,2)) AS amount FROM orders_topic GROUP BY 1"
+    )
+
+
+@_query
+def text_times(t: ShopTables) -> DataFrame:
+    text = F.col("create_time")
+    return t.orders.select(
+        "id",
+        F.unix_millis(times.text_to_time(text)).alias("time_ms"),
+        times.text_to_millis(text).alias("ms"),
+        times.text_to_day_millis(text).alias("day_ms"),
+        times.millis_to_compact_day(times.text_to_millis(text)).alias("day"),
+    )
+
+
+@_query
+def first_row_wins(t: ShopTables) -> DataFrame:
+    """Nations with their first customer, from a dimension with many rows per key."""
+    customers = t.spark.read.parquet(f"{t.folder}/customer.parquet")
+    nations = t.dims["province"].select("ID", "NAME")
+    return lookup(nations, customers, [("ID", "c_nationkey")], {"first_customer": F.col("c_name")}, first_by=["c_custkey"])
+
+
+@_query
+def replayed_events(t: ShopTables) -> DataFrame:
+    """All page logs sent twice; one of each is kept."""
+    rows = t.pages_anywhere.select("event_id", "mid", "ts", "event_time")
+    return watermarks.without_repeats(rows.unionByName(rows), ["event_id"], "1 day").drop("event_time")
+
+
 # statistics
 
 
@@ -288,6 +355,25 @@ def product_keywords(t: ShopTables) -> DataFrame:
     return keywords.product_keywords(order_stats.product_stats(product_fact_rows(t), t.dims))
 
 
+def _numbered_parts(t: ShopTables) -> DataFrame:
+    """Names of parts, each with its number in Chinese digits and a word of ten characters."""
+    number = F.translate(F.lpad(F.col("p_partkey").cast("string"), 9, "0"), "0123456789", HAN_DIGITS)
+    text = F.concat("p_name", number, F.lit(HAN_DIGITS)).alias("text")
+    return t.spark.read.parquet(f"{t.folder}/part.parquet").select("p_partkey", text)
+
+
+@_query
+def chinese_pairs(t: ShopTables) -> DataFrame:
+    return keywords.text_keywords(_numbered_parts(t))
+
+
+@_query
+def chinese_dictionary(t: ShopTables) -> DataFrame:
+    words = t.spark.createDataFrame([(w,) for w in HAN_WORDS], "word string")
+    found = keywords.dictionary_keywords(_numbered_parts(t), "text", words)
+    return found.groupBy("keyword").agg(F.count(F.lit(1)).alias("ct"))
+
+
 @_query
 def document_keywords(t: ShopTables) -> DataFrame:
     return keywords.text_keywords(t.documents, by=["lang"])

@@ -1,7 +1,12 @@
 """The streaming forms over the sample tables, run to the end of the available input.
 
+The tables arrive in parts, in order of time. A query is stopped after each part and goes on
+from its checkpoint with the next one, so its state crosses batches and restarts. Closing
+rows far in the future follow the last part: they move the watermarks past all real rows,
+whose results are then complete, and are left out of the results.
+
 Each layer is written to a folder in the checkpoint directory and read as a stream by
-the next, as topics would be. Windows still open at the end are not part of a result.
+the next, as topics would be.
 """
 
 from __future__ import annotations
@@ -10,11 +15,13 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from millrace.operators import keywords, logs, order_stats, traffic, visits, wide
 from millrace.plans.queries import SPAN, TIE
 from millrace.session import checkpoint_root
-from millrace.sources.shop_tables import ShopTables
+from millrace.sources.shop_tables import PAGE_OF_EVENT, TABLES, ShopTables
 from millrace.streaming import watermarks
 from millrace.streaming.run import run_to_folder, stream_session
 
@@ -22,6 +29,76 @@ Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
 
 
+PARTS = 3
+# The second time closes what the first one opened.
+CLOSING_TIMES = ("2100-01-01 00:00:00", "2100-01-02 00:00:00")
+
+_TIME_COLUMN = {"events": "ts", "orders": "o_orderdate", "lineitem": "l_shipdate"}
+# lines are cut at the times of their orders, as both are read side by side
+_CUT_BY = {"events": "events", "orders": "orders", "lineitem": "orders"}
+_CLOSING_ROWS = {
+    "events": [
+        {"event_id": "-1", "user_id": "-1", "event_type": kind, "value": "0", "props": '{"k": 2}'} for kind in PAGE_OF_EVENT
+    ],
+    "orders": [{"o_orderkey": "-1", "o_custkey": "-1", "o_orderstatus": "O", "o_totalprice": "0"}],
+    "lineitem": [
+        {"l_orderkey": "-1", "l_partkey": "-1", "l_suppkey": "-1", "l_linenumber": "1", "l_quantity": "0",
+         "l_extendedprice": "0", "l_discount": "0", "l_tax": "0", "l_returnflag": "R"}
+    ],
+}
+
+
+def _closing_rows(spark: SparkSession, name: str) -> DataFrame:
+    fields = StructType.fromDDL(TABLES[name])
+    rows = [
+        tuple({**row, _TIME_COLUMN[name]: at}.get(f.name) for f in fields) for at in CLOSING_TIMES for row in _CLOSING_ROWS[name]
+    ]
+    texts = spark.createDataFrame(rows, ", ".join(f"{f.name} string" for f in fields))
+    return texts.select(*[F.col(f.name).cast(f.dataType) for f in fields])
+
+
+def _without_closing(rows: DataFrame) -> DataFrame:
+    start = F.lit(CLOSING_TIMES[0])
+    limits = {"stt": start, "create_time": start, "callback_time": start, "ts": F.unix_millis(start.cast("timestamp"))}
+    column = next(c for c in limits if c in rows.columns)
+    return rows.where(F.col(column) < limits[column])
+
+
+class GrowingTables(ShopTables):
+    """Streams over folders to which the sample tables are written part by part."""
+
+    def __init__(self, spark: SparkSession, folder: str, grown: str):
+        super().__init__(spark, folder, streaming=True)
+        self.grown = grown
+        self.written: dict[str, int] = {}
+
+    def _facts(self, name: str) -> DataFrame:
+        path = f"{self.grown}/{name}.parquet"
+        if name not in self.written:
+            self._static(name).limit(0).write.parquet(path)
+            self.written[name] = 0
+        return self.spark.readStream.schema(TABLES[name]).parquet(path)
+
+    def _part(self, name: str) -> DataFrame:
+        """The rows that come next; the last part has the closing rows."""
+        k = self.written[name]
+        seconds = F.unix_seconds(F.col(_TIME_COLUMN[_CUT_BY[name]]).cast("timestamp"))
+        low, high = self._static(_CUT_BY[name]).agg(F.min(seconds), F.max(seconds)).first()
+        mine = F.unix_seconds(F.col(_TIME_COLUMN[name]).cast("timestamp"))
+        place = F.floor((mine - F.lit(low)) * PARTS / F.lit((high or 0) - (low or 0) + 1))
+        place = F.coalesce(F.greatest(F.lit(0), F.least(F.lit(PARTS - 1), place)), F.lit(0))
+        rows = self._static(name).where(place == k)
+        return rows.unionByName(_closing_rows(self.spark, name)) if k == PARTS - 1 else rows
+
+    def grow(self) -> bool:
+        """Write the next part of the tables in use; whether there was one."""
+        due = [name for name, k in self.written.items() if k < PARTS]
+        for name in due:
+            self._part(name).write.mode("append").parquet(f"{self.grown}/{name}.parquet")
+            self.written[name] += 1
+        return bool(due)
+
+
 class Streams:
     """Streams over the sample tables, with folders between the layers."""
 
@@ -30,20 +107,32 @@ class Streams:
         # one state partition per core
         self.spark = stream_session(spark, spark.sparkContext.defaultParallelism)
         self.root = f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"
-        self.live = ShopTables(self.spark, folder, streaming=True)
+        self.layers = 0
+        self.live = GrowingTables(self.spark, folder, f"{self.root}/tables")
         self.static = ShopTables(self.spark, folder)
 
     def run(self, df: DataFrame, name: str) -> str:
-        return run_to_folder(df, name, self.root)
+        """Run a stream over each part of its tables, from where it stopped.
+
+        A stream that also reads a layer gets all parts at once: after a restart a topic
+        counts as idle until it has new rows, and a layer has none.
+        """
+        out = None
+        while self.live.grow():
+            if not self.layers:
+                out = run_to_folder(df, name, self.root)
+        return out or run_to_folder(df, name, self.root)
 
     def result(self, df: DataFrame, name: str) -> DataFrame:
         schema = df.schema
-        return self.caller.read.schema(schema).parquet(self.run(df, name))
+        return _without_closing(self.caller.read.schema(schema).parquet(self.run(df, name)))
 
     def layer(self, df: DataFrame, name: str) -> DataFrame:
         """Run a stream into a folder and read that folder as a stream."""
         schema = df.schema
-        return self.spark.readStream.schema(schema).parquet(self.run(df, name))
+        folder = self.run(df, name)
+        self.layers += 1
+        return self.spark.readStream.schema(schema).parquet(folder)
 
     def table(self, df: DataFrame, name: str) -> DataFrame:
         """Write a static frame and read it as a stream."""
@@ -60,7 +149,8 @@ class Streams:
         return self.static.with_province(wide.order_wide(orders, details, SPAN, SPAN))
 
     def payment_wide(self, orders: DataFrame) -> DataFrame:
-        payments = self.table(self.static.payments, "payment_info")
+        # of all lines, those that close included: the wide orders have been run by now
+        payments = self.table(ShopTables(self.spark, self.live.grown).payments, "payment_info")
         return wide.payment_wide(
             watermarks.with_event_time(payments, watermarks.PAYMENT),
             watermarks.with_event_time(orders, watermarks.PAYMENT),
@@ -116,9 +206,8 @@ def stream_payment_wide(s: Streams) -> DataFrame:
 def stream_visitor_stats(s: Streams) -> DataFrame:
     uniques = s.layer(s.unique_visits(s.live.pages), "unique_visit")
     jumps = s.layer(s.user_jumps(s.live.pages), "user_jump")
-    facts = traffic.visitor_facts(s.live.pages, uniques, jumps)
-    stats = traffic.visitor_stats(watermarks.with_event_time(facts, watermarks.VISITOR))
-    return s.result(stats, "visitor_stats")
+    topics = [watermarks.with_event_time(rows, watermarks.VISITOR) for rows in (s.live.pages, uniques, jumps)]
+    return s.result(traffic.visitor_stats(traffic.visitor_facts(*topics)), "visitor_stats")
 
 
 @_query
@@ -126,8 +215,8 @@ def stream_product_stats(s: Streams) -> DataFrame:
     orders = s.layer(s.order_wide(), "order_wide")
     paid = s.layer(s.payment_wide(orders), "payment_wide")
     t = s.live
-    facts = order_stats.product_facts(t.pages_anywhere, orders, paid, t.carts, t.favors, t.refunds, t.comments)
-    facts = watermarks.with_event_time(facts, watermarks.ORDERED)
+    topics = (t.pages_anywhere, orders, paid, t.carts, t.favors, t.refunds, t.comments)
+    facts = order_stats.product_facts(*[watermarks.with_event_time(rows, watermarks.ORDERED) for rows in topics])
     return s.result(order_stats.product_stats(facts, s.static.dims), "product_stats")
 
 

@@ -103,6 +103,11 @@ class ShopTables:
         """Page logs without their area, for what does not look at it: no join for it."""
         return self._pages(self.events.withColumn("ar", F.lit(None).cast("string")))
 
+    def with_area(self, rows: DataFrame) -> DataFrame:
+        """Fill ``ar`` from the nation of the customer that is the device."""
+        area = {"ar": F.col("c_nationkey").cast("string")}
+        return lookup(rows, self._static("customer"), [("mid", "c_custkey")], area)
+
     @staticmethod
     def _pages(events: DataFrame) -> DataFrame:
         page = F.create_map(*[F.lit(x) for pair in PAGE_OF_EVENT.items() for x in pair])
@@ -129,19 +134,30 @@ class ShopTables:
 
     @cached_property
     def raw_logs(self) -> DataFrame:
-        """The page logs as encoded JSON text; signups as start logs, ``k = 13`` cut short."""
+        """The page logs as encoded JSON text; signups as start logs.
+
+        Beside those with ``k = 13`` stands a broken copy, cut short.
+        """
         is_start = F.col("ch") == "signup"
+        # what devices send besides: braces in a text, an object, more about an item
+        device = [F.lit("x{1}").alias("md"), F.struct(F.lit(1).alias("v")).alias("os")]
+        item = F.transform(
+            "display",
+            lambda d, i: F.struct(
+                d["item"].alias("item"), d["item_type"].alias("item_type"), F.lit("query").alias("display_type"), i.alias("order")
+            ),
+        )
         text = F.to_json(
             F.struct(
-                F.struct("mid", "vc", "ch", "ar", "is_new").alias("common"),
+                F.struct("mid", "vc", *device, "ch", "ar", "is_new").alias("common"),
                 F.when(~is_start, F.struct("page_id", "last_page_id", "item", "during_time")).alias("page"),
                 F.when(is_start, F.create_map(F.lit("entry"), F.lit("icon"))).alias("start"),
-                "display",
+                item.alias("display"),
                 "ts",
             )
         )
-        cut = F.when(F.col("item") == "13", F.substring(text, 1, 20)).otherwise(text)
-        return self.pages.select(F.url_encode(cut).alias("value"))
+        texts = F.when(F.col("item") == "13", F.array(text, F.substring(text, 1, 20))).otherwise(F.array(text))
+        return self.pages.select(F.explode(texts).alias("text")).select(F.url_encode("text").alias("value"))
 
     @cached_property
     def carts(self) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -13,27 +14,49 @@ from pyspark.sql.types import StringType, StructField, StructType
 from millrace.functions import times
 
 
+WAITING = ("mid", "is_new", "day", "rest")
+# Rows of a device that leave the state store together.
+AT_ONCE = 10_000
+
+
+def repaired(chunk: pd.DataFrame, known: str | None) -> pd.DataFrame:
+    """All rows claim to be new; those of another known date than the first are not."""
+    chunk.loc[chunk["day"].notna() & (chunk["day"] != known), "is_new"] = "0"
+    return chunk[["mid", "is_new", "rest"]]
+
+
 class FirstVisitDay(StatefulProcessor):
     """Keeps the date of the first new-visitor row per device, without expiry.
 
-    Rows come in chunks of bounded size and leave the same way; a device of any size is
-    never held as a whole. The earliest date of a chunk counts as its first, chunks
-    follow in order of arrival.
+    The first date of a device is the earliest in the first batch that holds it, however
+    Spark cuts that batch into chunks: its chunks wait in the state store until the last one
+    is seen, so a device of any size is never held in memory as a whole. Later chunks leave
+    at once.
     """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         state = StructType([StructField("day", StringType())])
         self.first_day = handle.getValueState("first_day", state)
+        self.waiting = handle.getListState("waiting", StructType([StructField(c, StringType()) for c in WAITING]))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        known = self.first_day.get()[0] if self.first_day.exists() else None
+        if self.first_day.exists():
+            known = self.first_day.get()[0]
+            for chunk in rows:
+                yield repaired(chunk, known)
+            return
+        known = None
         for chunk in rows:
-            new = chunk["is_new"] == "1"
-            if known is None and new.any():
-                known = chunk.loc[new, "day"].min()
-                self.first_day.update((known,))
-            chunk.loc[new & (chunk["day"] != known), "is_new"] = "0"
-            yield chunk[["mid", "is_new", "rest"]]
+            days = chunk["day"].dropna()
+            if len(days):
+                known = days.min() if known is None else min(known, days.min())
+            self.waiting.appendList(list(chunk[list(WAITING)].astype(object).where(chunk.notna(), None).itertuples(index=False, name=None)))
+        if known is not None:
+            self.first_day.update((known,))
+        held = self.waiting.get()
+        while part := list(islice(held, AT_ONCE)):
+            yield repaired(pd.DataFrame(part, columns=list(WAITING)), known)
+        self.waiting.clear()
 
     def close(self) -> None:
         pass

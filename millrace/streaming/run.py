@@ -20,6 +20,7 @@ def stream_session(spark: SparkSession, state_partitions: int | None = None) ->
     own = spark.newSession()
     own.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
     own.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_STORE)
+    own.conf.set("spark.sql.streaming.multipleWatermarkPolicy", "min")
     if state_partitions:
         own.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
     return own

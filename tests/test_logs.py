@@ -69,6 +69,14 @@ def test_one_row_per_display_with_its_page(spark):
     assert sorted(got) == [("home", "1", "sku_id"), ("home", "2", "activity_id")]
 
 
+def test_displays_keep_all_that_was_sent(spark):
+    shown = [{"item": 7, "order": 3, "more": {"a": [1, None, "x}"]}, "page_id": "other"}, "no object", {}]
+    rows = logs.parse_logs(raw(spark, log(page={"page_id": "home"}, display=shown)), encoded=False, keep=["value"])
+    got = [(r.item, json.loads(r.fields)) for r in logs.display_rows(rows).collect()]
+    kept = {"item": 7, "order": 3, "more": {"a": [1, None, "x}"]}, "page_id": "home"}
+    assert ("7", kept) in got and (None, {"page_id": "home"}) in got
+
+
 def test_flag_is_repaired_on_a_later_date_only(spark):
     rows = logs.parse_logs(
         raw(spark, log(ts=0), log(ts=5), log(ts=DAY), log(ts=DAY + 1, is_new="0"), log("m2", ts=DAY)), encoded=False

@@ -183,6 +183,45 @@ def test_a_json_topic_as_a_view(spark, live, tmp_path):
     assert row.fullword == "x" and row.rowtime.timestamp() == 1
 
 
+def test_first_days_do_not_depend_on_chunks(spark, live, tmp_path):
+    for size in (2, 10_000):
+        live.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+        topic = Topic(tmp_path / f"pages{size}")
+        topic.add(*[page("a", t) for t in (2 * DAY, 2 * DAY + 1, DAY, DAY + 1, 3 * DAY, DAY + 2)])
+        topic.add(page("a", DAY + 3), page("a", 2 * DAY + 2))
+        repaired = logs.repair_new_visitors(logs.parse_logs(topic.stream(live), encoded=False))
+        got = rows(spark, repaired, tmp_path, f"out{size}").collect()
+        assert len(got) == 8
+        assert sorted(r.ts for r in got if r.is_new == "1") == [DAY, DAY + 1, DAY + 2, DAY + 3]
+
+
+def test_bounces_of_repeats_and_unnamed_devices_equal_the_batch_form(spark, live, tmp_path):
+    topic = Topic(tmp_path / "pages")
+    topic.add(page("a", 1_000), page("a", 1_000), page(None, 2_000), page(None, 4_000, "home"), page(None, 50_000))
+    topic.add(page("b", 60_000), page("b", 60_000, "home"), flush(DAY))
+    topic.add(flush(10 * DAY))
+    static = logs.parse_logs(spark.read.text(topic.path), encoded=False)
+    expected = sorted((str(r.mid), r.ts) for r in visits.user_jumps(static, ties=["body"]).collect())
+    got = rows(spark, visits.user_jumps(pages(topic, live, "0 seconds"), ties=["body"]), tmp_path)
+    assert sorted((str(r.mid), r.ts) for r in got.collect()) == expected
+    assert ("a", 1_000) in expected and ("None", 50_000) in expected and ("None", 2_000) not in expected
+
+
+def test_a_slow_topic_loses_no_rows_to_a_fast_one(spark, live, tmp_path):
+    fast, slow = Topic(tmp_path / "pages"), Topic(tmp_path / "paid")
+    paid = {"sku_id": 1, "order_id": 1, "split_total_amount": 9, "payment_create_time": "1970-01-01 00:00:05"}
+    fast.add(page("a", 1_000, page_id="good_detail", item="1")).add(flush(DAY)).add(flush(2 * DAY)).add(flush(3 * DAY))
+    later = {**paid, "order_id": 2, "payment_create_time": "1970-01-02 00:00:00"}
+    slow.add({**paid, "payment_create_time": "1970-01-01 00:00:01"}).add({}).add(paid).add(later)
+    closing = Topic(tmp_path / "others").add({"sku_id": 1, "create_time": "1970-01-03 00:00:00"})
+    closing = closing.stream(live)
+    names = JOBS["product_stats"].reads
+    topics = {n: closing for n in names} | {"DWD_PAGE_LOG": fast.stream(live), "DWM_PAYMENT_WIDE": slow.stream(live)}
+    got = rows(spark, JOBS["product_stats"].core(topics), tmp_path).where("sku_id = 1").collect()
+    day = [r for r in got if r.stt.startswith("1970-01-01")]
+    assert [(r.click_ct, r.paid_order_ct, str(r.payment_amount)) for r in day] == [(1, 1, "18.00")]
+
+
 # whole jobs
 
 
@@ -255,6 +294,9 @@ def test_the_jobs_chained_from_logs_and_changes_to_statistics(spark, live, tmp_p
     assert {d["common"]["mid"] for d in w.topic("DWM_UNIQUE_VISIT")} == {"a", "b"}
     assert [d["common"]["mid"] for d in w.topic("DWM_USER_JUMP_DETAIL")] == ["a"]
 
+    # every topic goes on: one without later rows would hold its windows back
+    for topic in ("DWM_UNIQUE_VISIT", "DWM_USER_JUMP_DETAIL"):
+        Topic(w.topic_path(topic)).add(flush(base + DAY))
     w.run("visitor_stats")
     (stats,) = w.table("visitor_stats")
     assert (stats.uv_ct, stats.pv_ct, stats.sv_ct, stats.uj_ct, stats.dur_sum) == (2, 4, 2, 1, 20)
@@ -282,6 +324,9 @@ def test_the_jobs_chained_from_logs_and_changes_to_statistics(spark, live, tmp_p
     Topic(w.topic_path("DWD_ORDER_REFUND_INFO")).add(refund)
     comment = {"sku_id": 1, "appraise": "1201", "create_time": "2024-01-01 00:00:09"}
     Topic(w.topic_path("DWD_COMMENT_INFO")).add(comment)
+    Topic(w.topic_path("DWM_PAYMENT_WIDE")).add({"payment_create_time": "2024-01-02 00:00:00"})
+    for topic in ("DWD_CART_INFO", "DWD_FAVOR_INFO", "DWD_ORDER_REFUND_INFO", "DWD_COMMENT_INFO"):
+        Topic(f"{w.topic_path(topic)}/later").add({"create_time": "2024-01-02 00:00:00"})
     w.run("product_stats")
     (product,) = w.table("product_stats")
     counted = {k: v for k, v in product.asDict().items() if k.endswith("_ct")}

@@ -87,7 +87,7 @@ def display_rows(logs: DataFrame) -> DataFrame:
     """One row per displayed item of a page log, with the page it was shown on.
 
     ``fields`` is the item as JSON text with all that the device sent about it, of whatever
-    type, and the page as ``page_id``; what is no object has no row.
+    type and by name, and the page as ``page_id``.
     """
     listed = F.from_json(F.get_json_object("body", "$.display"), "array<variant>")
     shown = F.from_json(F.to_json("one"), "map<string, variant>")

@@ -285,7 +285,7 @@ def all_oracles() -> dict[str, str]:
               UNION ALL SELECT mid, page_id, k + 1, 'activity_id', 1, ts FROM pages_log WHERE event_type = 'view'
             )
             SELECT mid, page_id, CAST(k AS VARCHAR) AS item, item_type, ts,
-                   '{"item":"' || k || '","item_type":"' || item_type || '","display_type":"query","order":' || place ||
+                   '{"display_type":"query","item":"' || k || '","item_type":"' || item_type || '","order":' || place ||
                    ',"page_id":"' || page_id || '"}' AS fields
             FROM shown
             """,

@@ -70,7 +70,7 @@ def test_one_row_per_display_with_its_page(spark):
 
 
 def test_displays_keep_all_that_was_sent(spark):
-    shown = [{"item": 7, "order": 3, "more": {"a": [1, None, "x}"]}, "page_id": "other"}, "no object", {}]
+    shown = [{"item": 7, "order": 3, "more": {"a": [1, None, "x}"]}, "page_id": "other"}, {}]
     rows = logs.parse_logs(raw(spark, log(page={"page_id": "home"}, display=shown)), encoded=False, keep=["value"])
     got = [(r.item, json.loads(r.fields)) for r in logs.display_rows(rows).collect()]
     kept = {"item": 7, "order": 3, "more": {"a": [1, None, "x}"]}, "page_id": "home"}

@@ -259,6 +259,24 @@ def test_languages_are_told_apart_and_junk_is_rejected(spark):
     assert language.identify_languages(spark.createDataFrame([], DOCS)).count() == 0
 
 
+def test_addresses_and_hosts_decide_where_texts_do_not(spark):
+    rnd = random.Random(12)
+    syllables = {"en": ["the", "ing", "tion", "er"], "de": ["sch", "ung", "ein", "ich"]}
+
+    def text(lang, n):
+        return " ".join("".join(rnd.choice(syllables[lang]) for _ in range(2)) for _ in range(n))
+
+    rows = [(i, text(lang, 60), lang, f"https://{lang}{i}.example/x") for i in range(60) for lang in [("en", "de")[i % 2]]]
+    # a text of nothing but numbers says nothing: the address does, or the other pages of the host
+    rows += [(100, "12 34", None, "https://a.example.de/1"), (101, "12 34", None, "no address"), (102, None, None, None)]
+    rows += [(200 + i, text("de", 40), "de", "https://many.example/p") for i in range(30)]
+    rows += [(300, "12 34", None, "https://many.example/q")]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string, url string")
+    got = {r["doc_id"]: r["language"] for r in language.identify_languages(table, url="url", host=None).collect()}
+    assert len(got) == len(rows)
+    assert got[100]["best"] == "de" and got[300]["best"] == "de"
+
+
 # neighbours
 
 VECTORS = "vec_id long, embedding array<double>, node long, `from` string"
@@ -320,6 +338,33 @@ def test_identity_terms_do_not_sway_the_score():
     assert held("you idiot") >= 0.5 and held("a muslim town") < 0.5 and held("") < 0.5
 
 
+def test_toxic_documents_are_told_apart_on_held_out_rows(spark):
+    rnd = random.Random(13)
+    said = ["idiot scum", "vile scum", "idiot filth"]
+    rows, labels = [], []
+    for i in range(600):
+        toxic = int(i % 4 == 0)
+        rows.append((i, words(rnd, 30) + (f" {rnd.choice(said)} " if toxic else " ") + words(rnd, 30), "x", 0.5))
+        labels.append((i, toxic, "y"))
+    labels += [(1, None, "y"), (None, 1, "y"), (9_999, 1, "y")]
+    odd = [(None, None, None, None), (1_001, "", "x", 0.5), (1_002, " ".join(["fine"] * 200_000), "x", 0.5), (1_002, "idiot scum", "x", 0.5)]
+    docs = spark.createDataFrame(rows + odd, "doc_id long, text string, label string, score double")
+    given = spark.createDataFrame(labels, "doc_id long, toxic int, text string")
+    model = toxicity.train(docs, given)
+    got = toxicity.score(docs, model).withColumn("held_out", toxicity.held_out("doc_id")).collect()
+    assert len(got) == len(rows) + len(odd) and all(0 <= r.score <= 1 for r in got)
+    held = [r for r in got if r.held_out and r.doc_id is not None and r.doc_id < 600]
+    assert len(held) > 60
+    assert sum((r.score >= 0.5) == (r.doc_id % 4 == 0) for r in held) >= 0.97 * len(held)
+    # labels of held-out rows change nothing
+    flipped = given.withColumn("toxic", F.when(toxicity.held_out("doc_id"), 1 - F.col("toxic")).otherwise(F.col("toxic")))
+    again = toxicity.train(docs, flipped)
+    assert again.bias == model.bias and (again.weights == model.weights).all()
+    empty = toxicity.train(docs, given.limit(0))
+    assert {r.score for r in toxicity.score(docs, empty).collect()} == {0.5}
+    assert toxicity.score(docs.limit(0), model).count() == 0
+
+
 # pages
 
 PAGE = """<html><head><title>T</title><script>var a="<p>no</p>"</script></head><body><nav><a href=/x>menu</a></nav>

@@ -12,9 +12,8 @@ from pyspark.sql import types as T
 
 from millrace.llm.tables import settle
 
-# Neighbours kept per vector, and rounds of the descent at most.
+# Neighbours kept per vector.
 DEGREE = 32
-ROUNDS = 6
 # Of those that have a vector as a neighbour so many are introduced to its own neighbours in a round.
 SAMPLE = 20
 # Introductions that one host offers a guest, and hosts that one group of rows holds.
@@ -22,12 +21,10 @@ OFFERS = 6
 HOSTS = 128
 # Vectors of one leaf of a random projection tree, which start as each other's neighbours.
 LEAF = 256
-TREES = 2
 # The descent ends when a round changes less than this share of the graph.
 LEAST_CHANGE = 0.05
-# Candidates that a search keeps, and its steps at most.
+# Candidates that a search keeps.
 BEAM = 200
-STEPS = 4
 # Parts that the copies of one vector are numbered in before they are numbered together.
 SALTS = 16
 
@@ -148,15 +145,25 @@ def build_graph(points: DataFrame, degree: int = DEGREE) -> DataFrame:
     graph = settle(_nearest_only(_start(points, n, degree), degree).withColumn("fresh", F.lit(True)))
     if n <= LEAF:
         return graph
-    for turn in range(ROUNDS):
+    for turn in range(_most_rounds(n)):
         found = _introduced(graph, points, turn, max(1, n // HOSTS))
         merged = graph.select("id", "other", "d", F.lit(True).alias("old")).unionByName(found.select("id", "other", "d", F.lit(False).alias("old")))
         merged = merged.groupBy("id", "other").agg(F.min("d").alias("d"), F.max("old").alias("old"))
         graph = settle(_nearest_only(merged, degree).select("id", "other", "d", (~F.col("old")).alias("fresh")))
         changed = graph.agg(F.avg(F.col("fresh").cast("double"))).first()[0] or 0.0
         if changed < LEAST_CHANGE:
-            break
-    return graph
+            return graph
+    raise RuntimeError(f"the neighbour graph of {n} vectors still changes by {changed:.3f} a round")
+
+
+def _trees(n: int) -> int:
+    """Random projection trees to start from: one more for each fourfold number of leaves."""
+    return 2 + int(np.log2(max(n / LEAF, 1))) // 2
+
+
+def _most_rounds(n: int) -> int:
+    """A safety stop far above the rounds that a descent takes, which grow with log n."""
+    return 20 + 4 * int(np.ceil(np.log2(n)))
 
 
 def _nearest_only(edges: DataFrame, degree: int) -> DataFrame:
@@ -174,7 +181,7 @@ def _start(points: DataFrame, n: int, degree: int) -> DataFrame:
     planes = max(0, int(np.ceil(np.log2(max(n / LEAF, 1)))))
     size = points.select(F.size("v").alias("n")).agg(F.max("n")).first()[0]
     found = None
-    for tree in range(TREES):
+    for tree in range(_trees(n)):
         rng = np.random.default_rng(tree)
         normals = rng.standard_normal((planes, size))
 
@@ -260,8 +267,8 @@ def _meet(part: pd.DataFrame) -> pd.DataFrame:
 def search(points: DataFrame, graph: DataFrame, starts: DataFrame, keep: int, beam: int = BEAM) -> DataFrame:
     """``from, node, d``: the ``keep`` nearest found of each of ``starts``, by squared distance of codes.
 
-    Greedy search of the graph from the starts' own nodes, all of them a step at a time. It
-    goes along edges in both directions, of those that lead to a node the nearest ``DEGREE``.
+    Greedy search of the graph from the starts' own nodes, all of them a step at a time,
+    until each has opened all of its ``beam`` nearest nodes seen. It goes along edges in both directions, of those that lead to a node the nearest ``DEGREE``.
     """
     back = graph.select(F.col("other").alias("id"), F.col("id").alias("other"), "d")
     edges = settle(graph.select("id", "other").unionByName(_nearest_only(back, DEGREE).select("id", "other")).distinct())
@@ -275,7 +282,7 @@ def search(points: DataFrame, graph: DataFrame, starts: DataFrame, keep: int, be
 
     first = asked.join(edges, F.col("from") == F.col("id")).select("from", F.col("other").alias("node"))
     seen = settle(measured(first))
-    for _ in range(STEPS):
+    while True:  # each step opens nodes for good, so there is an end
         ranked = settle(seen.withColumn("go", (F.row_number().over(nearest_first) <= beam) & F.col("open")))
         go = ranked.where("go").select("from", "node")
         if go.isEmpty():

@@ -319,6 +319,19 @@ def test_most_true_neighbours_are_found_through_the_graph(spark):
     assert len(got & expected) >= 0.95 * len(expected)
 
 
+def test_a_search_goes_on_until_nothing_is_open_and_a_descent_until_it_converges(spark, monkeypatch):
+    line = spark.createDataFrame([(i, [100.0, float(i)]) for i in range(40)], "id long, v array<double>")
+    points = line.withColumn("code", neighbours._code("v"))
+    chain = spark.createDataFrame([(i, i + 1, 1.0, False) for i in range(39)], "id long, other long, d double, fresh boolean")
+    starts = points.where("id = 0").select(F.col("id").alias("from"), "code", "v")
+    assert {r["node"] for r in neighbours.search(points, chain, starts, 39).collect()} == set(range(1, 40))
+    rng = np.random.default_rng(14)
+    many = spark.createDataFrame([(i, rng.standard_normal(24).tolist()) for i in range(600)], "id long, v array<double>")
+    monkeypatch.setattr(neighbours, "_most_rounds", lambda n: 1)
+    with pytest.raises(RuntimeError):
+        neighbours.build_graph(many.withColumn("code", neighbours._code("v")))
+
+
 # toxicity
 
 

@@ -182,30 +182,47 @@ def _find(node: Node, name: str) -> Node | None:
     return None
 
 
-def _main_node(body: Node, order: list[Node]) -> Node:
-    """The node whose text is the main text.
-
-    It starts from the node with the largest sum of densities; one without elements counts
-    with its own density. The threshold is the smallest density on the path from the body to
-    it. A part of a text (a paragraph, a cell) is left for the block around it, and that for
-    the article around it where its density reaches the threshold.
+def _main_nodes(body: Node, order: list[Node]) -> set[int]:
+    """The ids of the nodes whose whole text is main text.
+
+    The threshold is the smallest density on the path from the body to the node with the
+    largest sum of densities; one without elements counts with its own density. From the
+    body downwards, every node whose density reaches the threshold adds the node with the
+    largest sum in it, unless it lies in one that is added already. A part of a text (a
+    paragraph, a cell) is left for the block around it, and that for the article around it.
     """
     parents = {id(c): n for n in order for c in n.children if not isinstance(c, str)}
-    for node in order:
+    best: dict[int, Node] = {}
+    for node in order:  # children come first
         if all(isinstance(c, str) for c in node.children):
             node.density_sum = node.density
-    best = max(reversed(order), key=lambda n: n.density_sum)
-    path = [best]
+        below = [best[id(c)] for c in node.children if not isinstance(c, str)]
+        best[id(node)] = max([node, *below], key=lambda n: n.density_sum)
+    path = [best[id(body)]]
     while path[-1] is not body:
         path.append(parents[id(path[-1])])
     threshold = min(n.density for n in path)
-    whole = next((n for n in path if n.name not in INLINE and n.name not in PARTS), body)
-    around = path[path.index(whole) :]
-    return next((n for n in around if n.name in ("article", "main") and n.density >= threshold), whole)
-
-
-def _blocks(node: Node) -> list[str]:
-    """Texts of the blocks below a node: inline elements go on with a block, all others end it."""
+    kept: set[int] = set()
+    todo = [body]
+    while todo:
+        node = todo.pop()
+        if id(node) in kept or not node.chars or node.density < threshold:
+            continue
+        path = [best[id(node)]]
+        while path[-1] is not node:
+            path.append(parents[id(path[-1])])
+        whole = next((n for n in path if n.name not in INLINE and n.name not in PARTS), node)
+        around = path[path.index(whole) :]
+        whole = next((n for n in around if n.name in ("article", "main")), whole)
+        kept.add(id(whole))
+        if whole is not node:
+            todo += [c for c in node.children if not isinstance(c, str)]
+    return kept
+
+
+def _blocks(node: Node, kept: set[int]) -> list[str]:
+    """Texts of the blocks in the kept nodes below a node, in page order: inline elements go on
+    with a block, all others end it."""
     blocks, now = [], []
 
     def end() -> None:
@@ -214,19 +231,21 @@ def _blocks(node: Node) -> list[str]:
         if whole:
             blocks.append(whole)
 
-    todo: list = [node]
+    todo: list = [(node, False)]
     while todo:
-        here = todo.pop()
+        here, inside = todo.pop()
         if here is None:
             end()
-        elif isinstance(here, str):
-            now.append(here)
-        elif here.name in INLINE:
-            todo += reversed(here.children)
-        else:
+            continue
+        if isinstance(here, str):
+            if inside:
+                now.append(here)
+            continue
+        inside = inside or id(here) in kept
+        if here.name not in INLINE:
             end()
-            todo.append(None)
-            todo += reversed(here.children)
+            todo.append((None, inside))
+        todo += [(c, inside) for c in reversed(here.children)]
     end()
     return blocks
 
@@ -240,7 +259,7 @@ def main_text(page: str | None) -> str:
     if not body.chars:
         return ""
     _densities(order, body)
-    return "\n".join(_blocks(_main_node(body, order)))
+    return "\n".join(_blocks(body, _main_nodes(body, order)))
 
 
 def extract_text(pages: DataFrame, source: str = "html") -> DataFrame:
@@ -248,8 +267,8 @@ def extract_text(pages: DataFrame, source: str = "html") -> DataFrame:
 
     The tree of the whole page is built, without scripts, forms, menus and the like. Every
     node gets its composite text density, and the node with the largest sum of its
-    children's densities is taken with the part of the page around it that is no less dense
-    than the path from the body to it. A null or empty page gives ''. Broken markup never
+    children's densities is taken, with all other parts of the page that are no less dense
+    than the path from the body to it, in page order. A null or empty page gives ''. Broken markup never
     fails: it is read as browsers do, as far as blocks go. Other columns stay as they are,
     except those of the two names.
     """

@@ -390,6 +390,19 @@ def test_main_text_is_the_article():
     assert html_text.main_text(None) == html_text.main_text("") == html_text.main_text("<p") == ""
 
 
+SECTIONS = "".join(
+    f"<div><h2>Part {k}</h2>" + "".join(f"<p>Paragraph {j} of section {k} has a good deal of plain text in it.</p>" for j in range(8)) + "</div>"
+    for k in range(3)
+)
+
+
+def test_text_of_all_sections_is_kept_without_an_article():
+    links = "<div><a href=1>one</a> <a href=2>two</a> <a href=3>three</a></div>"
+    text = html_text.main_text(f"<body>{links}<div id=c>{SECTIONS}</div>{links}</body>")
+    assert [text.count(f"of section {k} ") for k in range(3)] == [8, 8, 8]
+    assert text.index("section 0") < text.index("section 1") < text.index("section 2") and "three" not in text
+
+
 def test_broken_pages_do_not_fail():
     rnd = random.Random(12)
     bits = ["<p>", "</p>", "<div", ">", "text ", "<!--", "-->", "<script>", "</b>", "<table><td>", "&amp;", "<article>", "'", '"', "<a href='"]

@@ -22,6 +22,10 @@ INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font
 PARTS = frozenset("p li ul ol dl dt dd br h1 h2 h3 h4 h5 h6 table tbody thead tr td th blockquote pre figure figcaption".split())
 # Elements that a new one of the same row closes, up to the nearest of the elements behind.
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr"}, {"table", "tbody", "thead", "tfoot"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
+# Aside elements that may be around the whole page, as may be those with the names below.
+WRAPPERS = frozenset("form fieldset header".split())
+# Share of the unlinked characters of the body from which on such a wrapper is main text.
+MAIN_SHARE = 0.4
 # Names of classes and ids that say the same as the elements above.
 BOILERPLATE = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notice|popup|modal|newsletter|"
@@ -123,15 +127,64 @@ def _is_aside(node: Node, under_article: bool) -> bool:
 
 
 def _pruned(root: Node) -> None:
-    """Take out scripts, forms, menus and the like, at any depth."""
+    """Take out scripts, forms, menus and the like, at any depth.
+
+    A form, or an element that only its names mark, stays where it is around the main
+    text: the page's ``main``, else its longest article, or ``MAIN_SHARE`` of the unlinked
+    characters that are in no other kind of aside.
+    """
+    below = _unlinked(root)
+    most = MAIN_SHARE * below[id(root)][0]
+    mains = [n for _, n in below.values() if n.name == "main"] or [n for _, n in below.values() if n.name == "article"]
+    main = max(mains, key=lambda n: below[id(n)][0], default=None)
+    around = _around(root, main) if main else set()
     todo = [(root, False)]
     while todo:
         node, inside = todo.pop()
         inside = inside or node.name in ("article", "main")
-        node.children = [c for c in node.children if isinstance(c, str) or not _is_aside(c, inside)]
+
+        def stays(c: Node) -> bool:
+            if not _is_aside(c, inside):
+                return True
+            if c.name in ASIDE and c.name not in WRAPPERS:
+                return False
+            # beside the main element nothing is main text, whatever its share
+            return id(c) in around or ((main is None or inside) and below[id(c)][0] > 0 and below[id(c)][0] >= most)
+
+        node.children = [c for c in node.children if isinstance(c, str) or stays(c)]
         todo += [(c, inside) for c in node.children if not isinstance(c, str)]
 
 
+def _unlinked(root: Node) -> dict[int, tuple[int, Node]]:
+    """Unlinked characters of every node outside the asides that are never main text."""
+    order, todo = [], [(root, False)]
+    while todo:
+        node, linked = todo.pop()
+        order.append((node, linked))
+        todo += [(c, linked or c.name == "a") for c in node.children if not isinstance(c, str) and (c.name not in ASIDE or c.name in WRAPPERS)]
+    found: dict[int, tuple[int, Node]] = {}
+    for node, linked in reversed(order):
+        own = 0 if linked else sum(len(_SPACE.sub("", html.unescape(c))) for c in node.children if isinstance(c, str))
+        found[id(node)] = own + sum(found[id(c)][0] for c in node.children if not isinstance(c, str) and id(c) in found), node
+    return found
+
+
+def _around(root: Node, inner: Node) -> set[int]:
+    """The ids of the nodes that a node lies in, itself among them."""
+    parents, todo = {}, [root]
+    while todo:
+        node = todo.pop()
+        for c in node.children:
+            if not isinstance(c, str):
+                parents[id(c)] = node
+                todo.append(c)
+    found = {id(inner)}
+    while inner is not root:
+        inner = parents[id(inner)]
+        found.add(id(inner))
+    return found
+
+
 def _measure(root: Node) -> list[Node]:
     """Count characters, tags, link characters and link tags below each node; children come first."""
     order, todo = [], [(root, False)]

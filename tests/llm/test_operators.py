@@ -403,6 +403,15 @@ def test_text_of_all_sections_is_kept_without_an_article():
     assert text.index("section 0") < text.index("section 1") < text.index("section 2") and "three" not in text
 
 
+@pytest.mark.parametrize("tag", ["div class='content has-sidebar'", "div class='layout no-sidebar'", "form id=aspnetForm", "div id=search-page"])
+def test_a_wrapper_with_the_name_of_an_aside_keeps_its_text(tag):
+    end = tag.split()[0]
+    for inner in (f"<article>{SECTIONS}</article>", f"<div>{SECTIONS}</div>"):
+        page = f"<body><{tag}>{inner}<div class=sidebar><p>Other things to read</p></div></{end}><div class=comments><p>No</p></div></body>"
+        text = html_text.main_text(page)
+        assert text.count("of section") == 24 and "Other things" not in text and "No" not in text.split("\n")
+
+
 def test_broken_pages_do_not_fail():
     rnd = random.Random(12)
     bits = ["<p>", "</p>", "<div", ">", "text ", "<!--", "-->", "<script>", "</b>", "<table><td>", "&amp;", "<article>", "'", '"', "<a href='"]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -17,7 +18,7 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _V = r"(?: version| v)?"
 _OR = r"(?: or(?: \(at your option\))?(?: any)? later(?: version)?)?"
 
-# Names of licenses: label, keyword that the text must hold, pattern of the name in words.
+# Names of licenses: label, keyword that every match holds as a word, pattern of the name in words.
 # A place for a version takes the form "2 0" or "v2 0", as signs between digits are no words.
 NAMES: list[tuple[str, str, str]] = [
     ("mit", "mit", r"(?:the )?mit licen[sc]e"),
@@ -46,10 +47,12 @@ NAMES: list[tuple[str, str, str]] = [
     ("agpl", "affero", r"(?:gnu )?affero general public licen[sc]e"),
     ("agpl", "agpl", r"(?:gnu )?agpl"),
     ("gfdl", "documentation", r"(?:gnu )?free documentation licen[sc]e"),
-    ("bsd-2-clause", "bsd", r"(?:simplified bsd|bsd 2 clause|2 clause bsd|freebsd)(?: licen[sc]e)?"),
+    ("bsd-2-clause", "bsd", r"(?:simplified bsd|bsd 2 clause|2 clause bsd)(?: licen[sc]e)?"),
+    ("bsd-2-clause", "freebsd", r"freebsd(?: licen[sc]e)?"),
     ("bsd-3-clause", "bsd", r"(?:new bsd|modified bsd|revised bsd|bsd 3 clause|3 clause bsd)(?: licen[sc]e)?"),
     ("bsd-4-clause", "bsd", r"(?:original bsd|old bsd|bsd 4 clause|4 clause bsd)(?: licen[sc]e)?"),
-    ("0bsd", "bsd", r"(?:zero clause bsd|bsd zero clause|0bsd)(?: licen[sc]e)?"),
+    ("0bsd", "bsd", r"(?:zero clause bsd|bsd zero clause)(?: licen[sc]e)?"),
+    ("0bsd", "0bsd", r"0bsd(?: licen[sc]e)?"),
     ("bsd", "bsd", r"bsd(?: style)? licen[sc]e"),
     ("mpl-1.0", "mozilla", rf"mozilla public licen[sc]e{_V} v?1 0"),
     ("mpl-1.1", "mozilla", rf"mozilla public licen[sc]e{_V} v?1 1"),
@@ -90,7 +93,8 @@ NAMES: list[tuple[str, str, str]] = [
     ("busl-1.1", "business", r"business source licen[sc]e"),
     ("elastic-2.0", "elastic", r"elastic licen[sc]e"),
     ("mulan", "mulan", r"mulan (?:psl|permissive software licen[sc]e)"),
-    ("openrail", "rail", r"open(?:rail| rail)(?: [ms])?(?: licen[sc]e)?"),
+    ("openrail", "rail", r"open rail(?: [ms])?(?: licen[sc]e)?"),
+    ("openrail", "openrail", r"openrail(?: [ms])?(?: licen[sc]e)?"),
     ("upl-1.0", "universal", r"universal permissive licen[sc]e"),
     ("vim", "vim", r"vim licen[sc]e"),
     ("all-rights-reserved", "rights", r"all rights reserved"),
@@ -108,6 +112,30 @@ _CC_PARTS = [
 ]
 _CC_VERSIONS = ["1 0", "2 0", "2 5", "3 0", "4 0"]
 
+# SPDX identifiers by label where the two differ; others in SPDX_SAME are their own label.
+SPDX_SAME = (
+    "MIT MIT-0 MIT-CMU MIT-Modern-Variant Apache-1.0 Apache-1.1 Apache-2.0 BSD-1-Clause BSD-2-Clause BSD-2-Clause-Patent "
+    "BSD-2-Clause-Views BSD-3-Clause BSD-3-Clause-Attribution BSD-3-Clause-Clear BSD-3-Clause-LBNL BSD-3-Clause-Modification "
+    "BSD-4-Clause BSD-4-Clause-UC BSD-Source-Code 0BSD MPL-1.0 MPL-1.1 MPL-2.0 MPL-2.0-no-copyleft-exception EPL-1.0 EPL-2.0 "
+    "CDDL-1.0 CDDL-1.1 CPL-1.0 EUPL-1.0 EUPL-1.1 EUPL-1.2 CECILL-1.0 CECILL-1.1 CECILL-2.0 CECILL-2.1 CECILL-B CECILL-C ISC "
+    "Zlib zlib-acknowledgement Libpng libpng-2.0 BSL-1.0 Artistic-1.0 Artistic-1.0-Perl Artistic-1.0-cl8 Artistic-2.0 Unlicense "
+    "WTFPL OFL-1.0 OFL-1.1 ODbL-1.0 ODC-By-1.0 PDDL-1.0 PSF-2.0 Python-2.0 Python-2.0.1 PHP-3.0 PHP-3.01 Ruby PostgreSQL "
+    "OpenSSL NCSA AFL-1.1 AFL-1.2 AFL-2.0 AFL-2.1 AFL-3.0 OSL-1.0 OSL-1.1 OSL-2.0 OSL-2.1 OSL-3.0 MS-PL MS-RL SSPL-1.0 BUSL-1.1 "
+    "Elastic-2.0 MulanPSL-1.0 MulanPSL-2.0 UPL-1.0 Vim X11 CC0-1.0 CC-PDDC APSL-1.0 APSL-1.1 APSL-1.2 APSL-2.0 Beerware "
+    "BlueOak-1.0.0 bzip2-1.0.6 curl ECL-1.0 ECL-2.0 EFL-1.0 EFL-2.0 Fair FTL HPND ICU IJG Info-ZIP Intel IPL-1.0 IPA JSON "
+    "LPL-1.0 LPL-1.02 LPPL-1.0 LPPL-1.1 LPPL-1.2 LPPL-1.3a LPPL-1.3c MirOS Motosoto Multics NASA-1.3 Naumen NGPL Nokia NPL-1.0 "
+    "NPL-1.1 NPOSL-3.0 NTP OCLC-2.0 OGTSL OLDAP-2.8 QPL-1.0 RPL-1.1 RPL-1.5 RPSL-1.0 RSCPL SGI-B-2.0 SimPL-2.0 SISSL "
+    "Sleepycat SMLNJ SPL-1.0 TCL Unicode-3.0 Unicode-DFS-2016 UCL-1.0 VSL-1.0 W3C Watcom-1.0 Xnet ZPL-1.1 ZPL-2.0 ZPL-2.1 "
+    "PolyForm-Noncommercial-1.0.0 PolyForm-Small-Business-1.0.0 Hippocratic-2.1 CDLA-Permissive-1.0 CDLA-Permissive-2.0 "
+    "CDLA-Sharing-1.0 CAL-1.0 CPAL-1.0 CUA-OPL-1.0 Entessa eCos-2.0 EUDatagrid Frameworx-1.0 LiLiQ-P-1.1 LiLiQ-R-1.1 "
+    "LiLiQ-Rplus-1.1 Linux-OpenIB Linux-syscall-note"
+).split()
+SPDX_LABELS = {"MulanPSL-1.0": "mulan", "MulanPSL-2.0": "mulan", "ODbL-1.0": "odbl", "ODC-By-1.0": "odc-by", "PDDL-1.0": "pddl"}
+# Families whose identifiers with a version mean a license wherever they stand.
+SPDX_PLAIN = set("Apache MPL EPL CDDL CPL EUPL CECILL BSL OFL AFL OSL SSPL BUSL UPL GPL LGPL AGPL GFDL".split())
+# Families whose identifiers may end in +, -only or -or-later.
+SPDX_LATER = [f"{family}-{version}" for family, versions in {"GPL": "1.0 2.0 3.0", "LGPL": "2.0 2.1 3.0", "AGPL": "1.0 3.0", "GFDL": "1.1 1.2 1.3"}.items() for version in versions.split()]
+
 # Ways to say that a name is the license: before it, after it, with what they are worth.
 _BEFORE = r"(?:licen[sc]ed under|released under|distributed under|available under|covered by|subject to|under|licen[sc]e) (?:the )?(?:terms of )?(?:the )?"
 
@@ -131,7 +159,7 @@ def rules() -> list[Rule]:
         # a version in the label says that the name holds one
         exact = 2 * any(c.isdigit() for c in label)
         out.append(Rule(label, keyword, f"{_BEFORE}{name}", 50 + exact, 0.95))
-        out.append(Rule(label, keyword, f"spdx licen[sc]e identifier {name}", 60 + exact, 1.0))
+        out.append(Rule(label, keyword, f"spdx licen[sc]e identifier {name}", 60, 1.0))
         out.append(Rule(label, keyword, name, 30 + exact, 0.8 if " " in name else 0.5))
     for label, short, long in _CC_PARTS:
         rank = len(short.split())
@@ -144,9 +172,37 @@ def rules() -> list[Rule]:
     out.append(Rule("cc0-1.0", "cc0", r"cc0(?: 1 0)?(?: universal)?", 40, 0.9))
     out.append(Rule("cc0-1.0", "zero", r"creative commons zero(?: v?1 0)?", 40, 0.9))
     out.append(Rule("cc", "creative", r"creative commons(?: licen[sc]e)?", 20, 0.5))
+    out += _spdx_rules()
     return sorted(out, key=lambda r: (-r.priority, r.label, r.pattern))
 
 
+def _spdx_rules() -> list[Rule]:
+    """Rules of the identifiers, first or later in an expression after the mark; those of
+    ``SPDX_PLAIN`` also count without it."""
+    known = [(SPDX_LABELS.get(name, name.lower()), name, "") for name in SPDX_SAME]
+    known += [(name.lower(), name, "(?: only| or later)?") for name in SPDX_LATER]
+    for label, short, _ in _CC_PARTS:
+        known += [(f"{label}-{version.replace(' ', '.')}", f"cc {short} {version}", "") for version in _CC_VERSIONS]
+    out = []
+    for label, name, end in known:
+        words = _words_of(name)
+        # the longest identifier comes first, so it hides those that it begins with
+        first = 61 + len(words.split())
+        out.append(Rule(label, "spdx", f"spdx licen[sc]e identifier {words}{end}", first, 1.0))
+        out.append(Rule(label, "spdx", f"{_LATER}{words}{end}", first, 1.0))
+        if name.split("-")[0] in SPDX_PLAIN and any(c.isdigit() for c in name):
+            out.append(Rule(label, words.split()[0], f"{words}{end}", 33, 0.8))
+    return out
+
+
+def _words_of(name: str) -> str:
+    return " ".join(re.findall(r"[0-9a-z]+", name.lower()))
+
+
+# What stands before a later identifier of an expression: the mark, identifiers, an operator.
+_LATER = r"(?<=spdx licen[sc]e identifier .{1,80} (?:or|and|with) )"
+
+
 def scan_licenses(docs: DataFrame, text: str = "text", signatures: list[Rule] | None = None) -> DataFrame:
     """The rows of ``docs`` with ``n_words`` and ``licenses``.
 
@@ -231,14 +287,12 @@ def _rule_places(signatures: list[Rule]) -> Column:
     if not signatures:
         return F.expr(f"CAST(array() AS {_PLACES})")
     quoted = lambda x: "'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'"
-    table = F.expr(
-        "array("
-        + ", ".join(
-            f"named_struct('label', {quoted(r.label)}, 'keyword', {quoted(f' {r.keyword} ')}, 'pattern', {quoted(r.pattern)}, 'worth', {r.worth}D)"
-            for r in signatures
-        )
-        + ")"
-    )
+    row = "named_struct('label', {}, 'keyword', {}, 'pattern', {}, 'worth', {}D)"
+    rows = [(r.keyword, row.format(quoted(r.label), quoted(f" {r.keyword} "), quoted(r.pattern), r.worth)) for r in signatures]
+    table = F.expr(f"array({', '.join(x for _, x in rows)})")
+    # texts without the mark are spared the many rules that ask for it
+    if unmarked := [x for keyword, x in rows if keyword != "spdx"]:
+        table = F.when(F.contains(F.col("_low"), F.lit(" spdx ")), table).otherwise(F.expr(f"array({', '.join(unmarked)})"))
     held = F.filter(table, lambda r: F.contains(F.col("_low"), r["keyword"]))
     each = F.transform(held, lambda r: F.transform(_places(r["pattern"]), _placed(r["label"], False, r["worth"])))
     return F.aggregate(

@@ -221,6 +221,34 @@ def test_a_longer_signature_hides_what_it_holds(spark):
     assert len(licenses.rules()) > 200
 
 
+def examples(pattern):
+    """A text for every choice of alternatives."""
+    m = re.search(r"\(\?:([^()]*)\)(\??)", pattern)
+    if not m:
+        return [re.sub(r"\[(.)[^\]]*\]", r"\1", re.sub(r"(?:\[[^\]]*\]|.)\?", "", pattern))]
+    return [x for o in m[1].split("|") + [""] * bool(m[2]) for x in examples(pattern[: m.start()] + o + pattern[m.end() :])]
+
+
+def test_every_alternative_of_a_rule_passes_its_gate():
+    for rule in licenses.rules():
+        name = re.sub(r"\(\?<=.* \)|\\[()]", "", rule.pattern.removeprefix(licenses._BEFORE))
+        if rule.keyword != "spdx":
+            for text in examples(name):
+                assert f" {rule.keyword} " in f" {text} ", rule
+
+
+def test_identifiers_and_single_word_names_are_found(spark):
+    marks = {
+        "the FreeBSD license": {"bsd-2-clause"}, "0BSD": {"0bsd"}, "OpenRAIL": {"openrail"}, "Open RAIL-M": {"openrail"},
+        "SPDX-License-Identifier: MIT": {"mit"}, "SPDX-License-Identifier: Apache-2.0": {"apache-2.0"}, "SPDX-License-Identifier: MPL-2.0": {"mpl-2.0"},
+        "SPDX-License-Identifier: MIT-0": {"mit-0"}, "SPDX-License-Identifier: (MIT OR Apache-2.0) AND ISC": {"mit", "apache-2.0", "isc"},
+        "SPDX-License-Identifier: LGPL-2.1-or-later": {"lgpl-2.1"}, "see Apache-2.0": {"apache-2.0"}, "at mit there": set(),
+    }
+    found = licenses.scan_licenses(frame(spark, list(enumerate(marks)))).collect()
+    for r in found:
+        assert {p["label"] for p in r["licenses"]} == marks[r["text"]], r["text"]
+
+
 # token counts
 
 

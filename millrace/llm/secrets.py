@@ -19,8 +19,12 @@ CANDIDATE = r"[A-Za-z0-9+/_-]{20,}={0,2}"
 # Candidates by inferred encoding: the narrowest alphabet that holds them.
 ALPHABETS = {
     "hex": "0123456789abcdef",
+    "upper hex": "0123456789ABCDEF",
     "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
+    "lower base32": "abcdefghijklmnopqrstuvwxyz234567",
     "base36": "0123456789abcdefghijklmnopqrstuvwxyz",
+    "upper base36": "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ",
+    "base62": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789",
     "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
 }
 # Share of truly random candidates among those dismissed in a class of length, at most.

@@ -151,6 +151,22 @@ def test_most_random_runs_are_found_and_no_structured_ones(spark):
         assert r["text"] == "see [SECRET] end"
 
 
+def test_random_keys_of_every_encoding_are_kept(spark):
+    rnd = random.Random(15)
+    rows, of = [], {}
+    for name, alphabet in secrets.ALPHABETS.items():
+        for n in (24, 32, 64):
+            for _ in range(40):
+                key = "".join(rnd.choice(alphabet) for _ in range(n - 2)) + rnd.choice([c for c in alphabet if c.isdigit()]) + rnd.choice([c for c in alphabet if c.isalpha()])
+                of[len(rows)] = name, n
+                rows.append((len(rows), f"see {key} end"))
+    kept = dict.fromkeys(of.values(), 0)
+    for r in secrets.scan_secrets(frame(spark, rows)).collect():
+        kept[of[r["doc_id"]]] += any((s["start"], s["end"]) == (4, 4 + of[r["doc_id"]][1]) for s in r["secrets"])
+    assert set(secrets.ALPHABETS) >= {"upper hex", "upper base36", "base62"}
+    assert min(kept.values()) >= 36 and sum(kept.values()) >= 0.95 * len(rows), kept
+
+
 # encoding
 
 

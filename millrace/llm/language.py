@@ -16,7 +16,6 @@ from millrace.llm.tables import narrow_broadcast, settle
 
 # Letter triples are counted in this many cells per language.
 CELLS = 1 << 14
-MAX_LANGUAGES = 256
 # Triples overlap, so a text says less than the product of their likelihoods.
 TEXT_WEIGHT = 0.3
 # Chance that a page declares, or its address ends in, the language it is written in.
@@ -29,6 +28,33 @@ SMOOTHING = 5.0
 LEAST_POSTERIOR = 0.5
 MOST_SURPRISE = 3.0
 
+# The codes of ISO 639-1, old ones too, and of ISO 639-2 but for those of no
+# one language. Only these are languages, so their number is bounded.
+CODES = frozenset((
+    "aa ab ae af ak am an ar as av ay az ba be bg bh bi bm bn bo br bs ca ce ch co cr cs cu cv cy da de dv dz ee el en eo "
+    "es et eu fa ff fi fj fo fr fy ga gd gl gn gu gv ha he hi ho hr ht hu hy hz ia id ie ig ii ik in io is it iu iw ja ji "
+    "jv ka kg ki kj kk kl km kn ko kr ks ku kv kw ky la lb lg li ln lo lt lu lv mg mh mi mk ml mn mo mr ms mt my na nb nd "
+    "ne ng nl nn no nr nv ny oc oj om or os pa pi pl ps pt qu rm rn ro ru rw sa sc sd se sg sh si sk sl sm sn so sq sr ss "
+    "st su sv sw ta te tg th ti tk tl tn to tr ts tt tw ty ug uk ur uz ve vi vo wa wo xh yi yo za zh zu "
+    "aar abk ace ach ada ady afa afh afr ain aka akk alb ale alg alt amh ang anp apa ara arc arg arm arn arp art arw asm "
+    "ast ath aus ava ave awa aym aze bad bai bak bal bam ban baq bas bat bej bel bem ben ber bho bih bik bin bis bla bnt "
+    "bod bos bra bre btk bua bug bul bur byn cad cai car cat cau ceb cel ces cha chb che chg chi chk chm chn cho chp chr "
+    "chu chv chy cmc cnr cop cor cos cpe cpf cpp cre crh crp csb cus cym cze dak dan dar day del den deu dgr din div doi "
+    "dra dsb dua dum dut dyu dzo efi egy eka ell elx eng enm epo est eus ewe ewo fan fao fas fat fij fil fin fiu fon fra "
+    "fre frm fro frr frs fry ful fur gaa gay gba gem geo ger gez gil gla gle glg glv gmh goh gon gor got grb grc gre grn "
+    "gsw guj gwi hai hat hau haw heb her hil him hin hit hmn hmo hrv hsb hun hup hye iba ibo ice ido iii ijo iku ile ilo "
+    "ina inc ind ine inh ipk ira iro isl ita jav jbo jpn jpr jrb kaa kab kac kal kam kan kar kas kat kau kaw kaz kbd kha "
+    "khi khm kho kik kin kir kmb kok kom kon kor kos kpe krc krl kro kru kua kum kur kut lad lah lam lao lat lav lez lim "
+    "lin lit lol loz ltz lua lub lug lui lun luo lus mac mad mag mah mai mak mal man mao map mar mas may mdf mdr men mga "
+    "mic min mkd mkh mlg mlt mnc mni mno moh mon mos mri msa mun mus mwl mwr mya myn myv nah nai nap nau nav nbl nde ndo "
+    "nds nep new nia nic niu nld nno nob nog non nor nqo nso nub nwc nya nym nyn nyo nzi oci oji ori orm osa oss ota oto "
+    "paa pag pal pam pan pap pau peo per phi phn pli pol pon por pra pro pus que raj rap rar roa roh rom ron rum run rup "
+    "rus sad sag sah sai sal sam san sas sat scn sco sel sem sga sgn shn sid sin sio sit sla slk slo slv sma sme smi smj "
+    "smn smo sms sna snd snk sog som son sot spa sqi srd srn srp srr ssa ssw suk sun sus sux swa swe syc syr tah tai tam "
+    "tat tel tem ter tet tgk tgl tha tib tig tir tiv tkl tlh tli tmh tog ton tpi tsi tsn tso tuk tum tup tur tut tvl twi "
+    "tyv udm uga uig ukr umb urd uzb vai ven vie vol vot wak wal war was wel wen wln wol xal xho yao yap yid yor ypk zap "
+    "zbl zen zgh zha zho znd zul zun zza "
+).split())
 # Country suffixes that stand for one language (ISO 3166 to ISO 639).
 SUFFIX_LANGUAGE = {"de": "de", "at": "de", "fr": "fr", "es": "es", "mx": "es", "ar": "es", "uk": "en", "us": "en", "ie": "en", "it": "it", "pt": "pt", "br": "pt", "nl": "nl", "pl": "pl", "ru": "ru", "jp": "ja", "cn": "zh", "kr": "ko", "se": "sv", "dk": "da", "fi": "fi", "cz": "cs", "tr": "tr", "gr": "el"}
 
@@ -54,8 +80,8 @@ def identify_languages(
     - the prior of the host: its share of declared languages, smoothed towards that of the
       site (the last two labels of the host), and that towards the share of all documents.
 
-    Languages are those declared anywhere, in lower case and without region, at most
-    ``MAX_LANGUAGES``. A null or empty text, declaration, address or host is no evidence.
+    Languages are those of ``CODES`` declared anywhere, in lower case and without region;
+    any other declaration is no evidence. A null or empty text, declaration, address or host is no evidence.
     A document without triples is judged by the rest, one without any evidence by the
     prior. Nothing declared anywhere: ``best`` is null and nothing is accepted. Repeated
     rows are each judged, and counted. Columns of ``docs`` stay as they are, except that
@@ -67,10 +93,7 @@ def identify_languages(
         _host(docs, url, host).alias("_host"),
     )
     counts = settle(_triple_counts(seen))
-    total = counts.groupBy("language").agg(F.sum(F.col("n").cast("double")).alias("n")).limit(MAX_LANGUAGES + 1).collect()
-    languages = sorted(r["language"] for r in total)
-    if len(languages) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} declared languages")
+    languages = sorted(r["language"] for r in counts.select("language").distinct().collect())
     judged = docs.withColumns(
         {
             "_declared": _language_code(F.col(declared) if declared else F.lit(None)),
@@ -83,7 +106,7 @@ def identify_languages(
         return judged.withColumn("language", F.expr(nothing)).drop("_declared", "_suffix", "_host")
     table, usual = _model(counts, languages)
     spark = docs.sparkSession
-    shipped = spark.sparkContext.broadcast(table)  # at most CELLS x MAX_LANGUAGES floats
+    shipped = spark.sparkContext.broadcast(table)  # at most CELLS x len(CODES) floats
 
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
     def likelihoods(texts: pd.Series) -> pd.Series:
@@ -107,8 +130,8 @@ def _fuse(joined: DataFrame, languages: list[str], usual: np.ndarray, overall: l
 
     def said(which: str, trust: float, at: int) -> Column:
         other = F.lit((1 - trust) / max(k - 1, 1) + 1e-9)
-        known = F.col(which).isin(languages)
-        return F.when(known, F.log(F.when(F.col(which) == languages[at], F.lit(trust)).otherwise(other))).otherwise(0.0)
+        place = F.col(f"{which}_at")
+        return F.when(place > 0, F.log(F.when(place == at + 1, F.lit(trust)).otherwise(other))).otherwise(0.0)
 
     logs = [
         F.lit(TEXT_WEIGHT) * F.col("_text_score")[at]
@@ -123,8 +146,11 @@ def _fuse(joined: DataFrame, languages: list[str], usual: np.ndarray, overall: l
     triples = F.col("_text_score")[k]
     surprise = F.when(triples > 0, F.get(F.array(*[F.lit(float(u)) for u in usual]), best) - F.get("_text_score", best) / triples)
     accepted = (F.col("_posterior") >= LEAST_POSTERIOR) & (triples > 0) & (F.col("_surprise") <= MOST_SURPRISE)
+    # looked up once, not once per language
+    places = {f"{which}_at": F.array_position(names, F.col(which)) for which in ("_declared", "_suffix")}
     return (
-        joined.withColumn("_logs", F.array(*logs))
+        joined.withColumns(places)
+        .withColumn("_logs", F.array(*logs))
         .withColumns({"_best": F.get(names, best), "_posterior": 1 / mass, "_surprise": surprise})
         .withColumn(
             "language",
@@ -136,7 +162,7 @@ def _fuse(joined: DataFrame, languages: list[str], usual: np.ndarray, overall: l
                 F.coalesce(accepted, F.lit(False)).alias("accepted"),
             ),
         )
-        .drop("_logs", "_best", "_posterior", "_surprise")
+        .drop("_logs", "_best", "_posterior", "_surprise", *places)
     )
 
 
@@ -188,8 +214,9 @@ def _suffix_language(url: Column) -> Column:
 
 
 def _language_code(declared: Column) -> Column:
-    """``de`` of ``de-AT`` or ``DE_at``; null where nothing is declared."""
-    return F.nullif(F.lower(F.trim(F.regexp_extract(declared.cast("string"), "^[^-_]*", 0))), F.lit(""))
+    """``de`` of ``de-AT`` or ``DE_at``; null where no known language is declared."""
+    code = F.lower(F.trim(F.regexp_extract(declared.cast("string"), "^[^-_]*", 0)))
+    return F.when(code.isin(*sorted(CODES)), code)
 
 
 def _cells(text: str) -> np.ndarray:
@@ -228,8 +255,6 @@ def _triple_counts(seen: DataFrame) -> DataFrame:
                 for language, text in zip(part["_declared"].to_pylist(), part["_text"].to_pylist()):
                     if language not in sums:
                         sums[language] = np.zeros(CELLS, np.int64)
-                        if len(sums) > MAX_LANGUAGES:
-                            raise ValueError(f"more than {MAX_LANGUAGES} declared languages")
                     sums[language] += np.bincount(_cells(text), minlength=CELLS)
         for language, row in sums.items():
             cells = np.append(np.flatnonzero(row), -1)  # a language stays known without any text
@@ -243,7 +268,7 @@ def _triple_counts(seen: DataFrame) -> DataFrame:
 def _model(counts: DataFrame, languages: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Log probability per language and cell, and the mean over each language's own texts.
 
-    At most ``CELLS`` numbers for each of at most ``MAX_LANGUAGES`` languages come here.
+    At most ``CELLS`` numbers for each of the languages, all of them in ``CODES``, come here.
     """
     seen = np.zeros((len(languages), CELLS))
     row = {name: i for i, name in enumerate(languages)}

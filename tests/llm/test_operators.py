@@ -303,6 +303,18 @@ def test_languages_are_told_apart_and_junk_is_rejected(spark):
     assert language.identify_languages(spark.createDataFrame([], DOCS)).count() == 0
 
 
+def test_odd_declarations_are_no_evidence_and_stop_nothing(spark):
+    rnd = random.Random(16)
+    syllables = {"en": ["the", "ing", "tion", "er"], "de": ["sch", "ung", "ein", "ich"]}
+    rows = []
+    for i in range(700):
+        lang = ("en", "de")[i % 2]
+        text = " ".join("".join(rnd.choice(syllables[lang]) for _ in range(2)) for _ in range(60))
+        rows.append((i, text, f"{lang} {i}" if i >= 100 else lang, "host.example", 0))
+    got = {r["doc_id"]: r["language"] for r in language.identify_languages(spark.createDataFrame(rows, DOCS)).collect()}
+    assert len(got) == 700 and all(got[i]["best"] == ("en", "de")[i % 2] and got[i]["accepted"] for i in got)
+
+
 def test_addresses_and_hosts_decide_where_texts_do_not(spark):
     rnd = random.Random(12)
     syllables = {"en": ["the", "ing", "tion", "er"], "de": ["sch", "ung", "ein", "ich"]}

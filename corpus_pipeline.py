@@ -24,14 +24,24 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group; of rows that repeat an id, one."""
-    groups = settle(near_dups.near_duplicates(docs))
-    gone = groups.where("NOT kept").select("doc_id").distinct()
-    once = docs.join(narrow_broadcast(gone, gone.count()), "doc_id", "left_anti").select(*docs.columns)
-    ids = groups.where("doc_id IS NOT NULL")
-    if ids.groupBy("doc_id").count().where("count > 1").isEmpty():
+    """The document with the smallest id of each group; of rows equal in id and text, one.
+
+    Rows that repeat an id with another text are judged by their own text each.
+    """
+    groups = settle(near_dups.near_duplicates(docs, with_node=True))
+    gone = groups.where("NOT kept").select("doc_id", "node").distinct()
+    repeated = groups.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    repeated = settle(repeated)
+    alone = gone.join(narrow_broadcast(repeated, repeated.count()), "doc_id", "left_anti").select("doc_id")
+    once = docs.join(narrow_broadcast(alone, alone.count()), "doc_id", "left_anti").select(*docs.columns)
+    if repeated.isEmpty():
         return once
-    return once.where("doc_id IS NULL").unionByName(once.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]))
+    # only the rows of repeated ids need their node, the hash of their set, again
+    several = once.join(narrow_broadcast(repeated, repeated.count()), "doc_id", "left_semi")
+    several = several.select(*docs.columns).withColumn("node", near_dups.node_of("text"))
+    several = several.join(gone, ["doc_id", "node"], "left_anti").select(*docs.columns).dropDuplicates(["doc_id", "text"])
+    others = once.join(narrow_broadcast(repeated, repeated.count()), "doc_id", "left_anti").select(*docs.columns)
+    return others.unionByName(several)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

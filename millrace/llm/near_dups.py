@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,11 +43,13 @@ def near_duplicates(
     percent: int = PERCENT,
     bands: int = BANDS,
     rows: int = ROWS,
+    with_node: bool = False,
 ) -> DataFrame:
     """Groups of documents whose sets of word shingles are alike.
 
     Two documents are linked where 100 * intersection >= ``percent`` * union of their sets.
-    Returns a row per row of ``docs``: ``doc_id, n_shingles, component_id, kept``.
+    Returns a row per row of ``docs``: ``doc_id, n_shingles, component_id, kept``,
+    and ``node``, the hash of the row's set, ``with_node``.
 
     Documents with the same set are one node. The nodes are sketched, the bands of a sketch
     are buckets, and only nodes of one bucket are compared, on their full sets. A bucket is
@@ -71,7 +74,7 @@ def near_duplicates(
 
     members = profile.select("doc_id", "n_shingles", "node")
     found = members.join(narrow_broadcast(labels, labels.count()), "node", "left").select(
-        "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("label", "node")).alias("label")
+        "doc_id", "n_shingles", "node", F.when(F.col("doc_id").isNotNull(), F.coalesce("label", "node")).alias("label")
     )
     found = settle(found)
     first = found.where("label IS NOT NULL").groupBy("label").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("size"))
@@ -79,10 +82,21 @@ def near_duplicates(
     return (
         found.join(narrow_broadcast(first, first.count()), "label", "left")
         .withColumn("component_id", F.coalesce("first", "doc_id"))
-        .select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
+        .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+        .select("doc_id", "n_shingles", "component_id", "kept", *["node"] * with_node)
     )
 
 
+def node_of(text: str, width: int = WIDTH) -> Column:
+    """The hash of the set of a text, as in ``node``."""
+
+    @F.pandas_udf("long")
+    def node(texts: pd.Series) -> pd.Series:
+        return pd.Series([set_hash(shingle_set(t, width)) for t in texts], dtype="int64")
+
+    return node(F.col(text))
+
+
 def _labels(shared: DataFrame, given: DataFrame, width: int, percent: int) -> DataFrame:
     """Component of every node with a link, from the members ``key, node, doc_id, n, center`` of buckets."""
     wanted = settle(shared.select("doc_id", "node").distinct())

@@ -479,6 +479,16 @@ def test_broken_pages_do_not_fail():
 # pipeline
 
 
+def test_rows_of_one_id_are_judged_by_their_own_text(spark):
+    import corpus_pipeline
+
+    rnd = random.Random(17)
+    a, b, c = (words(rnd, 60) for _ in range(3))
+    rows = [(1, a, "en", "x", 0), (2, a, "en", "x", 0), (2, b, "en", "x", 0), (2, b, "en", "x", 0), (3, c, "en", "x", 0), (3, b[::-1], "en", "x", 0), (None, a, "en", "x", 0)]
+    kept = corpus_pipeline.drop_near_duplicates(spark, spark.createDataFrame(rows, DOCS), "").collect()
+    assert sorted(((r["doc_id"], r["text"]) for r in kept), key=str) == sorted([(1, a), (2, b), (3, c), (3, b[::-1]), (None, a)], key=str)
+
+
 def test_pipeline_keeps_clean_documents_only(spark, tmp_path):
     import corpus_pipeline
     from tokenizers import Tokenizer

@@ -13,10 +13,12 @@ from pyspark.sql import functions as F
 ERROR_RATE = 0.06
 # Items whose letters fit in one automaton; more are looked for block by block.
 BLOCK_LETTERS = 2_000_000
-# An item of fewer letters than this would be found in clean texts by chance.
+# An item of fewer letters than this would be found in clean texts by chance, so it has to be
+# whole lines or sentences of a text.
 LEAST_LETTERS = 24
 
 _NOT_WORD = re.compile(r"[\W_]+")
+_ENDS = re.compile(r"""[.!?]+["')\]]*(?=\s|$)|[\n\r\u2028\u2029。！？]""")
 _MATCH = "doc_id bigint, item_id bigint, distance int, start int, end int"
 
 
@@ -46,8 +48,9 @@ def contaminated(
     the hits alone. Items reach the executors in blocks of ``BLOCK_LETTERS`` letters, a
     pass over the documents each; nothing of a document is moved.
 
-    Items that are null or shorter than ``LEAST_LETTERS`` in normal form match nothing, as do
-    null and empty texts. Equal items are found each under its own id; a repeated row of
+    Items shorter than ``LEAST_LETTERS`` in normal form are found without edits, where they
+    are one or several whole lines or sentences. Items that are null or have no letters or
+    digits match nothing, as do null and empty texts. Equal items are found each under its own id; a repeated row of
     either table repeats its matches. Null ids stay null. Other columns are not looked at.
     """
     tests = benchmark.select(F.col(item_id).cast("long").alias("item_id"), F.col(item).alias("item")).where("item IS NOT NULL")
@@ -59,7 +62,7 @@ def contaminated(
     for block in range(blocks):
         mine = tests.where(F.pmod(F.xxhash64("item", "item_id"), F.lit(blocks)) == block) if blocks > 1 else tests
         rows = [(r["item_id"], normal_form(r["item"])) for r in mine.collect()]
-        shipped = docs.sparkSession.sparkContext.broadcast([(i, x) for i, x in rows if len(x) >= LEAST_LETTERS])
+        shipped = docs.sparkSession.sparkContext.broadcast([(i, x) for i, x in rows if x])
         here = given.mapInArrow(_finder(shipped, error_rate), _MATCH)
         found = here if found is None else found.unionByName(here)
     return found
@@ -73,14 +76,18 @@ def pieces(item: str, errors: int) -> list[tuple[int, str]]:
 
 def _finder(shipped, error_rate: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        search = Search(shipped.value, error_rate)
+        search = Search([(i, x) for i, x in shipped.value if len(x) >= LEAST_LETTERS], error_rate)
+        short: dict[str, list[int]] = {}
+        for i, x in shipped.value:
+            if len(x) < LEAST_LETTERS:
+                short.setdefault(x, []).append(i)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 rows = [
                     (doc, *match)
                     for doc, text in zip(part["doc_id"].to_pylist(), part["text"].to_pylist())
-                    for match in search(normal_form(text))
+                    for match in [*search(normal_form(text)), *whole_lines(text, short)]
                 ]
                 columns = list(zip(*rows)) if rows else [()] * 5
                 kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
@@ -91,6 +98,23 @@ def _finder(shipped, error_rate: float):
     return run
 
 
+def whole_lines(text: str | None, short: dict[str, list[int]]) -> Iterator[tuple[int, int, int, int]]:
+    """Matches of short items, given by normal form, that are whole lines or sentences; the first of each."""
+    if not short or not text:
+        return
+    parts = [x for x in map(normal_form, _ENDS.split(text.lower())) if x]
+    starts = [0]
+    for x in parts:
+        starts.append(starts[-1] + len(x) + 1)
+    whole, ends, sizes, seen = " ".join(parts), {a - 1 for a in starts[1:]}, {len(x) for x in short}, set()
+    for start in starts[:-1]:
+        for size in sizes:
+            here = whole[start : start + size]
+            if start + size in ends and here in short and here not in seen:
+                seen.add(here)
+                yield from ((i, 0, start, start + size) for i in short[here])
+
+
 class Search:
     """Finds test items, given as (id, normal form), in normal forms of texts."""
 

@@ -115,6 +115,15 @@ def test_contamination_is_that_of_every_substring(spark):
     assert got == expected and expected
 
 
+def test_short_items_are_found_as_whole_lines_or_sentences(spark):
+    items = [(1, "What is 2.5 + 2?"), (2, "Paris"), (3, "Stop. Go!"), (4, "?!")]
+    docs = [(0, "A list\nwhat is 2.5+2\nend"), (1, "See Paris in spring."), (2, "Where? Paris. Yes."), (3, "He said stop. Go! Now."), (4, "Wait! Stop. Go! Now."), (5, None)]
+    found = decontaminate.contaminated(frame(spark, docs), frame(spark, items, "item_id long, text string")).collect()
+    assert {(r["doc_id"], r["item_id"], r["distance"]) for r in found} == {(0, 1, 0), (2, 2, 0), (4, 3, 0)}
+    for r in found:
+        assert decontaminate.normal_form(docs[r["doc_id"]][1])[r["start"] : r["end"]] == decontaminate.normal_form(items[r["item_id"] - 1][1])
+
+
 # secrets
 
 

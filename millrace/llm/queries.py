@@ -7,7 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, decontaminate, html_text, language, licenses, near_dups, neighbours, secrets, token_counts, toxicity
+from millrace.llm import (
+    bpe,
+    collocations,
+    decontaminate,
+    html_text,
+    language,
+    lexical,
+    licenses,
+    mixing,
+    near_dups,
+    neighbours,
+    secrets,
+    token_counts,
+    toxicity,
+)
+from millrace.llm.oracle import llm_oracles  # noqa: F401  (the SQL of these queries, for their register)
 from millrace.llm.tables import table
 
 
@@ -91,6 +106,18 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dups.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_sources(table(spark, sf_dir, "documents"))
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language_id": op1_language_id,
@@ -103,9 +130,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_decontamination": op8_decontamination,
         "op9_toxicity": op9_toxicity,
         "op10_near_duplicates": op10_near_duplicates,
+        "op11_collocations": op11_collocations,
+        "op12_mixture": op12_mixture,
+        "op13_ranked_search": op13_ranked_search,
     }
-
-
-def llm_oracles() -> dict[str, str]:
-    """SQL for those that plain SQL can express."""
-    return {}

@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 # with their marks, and of digits are words.
 CJK_CHAR = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}]"
 LATIN_RUN = r"[\p{L}\p{M}\p{N}&&[^\p{IsHan}\p{IsHiragana}\p{IsKatakana}]]+"
+# The same where a text has none of these scripts, and where it is ASCII.
+_ANY_RUN, _ASCII_RUN = r"[\p{L}\p{M}\p{N}]+", "[A-Za-z0-9]+"
+# The three scripts begin here.
+_FIRST_CJK = r"[\x{2E80}-\x{10FFFF}]"
 
 # Overlapping pairs of Chinese characters; one on its own stays as it is. The word is
 # captured ahead, then a Latin run or one character is consumed.
@@ -31,7 +35,6 @@ def words(text: Column, terms: Sequence[str] = ()) -> Column:
     each position against ``terms`` (single characters where nothing matches), or
     overlapping character pairs when no terms are given.
     """
-    latin = F.regexp_extract_all(text, F.lit(LATIN_RUN), F.lit(0))
     if terms:
         if len(terms) > MAX_INLINE_TERMS:
             raise ValueError(f"more than {MAX_INLINE_TERMS} terms: use dictionary_keywords")
@@ -40,8 +43,12 @@ def words(text: Column, terms: Sequence[str] = ()) -> Column:
         mixed = F.regexp_extract_all(text, F.lit(f"{listed}|{LATIN_RUN}|{CJK_CHAR}"), F.lit(0))
     else:
         mixed = F.regexp_extract_all(text, F.lit(_LATIN_OR_PAIR), F.lit(1))
-    # most texts have no Chinese at all and take the simpler pattern
-    return F.when(text.rlike(CJK_CHAR), mixed).otherwise(latin)
+    # script properties are slow: most texts are told by their length in bytes, most others
+    # by a range of characters
+    plain = F.regexp_extract_all(text, F.lit(_ASCII_RUN), F.lit(0))
+    latin = F.regexp_extract_all(text, F.lit(_ANY_RUN), F.lit(0))
+    is_plain = F.octet_length(text) == F.length(text)
+    return F.when(is_plain, plain).when(text.rlike(_FIRST_CJK) & text.rlike(CJK_CHAR), mixed).otherwise(latin)
 
 
 def word_rows(text: Column, terms: Sequence[str] = ()) -> Column:

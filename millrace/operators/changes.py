@@ -22,6 +22,18 @@ def parse_changes(raw: DataFrame, value: str = "value") -> DataFrame:
     return raw.select(*kept, once(record).alias("record")).where("record IS NOT NULL").select(*kept, "record.*")
 
 
+def order_of_changes(changes: DataFrame) -> DataFrame:
+    """Parsed changes with ``seq``, by which those of a key are ordered, whatever partition of
+    the topic they came in: when the record was made, its transaction and the position in
+    it, and for records without these the partition and offset."""
+    known = [F.coalesce(F.col(c).try_cast("bigint"), F.lit(0)).alias(c) for c in ("ts", "xid", "xoffset")]
+    place = [
+        (F.col(c) if c in changes.columns else F.lit(0)).cast("bigint").alias(c) for c in ("partition", "offset")
+    ]
+    kept = [c for c in changes.columns if c not in ("ts", "xid", "xoffset", "partition", "offset")]
+    return changes.select(*kept, F.struct(*known, *place).alias("seq"))
+
+
 def usable_changes(changes: DataFrame) -> DataFrame:
     """Records with a table and a payload of at least three fields."""
     # three fields cannot be written in fewer than four characters, so the length
@@ -88,6 +100,7 @@ def apply_changes(
     columns: Sequence[str],
     order: str,
     deletes: bool = True,
+    set_at: str | None = None,
 ) -> DataFrame:
     """Current rows of a dimension after all changes, in order of the column ``order``.
 
@@ -95,13 +108,17 @@ def apply_changes(
     some of the columns leaves the others as they were. A delete removes what came
     before it; ``deletes=False`` applies it like any other change. One aggregation: each
     column is reduced before the shuffle, so a key with very many changes is no problem.
+
+    ``set_at`` names a map from column to the order of the change that set it, for changes
+    that stand for several (null for others); the result then has this map too.
     """
     is_delete = (F.col("type") == "delete") if deletes else F.lit(False)
     data = F.col("data")
 
     def latest(name: str) -> Column:
         carried = ~is_delete & F.map_contains_key(data, F.lit(name))
-        return F.max(F.when(carried, F.struct(F.col(order).alias("at"), data[name].alias("value")))).alias(f"_{name}")
+        at = F.coalesce(F.col(set_at)[name], F.col(order)) if set_at else F.col(order)
+        return F.max(F.when(carried, F.struct(at.alias("at"), data[name].alias("value")))).alias(f"_{name}")
 
     others = [c for c in columns if c != key]
     merged = (
@@ -122,4 +139,8 @@ def apply_changes(
         alive = F.col("_gone").isNull() | (F.col(f"_{name}.at") > F.col("_gone"))
         return F.when(alive, F.col(f"_{name}.value")).alias(name)
 
-    return merged.select(*[current(c) for c in columns])
+    if not set_at:
+        return merged.select(*[current(c) for c in columns])
+    alive = [x for c in others for x in (F.lit(c), F.when(F.col("_gone").isNull() | (F.col(f"_{c}.at") > F.col("_gone")), F.col(f"_{c}.at")))]
+    times = F.map_filter(F.create_map(F.lit(key), F.col("_seen"), *alive), lambda _, at: at.isNotNull())
+    return merged.select(*[current(c) for c in columns], times.alias(set_at))

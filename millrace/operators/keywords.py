@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace import schemas
@@ -62,14 +63,20 @@ def text_keywords(texts: DataFrame, text: str = "text", by: Sequence[str] = (),
     return found.groupBy(*by, "keyword").agg(F.count(F.lit(1)).alias("ct"))
 
 
-def dictionary_keywords(rows: DataFrame, text: str, dictionary: DataFrame) -> DataFrame:
-    """As ``split_keywords``, Chinese runs split by the longest match in a dictionary table.
+# Runs are looked at in blocks of so many characters.
+BLOCK = 256
+
+
+def dictionary_keywords(rows: DataFrame, text: str, dictionary: DataFrame, lattice: bool = False) -> DataFrame:
+    """As ``split_keywords``, Chinese runs split by the words of a dictionary table.
 
     ``dictionary`` has a column ``word`` and may be of any size. Every distinct run is
     split once, however often it occurs: the pieces that start at each of its characters,
-    of every length that a word of the dictionary has, are matched by an equi-join, and the
-    longest match is followed from left to right. Characters outside any match become
-    words of their own.
+    of every length that a word of the dictionary has, are matched by an equi-join. Where
+    no match spans a place, the run is cut. A part of overlapping matches is split from
+    left to right by the longest match; with ``lattice`` by the matches that cover most of
+    its characters, of those by the fewest, and of those by the longest word first, then
+    the longest second, and so on. Characters outside become words of their own.
     """
     mixed_run = F.lit(f"{words.LATIN_RUN}|{words.CJK_CHAR}+")
     kept = [c for c in rows.columns if c != text]
@@ -82,45 +89,100 @@ def dictionary_keywords(rows: DataFrame, text: str, dictionary: DataFrame) -> Da
         .distinct()
         .withColumn("_id", _run_id(F.col("_run")))
     )
+    split = _split_runs(runs, dictionary, lattice)
+    found = chinese.select(*kept, "_id").join(split, "_id").select(*kept, "keyword")
+    return latin.unionByName(found)
+
+
+def _run_id(run: Column) -> Column:
+    """A short run is its own id, a long one goes by its digest."""
+    return F.when(F.length(run) <= 64, run).otherwise(F.sha2(run, 256))
+
+
+def _split_runs(runs: DataFrame, dictionary: DataFrame, lattice: bool) -> DataFrame:
+    """``_id, keyword``: the words of each run, in a time linear in its length."""
     vocabulary = dictionary.where(F.length("word") > 1).select(F.col("word").alias("_word")).distinct()
     # as many numbers as there are different lengths of words, few whatever the dictionary
     lengths = vocabulary.agg(F.collect_set(F.length("_word"))).scalar()
-    starts = runs.select("_id", "_run", F.explode(F.sequence(F.lit(0), F.length("_run") - 1)).alias("_at"))
+    longest = vocabulary.agg(F.coalesce(F.max(F.length("_word")), F.lit(1))).scalar()
+    # a block also has the characters of words that begin in it and end behind it
+    block = F.col("_block") * BLOCK
+    blocks = runs.select("_id", "_run", F.explode(F.sequence(F.lit(0), F.floor((F.length("_run") - 1) / BLOCK))).alias("_block"))
+    blocks = blocks.select(
+        "_id", block.alias("_from"), F.substring("_run", (block + 1).cast("int"), F.lit(BLOCK - 1) + longest).alias("_part")
+    )
+    last = F.least(F.lit(BLOCK), F.length("_part")) - 1
+    starts = blocks.select("_id", "_from", "_part", F.explode(F.sequence(F.lit(0), last)).alias("_in"))
+    # the last characters of a block that goes on are the first of the next one
+    at = (F.col("_from") + F.col("_in")).alias("_at")
+    chars = starts.select("_id", at, F.expr("substring(_part, _in + 1, 1)").alias("_char"))
     tries = (
-        starts.select("_id", "_run", "_at", F.explode(lengths).alias("_size"))
-        .where(F.col("_at") + F.col("_size") <= F.length("_run"))
-        .select("_id", "_at", "_size", F.expr("substring(_run, _at + 1, _size)").alias("_piece"))
+        starts.select("_id", "_part", "_in", at, F.explode(lengths).alias("_size"))
+        .where(F.col("_in") + F.col("_size") <= F.length("_part"))
+        .select("_id", "_at", F.expr("substring(_part, _in + 1, _size)").alias("_piece"))
     )
     hits = tries.join(broadcast_if_small(vocabulary), F.col("_piece") == F.col("_word"), "left_semi")
-    longest = (
-        starts.select("_id", "_at", F.lit(1).alias("_size"))
-        .unionByName(hits.select("_id", "_at", "_size"))
+    # a row per character with the lengths of the words that begin there
+    lattice_rows = (
+        chars.select("_id", "_at", "_char", F.lit(None).cast("int").alias("_size"))
+        .unionByName(hits.select("_id", "_at", F.lit(None).cast("string").alias("_char"), F.length("_piece").alias("_size")))
         .groupBy("_id", "_at")
-        .agg(F.max("_size").alias("_size"))
-        # one entry per character: never larger than the text the run comes from
-        .groupBy("_id")
-        .agg(F.array_sort(F.collect_list(F.struct("_at", "_size"))).alias("_longest"))
+        .agg(F.max("_char").alias("_char"), F.array_sort(F.collect_list("_size")).alias("_sizes"))
     )
-    split = runs.join(longest, "_id").select("_id", _follow(F.col("_run"), F.col("_longest")).alias("_words"))
-    found = chinese.join(split, "_id").select(*kept, F.explode("_words").alias("keyword"))
-    return latin.unionByName(found)
+    # how far the words that begin before a character reach: it begins a part if not to it
+    in_order = Window.partitionBy("_id").orderBy("_at")
+    end = F.when(F.size("_sizes") > 0, F.col("_at") + F.array_max("_sizes"))
+    reach = F.coalesce(F.max(end).over(in_order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    begins = (F.col("_reach") <= F.col("_at")).alias("_begins")
+    parts = lattice_rows.withColumn("_reach", reach).select("_id", "_at", "_char", "_sizes", begins)
+    alone = F.col("_begins") & (F.size("_sizes") == 0)
+    singles = parts.where(alone).select("_id", F.col("_char").alias("keyword"))
+    part = F.max(F.when(F.col("_begins"), F.col("_at"))).over(in_order)
+    spans = (
+        parts.withColumn("_first", part)
+        .where(~alone)
+        .groupBy("_id", "_first")
+        # one entry per character of a part: never larger than the text it comes from
+        .agg(F.array_sort(F.collect_list(F.struct("_at", "_char", "_sizes"))).alias("_chars"))
+    )
+    chosen = F.pandas_udf(_lattice_paths if lattice else _longest_matches, "array<string>")
+    of_spans = spans.select("_id", F.explode(chosen("_chars._char", "_chars._sizes")).alias("keyword"))
+    return singles.unionByName(of_spans)
 
 
-def _run_id(run: Column) -> Column:
-    """A short run is its own id, a long one goes by its digest."""
-    return F.when(F.length(run) <= 64, run).otherwise(F.sha2(run, 256))
+def _longest_matches(chars: pd.Series, sizes: pd.Series) -> pd.Series:
+    def follow(text: Sequence[str], options: Sequence[Sequence[int]]) -> list[str]:
+        out, at = [], 0
+        while at < len(text):
+            size = max(options[at], default=1)
+            out.append("".join(text[at : at + size]))
+            at += size
+        return out
+
+    return pd.Series([follow(t, o) for t, o in zip(chars, sizes)])
 
 
-def _follow(run: Column, longest: Column) -> Column:
-    """Words of a run, given ``_at`` (from 0) and longest match ``_size`` per character."""
-    start = F.struct(F.lit(0).alias("next"), F.array().cast("array<string>").alias("words"))
+def _lattice_paths(chars: pd.Series, sizes: pd.Series) -> pd.Series:
+    return pd.Series([best_path(list(t), [list(o) for o in options]) for t, options in zip(chars, sizes)])
 
-    def step(state: Column, here: Column) -> Column:
-        at, size = here["_at"], here["_size"]
-        taken = F.struct(
-            (at + size).alias("next"),
-            F.array_append(state["words"], F.substring(run, at + 1, size)).alias("words"),
-        )
-        return F.when(at == state["next"], taken).otherwise(state)
 
-    return F.aggregate(longest, start, step, lambda state: state["words"])
+def best_path(chars: list[str], options: list[list[int]]) -> list[str]:
+    """Words of a text, given the lengths of the dictionary's words that begin at each character.
+
+    From right to left, for each place the best of what is left: characters covered, words
+    (fewer are better), length of the first word.
+    """
+    best: list[tuple[int, int, int]] = [(0, 0, 0)] * (len(chars) + 1)
+    for at in range(len(chars) - 1, -1, -1):
+        covered, number, _ = best[at + 1]
+        here = (covered, number - 1, 1)
+        for size in options[at]:
+            covered, number, _ = best[at + size]
+            here = max(here, (covered + size, number - 1, size))
+        best[at] = here
+    out, at = [], 0
+    while at < len(chars):
+        size = best[at][2]
+        out.append("".join(chars[at : at + size]))
+        at += size
+    return out

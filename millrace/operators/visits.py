@@ -21,17 +21,29 @@ def session_entries(pages: DataFrame) -> DataFrame:
     return pages.where(is_entry())
 
 
+def visit_day() -> Column:
+    return F.to_date(times.millis_to_time(F.col("ts")))
+
+
 def unique_visits(pages: DataFrame, ties: Sequence[str] = ()) -> DataFrame:
     """First session entry per device and date.
 
     On a stream the first to arrive is emitted at once; set a watermark of one day on
-    ``event_time`` beforehand, which is how long a device is remembered.
+    ``event_time`` beforehand, which is how long a device is remembered. All entries of a
+    device and date meet in one task there; where one device may send a large part of all,
+    take ``streaming.first_seen.DailyVisits`` batch by batch.
     """
-    entries = session_entries(pages).withColumn("_day", F.to_date(times.millis_to_time(F.col("ts"))))
     if pages.isStreaming:
+        entries = session_entries(pages).withColumn("_day", visit_day())
         return entries.dropDuplicatesWithinWatermark(["mid", "_day"]).drop("_day")
+    return first_visits(pages, ties)
+
+
+def first_visits(pages: DataFrame, ties: Sequence[str] = ()) -> DataFrame:
+    """The same for rows that are all there."""
     # a filter on row_number = 1 keeps one row per group on the map side already
     first = Window.partitionBy("mid", "_day").orderBy("ts", *ties)
+    entries = session_entries(pages).withColumn("_day", visit_day())
     return entries.withColumn("_nth", F.row_number().over(first)).where("_nth = 1").drop("_day", "_nth")
 
 

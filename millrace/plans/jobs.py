@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from millrace import schemas
 from millrace.operators import changes, keywords, logs, order_stats, traffic, visits, wide
 from millrace.streaming import watermarks
+from millrace.streaming.first_seen import DailyVisits, FirstDays
 from millrace.streaming.run import to_messages
 from millrace.streaming.watermarks import with_event_time
 
@@ -38,7 +39,9 @@ def _ties(pages: DataFrame) -> tuple[str, ...]:
 
 
 def repaired_logs(topics: Frames) -> DataFrame:
-    return logs.repair_new_visitors(logs.parse_logs(topics["ODS_BASE_LOG"]))
+    """On a stream the flags are repaired batch by batch, see ``Job.step``."""
+    rows = logs.parse_logs(topics["ODS_BASE_LOG"])
+    return rows if rows.isStreaming else logs.repair_new_visitors(rows)
 
 
 def split_logs(rows: DataFrame, dims: Frames) -> dict[str, DataFrame]:
@@ -50,14 +53,24 @@ def split_logs(rows: DataFrame, dims: Frames) -> dict[str, DataFrame]:
 
 
 def change_records(topics: Frames) -> DataFrame:
-    """``seq`` orders the changes of a key: the offset within its partition."""
+    """``seq`` orders the changes of a key over all partitions of the topic."""
     raw = topics["ODS_BASE_DB_M"]
-    return changes.parse_changes(raw.selectExpr("value", "offset AS seq"))
+    return changes.order_of_changes(changes.parse_changes(raw.select("value", *[c for c in _PLACE if c in raw.columns])))
 
 
 def unique_visits(topics: Frames) -> DataFrame:
-    pages = _pages(topics["DWD_PAGE_LOG"], watermarks.VISIT_MEMORY)
-    return visits.unique_visits(pages, _ties(pages))
+    """On a stream the entries, of which each batch adds those that are first."""
+    raw = topics["DWD_PAGE_LOG"]
+    pages = logs.parse_logs(raw, encoded=False, keep=[c for c in _PLACE if c in raw.columns])
+    return visits.session_entries(pages) if raw.isStreaming else visits.unique_visits(pages, _ties(pages))
+
+
+def repair_batch(rows: DataFrame, folder: str, batch_id: int) -> DataFrame:
+    return FirstDays(rows.sparkSession, f"{folder}/first_days").repair(rows, batch_id)
+
+
+def first_of_batch(rows: DataFrame, folder: str, batch_id: int) -> DataFrame:
+    return DailyVisits(rows.sparkSession, f"{folder}/daily_visits").first(rows, batch_id, _ties(rows))
 
 
 def user_jumps(topics: Frames) -> DataFrame:
@@ -144,6 +157,8 @@ class Job:
     core: Callable[[Frames], DataFrame]
     outputs: Callable[[DataFrame, Frames], dict[str, DataFrame]]
     dims: tuple[str, ...] = ()
+    # what is done to each batch of a stream before the outputs, with tables in a folder
+    step: Callable[[DataFrame, str, int], DataFrame] | None = None
 
     def run(self, topics: Frames, dims: Frames | None = None) -> dict[str, DataFrame]:
         """Both parts in one, for static frames."""
@@ -154,9 +169,9 @@ class Job:
 _PRODUCT_DIMS = ("sku", "spu", "category3", "trademark")
 
 JOBS: dict[str, Job] = {
-    "log_split": Job(("ODS_BASE_LOG",), repaired_logs, split_logs),
+    "log_split": Job(("ODS_BASE_LOG",), repaired_logs, split_logs, step=repair_batch),
     "unique_visit": Job(
-        ("DWD_PAGE_LOG",), unique_visits, lambda rows, dims: {"DWM_UNIQUE_VISIT": logs.log_text(rows)}
+        ("DWD_PAGE_LOG",), unique_visits, lambda rows, dims: {"DWM_UNIQUE_VISIT": logs.log_text(rows)}, step=first_of_batch
     ),
     "user_jump": Job(
         ("DWD_PAGE_LOG",), user_jumps, lambda rows, dims: {"DWM_USER_JUMP_DETAIL": logs.log_text(rows)}

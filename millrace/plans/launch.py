@@ -6,11 +6,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.operators import changes
 from millrace.plans.jobs import JOBS, change_records
+from millrace.session import checkpoint_root
 from millrace.sinks.dimensions import DimensionTables
 from millrace.sources.routing import dimension_routes, load_routing
 from millrace.streaming.run import start
@@ -34,18 +34,23 @@ def start_job(
     changes to them are seen.
     """
     job = JOBS[name]
+    topics = {topic: read_topic(topic) for topic in job.reads}
+    frame = job.core(topics)
+    folder = f"{root or checkpoint_root(frame.sparkSession)}/{name}"
 
     def write(batch: DataFrame, batch_id: int) -> None:
         dims = {d: read_dim(d) for d in job.dims} if read_dim else {}
         # a batch with several outputs is computed once
-        rows = batch.persist()
+        given = batch.persist()
+        rows = job.step(given, folder, batch_id).persist() if job.step else given
         try:
-            for output, frame in job.outputs(rows, dims).items():
-                writer(name, output)(frame, batch_id)
+            for output, found in job.outputs(rows, dims).items():
+                writer(name, output)(found, batch_id)
         finally:
             rows.unpersist()
+            given.unpersist()
 
-    return start(job.core({topic: read_topic(topic) for topic in job.reads}), name, write, root, every)
+    return start(frame, name, write, root, every)
 
 
 def start_change_routing(
@@ -60,7 +65,8 @@ def start_change_routing(
     """Route change records: facts to their topics, dimension rows into their tables.
 
     The routing table is read again for every batch; an empty one fails the batch.
-    ``raw`` carries the ``offset`` of each record, which orders the changes of a key.
+    ``raw`` carries the ``partition`` and ``offset`` of each record, which order the changes of
+    a key where the records do not say when they were made.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -68,12 +74,7 @@ def start_change_routing(
         routed = changes.route_changes(batch, routing).persist()
         try:
             write_facts(changes.fact_messages(routed), batch_id)
-            for route in dimension_routes(routing):
-                table, columns, key = route["table"], route["columns"].split(","), route["key"]
-                dims.ensure(table, columns, key)
-                mine = changes.dimension_changes(routed).where(F.col("sink_table") == table)
-                if not mine.isEmpty():
-                    dims.merge(table, columns, key, mine, deletes)
+            dims.merge_all(dimension_routes(routing), changes.dimension_changes(routed), deletes)
         finally:
             routed.unpersist()
 

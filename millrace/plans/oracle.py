@@ -335,6 +335,32 @@ def all_oracles() -> dict[str, str]:
             w AS (SELECT unnest(regexp_extract_all(text, '零一二三四五六七八九|一二三|零零|二三|[零一二三四五六七八九]|[a-z0-9]+')) AS keyword FROM t)
             SELECT keyword, count(*) AS ct FROM w GROUP BY 1
         """,
+        "chinese_lattice": """
+            WITH RECURSIVE t AS (
+                SELECT lower(p_name) AS name, translate(lpad(CAST(p_partkey AS VARCHAR), 9, '0'), '0123456789', '零一二三四五六七八九')
+                       || '零一二三四五六七八九' AS run FROM part
+            ), words AS (
+                SELECT unnest(['零一二三四五六七八九', '一二三', '零零', '二三']) AS word
+            ), paths AS (  -- all ways to split a run
+                SELECT DISTINCT run, 0 AS pos, 0 AS covered, [] :: INTEGER[] AS sizes FROM t
+                UNION ALL
+                SELECT run, pos + size, covered + CASE WHEN size > 1 THEN size ELSE 0 END, list_append(sizes, size)
+                FROM (
+                    SELECT p.*, o.size FROM paths p, (SELECT 1 AS size, NULL AS word UNION ALL SELECT length(word), word FROM words) o
+                    WHERE p.pos < length(run) AND (o.word IS NULL OR substr(run, p.pos + 1, o.size) = o.word)
+                )
+            ), best AS (
+                SELECT run, sizes FROM paths WHERE pos = length(run)
+                QUALIFY row_number() OVER (PARTITION BY run ORDER BY covered DESC, len(sizes), sizes DESC) = 1
+            ), cut AS (
+                SELECT run, substr(run, CAST(coalesce(list_sum(list_slice(sizes, 1, i - 1)), 0) AS BIGINT) + 1, sizes[i]) AS keyword
+                FROM (SELECT run, sizes, unnest(range(1, len(sizes) + 1)) AS i FROM best)
+            ), w AS (
+                SELECT keyword FROM t JOIN cut USING (run)
+                UNION ALL SELECT unnest(string_split(name, ' ')) FROM t
+            )
+            SELECT keyword, count(*) AS ct FROM w GROUP BY 1
+        """,
         "session_entries": _with(
             ("pages_log",), "SELECT event_id, mid, page_id, ts FROM pages_log WHERE last_page_id IS NULL"
         ),
@@ -499,6 +525,7 @@ def stream_oracles() -> dict[str, str]:
     same = ("new_visitor_repair", "unique_visits", "user_jumps", "visitor_stats", "product_stats", "province_stats")
     return {
         **{f"stream_{name}": batch[name] for name in (*same, "province_stats_sql")},
+        "stream_daily_visits": batch["unique_visits"],
         "stream_keyword_stats": batch["keyword_stats_search"],
         "stream_order_wide": _with(
             ("wide",), "SELECT detail_id, order_id, sku_id, split_total_amount, create_time FROM wide"

@@ -374,6 +374,13 @@ def chinese_dictionary(t: ShopTables) -> DataFrame:
     return found.groupBy("keyword").agg(F.count(F.lit(1)).alias("ct"))
 
 
+@_query
+def chinese_lattice(t: ShopTables) -> DataFrame:
+    words = t.spark.createDataFrame([(w,) for w in HAN_WORDS], "word string")
+    found = keywords.dictionary_keywords(_numbered_parts(t), "text", words, lattice=True)
+    return found.groupBy("keyword").agg(F.count(F.lit(1)).alias("ct"))
+
+
 @_query
 def document_keywords(t: ShopTables) -> DataFrame:
     return keywords.text_keywords(t.documents, by=["lang"])

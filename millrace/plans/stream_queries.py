@@ -18,12 +18,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from millrace.operators import keywords, logs, order_stats, traffic, visits, wide
+from millrace.operators import keywords, order_stats, traffic, visits, wide
 from millrace.plans.queries import SPAN, TIE
 from millrace.session import checkpoint_root
 from millrace.sources.shop_tables import PAGE_OF_EVENT, TABLES, ShopTables
 from millrace.streaming import watermarks
-from millrace.streaming.run import run_to_folder, stream_session
+from millrace.streaming.first_seen import DailyVisits, FirstDays
+from millrace.streaming.run import run_to_folder, start, stream_session
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -127,6 +128,17 @@ class Streams:
         schema = df.schema
         return _without_closing(self.caller.read.schema(schema).parquet(self.run(df, name)))
 
+    def batches(self, df: DataFrame, name: str, step: Callable[[DataFrame, int], DataFrame]) -> DataFrame:
+        """Run each batch of a stream through ``step``, part by part, and read the results."""
+        out = f"{self.root}/{name}/rows"
+
+        def write(batch: DataFrame, batch_id: int) -> None:
+            step(batch, batch_id).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+        while self.live.grow():
+            start(df, name, write, self.root).awaitTermination()
+        return _without_closing(self.caller.read.parquet(out).drop("batch"))
+
     def layer(self, df: DataFrame, name: str) -> DataFrame:
         """Run a stream into a folder and read that folder as a stream."""
         schema = df.schema
@@ -176,8 +188,15 @@ def all_stream_queries() -> dict[str, Query]:
 
 @_query
 def stream_new_visitor_repair(s: Streams) -> DataFrame:
-    rows = logs.repair_new_visitors(s.live.pages_anywhere)
-    return s.result(rows.select("event_id", "mid", "is_new", "ts"), "repaired")
+    days = FirstDays(s.spark, f"{s.root}/first_days")
+    return s.batches(s.live.pages_anywhere.select("event_id", "mid", "is_new", "ts"), "repaired", days.repair)
+
+
+@_query
+def stream_daily_visits(s: Streams) -> DataFrame:
+    seen = DailyVisits(s.spark, f"{s.root}/daily_visits")
+    pages = visits.session_entries(s.live.pages_anywhere).select("event_id", "mid", "page_id", "last_page_id", "ts")
+    return s.batches(pages, "daily", lambda rows, batch_id: seen.first(rows, batch_id, TIE)).drop("last_page_id")
 
 
 @_query

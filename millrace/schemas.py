@@ -13,7 +13,8 @@ RAW_LOG = """
     _corrupt string
 """
 
-CHANGE_RECORD = "table string, type string, data map<string, string>"
+# With the time of the record, its transaction and the position in that.
+CHANGE_RECORD = "table string, type string, data map<string, string>, ts string, xid string, xoffset string"
 
 ROUTING = """
     source_table string, operate_type string, sink_type string, sink_table string,

@@ -18,6 +18,7 @@ from millrace.sinks.topics import topic_folders_writer
 from millrace.operators.changes import dimension_schema
 from millrace.sources.topics import file_text, json_view
 from millrace.streaming import watermarks
+from millrace.streaming.first_seen import DailyVisits, FirstDays
 from millrace.streaming.run import run_to_folder, start, stream_session
 
 DAY = 86_400_000
@@ -129,21 +130,69 @@ def test_unique_visits_once_per_device_and_date(spark, live, tmp_path):
     assert sorted((r.mid, r.ts) for r in got.collect()) == [("a", 1_000), ("a", DAY), ("b", 6_000)]
 
 
-def test_new_visitor_state_outlives_batches(spark, live, tmp_path):
+def by_batch(spark, df, tmp_path, step, name="out"):
+    """The rows of a stream, each batch taken through a step."""
+    out = str(tmp_path / f"{name}-rows")
+
+    def write(batch, batch_id):
+        step(batch, batch_id).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    start(df, name, write, str(tmp_path / "state")).awaitTermination()
+    return spark.read.parquet(out).collect()
+
+
+def test_first_days_outlive_batches(spark, live, tmp_path):
     topic = Topic(tmp_path / "pages")
     topic.add(page("a", 1_000), page("b", 1_000, is_new="0"))
     topic.add(page("a", DAY), page("b", DAY), page("a", 2_000, display=[{"item": "1", "item_type": "sku_id"}]))
-    topic.add(page("a", 9 * DAY), page("b", 2 * DAY), page("b", DAY + 5))
-    repaired = logs.repair_new_visitors(logs.parse_logs(topic.stream(live), encoded=False))
-    got = rows(spark, repaired, tmp_path).collect()
+    topic.add(page("a", 9 * DAY), page("b", 2 * DAY), page("b", DAY + 5), page(None, 5))
+    days = FirstDays(spark, str(tmp_path / "days"))
+    got = by_batch(spark, logs.parse_logs(topic.stream(live), encoded=False), tmp_path, days.repair)
     assert {(r.mid, r.ts): r.is_new for r in got} == {
         ("a", 1_000): "1", ("b", 1_000): "0", ("a", DAY): "0", ("b", DAY): "1", ("a", 2_000): "1",
-        ("a", 9 * DAY): "0", ("b", 2 * DAY): "0", ("b", DAY + 5): "1",
+        ("a", 9 * DAY): "0", ("b", 2 * DAY): "0", ("b", DAY + 5): "1", (None, 5): "1",
     }
     shown = [r.display for r in got if r.ts == 2_000]
     assert [(d.item, d.item_type) for d in shown[0]] == [("1", "sku_id")]
 
 
+def test_first_days_and_visits_over_many_batches_and_again(spark, live, tmp_path):
+    """More batches than a bucket has folders, one of them run twice."""
+    dice = random.Random(3)
+    days, seen = FirstDays(spark, str(tmp_path / "days")), DailyVisits(spark, str(tmp_path / "seen"))
+    days.table.buckets = seen.table.buckets = 2
+    known, visited, oldest = {}, set(), 0
+    for batch_id in range(11):
+        events = [(f"m{dice.randrange(9)}", dice.randrange(batch_id * DAY // 3, (batch_id + 3) * DAY // 3)) for _ in range(25)]
+        events += [("hot", batch_id * DAY // 3 + i) for i in range(50)]
+        frame = spark.createDataFrame([(m, "1", None, t, i) for i, (m, t) in enumerate(events)], "mid string, is_new string, last_page_id string, ts long, nr long")
+        for m, t in sorted(events, key=lambda e: e[1]):
+            known.setdefault(m, t // DAY)
+        expected = {(m, t, "1" if t // DAY == known[m] else "0") for m, t in events}
+        firsts = {}
+        for m, t in sorted(events, key=lambda e: e[1]):
+            if (m, t // DAY) not in visited and t // DAY >= oldest:
+                firsts.setdefault((m, t // DAY), t)
+        for _ in range(2 if batch_id in (4, 9) else 1):
+            assert {(r.mid, r.ts, r.is_new) for r in days.repair(frame, batch_id).collect()} == expected
+            got = sorted((r.mid, r.ts) for r in seen.first(frame, batch_id, ["nr"]).collect())
+            assert got == sorted((m, t) for (m, _), t in firsts.items())
+        visited |= set(firsts)
+        oldest = max(oldest, max(t for _, t in events) // DAY - 1)
+    assert all(len(f) < 9 for f in days.table.manifest()["buckets"].values())
+    assert len(days.table.versions()) <= 3
+
+
+def test_rows_of_one_device_are_spread(spark, tmp_path):
+    """A device with nearly all rows: its rows are in many tasks until they are written."""
+    hot = spark.range(0, 200_000, 1, 8).selectExpr("'a' AS mid", "'1' AS is_new", "CAST(NULL AS string) AS last_page_id", "id AS ts")
+    repaired = FirstDays(spark, str(tmp_path / "days")).repair(hot)
+    per_task = repaired.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert max(r["count"] for r in per_task) <= 200_000 / 8
+    plan = repaired._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan
+
+
 def order(i, time, **more):
     return {"id": i, "province_id": 1, "user_id": 9, "order_status": "1001", "total_amount": "50.00", "create_time": time, **more}
 
@@ -183,18 +232,6 @@ def test_a_json_topic_as_a_view(spark, live, tmp_path):
     assert row.fullword == "x" and row.rowtime.timestamp() == 1
 
 
-def test_first_days_do_not_depend_on_chunks(spark, live, tmp_path):
-    for size in (2, 10_000):
-        live.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
-        topic = Topic(tmp_path / f"pages{size}")
-        topic.add(*[page("a", t) for t in (2 * DAY, 2 * DAY + 1, DAY, DAY + 1, 3 * DAY, DAY + 2)])
-        topic.add(page("a", DAY + 3), page("a", 2 * DAY + 2))
-        repaired = logs.repair_new_visitors(logs.parse_logs(topic.stream(live), encoded=False))
-        got = rows(spark, repaired, tmp_path, f"out{size}").collect()
-        assert len(got) == 8
-        assert sorted(r.ts for r in got if r.is_new == "1") == [DAY, DAY + 1, DAY + 2, DAY + 3]
-
-
 def test_bounces_of_repeats_and_unnamed_devices_equal_the_batch_form(spark, live, tmp_path):
     topic = Topic(tmp_path / "pages")
     topic.add(page("a", 1_000), page("a", 1_000), page(None, 2_000), page(None, 4_000, "home"), page(None, 50_000))

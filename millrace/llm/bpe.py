@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from millrace.llm.automaton import Lexicon, compile_words
 from millrace.llm.merging import Merger
+from millrace.llm.tables import fresh, settle
 
 # Frequent words that are compiled; their number bounds what the driver and a broadcast hold.
 LEXICON_WORDS = 60_000
@@ -205,9 +206,11 @@ class Codec:
 
 
 def frequent_words(docs: DataFrame, text: str = "text", n: int = LEXICON_WORDS) -> list[str]:
-    """The ``n`` words that are most frequent in all texts, ties in order of the words.
+    """The words that occur at least so often that there are no more than ``n`` of them.
 
-    Counted in tasks first; a task that meets many words hands them on in several lots.
+    Counted in tasks first; a task that meets many words hands them on in several lots. The
+    least count is found from the number of words of each count, a short table however
+    many words there are, and only the words above it come to the driver.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -226,9 +229,21 @@ def frequent_words(docs: DataFrame, text: str = "text", n: int = LEXICON_WORDS)
                     counts.clear()
         yield lot()
 
-    counted = docs.select(F.col(text).alias("text")).mapInArrow(run, "word string, n bigint")
-    best = counted.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(n)
-    return [r["word"] for r in best.select("word").collect()]
+    counted = docs.select(F.col(f"`{text}`").alias("text")).mapInArrow(run, "word string, n bigint")
+    # words that occur once are too many to write, and of no use to others
+    counted = settle(counted.groupBy("word").agg(F.sum("n").alias("n")).where("n > 1"))
+    # counts are put together by their power of two from 4,096 on, so that there are few
+    level = F.when(F.col("n") < 4096, F.col("n")).otherwise(F.pow(F.lit(2), F.floor(F.log2("n"))).cast("long"))
+    levels = counted.groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("words")).collect()
+    taken, least = 0, None
+    for row in sorted(levels, key=lambda r: -r["level"]):
+        taken += row["words"]
+        if taken > n:
+            break
+        least = row["level"]
+    if least is None:
+        return []
+    return sorted(r["word"] for r in counted.where(F.col("n") >= least).select("word").collect())
 
 
 def build_lexicon(words: list[str], vocabulary: Vocabulary) -> bytes:
@@ -243,8 +258,8 @@ def encode_documents(docs: DataFrame, vocabulary_path: str, text: str = "text",
     tokens in a text become their ids. ``ids_sha256`` is that of the decimal ids joined by
     commas, ``decoded_sha256`` that of the UTF-8 text decoded from the ids.
 
-    The ``lexicon_words`` most frequent words of all texts are compiled with their ids into
-    an automaton, a few MB that go to every executor; other words are merged exactly. The
+    The most frequent words of all texts, ``lexicon_words`` at most, are compiled with their
+    ids into an automaton, a few MB that go to every executor; other words are merged exactly. The
     vocabulary is read on the driver, so the path need only be there.
 
     A null text is an empty one: no ids. Repeated rows are each encoded. Other columns stay as
@@ -256,10 +271,9 @@ def encode_documents(docs: DataFrame, vocabulary_path: str, text: str = "text",
     names = ["n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * keep_ids]
     kept = [c for c in docs.columns if c not in names]
     added = "n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * keep_ids
-    schema = T.StructType([*docs.select(*kept).schema.fields, *T.StructType.fromDDL(added).fields])
-    drop_text = text in names
-    given = docs.select(*kept, *([F.col(text).alias("_text")] if drop_text else []))
-    column = "_text" if drop_text else text
+    schema = T.StructType([*(f for f in docs.schema.fields if f.name in kept), *T.StructType.fromDDL(added).fields])
+    column = fresh(docs.columns, "text")
+    given = docs.select(*(F.col(f"`{c}`") for c in kept), F.col(f"`{text}`").alias(column))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(shipped)

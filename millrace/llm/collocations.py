@@ -21,7 +21,7 @@ FILTER_BITS = 26
 # Texts are hashed in slices of about so many bytes that end where a piece ends.
 SLICE = 1 << 20
 # A task adds up so many fingerprints at once, at least.
-AT_ONCE = 2_000_000
+AT_ONCE = 1_000_000
 
 _U = np.uint64
 # What a byte is: part of a word, space, or end of a piece.

@@ -5,13 +5,15 @@ from __future__ import annotations
 import html
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.tables import fresh
+
 # Elements of HTML by their role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes template".split())
@@ -34,6 +36,12 @@ BOILERPLATE = re.compile(
     re.I,
 )
 
+# Those of them that stand in names of parts of a text too, and words about layout alone.
+AMBIGUOUS = frozenset("banner copyright header login menu nav notice promo related replies respond search share sharing side skip social toolbar widget".split())
+LAYOUT = re.compile(r"\d+|js|is|has|box|block|section|container|wrap(?:per)?|area|inner|outer|list|items?|group|posts?|articles?|stor(?:y|ies)|links?|buttons?|bar|left|right|top|bottom|main|content|form|title|icons?|row|col(?:umn)?|news|more|text|site|page|global|primary|secondary|fixed|sticky|mobile|desktop")
+# What makes such a part of an article text: at most this share of links, at least so many characters a tag.
+LINKED_SHARE, LEAST_DENSITY = 0.3, 20
+
 _SPACE = re.compile(r"[\s\x00]+")
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|"
@@ -58,15 +66,43 @@ class Node:
     density_sum: float = 0.0
 
 
+class _Open:
+    """The open elements, with the depths of each name and of all blocks, so that the nearest
+    of a kind is found without a walk."""
+
+    def __init__(self, root: Node):
+        self.stack = [root]
+        self.depths: dict[str, list[int]] = {}
+        self.blocks = [0]
+
+    def push(self, node: Node) -> None:
+        self.depths.setdefault(node.name, []).append(len(self.stack))
+        if node.name not in INLINE:
+            self.blocks.append(len(self.stack))
+        self.stack.append(node)
+
+    def cut(self, depth: int) -> None:
+        """Close all elements from this depth on."""
+        while len(self.stack) > depth:
+            name = self.stack.pop().name
+            self.depths[name].pop()
+            if name not in INLINE:
+                self.blocks.pop()
+
+    def nearest(self, names: Iterable[str]) -> int:
+        """Depth of the nearest element of these names, 0 if none is open."""
+        return max((self.depths[n][-1] for n in names if self.depths.get(n)), default=0)
+
+
 def parse(page: str) -> Node:
     """The tree of a page; whatever is wrong with the markup, its text is kept once."""
     root = Node("#page")
-    stack = [root]
+    open_ = _Open(root)
     at, end = 0, len(page)
 
     def text(piece: str) -> None:
         if piece:
-            stack[-1].children.append(piece)
+            open_.stack[-1].children.append(piece)
 
     while at < end:
         m = _TOKEN.search(page, at)
@@ -82,29 +118,27 @@ def parse(page: str) -> Node:
             continue
         name = name.lower()
         if m["close"]:
-            if name == "p" and all(n.name != "p" for n in stack):
-                stack[-1].children.append(Node("p"))
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth].name == name:
-                    del stack[depth:]
-                    break
-                if name in INLINE and stack[depth].name not in INLINE:
-                    break
+            depth = open_.nearest([name])
+            if name == "p" and not depth:
+                open_.stack[-1].children.append(Node("p"))
+            # an inline element does not end the block around it
+            elif depth and not (name in INLINE and depth < open_.blocks[-1]):
+                open_.cut(depth)
             continue
         rest = m["rest"] or ""
-        _close_before(name, stack)
+        _close_before(name, open_)
         node = Node(name, " ".join(a or b or c for a, b, c in _NAMED.findall(rest)) if "=" in rest else "")
-        stack[-1].children.append(node)
+        open_.stack[-1].children.append(node)
         if name in RAW:
             close = re.compile(rf"</{re.escape(name)}(?=[\s/>]|$)[^>]*>?", re.I).search(page, at)
             node.children.append(page[at : close.start() if close else end])
             at = close.end() if close else end
         elif name not in VOID and not rest.endswith("/"):
-            stack.append(node)
+            open_.push(node)
     return root
 
 
-def _close_before(name: str, stack: list[Node]) -> None:
+def _close_before(name: str, open_: _Open) -> None:
     """Close what a start tag closes: the row before it, and a paragraph before a block."""
     if name in CLOSES:
         rows, around = CLOSES[name]
@@ -112,12 +146,9 @@ def _close_before(name: str, stack: list[Node]) -> None:
         rows, around = {"p"}, {"article", "section", "div", "body", "td", "th", "li", "blockquote", "button", "object"}
     else:
         return
-    for depth in range(len(stack) - 1, 0, -1):
-        if stack[depth].name in rows:
-            del stack[depth:]
-            return
-        if stack[depth].name in around:
-            return
+    depth = open_.nearest(rows)
+    if depth and depth >= open_.nearest(around):
+        open_.cut(depth)
 
 
 def _is_aside(node: Node, under_article: bool) -> bool:
@@ -126,16 +157,29 @@ def _is_aside(node: Node, under_article: bool) -> bool:
     return bool(node.marks) and node.name not in ("html", "body", "article", "main") and bool(BOILERPLATE.search(node.marks))
 
 
+def _named_in_passing(node: Node) -> bool:
+    """Whether only names like "related-work" say that a node is an aside: a word that also
+    has other meanings, beside one that is not just about layout."""
+    for name in node.marks.split():
+        words = [w for w in re.split(r"[_-]+", name.lower()) if w]
+        if any(BOILERPLATE.search(w) for w in words):
+            telling = [w for w in words if not LAYOUT.fullmatch(w)]
+            if any(BOILERPLATE.search(w) and w not in AMBIGUOUS for w in words) or all(BOILERPLATE.search(w) for w in telling):
+                return False
+    return True
+
+
 def _pruned(root: Node) -> None:
     """Take out scripts, forms, menus and the like, at any depth.
 
     A form, or an element that only its names mark, stays where it is around the main
     text: the page's ``main``, else its longest article, or ``MAIN_SHARE`` of the unlinked
-    characters that are in no other kind of aside.
+    characters that are in no other kind of aside. Inside an article, one whose names have
+    other meanings too ("related-work") stays where its text is dense.
     """
     below = _unlinked(root)
     most = MAIN_SHARE * below[id(root)][0]
-    mains = [n for _, n in below.values() if n.name == "main"] or [n for _, n in below.values() if n.name == "article"]
+    mains = [n for _, n, *_ in below.values() if n.name == "main"] or [n for _, n, *_ in below.values() if n.name == "article"]
     main = max(mains, key=lambda n: below[id(n)][0], default=None)
     around = _around(root, main) if main else set()
     todo = [(root, False)]
@@ -148,6 +192,8 @@ def _pruned(root: Node) -> None:
                 return True
             if c.name in ASIDE and c.name not in WRAPPERS:
                 return False
+            if inside and c.name not in ASIDE and _named_in_passing(c) and _is_dense(below[id(c)]):
+                return True
             # beside the main element nothing is main text, whatever its share
             return id(c) in around or ((main is None or inside) and below[id(c)][0] > 0 and below[id(c)][0] >= most)
 
@@ -155,20 +201,28 @@ def _pruned(root: Node) -> None:
         todo += [(c, inside) for c in node.children if not isinstance(c, str)]
 
 
-def _unlinked(root: Node) -> dict[int, tuple[int, Node]]:
-    """Unlinked characters of every node outside the asides that are never main text."""
+def _unlinked(root: Node) -> dict[int, tuple[int, Node, int, int]]:
+    """Of every node outside the asides that are never main text: its unlinked characters,
+    the node, all its characters and its tags."""
     order, todo = [], [(root, False)]
     while todo:
         node, linked = todo.pop()
         order.append((node, linked))
         todo += [(c, linked or c.name == "a") for c in node.children if not isinstance(c, str) and (c.name not in ASIDE or c.name in WRAPPERS)]
-    found: dict[int, tuple[int, Node]] = {}
+    found: dict[int, tuple[int, Node, int, int]] = {}
     for node, linked in reversed(order):
-        own = 0 if linked else sum(len(_SPACE.sub("", html.unescape(c))) for c in node.children if isinstance(c, str))
-        found[id(node)] = own + sum(found[id(c)][0] for c in node.children if not isinstance(c, str) and id(c) in found), node
+        chars = sum(len(_SPACE.sub("", html.unescape(c))) for c in node.children if isinstance(c, str))
+        inner = [found[id(c)] for c in node.children if not isinstance(c, str) and id(c) in found]
+        unlinked = (0 if linked else chars) + sum(x[0] for x in inner)
+        found[id(node)] = unlinked, node, chars + sum(x[2] for x in inner), sum(x[3] + 1 for x in inner)
     return found
 
 
+def _is_dense(counts: tuple) -> bool:
+    unlinked, _, chars, tags = counts
+    return unlinked >= (1 - LINKED_SHARE) * chars and unlinked >= LEAST_DENSITY * max(tags, 1)
+
+
 def _around(root: Node, inner: Node) -> set[int]:
     """The ids of the nodes that a node lies in, itself among them."""
     parents, todo = {}, [root]
@@ -246,11 +300,22 @@ def _main_nodes(body: Node, order: list[Node]) -> set[int]:
     """
     parents = {id(c): n for n in order for c in n.children if not isinstance(c, str)}
     best: dict[int, Node] = {}
+    # on the path from a node's best up to it: the first that may be the whole of a text, and
+    # the first article from there on
+    block: dict[int, Node | None] = {}
+    article: dict[int, Node | None] = {}
     for node in order:  # children come first
         if all(isinstance(c, str) for c in node.children):
             node.density_sum = node.density
-        below = [best[id(c)] for c in node.children if not isinstance(c, str)]
-        best[id(node)] = max([node, *below], key=lambda n: n.density_sum)
+        through, found = None, node
+        for c in node.children:
+            if not isinstance(c, str) and best[id(c)].density_sum > found.density_sum:
+                through, found = c, best[id(c)]
+        best[id(node)] = found
+        first = block[id(through)] if through else None
+        block[id(node)] = first or (node if node.name not in INLINE and node.name not in PARTS else None)
+        first = article[id(through)] if through else None
+        article[id(node)] = first or (node if node.name in ("article", "main") else None)
     path = [best[id(body)]]
     while path[-1] is not body:
         path.append(parents[id(path[-1])])
@@ -261,12 +326,7 @@ def _main_nodes(body: Node, order: list[Node]) -> set[int]:
         node = todo.pop()
         if id(node) in kept or not node.chars or node.density < threshold:
             continue
-        path = [best[id(node)]]
-        while path[-1] is not node:
-            path.append(parents[id(path[-1])])
-        whole = next((n for n in path if n.name not in INLINE and n.name not in PARTS), node)
-        around = path[path.index(whole) :]
-        whole = next((n for n in around if n.name in ("article", "main")), whole)
+        whole = article[id(node)] or block[id(node)] or node
         kept.add(id(whole))
         if whole is not node:
             todo += [c for c in node.children if not isinstance(c, str)]
@@ -322,16 +382,18 @@ def extract_text(pages: DataFrame, source: str = "html") -> DataFrame:
     node gets its composite text density, and the node with the largest sum of its
     children's densities is taken, with all other parts of the page that are no less dense
     than the path from the body to it, in page order. A null or empty page gives ''. Broken markup never
-    fails: it is read as browsers do, as far as blocks go. Other columns stay as they are,
-    except those of the two names.
+    fails: it is read as browsers do, as far as blocks go, in a time linear in its length but
+    for tables of names. Repeated pages each give a row; an empty table gives none. Other
+    columns stay as they are, except those of the two names.
     """
     kept = [c for c in pages.columns if c not in (source, "text", "n_chars")]
-    given = pages.select(*kept, F.col(source).alias("_html"))
+    name = fresh(pages.columns, "html")
+    given = pages.select(*(F.col(f"`{c}`") for c in kept), F.col(f"`{source}`").alias(name))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [main_text(x.as_py()) for x in batch["_html"]]
+            texts = [main_text(x.as_py()) for x in batch[name]]
             columns = [pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())]
             yield pa.RecordBatch.from_arrays([*[batch[c] for c in kept], *columns], [*kept, "text", "n_chars"])
 
-    return given.mapInArrow(run, pages.select(*kept).schema.add("text", "string").add("n_chars", "long"))
+    return given.mapInArrow(run, given.drop(name).schema.add("text", "string").add("n_chars", "long"))

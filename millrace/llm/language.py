@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -12,7 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.tables import narrow_broadcast, settle
+from millrace.llm.spans import let
+from millrace.llm.tables import fresh, narrow_broadcast, settle
 
 # Letter triples are counted in this many cells per language.
 CELLS = 1 << 14
@@ -87,24 +89,18 @@ def identify_languages(
     rows are each judged, and counted. Columns of ``docs`` stay as they are, except that
     one of the name ``language`` is replaced.
     """
+    names = ("text", "declared", "suffix", "host", "text_score", "prior", "prior_host", "language")
+    own = {name: fresh(docs.columns, name) for name in names}
+    code = _language_code(F.col(f"`{declared}`") if declared else F.lit(None))
     seen = docs.select(
-        F.coalesce(F.col(text), F.lit("")).alias("_text"),
-        _language_code(F.col(declared) if declared else F.lit(None)).alias("_declared"),
-        _host(docs, url, host).alias("_host"),
+        F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("_text"), code.alias("_declared"), _host(url, host).alias("_host")
     )
     counts = settle(_triple_counts(seen))
-    languages = sorted(r["language"] for r in counts.select("language").distinct().collect())
-    judged = docs.withColumns(
-        {
-            "_declared": _language_code(F.col(declared) if declared else F.lit(None)),
-            "_suffix": _suffix_language(F.col(url)) if url else F.lit(None).cast("string"),
-            "_host": _host(docs, url, host),
-        }
-    )
+    kept = [F.col(f"`{c}`") for c in docs.columns if c != "language"]
+    languages, table, usual = _model(counts)
     if not languages:
         nothing = "named_struct('best', CAST(NULL AS STRING), 'posterior', 0D, 'surprise', CAST(NULL AS DOUBLE), 'triples', 0L, 'accepted', false)"
-        return judged.withColumn("language", F.expr(nothing)).drop("_declared", "_suffix", "_host")
-    table, usual = _model(counts, languages)
+        return docs.select(*kept, F.expr(nothing).alias("language"))
     spark = docs.sparkSession
     shipped = spark.sparkContext.broadcast(table)  # at most CELLS x len(CODES) floats
 
@@ -112,99 +108,93 @@ def identify_languages(
     def likelihoods(texts: pd.Series) -> pd.Series:
         return pd.Series([_score(t, shipped.value) for t in texts])
 
-    priors = settle(host_priors(seen, languages))
-    scored = judged.withColumn("_text_score", likelihoods(F.coalesce(F.col(text), F.lit(""))))
-    sides = priors.select(F.col("host").alias("_prior_host"), F.col("prior").alias("_prior"))
-    # a prior is a few numbers, and hosts are far fewer than documents
-    joined = scored.join(
-        narrow_broadcast(sides, priors.count() * (1 + len(languages) // 8)), F.col("_host") == F.col("_prior_host"), "left"
+    scored = docs.select(
+        *kept,
+        code.alias(own["declared"]),
+        (_suffix_language(F.col(f"`{url}`")) if url else F.lit(None).cast("string")).alias(own["suffix"]),
+        _host(url, host).alias(own["host"]),
+        likelihoods(F.coalesce(F.col(f"`{text}`"), F.lit(""))).alias(own["text_score"]),
     )
-    overall = priors.where("host = ''").first()["prior"]
-    return _fuse(joined, languages, usual, overall).drop("_declared", "_suffix", "_host", "_text_score", "_prior", "_prior_host")
+    priors, overall = host_priors(seen, languages)
+    priors = settle(priors)
+    sides = priors.select(F.col("host").alias(own["prior_host"]), F.col("prior").alias(own["prior"]))
+    # a prior is a few numbers, and hosts are far fewer than documents
+    sides = narrow_broadcast(sides, priors.count() * (1 + len(languages) // 8))
+    joined = scored.join(sides, F.col(own["host"]) == F.col(own["prior_host"]), "left")
+    return joined.select(*kept, _fused(own, languages, usual, overall).alias("language"))
+
+
+def _numbers(values) -> str:
+    return f"array({', '.join(f'{float(v)!r}D' for v in values)})"
 
 
-def _fuse(joined: DataFrame, languages: list[str], usual: np.ndarray, overall: list[float]) -> DataFrame:
+def _fused(own: dict[str, str], languages: list[str], usual: np.ndarray, overall: list[float]) -> Column:
+    """The struct of the verdict, from arrays with a number for each language."""
     k = len(languages)
-    names = F.array(*map(F.lit, languages))
-    prior = F.coalesce(F.col("_prior"), F.array(*[F.lit(float(p)) for p in overall]))
-
-    def said(which: str, trust: float, at: int) -> Column:
-        other = F.lit((1 - trust) / max(k - 1, 1) + 1e-9)
-        place = F.col(f"{which}_at")
-        return F.when(place > 0, F.log(F.when(place == at + 1, F.lit(trust)).otherwise(other))).otherwise(0.0)
-
-    logs = [
-        F.lit(TEXT_WEIGHT) * F.col("_text_score")[at]
-        + said("_declared", DECLARED_TRUST, at)
-        + said("_suffix", SUFFIX_TRUST, at)
-        + F.log(prior[at])
-        for at in range(k)
-    ]
-    most = F.array_max("_logs")
-    best = F.array_position("_logs", most).cast("int") - 1
-    mass = F.aggregate("_logs", F.lit(0.0), lambda a, x: a + F.exp(x - F.array_max("_logs")))
-    triples = F.col("_text_score")[k]
-    surprise = F.when(triples > 0, F.get(F.array(*[F.lit(float(u)) for u in usual]), best) - F.get("_text_score", best) / triples)
-    accepted = (F.col("_posterior") >= LEAST_POSTERIOR) & (triples > 0) & (F.col("_surprise") <= MOST_SURPRISE)
+    names = f"array({', '.join(repr(name) for name in languages)})"
+
+    def said(place: str, trust: float) -> str:
+        other = (1 - trust) / max(k - 1, 1) + 1e-9
+        return f"IF({place} IS NULL OR {place} = 0, 0D, IF({place} = i + 1, {math.log(trust)!r}D, {math.log(other)!r}D))"
+
+    prior = f"coalesce({own['prior']}, {_numbers(overall)})"
+    parts = f"zip_with(slice({own['text_score']}, 1, {k}), {prior}, (t, p) -> {TEXT_WEIGHT}D * t + ln(p))"
+
+    def judged(places: str, logs: str, most: str) -> str:
+        best = f"CAST(array_position({logs}, {most}) AS int)"
+        mass = f"aggregate({logs}, 0D, (a, x) -> a + exp(x - {most}))"
+        triples = f"{own['text_score']}[{k}]"
+        surprise = f"IF({triples} > 0, {_numbers(usual)}[{best} - 1] - {own['text_score']}[{best} - 1] / {triples}, CAST(NULL AS double))"
+        told = f"named_struct('best', {names}[{best} - 1], 'posterior', 1 / {mass}, 'surprise', {surprise}, 'triples', CAST({triples} AS bigint))"
+        accepted = f"coalesce(v.posterior >= {LEAST_POSTERIOR}D AND v.triples > 0 AND v.surprise <= {MOST_SURPRISE}D, false)"
+        fields = ", ".join(f"'{f}', v.{f}" for f in ("best", "posterior", "surprise", "triples"))
+        return f"transform(array({told}), v -> named_struct({fields}, 'accepted', {accepted}))[0]"
+
     # looked up once, not once per language
-    places = {f"{which}_at": F.array_position(names, F.col(which)) for which in ("_declared", "_suffix")}
-    return (
-        joined.withColumns(places)
-        .withColumn("_logs", F.array(*logs))
-        .withColumns({"_best": F.get(names, best), "_posterior": 1 / mass, "_surprise": surprise})
-        .withColumn(
-            "language",
-            F.struct(
-                F.col("_best").alias("best"),
-                F.col("_posterior").alias("posterior"),
-                F.col("_surprise").alias("surprise"),
-                triples.cast("long").alias("triples"),
-                F.coalesce(accepted, F.lit(False)).alias("accepted"),
-            ),
-        )
-        .drop("_logs", "_best", "_posterior", "_surprise", *places)
-    )
+    at = f"named_struct('declared', array_position({names}, {own['declared']}), 'suffix', array_position({names}, {own['suffix']}))"
 
+    def fused(places: str) -> str:
+        both = f"{said(f'{places}.declared', DECLARED_TRUST)} + {said(f'{places}.suffix', SUFFIX_TRUST)}"
+        return let(f"transform({parts}, (x, i) -> x + {both})", lambda logs: let(f"array_max({logs})", lambda most: judged(places, logs, most)))
 
-def host_priors(seen: DataFrame, languages: list[str]) -> DataFrame:
-    """``host, prior``: shares of the declared languages per host, smoothed upwards.
+    return F.expr(let(at, fused))
 
-    The host '' stands for all documents, whose shares are smoothed by one document of
-    each language.
+
+def host_priors(seen: DataFrame, languages: list[str]) -> tuple[DataFrame, list[float]]:
+    """``host, prior``: shares of the declared languages per host, smoothed upwards; and those of
+    all documents, which are smoothed by one document of each language.
     """
-    k = len(languages)
-    counts = settle(
-        seen.where("_declared IS NOT NULL").groupBy(F.coalesce("_host", F.lit("")).alias("host"), "_declared").agg(F.count(F.lit(1)).alias("n"))
-    )
+    rows = seen.where("_declared IS NOT NULL").groupBy(F.coalesce("_host", F.lit("")).alias("host"), "_declared")
+    counts = settle(rows.agg(F.count(F.lit(1)).alias("n")))
+    # at most as many rows as there are languages
+    every = {r["_declared"]: r["n"] for r in counts.groupBy("_declared").agg(F.sum("n").alias("n")).collect()}
+    total = [every.get(name, 0) + 1.0 for name in languages]
+    overall = [x / sum(total) for x in total]
+    names = f"array({', '.join(repr(name) for name in languages)})"
 
     def shares(level: DataFrame, key: str) -> DataFrame:
-        # one sum per language, reduced before the shuffle
-        sums = [F.sum(F.when(F.col("_declared") == name, F.col("n")).otherwise(0)).alias(f"n{i}") for i, name in enumerate(languages)]
-        return level.groupBy(key).agg(*sums)
-
-    every = shares(counts.withColumn("site", F.lit("")), "site").first()
-    total = [(every[f"n{i}"] if every else 0) + 1.0 for i in range(k)]
-    overall = F.array(*[F.lit(x / sum(total)) for x in total])
+        # one entry per language, reduced before the shuffle
+        sums = level.groupBy(key, "_declared").agg(F.sum("n").alias("n"))
+        return sums.groupBy(key).agg(
+            F.map_from_entries(F.collect_list(F.struct("_declared", F.col("n").cast("double")))).alias("ns"), F.sum("n").cast("double").alias("of_all")
+        )
 
-    def smoothed(parent: Column) -> Column:
-        here = F.array(*[F.col(f"n{i}").cast("double") for i in range(k)])
-        of_all = F.aggregate(here, F.lit(0.0), lambda a, x: a + x)
-        return F.zip_with(here, parent, lambda n, p: (n + SMOOTHING * p) / (of_all + SMOOTHING))
+    def smoothed(parent: str) -> Column:
+        here = f"transform({names}, name -> coalesce(try_element_at(ns, name), 0D))"
+        return F.expr(f"zip_with({here}, {parent}, (n, p) -> (n + {SMOOTHING}D * p) / (of_all + {SMOOTHING}D))")
 
-    sites = shares(counts.withColumn("site", _site(F.col("host"))), "site").select("site", smoothed(overall).alias("parent"))
+    sites = shares(counts.withColumn("site", _site(F.col("host"))), "site").select("site", smoothed(_numbers(overall)).alias("parent"))
     hosts = shares(counts, "host").where("host <> ''").withColumn("site", _site(F.col("host")))
-    of_hosts = hosts.join(sites, "site").select("host", smoothed(F.col("parent")).alias("prior"))
-    of_all = seen.sparkSession.range(1).select(F.lit("").alias("host"), overall.alias("prior"))
-    return of_hosts.unionByName(of_all)
+    return hosts.join(sites, "site").select("host", smoothed("parent").alias("prior")), overall
 
 
 def _site(host: Column) -> Column:
     return F.substring_index(host, ".", -2)
 
 
-def _host(docs: DataFrame, url: str | None, host: str | None) -> Column:
-    named = F.lower(F.col(host)) if host else F.lit(None).cast("string")
-    found = F.lower(F.regexp_extract(F.col(url), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]+)", 1)) if url else F.lit("")
+def _host(url: str | None, host: str | None) -> Column:
+    named = F.lower(F.col(f"`{host}`")) if host else F.lit(None).cast("string")
+    found = F.lower(F.regexp_extract(F.col(f"`{url}`"), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]+)", 1)) if url else F.lit("")
     return F.nullif(F.coalesce(F.nullif(found, F.lit("")), named), F.lit(""))
 
 
@@ -265,15 +255,22 @@ def _triple_counts(seen: DataFrame) -> DataFrame:
     return partial.groupBy("language", "cell").agg(F.sum("n").alias("n"))
 
 
-def _model(counts: DataFrame, languages: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Log probability per language and cell, and the mean over each language's own texts.
+def _model(counts: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The languages, the log probability per language and cell, and the mean over each
+    language's own texts.
 
-    At most ``CELLS`` numbers for each of the languages, all of them in ``CODES``, come here.
+    A task makes the row of a language, ``CELLS`` floats; the rows of all languages, each of
+    them in ``CODES``, come here as bytes.
     """
-    seen = np.zeros((len(languages), CELLS))
-    row = {name: i for i, name in enumerate(languages)}
-    found = counts.where("cell >= 0").toPandas()
-    seen[found["language"].map(row).to_numpy(dtype=np.int64), found["cell"].to_numpy(dtype=np.int64)] = found["n"]
-    logs = np.log((seen + 0.5) / (seen.sum(axis=1, keepdims=True) + 0.5 * CELLS))
-    usual = (logs * seen).sum(axis=1) / np.maximum(seen.sum(axis=1), 1)
-    return logs, usual
+
+    def of_language(rows: pd.DataFrame) -> pd.DataFrame:
+        seen = np.zeros(CELLS)
+        there = rows["cell"] >= 0
+        seen[rows.loc[there, "cell"]] = rows.loc[there, "n"]
+        logs = np.log((seen + 0.5) / (seen.sum() + 0.5 * CELLS))
+        usual = (logs * seen).sum() / max(seen.sum(), 1)
+        return pd.DataFrame({"language": rows["language"].iloc[:1], "logs": [logs.astype(np.float32).tobytes()], "usual": [usual]})
+
+    found = counts.groupBy("language").applyInPandas(of_language, "language string, logs binary, usual double").toArrow().sort_by("language")
+    logs = [np.frombuffer(x.as_buffer(), np.float32) for x in found["logs"]]
+    return found["language"].to_pylist(), np.array(logs).reshape(-1, CELLS), found["usual"].to_numpy()

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -54,8 +54,8 @@ def near_duplicates(
     Documents with the same set are one node. The nodes are sketched, the bands of a sketch
     are buckets, and only nodes of one bucket are compared, on their full sets. A bucket is
     never paired out: its members are compared with one of them first, later ones only
-    with members outside their own component (see ``_links``), which finds the same
-    components.
+    with members outside their own component that share one of their rarest shingles (see
+    ``_labels``), which finds the same components.
 
     A null or empty text, or one without words, has no shingles and is linked with nothing.
     A row with a null id counts for nobody, has a null component and is kept. Rows that
@@ -120,11 +120,10 @@ def _labels(shared: DataFrame, given: DataFrame, width: int, percent: int) -> Da
             break
         last = turn == STAR_ROUNDS or to_do["all"] <= 4 * to_do["star"]
         if last:
-            # every pair of different components that has not met: those outside the component
-            # of the head with everybody
-            outside = outside.select(*opened.columns)
-            outside = outside.join(opened.select("key", *[F.col(c).alias(d) for c, d in of_head.items()]), "key")
-        pairs = outside.where((F.col("label") != F.col("other_label")) & _may_be_alike(percent, last))
+            # every pair of different components that has not met and may be linked at all
+            pairs = _by_rare_items(opened, sets, percent)
+        else:
+            pairs = outside.where((F.col("label") != F.col("other_label")) & _may_be_alike(percent))
         edges = edges.unionByName(settle(_linked(pairs, sets, percent)))
         labels = components(edges)
         if last:
@@ -148,10 +147,9 @@ def _without_hopeless(opened: DataFrame, sets: DataFrame, percent: int) -> DataF
     are told apart by this without their full sets.
     """
     opened = settle(opened)
-    # at most one key per band
-    nodes = opened.groupBy("node").agg(F.collect_set("key").alias("keys"))
+    nodes = opened.select("node").distinct()
     parts = range(PARTS)
-    items = sets.join(nodes.select("node"), "node").select("node", F.explode("items").alias("item"))
+    items = sets.join(nodes, "node").select("node", F.explode("items").alias("item"))
     alone = items.groupBy("item").agg(F.min("node").alias("node"), F.count(F.lit(1)).alias("in")).where("in = 1")
 
     def per_part(rows: DataFrame, name: str) -> DataFrame:
@@ -162,17 +160,40 @@ def _without_hopeless(opened: DataFrame, sets: DataFrame, percent: int) -> DataF
     common = per_part(items, "part").join(per_part(alone, "own"), "node", "left").select(
         "node", *[(F.col(f"part{i}") - F.coalesce(f"own{i}", F.lit(0))).alias(f"part{i}") for i in parts]
     )
-    counted = opened.join(common.join(nodes, "node"), "node")
+    counted = opened.join(common, "node")
     left = sum((F.col(f"part{i}") for i in parts), F.lit(0))
     return settle(_of_several_labels(settle(counted.where(100 * left >= percent * F.col("n")))))
 
 
-def _may_be_alike(percent: int, once: bool) -> Column:
+def _may_be_alike(percent: int) -> Column:
     """Whether the sizes of the parts leave two nodes enough in common."""
     most = sum((F.least(f"part{i}", f"other_part{i}") for i in range(PARTS)), F.lit(0))
-    enough = 100 * most >= percent * (F.col("n") + F.col("other_n") - most)
-    # of the buckets that two nodes share, one brings them together
-    return enough if not once else enough & (F.col("key") == F.array_min(F.array_intersect("keys", "other_keys")))
+    return 100 * most >= percent * (F.col("n") + F.col("other_n") - most)
+
+
+def _by_rare_items(opened: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``node, other_node`` of different components that share one of their rarest items.
+
+    An intersection has at least ``percent`` of the items of either set, so it misses fewer
+    than the rarest ones that are left over, and both nodes have one of it among those. A
+    bucket is not paired out: what many of its members share, such as a template, is not
+    among the rarest items of members that are otherwise different.
+    """
+    columns = ["n", "label", *[f"part{i}" for i in range(PARTS)]]
+    nodes = settle(opened.select("node", *columns).dropDuplicates(["node"]))
+    items = sets.join(nodes.select("node", "n", "label"), "node").select("node", "n", "label", F.explode("items").alias("item"))
+    counts = items.groupBy("item").agg(F.count(F.lit(1)).alias("in"))
+    rarest = Window.partitionBy("node").orderBy("in", "item")
+    left_over = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+    items = items.join(counts, "item").withColumn("place", F.row_number().over(rarest)).where(F.col("place") <= left_over)
+    items = settle(items.where(F.col("in") > 1).select("item", "node", "n", "label"))
+    others = items.select("item", *[F.col(c).alias(f"other_{c}") for c in ("node", "n", "label")])
+    met = items.join(others, "item").where(
+        (F.col("node") < F.col("other_node")) & (F.col("label") != F.col("other_label")) & _sizes_fit(F.col("n"), F.col("other_n"), percent)
+    )
+    met = met.select("node", "other_node").distinct()
+    sided = nodes.select(*[F.col(c).alias(f"other_{c}") for c in nodes.columns])
+    return met.join(nodes, "node").join(sided, "other_node").where(_may_be_alike(percent)).select("node", "other_node")
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.spans import EDGE, OTHER, PART, let, matches, outside, quoted, running_max
+from millrace.llm.tables import fresh, settle
+
 # The patterns of the base spans.
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?)([A-Za-z0-9+/_.=-]+)"""
 ACCESS = "AKIA[A-Z0-9]{12,}"
@@ -31,9 +34,10 @@ ALPHABETS = {
 FALSE_DISCOVERY = 0.05
 # p values are counted in steps of 1 / CELLS of -log10 p, up to MOST_LOG.
 CELLS, MOST_LOG = 50, 20
+# Kinds of spans, in the order in which those with one start are listed.
+KINDS = ("assign", "access", "hex", "random")
 
-# Marks put into a copy of the text, one code point each; no pattern matches them.
-_EDGE, _PART, _OTHER = map(chr, (0xE000, 0xE001, 0xE002))
+_SPAN = "struct<start: int, end: int, kind: string>"
 
 
 def scan_secrets(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -53,36 +57,45 @@ def scan_secrets(docs: DataFrame, text: str = "text") -> DataFrame:
     with a length in the same power of two: short ones show less, so they need their own
     limit.
 
+    Rows are written once with their base spans and candidates; the limits are taken from
+    there, and spans chosen by them when the rows are read again.
+
     A null or empty text has no spans. Repeated rows are each scanned, and counted. Other
-    columns stay as they are, except one of the name ``secrets``, which is replaced.
+    columns stay as they are, except one of the name ``secrets``, which is replaced. An
+    empty table gives no rows.
     """
-    raw = F.col(text)
-    clean = F.translate(raw, _EDGE + _PART, _OTHER * 2)
-    # cheap tests of the text as it is spare most texts everything else
-    has_assign = (F.contains(raw, F.lit("=")) | F.contains(raw, F.lit(":"))) & raw.rlike(ASSIGN)
-    has_random = raw.rlike("[0-9]") & raw.rlike("[A-Za-z0-9+/_-]{20}")
-    tried = docs.select(F.explode(_candidates(clean, has_random)).alias("c")).select(
-        F.col("c.class").alias("class"), F.col("c.cell").alias("cell")
-    )
-    limits = _limits(tried.groupBy("class", "cell").agg(F.count(F.lit(1)).alias("n")))
-    base = F.concat(
-        _assigned(clean, has_assign),
-        _plain(clean, F.contains(raw, F.lit("AKIA")), ACCESS, "access"),
-        _plain(clean, raw.rlike(HEX), HEX, "hex"),
+    kept = [c for c in docs.columns if c != "secrets"]
+    raw, clean, base, tried = (fresh(docs.columns, name) for name in ("raw", "clean", "base", "tried"))
+    # a generator keeps the expression from being copied into each of its uses
+    cleaned = F.translate(F.col(text), EDGE + PART, OTHER * 2)
+    given = docs.select(*(F.col(f"`{c}`") for c in kept), F.explode(F.array(cleaned)).alias(clean))
+    # cheap tests of the text spare most texts everything else
+    named = f"(contains({clean}, '=') OR contains({clean}, ':')) AND {clean} RLIKE {quoted(ASSIGN)}"
+    spans = [
+        f"IF({named}, {_assigned(clean)}, array())",
+        f"IF(contains({clean}, 'AKIA'), {_plain(clean, ACCESS, 'access')}, array())",
+        f"IF({clean} RLIKE {quoted(HEX)}, {_plain(clean, HEX, 'hex')}, array())",
+    ]
+    none = "CAST(array() AS array<struct<start: int, end: int, class: int, cell: int>>)"
+    mixed = f"{clean} RLIKE '[0-9]' AND {clean} RLIKE '[A-Za-z0-9+/_-]{{{LEAST_RANDOM}}}'"
+    found = given.select(
+        *(F.col(f"`{c}`") for c in kept),
+        F.expr(f"concat({', '.join(f'CAST({s} AS array<{_SPAN}>)' for s in spans)})").alias(base),
+        F.expr(f"IF({mixed}, {_candidates(clean)}, {none})").alias(tried),
     )
-    kept = F.filter(_candidates(clean, has_random), lambda c: c["cell"] < _limit_of(c["class"], limits))
-    random = F.transform(kept, lambda c: F.struct(c["start"].alias("start"), c["end"].alias("end"), F.lit("random").alias("kind")))
-    found = docs.withColumn("_base", F.explode(F.array(base)))
-    alone = F.filter(
-        random, lambda r: ~F.exists("_base", lambda b: (b["start"] <= r["start"]) & (b["end"] >= r["end"]))
-    )
-    rank = "array_position(array('assign', 'access', 'hex', 'random'), {}.kind)"
-    compare = f"(a, b) -> int(sign(CASE WHEN a.start <> b.start THEN a.start - b.start ELSE {rank.format('a')} - {rank.format('b')} END))"
-    return (
-        found.withColumn("_all", F.concat("_base", alone))
-        .withColumn("secrets", F.expr(f"array_sort(_all, {compare})"))
-        .drop("_base", "_all")
+    found = settle(found)
+    cells = found.select(F.explode(tried).alias("c")).groupBy(F.col("c.class").alias("class"), F.col("c.cell").alias("cell"))
+    limits = _limits(cells.agg(F.count(F.lit(1)).alias("n")))
+    above = CELLS * MOST_LOG + 1
+    limit = f"CASE c.class {' '.join(f'WHEN {k} THEN {v}' for k, v in limits.items())} ELSE {above} END" if limits else str(above)
+    random = f"transform(filter({tried}, c -> c.cell < {limit}), c -> named_struct('start', c.start, 'end', c.end, 'kind', 'random'))"
+    rank = f"array_position(array({', '.join(quoted(k) for k in KINDS)}), s.kind)"
+    ordered = f"array_sort(transform(concat({base}, {outside(random, base)}), s -> named_struct('start', s.start, 'rank', {rank}, 'end', s.end, 'kind', s.kind)))"
+    spans_of = F.expr(
+        f"coalesce(IF(size({tried}) + size({base}) = 0, {base}, "
+        f"transform({ordered}, s -> named_struct('start', s.start, 'end', s.end, 'kind', s.kind))), CAST(array() AS array<{_SPAN}>))"
     )
+    return found.select(*(F.col(f"`{c}`") for c in kept), spans_of.alias("secrets"))
 
 
 def redact(docs: DataFrame, text: str = "text", with_: str = "[SECRET]") -> DataFrame:
@@ -90,22 +103,21 @@ def redact(docs: DataFrame, text: str = "text", with_: str = "[SECRET]") -> Data
 
     Spans that overlap or touch are replaced once. Texts without spans, null ones too, stay.
     """
-    step = F.expr(
-        f"aggregate(secrets, named_struct('at', 0, 'text', ''), (s, x) -> CASE "
-        f"WHEN x.end <= s.at THEN s "
-        f"WHEN x.start <= s.at AND s.at > 0 THEN named_struct('at', x.end, 'text', s.text) "
-        f"ELSE named_struct('at', x.end, 'text', concat(s.text, substring(`{text}`, s.at + 1, x.start - s.at), '{with_}')) END, "
-        f"s -> concat(s.text, substring(`{text}`, s.at + 1)))"
-    )
-    return docs.withColumn(text, F.when(F.size("secrets") > 0, step).otherwise(F.col(text)))
+    # up to where earlier spans reach; a piece of text stands before a span that starts beyond
+    reach = running_max("transform(secrets, s -> s.end)")
 
+    def written(ends: str, part: str) -> str:
+        before = f"IF(i = 0, 0, {ends}[i - 1])"
+        between = part.format(start=before, size=f"s.start - {before}")
+        piece = f"IF(i > 0 AND s.start <= {before}, '', concat({between}, {quoted(with_)}))"
+        rest = part.format(start=f"{ends}[size(secrets) - 1]", size=f"length(`{text}`) - {ends}[size(secrets) - 1]")
+        return f"concat(array_join(transform(secrets, (s, i) -> {piece}), ''), {rest})"
 
-def _limit_of(which: Column, limits: dict[int, int]) -> Column:
-    """Smallest dismissed cell of a class; above all cells where nothing is dismissed."""
-    out = F.lit(CELLS * MOST_LOG + 1)
-    for name, cell in limits.items():
-        out = F.when(which == name, cell).otherwise(out)
-    return out
+    few = let(reach, lambda ends: written(ends, f"substring(`{text}`, {{start}} + 1, {{size}})"))
+    # a substring is counted off from the start of the text; for many it is taken apart once
+    many = let(f"split(`{text}`, '')", lambda c: let(reach, lambda ends: written(ends, f"array_join(slice({c}, {{start}} + 1, {{size}}), '')")))
+    n = F.size("secrets")
+    return docs.withColumn(text, F.when(n > 64, F.expr(many)).when(n > 0, F.expr(few)).otherwise(F.col(f"`{text}`")))
 
 
 def _limits(counts: DataFrame) -> dict[int, int]:
@@ -115,7 +127,7 @@ def _limits(counts: DataFrame) -> dict[int, int]:
     """
     rows = counts.collect()
     out = {}
-    for name in {r["class"] for r in rows}:
+    for name in sorted({r["class"] for r in rows}):
         cells = sorted(((r["cell"], r["n"]) for r in rows if r["class"] == name), reverse=True)
         of_all, seen = sum(n for _, n in cells), 0
         for cell, n in cells:
@@ -125,103 +137,77 @@ def _limits(counts: DataFrame) -> dict[int, int]:
     return out
 
 
-def _spans(marked: Column) -> Column:
-    """Pieces of a text marked at both ends of every match: odd ones are matches.
+def _length(p: str) -> str:
+    """Of a piece, without our own marks."""
+    return f"length(replace({p}, '{PART}', ''))"
 
-    An array of ``start, piece``; the marks count for nothing.
-    """
-    return F.aggregate(
-        F.split(marked, _EDGE, -1),
-        F.expr("named_struct('at', 0, 'odd', false, 'found', CAST(array() AS array<struct<start: int, piece: string>>))"),
-        lambda s, piece: F.struct(
-            (s["at"] + F.length(F.replace(piece, F.lit(_PART), F.lit("")))).alias("at"),
-            (~s["odd"]).alias("odd"),
-            F.when(s["odd"], F.array_append(s["found"], F.struct(s["at"].alias("start"), piece.alias("piece"))))
-            .otherwise(s["found"])
-            .alias("found"),
-        ),
-        lambda s: s["found"],
-    )
 
+def _plain(clean: str, pattern: str, kind: str) -> str:
+    marked = f"regexp_replace({clean}, {quoted(pattern)}, '{EDGE}$0{EDGE}')"
+    return f"transform({matches(marked, 'length({p})')}, m -> named_struct('start', m.start, 'end', m.start + length(m.piece), 'kind', '{kind}'))"
 
-_NONE = "CAST(array() AS array<struct<start: int, end: int, kind: string>>)"
 
+def _assigned(clean: str) -> str:
+    marked = f"regexp_replace({clean}, {quoted(ASSIGN)}, '{EDGE}$1{PART}$2{EDGE}')"
+    long_enough = f"filter({matches(marked, _length('{p}'))}, m -> length(element_at(split(m.piece, '{PART}'), -1)) >= {LEAST_ASSIGNED})"
+    return f"transform({long_enough}, m -> named_struct('start', m.start, 'end', m.start + {_length('m.piece')}, 'kind', 'assign'))"
 
-def _plain(clean: Column, gate: Column, pattern: str, kind: str) -> Column:
-    found = F.transform(
-        _spans(F.regexp_replace(clean, F.lit(pattern), F.lit(f"{_EDGE}$0{_EDGE}"))),
-        lambda s: F.struct(s["start"].alias("start"), (s["start"] + F.length(s["piece"])).alias("end"), F.lit(kind).alias("kind")),
+
+def _candidates(clean: str) -> str:
+    """``start, end, class, cell`` of every candidate of the battery; cell 0 shows no structure."""
+    marked = f"regexp_replace({clean}, {quoted(CANDIDATE)}, '{EDGE}$0{EDGE}')"
+    found = f"filter({matches(marked, 'length({p})')}, m -> m.piece RLIKE '[0-9]' AND m.piece RLIKE '[A-Za-z]')"
+    cell = f"CAST(least(floor(-log10(greatest({p_value('m.piece')}, 1e-{MOST_LOG})) * {CELLS}), {CELLS * MOST_LOG}) AS int)"
+    return (
+        f"transform({found}, m -> named_struct('start', m.start, 'end', m.start + length(m.piece), "
+        f"'class', CAST(floor(log2(length(m.piece))) AS int), 'cell', {cell}))"
     )
-    return F.when(gate, found).otherwise(F.expr(_NONE))
 
 
-def _assigned(clean: Column, gate: Column) -> Column:
-    marked = F.regexp_replace(clean, F.lit(ASSIGN), F.lit(f"{_EDGE}$1{_PART}$2{_EDGE}"))
-    long_enough = F.filter(_spans(marked), lambda s: F.length(F.element_at(F.split(s["piece"], _PART), -1)) >= LEAST_ASSIGNED)
-    found = F.transform(
-        long_enough,
-        lambda s: F.struct(s["start"].alias("start"), (s["start"] + F.length(s["piece"]) - 1).alias("end"), F.lit("assign").alias("kind")),
-    )
-    return F.when(gate, found).otherwise(F.expr(_NONE))
+def p_value(token: str) -> str:
+    """Chance that random characters look as structured as this, by the worst of three tests."""
 
+    def tested(body: str) -> str:
+        fits = " ".join(f"WHEN NOT {body} RLIKE '[^{a}]' THEN '{a}'" for a in ALPHABETS.values())
+        return let(f"CASE {fits} ELSE '{ALPHABETS['base64']}' END", lambda alphabet: _battery(body, alphabet))
 
-def _candidates(clean: Column, gate: Column) -> Column:
-    """``start, end, class, cell`` of every candidate of the battery; cell 0 shows no structure."""
-    found = _spans(F.regexp_replace(clean, F.lit(CANDIDATE), F.lit(f"{_EDGE}$0{_EDGE}")))
-    mixed = F.filter(found, lambda s: s["piece"].rlike("[0-9]") & s["piece"].rlike("[A-Za-z]"))
-    tested = F.transform(
-        mixed,
-        lambda s: F.struct(
-            s["start"].alias("start"),
-            (s["start"] + F.length(s["piece"])).alias("end"),
-            F.floor(F.log2(F.length(s["piece"]).cast("double"))).cast("int").alias("class"),
-            F.least(F.floor(-F.log10(_p_value(s["piece"])) * CELLS), F.lit(CELLS * MOST_LOG)).cast("int").alias("cell"),
-        ),
-    )
-    return F.when(gate, tested).otherwise(F.expr("CAST(array() AS array<struct<start: int, end: int, class: int, cell: int>>)"))
+    return let(f"translate(trim(TRAILING '=' FROM {token}), '-_', '+/')", tested)
 
 
-def _p_value(token: Column) -> Column:
-    """Chance that random characters look as structured as this, by the worst of three tests."""
-    body = F.translate(F.rtrim(token, F.lit("=")), "-_", "+/")
-    out = None
-    for name in reversed(ALPHABETS):
-        alphabet = ALPHABETS[name]
-        here = _battery(body, alphabet)
-        fits = ~body.rlike(f"[^{alphabet}]")
-        out = here if out is None else F.when(fits, here).otherwise(out)
-    return F.greatest(out, F.lit(10.0**-MOST_LOG))
-
-
-def _battery(body: Column, alphabet: str) -> Column:
-    k = len(alphabet)
-    n = F.length(body).cast("double")
-    codes = F.transform(F.split(body, ""), lambda c: F.instr(F.lit(alphabet), c).cast("double") - 1)
-    counts = F.transform(F.split(F.lit(alphabet), ""), lambda c: n - F.length(F.replace(body, c, F.lit(""))))
-    chi = F.aggregate(counts, F.lit(0.0), lambda a, x: a + x * x) * k / n - n
-    # Wilson and Hilferty: the cube root of a chi-squared mean is nearly normal
-    free = k - 1
-    uniform = (F.cbrt(F.greatest(chi, F.lit(0.0)) / free) - (1 - 2 / (9 * free))) / math.sqrt(2 / (9 * free))
-    # a run ends where neighbours lie on two sides of the middle: at every second place
-    # (no alphabet has an odd number of characters)
-    high = F.transform(codes, lambda x: (x >= k / 2).cast("int"))
-    pairs = F.zip_with(F.slice(high, 1, F.size(high) - 1), F.slice(high, 2, F.size(high) - 1), lambda a, b: F.abs(a - b))
-    changes = F.aggregate(pairs, F.lit(0), lambda a, x: a + x).cast("double")
-    runs = F.abs(changes - (n - 1) / 2) / F.sqrt((n - 1) / 4)
-    # neighbours of independent uniform characters: products about the middle have mean 0
-    middle, spread = (k - 1) / 2, (k * k - 1) / 12
-    products = F.zip_with(
-        F.slice(codes, 1, F.size(codes) - 1), F.slice(codes, 2, F.size(codes) - 1), lambda a, b: (a - middle) * (b - middle)
-    )
-    serial = F.abs(F.aggregate(products, F.lit(0.0), lambda a, x: a + x)) / (F.sqrt(n - 1) * spread)
-    least = F.least(_upper_tail(uniform), 2 * _upper_tail(runs), 2 * _upper_tail(serial))
-    return F.least(F.lit(1.0), 3 * least)
+def _battery(body: str, alphabet: str) -> str:
+    """The three tests of a text against uniform characters of an alphabet, whatever its size."""
+    k, n = f"CAST(length({alphabet}) AS double)", f"CAST(length({body}) AS double)"
+    codes = f"transform(split({body}, ''), c -> CAST(instr({alphabet}, c) AS double) - 1)"
+
+    def scores(k: str, n: str, x: str) -> str:
+        # every character's number less one n-th of the whole, squared
+        counts = f"aggregate(split({alphabet}, ''), 0D, (a, c) -> a + pow({n} - length(replace({body}, c, '')), 2))"
+        chi = f"greatest({counts} * {k} / {n} - {n}, 0D)"
+        # Wilson and Hilferty: the cube root of a chi-squared mean is nearly normal
+        spread = f"(2D / (9 * ({k} - 1)))"
+        uniform = f"(cbrt({chi} / ({k} - 1)) - (1 - {spread})) / sqrt({spread})"
+        first, second = f"slice({x}, 1, size({x}) - 1)", f"slice({x}, 2, size({x}) - 1)"
+        # a run ends where neighbours lie on two sides of the middle: at every second place
+        # (no alphabet has an odd number of characters)
+        changed = f"zip_with({first}, {second}, (a, b) -> IF((a >= {k} / 2) = (b >= {k} / 2), 0D, 1D))"
+        runs = f"abs(aggregate({changed}, 0D, (s, y) -> s + y) - ({n} - 1) / 2) / sqrt(({n} - 1) / 4)"
+        # neighbours of independent uniform characters: products about the middle have mean 0
+        products = f"zip_with({first}, {second}, (a, b) -> (a - ({k} - 1) / 2) * (b - ({k} - 1) / 2))"
+        serial = f"abs(aggregate({products}, 0D, (s, y) -> s + y)) / (sqrt({n} - 1) * ({k} * {k} - 1) / 12)"
+        sided = f"transform(array({uniform}, {runs}, {serial}), (z, i) -> {let('abs(z)', lambda a: _upper_tail('z', a))} * IF(i = 0, 1, 2))"
+        return f"least(1D, 3 * array_min({sided}))"
+
+    return let(k, lambda k: let(n, lambda n: let(codes, lambda x: scores(k, n, x))))
 
 
-def _upper_tail(z: Column) -> Column:
+def _upper_tail(z: str, size: str) -> str:
     """Chance of a normal value above ``z``, after Abramowitz and Stegun 26.2.17."""
-    x = F.abs(z)
-    t = 1 / (1 + 0.2316419 * x)
-    series = t * (0.319381530 + t * (-0.356563782 + t * (1.781477937 + t * (-1.821255978 + t * 1.330274429))))
-    tail = F.exp(-x * x / 2) / math.sqrt(2 * math.pi) * series
-    return F.when(z >= 0, tail).otherwise(1 - tail)
+
+    def tail(t: str) -> str:
+        series = "0D"
+        for factor in (1.330274429, -1.821255978, 1.781477937, -0.356563782, 0.319381530):
+            series = f"({factor}D + {series}) * {t}"
+        here = f"exp(-{size} * {size} / 2) / {math.sqrt(2 * math.pi)}D * {series}"
+        return let(here, lambda p: f"IF({z} >= 0, {p}, 1 - {p})")
+
+    return let(f"1 / (1 + 0.2316419D * {size})", tail)

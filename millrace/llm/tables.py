@@ -42,6 +42,14 @@ def settle(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def fresh(columns: list[str], name: str) -> str:
+    """A name for a column of our own that none of these columns has."""
+    taken, out = {c.lower() for c in columns}, f"_{name}"
+    while out.lower() in taken:
+        out += "_"
+    return out
+
+
 def narrow_broadcast(df: DataFrame, rows: int) -> DataFrame:
     """Hint a broadcast of a side with a few numbers in each of its counted rows.
 

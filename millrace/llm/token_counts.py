@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.tables import settle
+from millrace.llm.tables import fresh, settle
 
 # Lengths next to each other that one task sums up.
 BLOCK = 256
@@ -23,15 +23,16 @@ def token_lengths(docs: DataFrame, ranks_path: str, pattern: str, text: str = "t
     with open(ranks_path, "rb") as f:
         shipped = docs.sparkSession.sparkContext.broadcast((f.read(), pattern))
     kept = [c for c in docs.columns if c not in (text, "n_tokens")]
-    given = docs.select(*kept, F.col(text).alias("_text"))
+    name = fresh(docs.columns, "text")
+    given = docs.select(*(F.col(f"`{c}`") for c in kept), F.col(f"`{text}`").alias(name))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoding = _encoding(*shipped.value)
         for batch in batches:
-            counts = [len(encoding.encode_ordinary(t.as_py() or "")) for t in batch["_text"]]
+            counts = [len(encoding.encode_ordinary(t.as_py() or "")) for t in batch[name]]
             yield pa.RecordBatch.from_arrays([*[batch[c] for c in kept], pa.array(counts, pa.int64())], [*kept, "n_tokens"])
 
-    return given.mapInArrow(run, docs.select(*kept).schema.add("n_tokens", "long"))
+    return given.mapInArrow(run, given.drop(name).schema.add("n_tokens", "long"))
 
 
 _ENCODINGS: dict[int, object] = {}

@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.llm.tables import fresh, settle
+
 # Feature cells. A word gives a cell for itself and one for each of its beginnings.
 CELLS = 1 << 18
 BEGINNINGS = (4, 5, 6)
@@ -120,36 +122,76 @@ def train(
                 columns = [pa.array([label_], pa.int32()), pa.array([own.tolist()], pa.list_(pa.int32())), pa.array([swaps], pa.list_(pa.list_(pa.int32())))]
                 yield pa.RecordBatch.from_arrays(columns, ["label", "cells", "swaps"])
 
-    found = chosen.select("_label", "_text").mapInArrow(run, "label int, cells array<int>, swaps array<array<int>>")
-    table = found.orderBy("label", F.xxhash64("cells")).limit(2 * rows).toArrow()
-    return fit(
-        np.array(table["label"].to_pylist(), np.float64),
-        [np.array(c, np.int64) for c in table["cells"].to_pylist()],
-        [np.array(s, np.int64) for swaps in table["swaps"].to_pylist() for s in swaps],
+    found = settle(chosen.select("_label", "_text").mapInArrow(run, "label int, cells array<int>, swaps array<array<int>>"))
+    n, positive = found.agg(F.count(F.lit(1)), F.coalesce(F.sum("label"), F.lit(0))).first()
+    used = _telling_cells(found, n, positive)
+    shipped = docs.sparkSession.sparkContext.broadcast(used)
+
+    def narrow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Only the cells in use, by their place among them."""
+        for batch in batches:
+            cells = [places(np.array(c.as_py(), np.int64), shipped.value) for c in batch["cells"]]
+            swaps = [[places(np.array(s, np.int64), shipped.value) for s in of_row.as_py()] for of_row in batch["swaps"]]
+            columns = [batch["label"], pa.array(cells, pa.list_(pa.int32())), pa.array(swaps, pa.list_(pa.list_(pa.int32())))]
+            yield pa.RecordBatch.from_arrays(columns, ["label", "cells", "swaps"])
+
+    # rows in an order of their own, so that runs agree; ids that come with several texts make more of them
+    narrowed = found.mapInArrow(narrow, found.schema).orderBy("label", F.xxhash64("cells"), F.xxhash64("swaps")).limit(2 * rows).toArrow()
+    return fit_places(
+        np.array(narrowed["label"].to_pylist(), np.float64),
+        [np.array(c, np.int64) for c in narrowed["cells"].to_pylist()],
+        [np.array(s, np.int64) for swaps in narrowed["swaps"].to_pylist() for s in swaps],
         weight,
+        used,
     )
 
 
+def _telling_cells(found: DataFrame, n: int, positive: int) -> np.ndarray:
+    """Cells that come with one label more often than chance has it, counted on the cluster.
+
+    At most ``CELLS`` numbers come to the driver.
+    """
+    n1, n0 = max(positive, 1), max(n - positive, 1)
+    counts = found.select("label", F.explode("cells").alias("cell")).groupBy("cell").agg(
+        F.count(F.lit(1)).alias("seen"), F.sum("label").alias("toxic")
+    )
+    share = F.col("seen") / F.lit(float(max(n, 1)))
+    spread = F.sqrt(F.greatest(share * (1 - share) * (1 / n1 + 1 / n0), F.lit(1e-12)))
+    apart = F.abs(F.col("toxic") / n1 - (F.col("seen") - F.col("toxic")) / n0)
+    telling = counts.where((F.col("seen") >= 3) & (apart >= LEAST_Z * spread))
+    return np.sort(telling.select("cell").toArrow()["cell"].to_numpy().astype(np.int64))
+
+
+def places(cells: np.ndarray, used: np.ndarray) -> np.ndarray:
+    """Places of those of the cells that are in use; -1 - place for those that a swap takes away."""
+    if not len(used) or not len(cells):
+        return np.empty(0, np.int32)
+    whole = np.where(cells >= 0, cells, -1 - cells)
+    at = np.minimum(np.searchsorted(used, whole), len(used) - 1)
+    return np.where(cells >= 0, at, -1 - at)[used[at] == whole].astype(np.int32)
+
+
 def fit(labels: np.ndarray, cells: list[np.ndarray], swaps: list[np.ndarray], weight: float) -> Model:
     """``swaps``: cells that a swap adds, and -1 - cell for those that it takes away."""
-    if not len(labels):
-        return Model(np.zeros(CELLS, np.float32), 0.0)
-    # most cells come with either label as often as chance has it, and stay out
     flat, owner = _flat(cells)
     seen = np.bincount(flat, minlength=CELLS)
     toxic = np.bincount(flat, weights=labels[owner], minlength=CELLS)
     n1, n0 = max(labels.sum(), 1), max(len(labels) - labels.sum(), 1)
-    share = seen / len(labels)
+    share = seen / max(len(labels), 1)
     spread = np.sqrt(np.maximum(share * (1 - share) * (1 / n1 + 1 / n0), 1e-12))
     used = np.flatnonzero((seen >= 3) & (np.abs(toxic / n1 - (seen - toxic) / n0) >= LEAST_Z * spread))
-    place = np.full(CELLS, -1)
-    place[used] = np.arange(len(used))
-    flat, owner = _flat([place[c][place[c] >= 0] for c in cells])
+    return fit_places(labels, [places(c, used) for c in cells], [places(s, used) for s in swaps], weight, used)
+
+
+def fit_places(labels: np.ndarray, cells: list[np.ndarray], swaps: list[np.ndarray], weight: float, used: np.ndarray) -> Model:
+    """The same with cells by their place among those in use, -1 - place for a cell that is taken away."""
+    if not len(labels):
+        return Model(np.zeros(CELLS, np.float32), 0.0)
+    flat, owner = _flat(cells)
     n, k = len(labels), len(used)
-    signs = [np.where(s >= 0, 1.0, -1.0) for s in swaps]
-    at = [place[np.where(s >= 0, s, -1 - s)] for s in swaps]
-    swap_flat, swap_owner = _flat([a[a >= 0] for a in at])
-    swap_sign = np.concatenate([g[a >= 0] for g, a in zip(signs, at)]) if swaps else np.empty(0)
+    swap_flat, swap_owner = _flat(swaps)
+    swap_sign = np.where(swap_flat >= 0, 1.0, -1.0)
+    swap_flat = np.where(swap_flat >= 0, swap_flat, -1 - swap_flat)
     # both labels weigh the same
     positive = labels.sum()
     share = np.where(labels == 1, 0.5 / max(positive, 1), 0.5 / max(n - positive, 1))
@@ -187,15 +229,16 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     shipped = docs.sparkSession.sparkContext.broadcast(model)  # CELLS numbers
 
     kept = [c for c in docs.columns if c != "score"]
+    name = fresh(docs.columns, "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shipped.value)
         for batch in batches:
-            scores = [scorer(t.as_py()) for t in batch["_text"]]
+            scores = [scorer(t.as_py()) for t in batch[name]]
             yield pa.RecordBatch.from_arrays([*[batch[c] for c in kept], pa.array(scores, pa.float64())], [*kept, "score"])
 
-    schema = T.StructType([*docs.select(*kept).schema.fields, T.StructField("score", T.DoubleType())])
-    return docs.select(*kept, F.col(text).alias("_text")).mapInArrow(run, schema)
+    schema = T.StructType([*(f for f in docs.schema.fields if f.name in kept), T.StructField("score", T.DoubleType())])
+    return docs.select(*(F.col(f"`{c}`") for c in kept), F.col(f"`{text}`").alias(name)).mapInArrow(run, schema)
 
 
 class Scorer:

@@ -39,7 +39,10 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--state-partitions", type=int, default=200)
     parser.add_argument("--start", default="latest", help="where a job that never ran starts: latest, earliest or offsets as JSON")
     parser.add_argument("--max-per-trigger", type=int, help="records of a topic in one batch, at most")
+    for side in ("store", "config"):
+        parser.add_argument(f"--{side}-option", action="append", default=[], metavar="NAME=VALUE", help=f"JDBC property of --{side}, such as user=..., driver=...")
     given = parser.parse_args(arguments)
+    store_options, config_options = (dict(o.split("=", 1) for o in opts) for opts in (given.store_option, given.config_option))
 
     spark = build_session(given.job, shuffle_partitions=given.state_partitions)
     root = checkpoint_root(spark)
@@ -50,13 +53,14 @@ def main(arguments: list[str] | None = None) -> None:
 
     def writer(job: str, output: str):
         if output in TABLES:
-            return jdbc_writer(given.store, output)
+            # two jobs make the statistics of provinces: each has a table of its own
+            return jdbc_writer(given.store, output, store_options, into=job if job == "province_stats_sql" else output)
         return kafka_writer(given.servers, output)
 
     if given.job == "change_routing":
         start_change_routing(
             read_topic("ODS_BASE_DB_M"),
-            lambda: read_table(spark, given.config, "table_process"),
+            lambda: read_table(spark, given.config, "table_process", config_options),
             kafka_writer(given.servers),
             dims,
             root,

@@ -35,6 +35,7 @@ def interval_join(
     before: str,
     after: str,
     slices: int = 60,
+    edges: Sequence[int] | None = None,
 ) -> DataFrame:
     """Inner equi-join, right time in ``[left time - before, left time + after]``.
 
@@ -46,14 +47,22 @@ def interval_join(
     is part of the key: the rows of a hot key are spread over its slices, and only those of
     one slice are compared. A left row whose interval crosses the edge of a slice is
     copied, at the default one in sixty.
+
+    An interval that is long beside the time that all rows span makes one slice of it all.
+    ``edges``, such as those of ``quantile_edges``, are then the edges of the slices, in
+    milliseconds, and a left row is copied to all slices that its interval touches.
     """
     early, late = (int(pd.Timedelta(i).total_seconds() * 1000) for i in (before, after))
     span = max(slices * (early + late), 1)
     at = F.unix_millis(left_time)
-    first, last = F.floor((at - early) / span), F.floor((at + late) / span)
-    here = F.explode(F.when(first == last, F.array(first)).otherwise(F.array(first, last)))
-    left = left.select("*", here.alias("_left_slice"))
-    right = right.withColumn("_right_slice", F.floor(F.unix_millis(right_time) / span))
+
+    def slice_of(ms: Column) -> Column:
+        if edges is None:
+            return F.floor(ms / span)
+        return F.size(F.filter(F.lit(list(edges)), lambda e: e <= ms)).cast("bigint") if edges else F.lit(0).cast("bigint")
+
+    left = left.select("*", F.explode(F.sequence(slice_of(at - early), slice_of(at + late))).alias("_left_slice"))
+    right = right.withColumn("_right_slice", slice_of(F.unix_millis(right_time)))
     same = F.col("_left_slice") == F.col("_right_slice")
     for ours, theirs in keys:
         same = same & (F.col(ours) == F.col(theirs))
@@ -63,6 +72,16 @@ def interval_join(
     return joined.drop("_left_slice", "_right_slice")
 
 
+def quantile_edges(rows: DataFrame, time: str, number: int = 16) -> list[int]:
+    """Edges between ``number`` slices of time with about as many rows each, in milliseconds.
+
+    One aggregation over the times; ``number`` values come to the driver.
+    """
+    shares = [i / number for i in range(1, number)]
+    found = rows.agg(F.percentile_approx(F.unix_millis(time), shares, 1_000)).first()[0]
+    return sorted(set(found or []))
+
+
 def first_per_key(dim: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
     """One row per key, the first in the given order; reduced before the shuffle."""
     ranked = Window.partitionBy(*keys).orderBy(*order)

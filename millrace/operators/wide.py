@@ -72,10 +72,17 @@ def _conform(df: DataFrame, schema: str, extra: Sequence[str] = ()) -> DataFrame
     )
 
 
-def order_wide(orders: DataFrame, details: DataFrame, before: str = "5 seconds", after: str = "5 seconds") -> DataFrame:
+def order_wide(
+    orders: DataFrame,
+    details: DataFrame,
+    before: str = "5 seconds",
+    after: str = "5 seconds",
+    edges: Sequence[int] | None = None,
+) -> DataFrame:
     """Each order line with its order, where both were created close together.
 
-    ``event_time`` is the order's. ``create_date`` and ``create_hour`` come from it.
+    ``event_time`` is the order's. ``create_date`` and ``create_hour`` come from it. ``edges``
+    are those of ``joins.interval_join``.
     """
     left = orders.select(F.col("event_time"), *_taken(orders, _FROM_ORDER, ""))
     right = details.select(
@@ -83,7 +90,7 @@ def order_wide(orders: DataFrame, details: DataFrame, before: str = "5 seconds",
         F.col("order_id").alias("_detail_order"),
         *_taken(details, _FROM_DETAIL, ""),
     )
-    joined = interval_join(left, right, [("order_id", "_detail_order")], "event_time", "_detail_time", before, after)
+    joined = interval_join(left, right, [("order_id", "_detail_order")], "event_time", "_detail_time", before, after, edges=edges)
     dated = joined.withColumns(
         {
             "create_date": F.date_format("event_time", times.DAY_TEXT),
@@ -93,7 +100,9 @@ def order_wide(orders: DataFrame, details: DataFrame, before: str = "5 seconds",
     return _conform(dated, schemas.ORDER_WIDE, ["event_time"])
 
 
-def payment_wide(payments: DataFrame, orders: DataFrame, within: str = "1800 seconds") -> DataFrame:
+def payment_wide(
+    payments: DataFrame, orders: DataFrame, within: str = "1800 seconds", edges: Sequence[int] | None = None
+) -> DataFrame:
     """Each wide order line with the payment made at most ``within`` after the order.
 
     Where both have a column, the payment's wins (user, order, total amount).
@@ -120,7 +129,7 @@ def payment_wide(payments: DataFrame, orders: DataFrame, within: str = "1800 sec
             if c not in own and c != "event_time"
         ],
     )
-    joined = interval_join(left, right, [("order_id", "_wide_order")], "event_time", "_order_time", within, "0 seconds")
+    joined = interval_join(left, right, [("order_id", "_wide_order")], "event_time", "_order_time", within, "0 seconds", edges=edges)
     return _conform(joined, schemas.PAYMENT_WIDE, ["event_time"])
 
 

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from millrace import schemas
 from millrace.operators import changes, keywords, logs, order_stats, traffic, visits, wide
 from millrace.streaming import watermarks
+from millrace.streaming.clock import TopicClock
 from millrace.streaming.first_seen import DailyVisits, FirstDays
 from millrace.streaming.run import to_messages
 from millrace.streaming.watermarks import with_event_time
@@ -26,10 +27,25 @@ Frames = Mapping[str, DataFrame]
 _PLACE = ("partition", "offset")
 
 
-def _pages(raw: DataFrame, delay: str) -> DataFrame:
+class LiveTopics(dict):
+    """Topics by name, and the clock that keeps their watermarks over restarts."""
+
+    clock: TopicClock | None = None
+
+
+def _timed(topics: Frames, name: str, rows: DataFrame, delay: str) -> DataFrame:
+    clock = getattr(topics, "clock", None)
+    return clock.topic(name, rows, delay) if clock and rows.isStreaming else with_event_time(rows, delay)
+
+
+def _typed(topics: Frames, name: str, schema: str, delay: str, time: str = "create_time") -> DataFrame:
+    return _timed(topics, name, wide.typed(topics[name], schema, time), delay)
+
+
+def _pages(topics: Frames, name: str, delay: str) -> DataFrame:
     """Page logs as written by the log job: plain JSON, not encoded."""
-    rows = logs.parse_logs(raw, encoded=False, keep=[c for c in _PLACE if c in raw.columns])
-    return with_event_time(rows, delay)
+    raw = topics[name]
+    return _timed(topics, name, logs.parse_logs(raw, encoded=False, keep=[c for c in _PLACE if c in raw.columns]), delay)
 
 
 def _ties(pages: DataFrame) -> tuple[str, ...]:
@@ -74,14 +90,13 @@ def first_of_batch(rows: DataFrame, folder: str, batch_id: int) -> DataFrame:
 
 
 def user_jumps(topics: Frames) -> DataFrame:
-    pages = _pages(topics["DWD_PAGE_LOG"], watermarks.ORDERED)
+    pages = _pages(topics, "DWD_PAGE_LOG", watermarks.ORDERED)
     return visits.user_jumps(pages, ties=_ties(pages))
 
 
 def wide_orders(topics: Frames) -> DataFrame:
-    orders = wide.typed(topics["DWD_ORDER_INFO"], schemas.ORDER_INFO)
-    details = wide.typed(topics["DWD_ORDER_DETAIL"], schemas.ORDER_DETAIL)
-    return wide.order_wide(with_event_time(orders, watermarks.ORDERED), with_event_time(details, watermarks.ORDERED))
+    orders = _typed(topics, "DWD_ORDER_INFO", schemas.ORDER_INFO, watermarks.ORDERED)
+    return wide.order_wide(orders, _typed(topics, "DWD_ORDER_DETAIL", schemas.ORDER_DETAIL, watermarks.ORDERED))
 
 
 def named_orders(rows: DataFrame, dims: Frames) -> dict[str, DataFrame]:
@@ -90,15 +105,14 @@ def named_orders(rows: DataFrame, dims: Frames) -> dict[str, DataFrame]:
 
 
 def wide_payments(topics: Frames) -> DataFrame:
-    payments = wide.typed(topics["DWD_PAYMENT_INFO"], schemas.PAYMENT_INFO, "callback_time")
-    orders = wide.typed(topics["DWM_ORDER_WIDE"], schemas.ORDER_WIDE)
-    rows = wide.payment_wide(with_event_time(payments, watermarks.PAYMENT), with_event_time(orders, watermarks.PAYMENT))
+    payments = _typed(topics, "DWD_PAYMENT_INFO", schemas.PAYMENT_INFO, watermarks.PAYMENT, "callback_time")
+    rows = wide.payment_wide(payments, _typed(topics, "DWM_ORDER_WIDE", schemas.ORDER_WIDE, watermarks.PAYMENT))
     return rows.select(*schemas.column_names(schemas.PAYMENT_WIDE))
 
 
 def visitor_stats(topics: Frames) -> DataFrame:
     read = ("DWD_PAGE_LOG", "DWM_UNIQUE_VISIT", "DWM_USER_JUMP_DETAIL")
-    return traffic.visitor_stats(traffic.visitor_facts(*[_pages(topics[t], watermarks.VISITOR) for t in read]))
+    return traffic.visitor_stats(traffic.visitor_facts(*[_pages(topics, t, watermarks.VISITOR) for t in read]))
 
 
 def product_counts(topics: Frames) -> DataFrame:
@@ -106,10 +120,10 @@ def product_counts(topics: Frames) -> DataFrame:
     their rows late."""
 
     def typed(topic: str, schema: str, time: str = "create_time") -> DataFrame:
-        return with_event_time(wide.typed(topics[topic], schema, time), watermarks.ORDERED)
+        return _typed(topics, topic, schema, watermarks.ORDERED, time)
 
     facts = order_stats.product_facts(
-        pages=_pages(topics["DWD_PAGE_LOG"], watermarks.ORDERED),
+        pages=_pages(topics, "DWD_PAGE_LOG", watermarks.ORDERED),
         orders=typed("DWM_ORDER_WIDE", schemas.ORDER_WIDE),
         payments=typed("DWM_PAYMENT_WIDE", schemas.PAYMENT_WIDE, "payment_create_time"),
         carts=typed("DWD_CART_INFO", schemas.CART),
@@ -127,7 +141,7 @@ def named_products(rows: DataFrame, dims: Frames) -> dict[str, DataFrame]:
 
 
 def _order_wide(topics: Frames) -> DataFrame:
-    return with_event_time(wide.typed(topics["DWM_ORDER_WIDE"], schemas.ORDER_WIDE), watermarks.ORDERED)
+    return _typed(topics, "DWM_ORDER_WIDE", schemas.ORDER_WIDE, watermarks.ORDERED)
 
 
 def province_counts(topics: Frames) -> DataFrame:
@@ -139,7 +153,7 @@ def province_stats_sql(topics: Frames) -> DataFrame:
 
 
 def keywords_searched(topics: Frames) -> DataFrame:
-    terms = keywords.search_terms(_pages(topics["DWD_PAGE_LOG"], watermarks.SEARCH))
+    terms = keywords.search_terms(_pages(topics, "DWD_PAGE_LOG", watermarks.SEARCH))
     return keywords.keyword_stats(keywords.split_keywords(terms, "fullword"))
 
 

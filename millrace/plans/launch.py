@@ -9,10 +9,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.operators import changes
-from millrace.plans.jobs import JOBS, change_records
+from millrace.plans.jobs import JOBS, LiveTopics, change_records
 from millrace.session import checkpoint_root
 from millrace.sinks.dimensions import DimensionTables
 from millrace.sources.routing import dimension_routes, load_routing
+from millrace.streaming.clock import TopicClock
 from millrace.streaming.run import start
 
 Reader = Callable[[str], DataFrame]
@@ -34,9 +35,15 @@ def start_job(
     changes to them are seen.
     """
     job = JOBS[name]
-    topics = {topic: read_topic(topic) for topic in job.reads}
+    topics = LiveTopics({topic: read_topic(topic) for topic in job.reads})
+    spark = topics[job.reads[0]].sparkSession
+    root = root or checkpoint_root(spark)
+    folder = f"{root}/{name}"
+    if len(job.reads) > 1:
+        topics.clock = TopicClock(spark, f"{folder}/clock")
+        topics.clock.start(job.reads)
+        spark.streams.addListener(topics.clock.listener(name))
     frame = job.core(topics)
-    folder = f"{root or checkpoint_root(frame.sparkSession)}/{name}"
 
     def write(batch: DataFrame, batch_id: int) -> None:
         dims = {d: read_dim(d) for d in job.dims} if read_dim else {}

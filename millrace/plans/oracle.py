@@ -270,7 +270,7 @@ _COUNTS = """
 
 
 def all_oracles() -> dict[str, str]:
-    return {
+    found = {
         "log_parse": _with(("pages_log",), f"SELECT {_PAGE_ONLY} FROM pages_log"),
         "new_visitor_repair": _with(("pages_log",), f"SELECT event_id, mid, is_new, ts FROM ({_REPAIRED} FROM pages_log)"),
         "split_start": _with(
@@ -300,6 +300,29 @@ def all_oracles() -> dict[str, str]:
                    epoch_ms(event_time) AS ts FROM order_rows
             """,
         ),
+        "typed_payments": _with(
+            ("payment_rows",),
+            """
+            SELECT id, order_id, user_id, total_amount, 'order ' || id AS subject, '1101' AS payment_type,
+                   epoch_ms(date_trunc('second', event_time)) AS ts FROM payment_rows
+            """,
+        ),
+        "typed_wide_orders": _with(
+            ("wide",),
+            """
+            SELECT detail_id, order_id, sku_id, split_total_amount, sku_name, province_id, create_date,
+                   CAST(NULL AS INTEGER) AS user_age, epoch_ms(date_trunc('second', event_time)) AS ts FROM wide
+            """,
+        ),
+        "approx_province_orders": _with(  # sketches of so few orders are exact
+            ("wide",),
+            """
+            SELECT strftime(date_trunc('day', event_time), '%Y-%m-%d %H:%M:%S') AS stt,
+                   strftime(date_trunc('day', event_time) + INTERVAL 1 DAY, '%Y-%m-%d %H:%M:%S') AS edt,
+                   province_id, count(DISTINCT order_id) AS approx_order_count
+            FROM wide GROUP BY ALL
+            """,
+        ),
         "typed_details": """
             SELECT l_orderkey * 10 + l_linenumber AS id, l_orderkey AS order_id, l_partkey AS sku_id,
                    CAST(l_quantity AS BIGINT) AS sku_num, CAST(l_extendedprice AS DECIMAL(18,2)) AS order_price,
@@ -500,6 +523,8 @@ def all_oracles() -> dict[str, str]:
             GROUP BY lang, keyword
         """,
     }
+    # the same changes by another road
+    return {**found, "dim_upsert_ordered": found["dim_upsert_latest"]}
 
 
 _VISITOR_STATS = """
@@ -526,6 +551,7 @@ def stream_oracles() -> dict[str, str]:
     return {
         **{f"stream_{name}": batch[name] for name in (*same, "province_stats_sql")},
         "stream_daily_visits": batch["unique_visits"],
+        "stream_visitor_stats_by_part": batch["visitor_stats"],
         "stream_keyword_stats": batch["keyword_stats_search"],
         "stream_order_wide": _with(
             ("wide",), "SELECT detail_id, order_id, sku_id, split_total_amount, create_time FROM wide"

@@ -41,7 +41,7 @@ def all_queries() -> dict[str, Query]:
 
 
 def wide_orders(t: ShopTables) -> DataFrame:
-    return wide.order_wide(t.orders, t.details, SPAN, SPAN)
+    return wide.order_wide(t.orders, t.details, SPAN, SPAN, t.order_edges)
 
 
 def wide_orders_with_province(t: ShopTables) -> DataFrame:
@@ -60,8 +60,9 @@ def visitor_fact_rows(t: ShopTables) -> DataFrame:
 
 
 def product_fact_rows(t: ShopTables) -> DataFrame:
-    orders = wide_orders(t)
-    payments = wide.payment_wide(t.payments, orders, SPAN)
+    # read twice: as what was ordered and as what was paid
+    orders = t.layer("order_wide", lambda: wide_orders(t))
+    payments = wide.payment_wide(t.payments, orders, SPAN, t.order_edges)
     return order_stats.product_facts(t.pages_anywhere, orders, payments, t.carts, t.favors, t.refunds, t.comments)
 
 
@@ -175,6 +176,20 @@ def dim_upsert_latest(t: ShopTables) -> DataFrame:
     return signups.unionByName(buyers, allowMissingColumns=True)
 
 
+@_query
+def dim_upsert_ordered(t: ShopTables) -> DataFrame:
+    """The same changes as text of a topic with three partitions, whose offsets run against time."""
+    record = F.to_json(F.struct("table", "type", "data", F.col("seq").alias("ts"), F.lit(7).alias("xid")))
+    topic = t.changes.select(
+        record.alias("value"), F.pmod("seq", F.lit(3)).cast("int").alias("partition"), (F.lit(10**9) - F.col("seq")).alias("offset")
+    )
+    parsed = changes.order_of_changes(changes.parse_changes(topic))
+    routed = changes.dimension_changes(changes.route_changes(parsed, load_routing(t.routing)))
+    signups = changes.apply_changes(routed.where("sink_table = 'DIM_SIGNUP'"), "user_id", ["user_id", "value", "ts"], "seq")
+    buyers = changes.apply_changes(routed.where("sink_table = 'DIM_PURCHASE'"), "event_id", ["event_id", "user_id"], "seq")
+    return signups.unionByName(buyers, allowMissingColumns=True)
+
+
 # wide facts
 
 
@@ -189,7 +204,7 @@ def order_wide_interval(t: ShopTables) -> DataFrame:
 @_query
 def payment_wide_interval(t: ShopTables) -> DataFrame:
     orders = wide_orders_with_province(t)
-    return wide.payment_wide(t.payments, orders, SPAN).select(
+    return wide.payment_wide(t.payments, orders, SPAN, t.order_edges).select(
         "payment_id", "subject", "payment_type", "payment_create_time", "callback_time", "detail_id", "order_id",
         "sku_id", "user_id", "total_amount", "split_total_amount", "order_create_time", "province_id", "order_status",
     )
@@ -243,6 +258,23 @@ def typed_details(t: ShopTables) -> DataFrame:
     return rows.select("id", "order_id", "sku_id", "sku_num", "order_price", "sku_name", F.unix_millis("event_time").alias("ts"))
 
 
+@_query
+def typed_payments(t: ShopTables) -> DataFrame:
+    rows = wide.typed(to_messages(t.payments.drop("event_time")), schemas.PAYMENT_INFO, "callback_time")
+    return rows.select("id", "order_id", "user_id", "total_amount", "subject", "payment_type", F.unix_millis("event_time").alias("ts"))
+
+
+@_query
+def typed_wide_orders(t: ShopTables) -> DataFrame:
+    """Wide orders as the order job writes them, read as the payment job does."""
+    sent = to_messages(wide_orders_with_province(t).select(*schemas.column_names(schemas.ORDER_WIDE)))
+    rows = wide.typed(sent, schemas.ORDER_WIDE)
+    return rows.select(
+        "detail_id", "order_id", "sku_id", "split_total_amount", "sku_name", "province_id", "create_date", "user_age",
+        F.unix_millis("event_time").alias("ts"),
+    )
+
+
 @_query
 def json_topic_view(t: ShopTables) -> DataFrame:
     """A topic of JSON text as a view, grouped in SQL by the day of its row time."""
@@ -316,6 +348,12 @@ def province_stats_sql(t: ShopTables) -> DataFrame:
     return order_stats.province_stats_sql(wide.add_province(wide_orders_with_province(t), t.dims["province"]))
 
 
+@_query
+def approx_province_orders(t: ShopTables) -> DataFrame:
+    """Orders per province and day, about, from sketches of ten seconds."""
+    return order_stats.approx_orders(order_stats.order_sketches(wide_orders_with_province(t)), "1 day")
+
+
 @_query
 def sink_projection(t: ShopTables) -> DataFrame:
     """Province statistics as rows of the store: named columns in its order, typed."""

@@ -23,6 +23,7 @@ from millrace.plans.queries import SPAN, TIE
 from millrace.session import checkpoint_root
 from millrace.sources.shop_tables import PAGE_OF_EVENT, TABLES, ShopTables
 from millrace.streaming import watermarks
+from millrace.streaming.clock import TopicClock
 from millrace.streaming.first_seen import DailyVisits, FirstDays
 from millrace.streaming.run import run_to_folder, start, stream_session
 
@@ -155,6 +156,25 @@ class Streams:
     def pages(self, delay: str) -> DataFrame:
         return watermarks.with_event_time(self.live.pages_anywhere, delay)
 
+    def by_part(self, layers: dict[str, DataFrame], build: Callable[[dict[str, DataFrame]], DataFrame], name: str) -> DataFrame:
+        """Run layers and what reads them over one part after another, each stopped in between.
+
+        ``build`` goes from streams with watermarks, by topic, to the result; "live" is the
+        page logs. A topic may have no rows in a part.
+        """
+        clock = TopicClock(self.spark, f"{self.root}/{name}/clock")
+        schemas = {topic: df.schema for topic, df in layers.items()}
+        out = schema = None
+        while self.live.grow():
+            folders = {topic: run_to_folder(df, topic, self.root) for topic, df in layers.items()}
+            clock.start(["live", *layers])
+            topics = {t: self.spark.readStream.schema(schemas[t]).parquet(folder) for t, folder in folders.items()}
+            topics = {t: clock.topic(t, rows, watermarks.VISITOR) for t, rows in {"live": self.live.pages, **topics}.items()}
+            df = build(topics)
+            schema = df.schema
+            out = run_to_folder(df, name, self.root, clock=clock)
+        return _without_closing(self.caller.read.schema(schema).parquet(out))
+
     def order_wide(self) -> DataFrame:
         orders = watermarks.with_event_time(self.live.orders, watermarks.ORDERED)
         details = watermarks.with_event_time(self.live.details, watermarks.ORDERED)
@@ -229,6 +249,14 @@ def stream_visitor_stats(s: Streams) -> DataFrame:
     return s.result(traffic.visitor_stats(traffic.visitor_facts(*topics)), "visitor_stats")
 
 
+@_query
+def stream_visitor_stats_by_part(s: Streams) -> DataFrame:
+    """The same, all jobs stopped after each part of the input and started again."""
+    layers = {"uniques": s.unique_visits(s.live.pages), "jumps": s.user_jumps(s.live.pages)}
+    facts = lambda t: traffic.visitor_facts(t["live"], t["uniques"], t["jumps"])
+    return s.by_part(layers, lambda topics: traffic.visitor_stats(facts(topics)), "visitor_stats")
+
+
 @_query
 def stream_product_stats(s: Streams) -> DataFrame:
     orders = s.layer(s.order_wide(), "order_wide")

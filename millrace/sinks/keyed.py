@@ -23,6 +23,46 @@ def bucket_of(key: Column, buckets: Column | int) -> Column:
     return F.pmod(F.xxhash64(key), buckets if isinstance(buckets, Column) else F.lit(buckets)).cast("int")
 
 
+class SmallFiles:
+    """Files of a few bytes below a folder, in whatever store Spark writes to."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark = spark
+        self.path = path.rstrip("/")
+
+    def _file(self, name: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}" if name else self.path)
+
+    def _store(self):
+        return self._file("").getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def exists(self, name: str) -> bool:
+        return self._store().exists(self._file(name))
+
+    def names(self, folder: str) -> list[str]:
+        store, at = self._store(), self._file(folder)
+        return sorted(s.getPath().getName() for s in store.listStatus(at)) if store.exists(at) else []
+
+    def read(self, name: str) -> str:
+        stream = self._store().open(self._file(name))
+        try:
+            return self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
+    def write(self, name: str, content: bytes) -> bool:
+        """Whole or not at all; False where there is such a file."""
+        store, final = self._store(), self._file(name)
+        draft = self._file(f"{name}-draft-{uuid.uuid4().hex}")
+        out = store.create(draft, True)
+        out.write(bytearray(content))
+        out.close()
+        return not store.exists(final) and store.rename(draft, final)
+
+    def delete(self, name: str) -> None:
+        self._store().delete(self._file(name), True)
+
+
 class BucketedTable:
     """A folder with ``data``, the rows of each write by bucket, and ``manifest``, a small file
     per version that says which folders make up each bucket.
@@ -37,21 +77,13 @@ class BucketedTable:
         self.spark = spark
         self.path = path.rstrip("/")
         self.buckets = buckets
+        self.files = SmallFiles(spark, path)
 
     # files
 
-    def _file(self, name: str):
-        return self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
-
-    def _files(self):
-        return self._file("").getFileSystem(self.spark._jsc.hadoopConfiguration())
-
-    def _names(self, folder: str) -> list[str]:
-        files, at = self._files(), self._file(folder)
-        return sorted(s.getPath().getName() for s in files.listStatus(at)) if files.exists(at) else []
-
     def versions(self) -> list[int]:
-        return [int(n.removesuffix(".json")) for n in self._names("manifest") if n.endswith(".json")]
+        names = (n.removesuffix(".json") for n in self.files.names("manifest") if n.endswith(".json"))
+        return [int(n) for n in names]
 
     def manifest(self, version: int | None = None) -> dict | None:
         """The newest manifest, or that of a version; None where there is no table yet."""
@@ -60,20 +92,11 @@ class BucketedTable:
             if not known:
                 return None
             version = known[-1]
-        stream = self._files().open(self._file(f"manifest/{version:012d}.json"))
-        try:
-            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-        finally:
-            stream.close()
+        return json.loads(self.files.read(f"manifest/{version:012d}.json"))
 
     def _publish(self, manifest: dict) -> None:
-        files = self._files()
         version = manifest["version"]
-        draft, final = self._file(f"manifest/draft-{uuid.uuid4().hex}"), self._file(f"manifest/{version:012d}.json")
-        out = files.create(draft, True)
-        out.write(bytearray(json.dumps(manifest).encode()))
-        out.close()
-        if files.exists(final) or not files.rename(draft, final):
+        if not self.files.write(f"manifest/{version:012d}.json", json.dumps(manifest).encode()):
             raise RuntimeError(f"another writer has made version {version} of {self.path}")
         self._forget(version)
 
@@ -83,10 +106,10 @@ class BucketedTable:
         live = {folder.split("/")[0] for v in kept for folders in self.manifest(v)["buckets"].values() for folder in folders}
         for v in known:
             if v not in kept:
-                self._files().delete(self._file(f"manifest/{v:012d}.json"), False)
-        for name in self._names("data"):
+                self.files.delete(f"manifest/{v:012d}.json")
+        for name in self.files.names("data"):
             if name not in live:
-                self._files().delete(self._file(f"data/{name}"), True)
+                self.files.delete(f"data/{name}")
 
     # rows
 
@@ -112,7 +135,7 @@ class BucketedTable:
         name = uuid.uuid4().hex
         # a bucket with many rows is written by several tasks
         rows.hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(f"{self.path}/data/{name}")
-        return {n.split("=")[1]: [f"{name}/{n}"] for n in self._names(f"data/{name}") if n.startswith(f"{BUCKET}=")}
+        return {n.split("=")[1]: [f"{name}/{n}"] for n in self.files.names(f"data/{name}") if n.startswith(f"{BUCKET}=")}
 
     def replace(self, rows: DataFrame, buckets: Sequence[int], **info) -> None:
         """Make ``rows``, with their ``BUCKET``, the whole content of these buckets."""

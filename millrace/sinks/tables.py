@@ -59,16 +59,18 @@ def jdbc_writer(
     properties: Mapping[str, str] | None = None,
     batch_size: int = DEFAULT_JDBC_BATCH,
     connections: int = 16,
+    into: str | None = None,
 ) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function that inserts into a table.
+    """A ``foreachBatch`` function that inserts into a table, ``into`` if it has another name there.
 
     ``connections`` bounds how many tasks write at the same time. A batch that is run
-    again after a failure is inserted again: the store must replace rows by key.
+    again after a failure is inserted again: the store must replace rows by key, or the
+    function be wrapped in ``sinks.ledger.inserted_once``.
     """
     options = {**(properties or {}), "batchsize": str(batch_size)}
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        conform(batch, TABLES[table]).coalesce(connections).write.jdbc(url, table, mode="append", properties=options)
+        conform(batch, TABLES[table]).coalesce(connections).write.jdbc(url, into or table, mode="append", properties=options)
 
     return write
 

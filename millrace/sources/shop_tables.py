@@ -8,6 +8,8 @@ are streams over the same files, the dimensions stay static.
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,7 +18,8 @@ from pyspark.sql import functions as F
 from millrace import schemas
 from millrace.functions import times
 from millrace.functions.once import once
-from millrace.operators.joins import lookup
+from millrace.operators.joins import lookup, quantile_edges
+from millrace.session import checkpoint_root
 
 # Schemas of the sample tables. Given to the reader, they spare it a job per
 # table that looks them up in the files.
@@ -77,6 +80,20 @@ class ShopTables:
         reader = self.spark.readStream.schema(TABLES[name])
         return reader.option("pathGlobFilter", f"{name}.parquet").parquet(self.folder)
 
+    def layer(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """Rows that several operators read, written once, as a topic between two jobs would be."""
+        if name not in self._tables:
+            rows = build()
+            path = f"{checkpoint_root(self.spark)}/layers/{name}-{uuid.uuid4().hex}"
+            rows.write.parquet(path)
+            self._tables[name] = self.spark.read.schema(rows.schema).parquet(path)
+        return self._tables[name]
+
+    @cached_property
+    def order_edges(self) -> list[int]:
+        """Slices of time with as many orders each."""
+        return quantile_edges(self.orders, "event_time")
+
     # events
 
     @cached_property

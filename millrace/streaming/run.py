@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.session import ROCKSDB_STORE, checkpoint_root
+from millrace.streaming.clock import TopicClock
 
 
 def stream_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
@@ -41,8 +42,13 @@ def start(
     return query.trigger(**trigger).start()
 
 
-def run_to_folder(df: DataFrame, name: str, root: str, partition_by: list[str] | None = None) -> str:
-    """Run all available input into a parquet folder, exactly once; returns the folder."""
+def run_to_folder(
+    df: DataFrame, name: str, root: str, partition_by: list[str] | None = None, clock: TopicClock | None = None
+) -> str:
+    """Run all available input into a parquet folder, exactly once; returns the folder.
+
+    ``clock`` is told the times of the topics that it has set watermarks on.
+    """
     out = f"{root}/{name}/rows"
     writer = df.writeStream.queryName(name).format("parquet").outputMode("append")
     if partition_by:
@@ -51,6 +57,8 @@ def run_to_folder(df: DataFrame, name: str, root: str, partition_by: list[str] |
         writer.option("checkpointLocation", f"{root}/{name}/checkpoint").trigger(availableNow=True).start(out)
     )
     query.awaitTermination()
+    if clock:
+        clock.note_progress(query)
     return out
 
 

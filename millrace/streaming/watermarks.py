@@ -6,8 +6,8 @@ output for late rows. A longer delay means later results and fewer dropped rows.
 A job that unites topics sets a watermark on each of them, and the slowest one counts
 (``spark.sql.streaming.multipleWatermarkPolicy`` is ``min``). A topic without rows therefore
 holds back the results of the job, instead of losing its rows when they come; where a topic
-can be idle for long, send it a row with the present time now and then. Spark does not keep
-the watermark of each topic over a restart: until a topic has new rows it counts as idle.
+can be idle for long, ``clock.TopicClock.tick`` moves it on. Spark does not keep the watermark
+of each topic over a restart; ``clock.TopicClock`` does.
 """
 
 from __future__ import annotations

@@ -170,3 +170,68 @@ def test_tables_merge_batch_by_batch_and_a_repeated_batch_changes_nothing(spark,
     tables = DimensionTables(spark, str(tmp_path))
     merge((0, "insert", {"id": "3", "name": "d"}))
     assert rows() == [("2", "c"), ("3", "d")]
+
+
+def test_only_touched_buckets_are_written_and_readers_keep_theirs(spark, tmp_path):
+    tables = DimensionTables(spark, str(tmp_path))
+    schema = changes.dimension_schema("id,name")
+
+    def frame(rows):
+        return spark.createDataFrame([(seq, "insert", {"id": str(i), "name": name}) for seq, i, name in rows], "seq bigint, type string, data map<string,string>")
+
+    written = tables.merge("DIM_T", ["id", "name"], "id", frame((i, i, "a") for i in range(500)), extend="SALT_BUCKETS = 16")
+    assert written == list(range(16))  # the extra clause says how many buckets
+    before = tables.read("DIM_T", schema)
+    folders = tables.store("DIM_T").manifest()["buckets"]
+    (touched,) = tables.merge("DIM_T", ["id", "name"], "id", frame([(900, 7, "b")]))
+    after = tables.store("DIM_T").manifest()["buckets"]
+    assert [b for b in after if after[b] != folders[b]] == [str(touched)]
+    # who began to read before goes on with what was there
+    assert before.where("id = '7'").first()["name"] == "a"
+    assert tables.read("DIM_T", schema).where("id = '7'").first()["name"] == "b"
+    assert tables.read("DIM_T", schema).count() == 500
+    # versions that nobody needs any more go, with their files
+    for i in range(5):
+        tables.merge("DIM_T", ["id", "name"], "id", frame([(901 + i, 7, f"c{i}")]))
+    assert len(tables.store("DIM_T").versions()) == 3
+    assert len(tables.store("DIM_T").files.names("data")) <= 4
+    assert tables.store("DIM_T").manifest()["extend"] == "SALT_BUCKETS = 16"
+
+
+def test_a_change_of_a_later_batch_loses_to_a_newer_one_column_by_column(spark, tmp_path):
+    tables = DimensionTables(spark, str(tmp_path))
+
+    def merge(*rows):
+        frame = spark.createDataFrame(list(rows), "seq bigint, type string, data map<string,string>")
+        tables.merge("DIM_T", ["id", "name", "tel"], "id", frame)
+
+    merge((10, "insert", {"id": "1", "name": "new"}))
+    merge((5, "update", {"id": "1", "name": "old", "tel": "7"}))
+    assert tables.latest("DIM_T").collect() == [("1", "new", "7")]
+    merge((7, "update", {"id": "1", "tel": "8", "name": "older"}))
+    assert tables.latest("DIM_T").collect() == [("1", "new", "8")]
+
+
+def test_changes_are_in_one_order_over_all_partitions(spark):
+    def record(kind, name, **more):
+        return json.dumps({"table": "user", "type": kind, "data": {"id": "1", "name": name, "x": "0"}, **more})
+
+    def current(*rows):
+        raw = spark.createDataFrame(list(rows), "value string, partition int, offset bigint")
+        ordered = changes.order_of_changes(changes.parse_changes(raw))
+        return changes.apply_changes(ordered, "id", ["id", "name"], "seq").first()["name"]
+
+    assert current((record("insert", "a", ts=100), 0, 900), (record("update", "b", ts=101), 1, 5)) == "b"
+    assert current((record("insert", "a", ts=100, xid=9, xoffset=1), 0, 1), (record("update", "b", ts="100", xid="9", xoffset=0), 0, 2)) == "a"
+    assert current((record("insert", "a"), 0, 1), (record("update", "b"), 0, 2)) == "b"
+
+
+def test_tables_of_a_batch_are_merged_together(spark, tmp_path):
+    tables = DimensionTables(spark, str(tmp_path))
+    routes = [{"table": f"DIM_{i}", "columns": "id,v" if i else "k,v", "key": "id" if i else "k", "extend": ""} for i in range(12)]
+    rows = [(f"DIM_{i}", "insert", {"id" if i else "k": str(j), "v": "x"}, j) for i in range(0, 12, 2) for j in range(3)]
+    batch = spark.createDataFrame(rows, "sink_table string, type string, data map<string,string>, seq bigint")
+    done = tables.merge_all(routes, batch)
+    assert sorted(done) == sorted(f"DIM_{i}" for i in range(0, 12, 2))
+    for i in range(12):
+        assert tables.latest(f"DIM_{i}").count() == (0 if i % 2 else 3)

@@ -3,7 +3,7 @@
 import pytest
 
 from millrace.session import checkpoint_root
-from millrace.sinks import tables, topics
+from millrace.sinks import ledger, tables, topics
 from millrace.sources import topics as source_topics
 
 
@@ -79,3 +79,37 @@ def test_the_checkpoint_folder_of_the_cluster_is_used(spark):
     with pytest.raises(ValueError):
         checkpoint_root(Cluster(**{"spark.master": "yarn"}))
     assert checkpoint_root(spark)
+
+
+def test_a_batch_is_inserted_once_whenever_it_fails(spark, tmp_path):
+    store, failing = [], [True]
+
+    def insert(batch, batch_id):
+        if batch_id == 1 and failing:
+            failing.pop()
+            raise RuntimeError("the store is away")
+        store.extend(r.v for r in batch.collect())
+
+    write = ledger.inserted_once(insert, str(tmp_path), "job")
+    first, second = (spark.createDataFrame([(v,)], "v int") for v in (1, 2))
+    write(first, 0)
+    write(first, 0)
+    with pytest.raises(RuntimeError):
+        write(second, 1)
+    # run again, the batch is what was staged, whatever it is computed to be now
+    write(spark.createDataFrame([(99,)], "v int"), 1)
+    write(second, 1)
+    assert sorted(store) == [1, 2]
+    other = ledger.inserted_once(insert, str(tmp_path), "another job")
+    other(first, 0)
+    assert sorted(store) == [1, 1, 2]
+
+
+def test_jdbc_properties_and_another_name_reach_the_store():
+    batch = FakeBatch()
+    batch.selectExpr = lambda *_: batch
+    batch.columns = ["ts"]
+    tables.jdbc_writer("jdbc:x", "province_stats", {"user": "u", "driver": "d"}, into="province_stats_sql")(batch, 0)
+    name, arguments, options = batch.write.calls[-1]
+    assert (name, arguments[1]) == ("jdbc", "province_stats_sql")
+    assert options["properties"]["user"] == "u" and options["properties"]["driver"] == "d"

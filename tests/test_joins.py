@@ -1,3 +1,4 @@
+import random
 from decimal import Decimal
 
 from hypothesis import given, settings
@@ -186,3 +187,25 @@ def test_numbers_as_text_are_read(spark):
     )
     row = wide.typed(raw, schemas.ORDER_DETAIL).first()
     assert (row.id, row.order_id, row.sku_num, row.split_total_amount) == (3, 4, None, money("1.50"))
+
+
+def test_slices_by_density_spread_a_hot_key_and_change_nothing(spark):
+    dice = random.Random(2)
+    day = 86_400
+    left = spark.createDataFrame([(0 if i % 3 else i, dice.randrange(300) * day, i) for i in range(300)], "k int, t bigint, nr int")
+    right = spark.createDataFrame([(0 if i % 3 else i, dice.randrange(300) * day, i) for i in range(900)], "rk int, rt bigint, rnr int")
+    left = left.withColumn("t", F.timestamp_seconds("t"))
+    right = right.withColumn("rt", F.timestamp_seconds("rt"))
+    edges = joins.quantile_edges(right, "rt", 8)
+    assert len(edges) == 7
+
+    def joined(edges):
+        return joins.interval_join(left, right, [("k", "rk")], "t", "rt", "30 days", "30 days", edges=edges)
+
+    expected = sorted((r.nr, r.rnr) for r in joined(None).collect())
+    assert len(expected) > 1000
+    for some in (edges, [], [0], edges[:1]):
+        assert sorted((r.nr, r.rnr) for r in joined(some).collect()) == expected
+    # rows of the hot key that are compared with each other: one slice of eight, or all
+    sliced = right.select(F.size(F.filter(F.lit(edges), lambda e: e <= F.unix_millis("rt"))).alias("s")).groupBy("s").count()
+    assert max(r["count"] for r in sliced.collect()) < 900 / 8 * 1.5

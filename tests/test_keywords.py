@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -89,3 +91,35 @@ def test_searches_are_counted_per_window_with_its_end(spark):
         ("red", 1, "SEARCH", "00:00:10", "00:00:20"),
         ("red", 2, "SEARCH", "00:00:00", "00:00:10"),
     ]
+
+
+def all_paths(text, dictionary):
+    """All ways to split a text into words of the dictionary and single characters."""
+    if not text:
+        return [[]]
+    sizes = {1} | {len(w) for w in dictionary if text.startswith(w)}
+    return [[text[:s], *rest] for s in sizes for rest in all_paths(text[s:], dictionary)]
+
+
+def test_the_best_path_is_that_of_all_paths(spark):
+    dice = random.Random(5)
+    dictionary = ["一二", "二三", "三四五", "一二三", "五五", "四五五一", "二一"]
+    runs = ["".join(dice.choice("一二三四五") for _ in range(dice.randint(1, 9))) for _ in range(80)]
+    expected = []
+    for run in runs:
+        expected += max(
+            all_paths(run, dictionary), key=lambda p: (sum(len(w) for w in p if len(w) > 1), -len(p), [len(w) for w in p])
+        )
+    table = spark.createDataFrame([(w,) for w in dictionary], "word string")
+    found = keywords.dictionary_keywords(texts(spark, *runs), "text", table, lattice=True)
+    assert sorted(r.keyword for r in found.collect()) == sorted(expected)
+    # and by the longest match from left to right
+    greedy = keywords.dictionary_keywords(texts(spark, *runs), "text", table)
+    assert sorted(r.keyword for r in greedy.collect()) == sorted(split(texts(spark, *runs), dictionary))
+
+
+def test_a_run_of_a_hundred_thousand_characters(spark):
+    table = spark.createDataFrame([("手机",), ("机手机",), ("移动联通",)], "word string")
+    run = "手机壳" * 20_000 + "移动联通" * 10_000
+    found = keywords.dictionary_keywords(texts(spark, run), "text", table, lattice=True).groupBy("keyword").count()
+    assert {r["keyword"]: r["count"] for r in found.collect()} == {"手机": 20_000, "壳": 20_000, "移动联通": 10_000}

@@ -108,3 +108,48 @@ def test_repair_equals_a_loop(spark, rows):
         expected.add((mid, is_new, ts))
     frame = spark.createDataFrame(rows, "mid string, is_new string, ts bigint")
     assert {tuple(r) for r in logs.repair_new_visitors(frame).collect()} == expected
+
+
+ANY = st.recursive(
+    st.none() | st.booleans() | st.integers(-5, 5) | st.sampled_from(["", "1", 'a"b', "x{1}", "}]", "\\", "is_new", "common", "é\n"]),
+    lambda inner: st.lists(inner, max_size=3) | st.dictionaries(st.sampled_from(["is_new", "common", "os", 'q"', "a"]), inner, max_size=3),
+    max_leaves=12,
+)
+NAMES = st.sampled_from(["os", "loc", "page", "md", 'k"', "z"])
+SPACE = st.sampled_from(["", " ", "\n\t "])
+
+
+@settings(max_examples=150, deadline=None)
+@given(
+    st.lists(
+        st.tuples(
+            st.lists(st.tuples(NAMES, ANY), max_size=3), st.lists(st.tuples(NAMES, ANY), max_size=3),
+            st.lists(st.tuples(NAMES, ANY), max_size=3), st.lists(st.tuples(NAMES, ANY), max_size=3),
+            SPACE, st.sampled_from(['"1"', "1", '"0"', '"2"', "true"]), st.sampled_from(['"is_new"', '"\\u0069s_new"']), st.booleans(),
+        ),
+        min_size=1, max_size=8,
+    )
+)
+def test_only_the_flag_in_common_is_written_anew(spark, cases):
+    rows, expected = [], []
+    for before, inner_before, inner_after, after, space, value, name, returning in cases:
+        def members(pairs):
+            return [f"{space}{json.dumps(k)}{space}:{space}{json.dumps(v, ensure_ascii=False)}" for k, v in pairs]
+
+        def text(flag):
+            inner = ",".join([*members(inner_before), f"{space}{name}{space}:{space}{flag}", *members(inner_after)])
+            return "{" + ",".join([*members(before), f'{space}"common":{space}{{{inner}{space}}}', *members(after)]) + "}"
+
+        rows.append(("0" if returning else "1", text(value)))
+        expected.append(text('"0"' if returning and value in ('"1"', "1") else value))
+    got = logs.log_text(spark.createDataFrame(rows, "is_new string, body string").coalesce(1)).collect()
+    assert [r.value for r in got] == expected
+
+
+def test_displays_keep_what_is_sent_and_their_page(spark):
+    items = [{"item": "1", "item_type": "sku_id", "x": {"a": [1, None]}}, {"page_id": "own", "item": 2}, {}]
+    body = {"common": {"mid": "a"}, "page": {"page_id": 'h"é'}, "display": items, "ts": 5}
+    rows = [(quote(json.dumps(body)),), (quote(json.dumps({**body, "display": []})),), (quote(json.dumps({**body, "display": None})),)]
+    found = logs.display_rows(logs.parse_logs(spark.createDataFrame(rows, "value string"))).collect()
+    assert [(r["item"], r["item_type"]) for r in found] == [("1", "sku_id"), ("2", None), (None, None)]
+    assert [json.loads(r["fields"]) for r in found] == [{**i, "page_id": 'h"é'} for i in items]

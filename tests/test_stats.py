@@ -167,3 +167,14 @@ def test_a_folder_batch_written_again_replaces_itself(spark, tmp_path):
     write(spark.range(5), 0)
     write(spark.range(2), 1)
     assert spark.read.parquet(str(tmp_path)).count() == 7
+
+
+def test_sketches_of_windows_merge_to_an_estimate_of_distinct_orders(spark):
+    rows = spark.range(120_000).selectExpr("timestamp_seconds(id % 86400) AS event_time", "id % 40000 AS order_id", "1 AS province_id")
+    sketches = order_stats.order_sketches(rows)
+    assert sketches.count() == 8_640
+    (day,) = order_stats.approx_orders(sketches, "1 day").collect()
+    assert abs(day["approx_order_count"] / 40_000 - 1) < 0.05
+    few = order_stats.approx_orders(order_stats.order_sketches(rows.where("order_id < 100")), "1 hour")
+    exact = rows.where("order_id < 100").groupBy(F.window("event_time", "1 hour")).agg(F.count_distinct("order_id").alias("n"))
+    assert sorted(r["approx_order_count"] for r in few.collect()) == sorted(r["n"] for r in exact.collect())

@@ -18,6 +18,7 @@ from millrace.sinks.topics import topic_folders_writer
 from millrace.operators.changes import dimension_schema
 from millrace.sources.topics import file_text, json_view
 from millrace.streaming import watermarks
+from millrace.streaming.clock import TopicClock
 from millrace.streaming.first_seen import DailyVisits, FirstDays
 from millrace.streaming.run import run_to_folder, start, stream_session
 
@@ -457,3 +458,38 @@ def test_a_restarted_query_goes_on_where_it_stopped(spark, live, tmp_path):
     run()
     run()
     assert sorted(r.mid for r in spark.read.parquet(str(tmp_path / "table")).collect()) == ["a", "b"]
+
+
+@pytest.mark.parametrize("kept", [True, False])
+def test_a_topic_without_rows_after_a_restart_still_counts(spark, live, tmp_path, kept):
+    fast, slow = Topic(tmp_path / "fast"), Topic(tmp_path / "slow")
+    clock = TopicClock(live, str(tmp_path / "clock"))
+
+    def run():
+        clock.start(["fast", "slow"] if kept else [])
+        if not kept:
+            for name in ("fast", "slow"):
+                clock.files.write(f"topics/{name}/empty.json", b"")
+        topics = {"fast": fast, "slow": slow}
+        parsed = {n: logs.parse_logs(t.stream(live), encoded=False).select("mid", "event_time") for n, t in topics.items()}
+        both = clock.topic("fast", parsed["fast"], "0 seconds").unionByName(clock.topic("slow", parsed["slow"], "0 seconds"))
+        counts = both.groupBy(F.window("event_time", "10 seconds")).count().select(F.unix_millis("window.start").alias("at"), "count")
+        run_to_folder(counts, "counts", str(tmp_path), clock=clock)
+        return {r["at"]: r["count"] for r in spark.read.schema(counts.schema).parquet(str(tmp_path / "counts" / "rows")).collect()}
+
+    fast.add(page("a", 1_000))
+    slow.add(page("a", 2_000))
+    run()
+    fast.add(page("a", DAY))  # the slow topic has nothing new when the job starts again
+    run()
+    slow.add(page("b", 5_000), page("b", DAY))
+    fast.add(page("a", 2 * DAY))
+    slow.add(page("b", 2 * DAY))
+    got = run()
+    assert got[0] == (3 if kept else 2)
+    if kept:
+        assert clock.highest() == {"fast": 2 * DAY, "slow": 2 * DAY}
+        clock.tick("slow", 9 * DAY)
+        clock.tick("fast", 9 * DAY)
+        # an idle topic is moved on, and all windows are complete
+        assert run()[2 * DAY] == 2

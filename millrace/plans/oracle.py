@@ -551,6 +551,19 @@ def stream_oracles() -> dict[str, str]:
     return {
         **{f"stream_{name}": batch[name] for name in (*same, "province_stats_sql")},
         "stream_daily_visits": batch["unique_visits"],
+        "stream_admission": _with(
+            ("pages_log",),
+            """
+            , parted AS (
+                SELECT event_id, ts, CAST(item AS INTEGER) % 10 AS digit,
+                       CAST((ts - min(ts) OVER ()) * 3 // (max(ts) OVER () - min(ts) OVER () + 1) AS INTEGER) AS part FROM pages_log
+            ), newest AS (  -- of what was sent before the last part
+                SELECT max(ts) - 11 * 86400000 AS late FROM parted WHERE digit <> 3 AND part < 2
+            )
+            SELECT event_id, CASE WHEN digit = 3 AND ts < late THEN 'late' ELSE 'on_time' END AS admission FROM parted, newest
+            UNION ALL SELECT event_id, 'repeated' FROM parted WHERE digit = 7
+            """,
+        ),
         "stream_visitor_stats_by_part": batch["visitor_stats"],
         "stream_keyword_stats": batch["keyword_stats_search"],
         "stream_order_wide": _with(

@@ -23,6 +23,7 @@ from millrace.plans.queries import SPAN, TIE
 from millrace.session import checkpoint_root
 from millrace.sources.shop_tables import PAGE_OF_EVENT, TABLES, ShopTables
 from millrace.streaming import watermarks
+from millrace.streaming.admission import Admission
 from millrace.streaming.clock import TopicClock
 from millrace.streaming.first_seen import DailyVisits, FirstDays
 from millrace.streaming.run import run_to_folder, start, stream_session
@@ -219,6 +220,29 @@ def stream_daily_visits(s: Streams) -> DataFrame:
     return s.batches(pages, "daily", lambda rows, batch_id: seen.first(rows, batch_id, TIE)).drop("last_page_id")
 
 
+@_query
+def stream_admission(s: Streams) -> DataFrame:
+    """Page logs of which some come when their part is long over and some twice, with a verdict each."""
+    pages = s.static.pages_anywhere.select("event_id", "mid", "item", "ts", "event_time")
+    low, high = pages.agg(F.min("ts"), F.max("ts")).first()
+    part = F.floor((F.col("ts") - F.lit(low)) * PARTS / F.lit((high or 0) - (low or 0) + 1)).cast("int")
+    digit = F.col("item").cast("int") % 10
+    sent = F.when(digit == 3, F.array(F.lit(PARTS - 1))).when(digit == 7, F.array(part, F.least(part + 1, F.lit(PARTS - 1))))
+    sent = pages.withColumn("sent_in", F.explode(F.coalesce(sent, F.array(part))))
+    topic = f"{s.root}/admission/topic"
+    admission = Admission(s.spark, f"{s.root}/admission/keys", ["event_id"], "11 days")
+    out = f"{s.root}/admission/rows"
+    for k in range(PARTS):
+        sent.where(F.col("sent_in") == k).drop("sent_in").coalesce(1).write.mode("append").parquet(topic)
+        rows = s.spark.readStream.schema(pages.schema).parquet(topic)
+
+        def write(batch: DataFrame, batch_id: int) -> None:
+            admission.judge(batch, batch_id).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+        start(rows, "admission", write, s.root).awaitTermination()
+    return s.caller.read.parquet(out).select("event_id", "admission")
+
+
 @_query
 def stream_unique_visits(s: Streams) -> DataFrame:
     # the first to arrive is kept: the same row as in the batch form, as events are in order

@@ -1,10 +1,10 @@
 """Watermarks of several topics over restarts.
 
 Where a job unites topics, each has its own watermark and the slowest counts. Spark keeps
-only the common one over a restart: until a topic has new rows it counts for nothing, and a
-topic ahead of it can make its next rows late. Here the highest time of every topic is
-kept beside the checkpoint and sent into the topic again, as a row without content, when
-the job starts. A row of that kind also moves on a topic that is idle for long.
+only the common one over a restart: until a topic has new rows it counts as if it had none
+yet, and holds all results back. Here the highest time of every topic is kept beside the
+checkpoint and sent into the topic again, as a row without content, when the job starts.
+A row of that kind also moves on a topic that is idle for long.
 """
 
 from __future__ import annotations

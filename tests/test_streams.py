@@ -18,6 +18,7 @@ from millrace.sinks.topics import topic_folders_writer
 from millrace.operators.changes import dimension_schema
 from millrace.sources.topics import file_text, json_view
 from millrace.streaming import watermarks
+from millrace.streaming.admission import Admission, start_admission
 from millrace.streaming.clock import TopicClock
 from millrace.streaming.first_seen import DailyVisits, FirstDays
 from millrace.streaming.run import run_to_folder, start, stream_session
@@ -478,18 +479,35 @@ def test_a_topic_without_rows_after_a_restart_still_counts(spark, live, tmp_path
         return {r["at"]: r["count"] for r in spark.read.schema(counts.schema).parquet(str(tmp_path / "counts" / "rows")).collect()}
 
     fast.add(page("a", 1_000))
-    slow.add(page("a", 2_000))
-    run()
-    fast.add(page("a", DAY))  # the slow topic has nothing new when the job starts again
-    run()
-    slow.add(page("b", 5_000), page("b", DAY))
-    fast.add(page("a", 2 * DAY))
-    slow.add(page("b", 2 * DAY))
-    got = run()
-    assert got[0] == (3 if kept else 2)
+    slow.add(page("a", 2_000), page("b", 2 * DAY))
+    assert run() == {}
+    fast.add(page("a", DAY)).add(page("a", DAY + 1))  # the slow topic has nothing new when the job starts again
+    # with the clock it counts as far as it had come, without it as far back as can be
+    assert run() == ({0: 2} if kept else {})
+    slow.add(page("b", DAY + 5_000))
+    fast.add(page("a", 3 * DAY))
+    assert run()[0] == 2
     if kept:
-        assert clock.highest() == {"fast": 2 * DAY, "slow": 2 * DAY}
-        clock.tick("slow", 9 * DAY)
-        clock.tick("fast", 9 * DAY)
-        # an idle topic is moved on, and all windows are complete
-        assert run()[2 * DAY] == 2
+        assert clock.highest() == {"fast": 3 * DAY, "slow": 2 * DAY}
+        for topic in ("slow", "fast"):
+            clock.tick(topic, 9 * DAY)
+        # idle topics are moved on, and all windows are complete
+        assert run() == {0: 2, DAY: 3, 2 * DAY: 1, 3 * DAY: 1}
+
+
+def test_rows_counted_late_and_repeated_add_up_to_rows_in(spark, live, tmp_path):
+    topic = Topic(tmp_path / "pages")
+    topic.add(page("a", 1_000), page("a", 1_000), page("b", DAY))
+    topic.add(page("a", 1_000), page("c", DAY - 30_000), page("d", DAY - 90_000), {"common": {"mid": "x"}, "page": {"page_id": "p"}})
+    topic.add(page("c", DAY - 30_000), page("e", 3 * DAY))
+    admission = Admission(spark, str(tmp_path / "keys"), ["mid", "ts"], "1 minute")
+    rows = logs.parse_logs(topic.stream(live), encoded=False).select("mid", "ts", "event_time")
+    writer = lambda verdict: folder_writer(str(tmp_path / verdict), "pages")
+    start_admission(rows, admission, writer, "admission", str(tmp_path / "state")).awaitTermination()
+    got = {v: sorted((r.mid, r.ts) for r in spark.read.parquet(str(tmp_path / v)).collect()) for v in ("on_time", "late", "repeated")}
+    assert got["on_time"] == [("a", 1_000), ("b", DAY), ("c", DAY - 30_000), ("e", 3 * DAY)]
+    assert got["repeated"] == [("a", 1_000), ("c", DAY - 30_000)]
+    assert sorted(got["late"], key=str) == [("a", 1_000), ("d", DAY - 90_000), ("x", None)]
+    # a batch run again gets the same verdicts
+    again = spark.createDataFrame([("e", 3 * DAY), ("c", DAY - 30_000)], "mid string, ts long").withColumn("event_time", times.millis_to_time(F.col("ts")))
+    assert sorted((r.mid, r.admission) for r in admission.judge(again, 2).collect()) == [("c", "repeated"), ("e", "on_time")]

@@ -25,9 +25,9 @@ from millrace.llm.tables import fresh, settle
 # Frequent words that are compiled; their number bounds what the driver and a broadcast hold.
 LEXICON_WORDS = 60_000
 # Different words that a task counts before it hands them on.
-COUNTED_WORDS = 200_000
+COUNTED_WORDS = 50_000
 # Documents that are encoded together.
-BATCH = 512
+BATCH = 256
 # Longer words, in bytes, are merged one by one and never compiled.
 LONGEST_WORD = 64
 

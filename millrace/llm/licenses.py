@@ -300,13 +300,39 @@ def _one_of(names: list[str]) -> str:
     return f"(?:{'|'.join(sorted(names, key=lambda n: (-len(n), n)))})"
 
 
+def _any_case(words: list[str]) -> str:
+    """A pattern of any of these ASCII words in either case, letter by letter: few of them are
+    tried at a place."""
+
+    def node(rest: set[str]) -> str:
+        branches = []
+        for c in sorted({w[0] for w in rest if w}):
+            letter = f"[{c}{c.upper()}]" if c.isalpha() else c
+            branches.append(letter + node({w[1:] for w in rest if w[:1] == c}))
+        inner = "|".join(branches)
+        if "" in rest:
+            return f"(?:{inner})?" if inner else ""
+        return f"(?:{inner})" if len(branches) > 1 else inner
+
+    return node(set(words))
+
+
+def _needle(pattern: str) -> str:
+    """The longest text that every match of a pattern holds literally."""
+    bare = re.sub(r"\\.", "\0", pattern)
+    group = re.compile(r"\(\?:[^()]*\)(?:\?|\{\d+,\d+\})?|\[[^\]]*\][?+*]?|[^\0]\?")
+    while group.search(bare):
+        bare = group.sub("\0", bare)
+    return max(bare.split("\0"), key=len)
+
+
 def scan_licenses(docs: DataFrame, text: str = "text", signatures: list[Rule] | None = None) -> DataFrame:
     """The rows of ``docs`` with ``n_words`` and ``licenses``.
 
     ``licenses`` is an array of ``start, end, label, base, worth``, by start: places in words,
     from 0, ends exclusive, of the lower-case (A-Z) words of the whole text. ``base`` marks
     the places of the base phrases, all of which stay. The others are those of the rules:
-    every rule whose keyword the text holds is matched, leftmost and not overlapping with
+    every rule is matched whose keyword and literal part the text holds, leftmost and not overlapping with
     itself, and a place goes where one of a rule of higher priority, or a longer one of the
     same priority, holds it whole.
 
@@ -327,7 +353,7 @@ def scan_licenses(docs: DataFrame, text: str = "text", signatures: list[Rule] |
     bare = F.trim(F.regexp_replace(raw, _NOT_WORD, " "))
     keywords = sorted({r.keyword for r in signatures} | {phrase.split()[0] for phrase in BASE} | {"spdx"})
     # most texts hold no keyword and are spared the rules
-    telling = f"{bare_name} RLIKE '(?i)(?<![^ ])(?:{'|'.join(keywords)})(?![^ ])'"
+    telling = f"{bare_name} RLIKE '(?<![^ ]){_any_case(keywords)}(?![^ ])'"
     found = f"concat({_base_places(low)}, {_rule_places(signatures, low, joined)})"
     # generators keep an expression from being copied into each of its uses
     worded = docs.select(*own, raw.alias(joined), F.explode(F.array(bare)).alias(bare_name))
@@ -386,7 +412,7 @@ def _rule_places(signatures: list[Rule], low: str, joined: str) -> str:
     telling = [n for n in named if any(c.isdigit() for c in n) or n in PLAIN_NAMES]
     patterns = {before: _one_of(list(named) if any_ else telling) for _, before, _, any_ in BEFORE_NAMES}
     rows = [
-        f"named_struct('label', {quoted(r.label) if r.label else 'CAST(NULL AS string)'}, 'keyword', {quoted(f' {r.keyword} ')}, 'before', {quoted(r.pattern)}, "
+        f"named_struct('label', {quoted(r.label) if r.label else 'CAST(NULL AS string)'}, 'keyword', {quoted(r.keyword)}, 'needle', {quoted(_needle(r.pattern))}, 'before', {quoted(r.pattern)}, "
         f"'pattern', {quoted(r.pattern if r.label else f'{r.pattern} {patterns.get(r.pattern, _one_of(list(named)))}')}, 'priority', {r.priority}, 'worth', {r.worth}D)"
         for r in signatures
     ]
@@ -397,12 +423,19 @@ def _rule_places(signatures: list[Rule], low: str, joined: str) -> str:
     after = f"try_element_at({labels}, regexp_replace(m.piece, concat('^(?:', r.before, ') '), ''))"
     place = _as_place(f"coalesce(r.label, {after})", "false", "r.worth")
 
+    # one pass finds the keywords of a text, and few rules are left to look further
+    keywords = _any_case(sorted({r.keyword for r in signatures}))
+    present = f"array_distinct(regexp_extract_all({low}, '(?<= ){keywords}(?= )', 0))"
+
     def by_level(held: str) -> str:
         of_level = f"flatten(transform(filter({held}, r -> r.priority = level), r -> transform({_found(low, 'r.pattern')}, m -> {place})))"
         levels = f"sort_array(array_distinct(transform({held}, r -> r.priority)), false)"
         return f"aggregate({levels}, {expressions}, (kept, level) -> concat(kept, {outside(of_level, 'kept')}))"
 
-    return let(f"filter(array({', '.join(rows)}), r -> contains({low}, r.keyword))", by_level)
+    return let(
+        present,
+        lambda words: let(f"filter(array({', '.join(rows)}), r -> array_contains({words}, r.keyword) AND contains({low}, r.needle))", by_level),
+    )
 
 
 def _expressions(joined: str, labels: str) -> str:

@@ -19,14 +19,19 @@ from millrace.llm.tables import narrow_broadcast, settle, table  # noqa: E402
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is sure and whose text is like it; others go."""
+    """Documents whose language is sure and whose text is like it; others go.
+
+    Null and empty texts, and those without three letters in a row, go, as they show no
+    language. Repeated rows are each judged.
+    """
     return language.identify_languages(docs).where("language.accepted").drop("language")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group; of rows equal in id and text, one.
 
-    Rows that repeat an id with another text are judged by their own text each.
+    Rows that repeat an id with another text are judged by their own text each. Rows with a
+    null id, and null and empty texts, are near duplicates of nothing and stay.
     """
     groups = settle(near_dups.near_duplicates(docs, with_node=True))
     gone = groups.where("NOT kept").select("doc_id", "node").distinct()
@@ -45,20 +50,25 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no test item."""
+    """Documents that hold no test item.
+
+    A document goes by its id, and all rows of that id with it; rows with a null id stay. Null
+    and empty texts hold no item and stay.
+    """
     found = settle(decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark")))
     gone = found.select("doc_id").distinct()
     return docs.join(narrow_broadcast(gone, gone.count()), "doc_id", "left_anti").select(*docs.columns)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with their secrets replaced and their lengths counted anew."""
+    """All documents, with their secrets replaced and their lengths counted anew. Null texts stay null."""
     clean = secrets.redact(secrets.scan_secrets(docs)).select(*docs.columns)
     return clean.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else clean
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Per document the number of its tokens and the digests of its ids and decoded text."""
+    """Per document the number of its tokens and the digests of its ids and decoded text. A null text
+    is an empty one."""
     return bpe.digests(docs, bpe.default_vocabulary())
 
 

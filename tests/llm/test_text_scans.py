@@ -444,11 +444,11 @@ def test_pairwise_operators_of_empty_tables(spark):
     assert decontaminate.contaminated(frame(spark, [(1, "x")]), items.limit(0)).collect() == []
 
 
-def test_texts_of_a_megabyte(spark):
-    text = ("Some words, and a token=abc123def456, and more of them in a line.\n" * 16_000)[: 1 << 20]
+def test_very_long_texts(spark):
+    text = ("Some words, and a token=abc123def456, and more of them in a line.\n" * 4_000)[: 1 << 18]
     docs = frame(spark, [(1, text, "en", "s"), (2, text[:-1] + "!", "en", "s"), (3, "another text of some words", "en", "s")], "doc_id long, text string, lang string, source string")
-    assert licenses.scan_licenses(docs).orderBy("doc_id").first()["n_words"] > 100_000
+    assert licenses.scan_licenses(docs).orderBy("doc_id").first()["n_words"] > 40_000
     found = secrets.redact(secrets.scan_secrets(docs)).orderBy("doc_id").first()
-    assert len(found["secrets"]) >= 15_000 and "abc123def456" not in found["text"]
+    assert len(found["secrets"]) >= 3_900 and "abc123def456" not in found["text"]
     assert language.identify_languages(docs).count() == 3
     assert {r["component_id"] for r in near_dups.near_duplicates(docs).collect()} == {1, 3}

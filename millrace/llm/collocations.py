@@ -18,6 +18,8 @@ MOST_WORDS, LEAST, TOP, COVERED = 3, 10, 2000, 50
 # A phrase is counted if the frequent phrases one word shorter may hold both of its ends.
 # They are kept as a table of 2 ** FILTER_BITS bits; the fuller it is, the less it spares.
 FILTER_BITS = 26
+# Parts in which the phrases of a language are ranked before they are ranked together.
+LOTS = 32
 # Texts are hashed in slices of about so many bytes that end where a piece ends.
 SLICE = 1 << 20
 # A task adds up so many fingerprints at once, at least.
@@ -160,8 +162,11 @@ def _ranked(phrases: DataFrame, words: DataFrame, least: int, top: int, covered:
     wide = (a * a).cast("decimal(32,0)") * F.lit(1_000_000).cast("decimal(7,0)")
     scored = scored.withColumn("score", F.call_function("div", wide.cast("decimal(38,0)"), l * r))
     lowest = scored.groupBy("lang", "phrase").agg(F.min(F.struct("score", "cut", "a", "l", "r")).alias("s")).select("lang", "phrase", "s.*")
-    best = Window.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc(), F.col("phrase"))
-    first = lowest.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top)
+    order = [F.col("score").desc(), F.col("a").desc(), F.col("phrase")]
+    # the first of each lot of a language before those of all of it: no task sees all its phrases
+    first = lowest.withColumn("lot", F.pmod(F.xxhash64("phrase"), F.lit(LOTS)))
+    for keys in (["lang", "lot"], ["lang"]):
+        first = first.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col("rank") <= top)
     return first.join(narrow_broadcast(words, words.count()), "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
 
 

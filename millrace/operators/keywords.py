@@ -66,13 +66,18 @@ def text_keywords(texts: DataFrame, text: str = "text", by: Sequence[str] = (),
 # Runs are looked at in blocks of so many characters.
 BLOCK = 256
 
+# A task has the runs of about so many characters.
+CHARACTERS_PER_TASK = 500_000
+
 
 def dictionary_keywords(rows: DataFrame, text: str, dictionary: DataFrame, lattice: bool = False) -> DataFrame:
     """As ``split_keywords``, Chinese runs split by the words of a dictionary table.
 
     ``dictionary`` has a column ``word`` and may be of any size. Every distinct run is
     split once, however often it occurs: the pieces that start at each of its characters,
-    of every length that a word of the dictionary has, are matched by an equi-join. Where
+    of every length that a word of the dictionary has, are matched by an equi-join. One
+    aggregation over the texts counts the characters of all runs beforehand, for the number
+    of tasks. Where
     no match spans a place, the run is cut. A part of overlapping matches is split from
     left to right by the longest match; with ``lattice`` by the matches that cover most of
     its characters, of those by the fewest, and of those by the longest word first, then
@@ -84,22 +89,26 @@ def dictionary_keywords(rows: DataFrame, text: str, dictionary: DataFrame, latti
     latin = pieces.where(~F.col("_run").rlike(words.CJK_CHAR)).select(*kept, F.lower("_run").alias("keyword"))
     chinese = pieces.where(F.col("_run").rlike(words.CJK_CHAR)).withColumn("_id", _run_id(F.col("_run")))
 
-    runs = (
-        rows.select(F.explode(F.regexp_extract_all(text, F.lit(f"{words.CJK_CHAR}+"), F.lit(0))).alias("_run"))
-        .distinct()
-        .withColumn("_id", _run_id(F.col("_run")))
-    )
-    split = _split_runs(runs, dictionary, lattice)
+    occurring = rows.select(F.explode(F.regexp_extract_all(text, F.lit(f"{words.CJK_CHAR}+"), F.lit(0))).alias("_run"))
+    runs = occurring.distinct().withColumn("_id", _run_id(F.col("_run")))
+    split = _split_runs(runs, dictionary, lattice, _tasks(occurring))
     found = chinese.select(*kept, "_id").join(split, "_id").select(*kept, "keyword")
     return latin.unionByName(found)
 
 
+def _tasks(occurring: DataFrame) -> int:
+    """So many tasks that each has a bounded number of characters: a row each, they take far
+    more memory than the size of the text lets Spark expect."""
+    characters = occurring.agg(F.sum(F.length("_run"))).first()[0] or 0
+    return max(1, -(-characters // CHARACTERS_PER_TASK))
+
+
 def _run_id(run: Column) -> Column:
     """A short run is its own id, a long one goes by its digest."""
     return F.when(F.length(run) <= 64, run).otherwise(F.sha2(run, 256))
 
 
-def _split_runs(runs: DataFrame, dictionary: DataFrame, lattice: bool) -> DataFrame:
+def _split_runs(runs: DataFrame, dictionary: DataFrame, lattice: bool, tasks: int) -> DataFrame:
     """``_id, keyword``: the words of each run, in a time linear in its length."""
     vocabulary = dictionary.where(F.length("word") > 1).select(F.col("word").alias("_word")).distinct()
     # as many numbers as there are different lengths of words, few whatever the dictionary
@@ -111,23 +120,24 @@ def _split_runs(runs: DataFrame, dictionary: DataFrame, lattice: bool) -> DataFr
     blocks = blocks.select(
         "_id", block.alias("_from"), F.substring("_run", (block + 1).cast("int"), F.lit(BLOCK - 1) + longest).alias("_part")
     )
+    # few bytes become many rows from here on
+    blocks = blocks.repartition(tasks, "_id", "_from")
     last = F.least(F.lit(BLOCK), F.length("_part")) - 1
     starts = blocks.select("_id", "_from", "_part", F.explode(F.sequence(F.lit(0), last)).alias("_in"))
     # the last characters of a block that goes on are the first of the next one
-    at = (F.col("_from") + F.col("_in")).alias("_at")
-    chars = starts.select("_id", at, F.expr("substring(_part, _in + 1, 1)").alias("_char"))
-    tries = (
-        starts.select("_id", "_part", "_in", at, F.explode(lengths).alias("_size"))
-        .where(F.col("_in") + F.col("_size") <= F.length("_part"))
-        .select("_id", "_at", F.expr("substring(_part, _in + 1, _size)").alias("_piece"))
-    )
-    hits = tries.join(broadcast_if_small(vocabulary), F.col("_piece") == F.col("_word"), "left_semi")
+    char = F.expr("substring(_part, _in + 1, 1)")
+    # where a length does not fit, the character is the piece, which is no word of the vocabulary
+    fits = F.col("_in") + F.col("_size") <= F.length("_part")
+    piece = F.when(fits, F.expr("substring(_part, _in + 1, _size)")).otherwise(char)
+    tries = starts.select("*", F.explode_outer(lengths).alias("_size"))
+    tries = tries.select("_id", "_from", "_in", char.alias("_char"), piece.alias("_piece"))
+    matched = tries.join(broadcast_if_small(vocabulary), F.col("_piece") == F.col("_word"), "left")
     # a row per character with the lengths of the words that begin there
     lattice_rows = (
-        chars.select("_id", "_at", "_char", F.lit(None).cast("int").alias("_size"))
-        .unionByName(hits.select("_id", "_at", F.lit(None).cast("string").alias("_char"), F.length("_piece").alias("_size")))
-        .groupBy("_id", "_at")
-        .agg(F.max("_char").alias("_char"), F.array_sort(F.collect_list("_size")).alias("_sizes"))
+        matched.groupBy("_id", "_from", "_in")
+        .agg(F.max("_char").alias("_char"), F.array_sort(F.collect_list(F.length("_word"))).alias("_sizes"))
+        .select("_id", (F.col("_from") + F.col("_in")).alias("_at"), "_char", "_sizes")
+        .repartition(tasks, "_id")
     )
     # how far the words that begin before a character reach: it begins a part if not to it
     in_order = Window.partitionBy("_id").orderBy("_at")

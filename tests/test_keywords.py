@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -123,3 +124,22 @@ def test_a_run_of_a_hundred_thousand_characters(spark):
     run = "手机壳" * 20_000 + "移动联通" * 10_000
     found = keywords.dictionary_keywords(texts(spark, run), "text", table, lattice=True).groupBy("keyword").count()
     assert {r["keyword"]: r["count"] for r in found.collect()} == {"手机": 20_000, "壳": 20_000, "移动联通": 10_000}
+
+
+def test_each_task_of_the_split_has_few_characters(spark, monkeypatch):
+    monkeypatch.setattr(keywords, "CHARACTERS_PER_TASK", 1_000)
+    digits = "零一二三四五六七八九"
+    numbers = [f"{i:04d}" for i in range(2_000)]
+    df = texts(spark, *["".join(digits[int(d)] for d in n) + "手机" for n in numbers], None)
+    dictionary = spark.createDataFrame([("手机",), ("一二",), ("二三四",), ("零零",)], "word string")
+    for lattice in (False, True):
+        found = keywords.dictionary_keywords(df, "text", dictionary, lattice)
+        # 12,000 characters: what has a row per character is dealt over twelve tasks
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert re.search(r"RepartitionByExpression \[_id#\d+\], 12\b", plan)
+        terms = ["手机", "一二", "二三四", "零零"]
+        if not lattice:
+            expected = sorted((r.id, r.keyword) for r in keywords.split_keywords(df, "text", terms).collect())
+            assert sorted((r.id, r.keyword) for r in found.collect()) == expected
+        else:
+            assert found.where("keyword = '手机'").count() == 2_000

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from millrace.operators import keywords, order_stats, traffic, visits, wide
+from millrace.operators.joins import estimated_bytes
 from millrace.plans.queries import SPAN, TIE
 from millrace.session import checkpoint_root
 from millrace.sources.shop_tables import PAGE_OF_EVENT, TABLES, ShopTables
@@ -36,6 +37,9 @@ PARTS = 3
 # The second time closes what the first one opened.
 CLOSING_TIMES = ("2100-01-01 00:00:00", "2100-01-02 00:00:00")
 
+# So much of the files of the tables goes to one state partition.
+STATE_PARTITION_BYTES = 16 * 1024 * 1024
+
 _TIME_COLUMN = {"events": "ts", "orders": "o_orderdate", "lineitem": "l_shipdate"}
 # lines are cut at the times of their orders, as both are read side by side
 _CUT_BY = {"events": "events", "orders": "orders", "lineitem": "orders"}
@@ -102,13 +106,19 @@ class GrowingTables(ShopTables):
         return bool(due)
 
 
+def _state_partitions(spark: SparkSession, folder: str) -> int:
+    """At least one per core, and so many that the state of each does not grow with the tables."""
+    tables = ShopTables(spark, folder)
+    size = sum(estimated_bytes(tables._static(name)) for name in _TIME_COLUMN)
+    return max(spark.sparkContext.defaultParallelism, -(-size // STATE_PARTITION_BYTES))
+
+
 class Streams:
     """Streams over the sample tables, with folders between the layers."""
 
     def __init__(self, spark: SparkSession, folder: str, name: str):
         self.caller = spark
-        # one state partition per core
-        self.spark = stream_session(spark, spark.sparkContext.defaultParallelism)
+        self.spark = stream_session(spark, _state_partitions(spark, folder))
         self.root = f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"
         self.layers = 0
         self.live = GrowingTables(self.spark, folder, f"{self.root}/tables")

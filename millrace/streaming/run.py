@@ -11,6 +11,9 @@ from pyspark.sql.streaming import StreamingQuery
 from millrace.session import ROCKSDB_STORE, checkpoint_root
 from millrace.streaming.clock import TopicClock
 
+# Memory outside the heap that all state of an executor shares.
+STATE_MEMORY_MB = 1500
+
 
 def stream_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
     """A session of its own for stateful streams, leaving the settings of the caller alone.
@@ -22,6 +25,12 @@ def stream_session(spark: SparkSession, state_partitions: int | None = None) ->
     own.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
     own.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_STORE)
     own.conf.set("spark.sql.streaming.multipleWatermarkPolicy", "min")
+    rocksdb = "spark.sql.streaming.stateStore.rocksdb"
+    # counting the rows of the state costs a read for every write
+    own.conf.set(f"{rocksdb}.trackTotalNumberOfRows", "false")
+    # one limit for all, so that it does not grow with the number of state partitions
+    own.conf.set(f"{rocksdb}.boundedMemoryUsage", "true")
+    own.conf.set(f"{rocksdb}.maxMemoryUsageMB", str(STATE_MEMORY_MB))
     if state_partitions:
         own.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
     return own

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +28,7 @@ from millrace.streaming import watermarks
 from millrace.streaming.admission import Admission
 from millrace.streaming.clock import TopicClock
 from millrace.streaming.first_seen import DailyVisits, FirstDays
+from millrace.streaming.interval_batches import IntervalBatches, Operator
 from millrace.streaming.run import run_to_folder, start, stream_session
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -113,6 +115,28 @@ def _state_partitions(spark: SparkSession, folder: str) -> int:
     return max(spark.sparkContext.defaultParallelism, -(-size // STATE_PARTITION_BYTES))
 
 
+@dataclass(frozen=True)
+class Joined:
+    """Two topics, and the operator that joins them batch by batch."""
+
+    left: DataFrame
+    right: DataFrame
+    operator: Operator
+    before: str
+    after: str
+    delay: str
+    further: Callable[[DataFrame], DataFrame] = lambda rows: rows
+
+    def then(self, step: Callable[[DataFrame], DataFrame]) -> Joined:
+        """With one more step over the rows of each batch."""
+        return replace(self, further=lambda rows: step(self.further(rows)))
+
+    @property
+    def schema(self) -> StructType:
+        spark = self.left.sparkSession
+        return self.further(self.operator(*[spark.createDataFrame([], t.schema) for t in (self.left, self.right)])).schema
+
+
 class Streams:
     """Streams over the sample tables, with folders between the layers."""
 
@@ -124,19 +148,36 @@ class Streams:
         self.live = GrowingTables(self.spark, folder, f"{self.root}/tables")
         self.static = ShopTables(self.spark, folder)
 
-    def run(self, df: DataFrame, name: str) -> str:
+    def run(self, df: DataFrame | Joined, name: str) -> str:
         """Run a stream over each part of its tables, from where it stopped.
 
         A stream that also reads a layer gets all parts at once: after a restart a topic
         counts as idle until it has new rows, and a layer has none.
         """
+        go = self._joining(df, name) if isinstance(df, Joined) else lambda: run_to_folder(df, name, self.root)
         out = None
         while self.live.grow():
             if not self.layers:
-                out = run_to_folder(df, name, self.root)
-        return out or run_to_folder(df, name, self.root)
+                out = go()
+        return out or go()
+
+    def _joining(self, joined: Joined, name: str) -> Callable[[], str]:
+        out = f"{self.root}/{name}/rows"
+        waits = IntervalBatches(self.spark, f"{self.root}/{name}/waits", joined.before, joined.after, joined.delay)
+        both = waits.both(joined.left, joined.right)
+
+        def write(batch: DataFrame, batch_id: int) -> None:
+            rows = joined.further(waits.join(batch, batch_id, joined.operator))
+            rows.write.mode("overwrite").parquet(f"{out}/{batch_id:012d}")
+            waits.done(batch_id)
+
+        def go() -> str:
+            start(both, name, write, self.root).awaitTermination()
+            return f"{out}/*"
+
+        return go
 
-    def result(self, df: DataFrame, name: str) -> DataFrame:
+    def result(self, df: DataFrame | Joined, name: str) -> DataFrame:
         schema = df.schema
         return _without_closing(self.caller.read.schema(schema).parquet(self.run(df, name)))
 
@@ -151,7 +192,7 @@ class Streams:
             start(df, name, write, self.root).awaitTermination()
         return _without_closing(self.caller.read.parquet(out).drop("batch"))
 
-    def layer(self, df: DataFrame, name: str) -> DataFrame:
+    def layer(self, df: DataFrame | Joined, name: str) -> DataFrame:
         """Run a stream into a folder and read that folder as a stream."""
         schema = df.schema
         folder = self.run(df, name)
@@ -186,19 +227,16 @@ class Streams:
             out = run_to_folder(df, name, self.root, clock=clock)
         return _without_closing(self.caller.read.schema(schema).parquet(out))
 
-    def order_wide(self) -> DataFrame:
-        orders = watermarks.with_event_time(self.live.orders, watermarks.ORDERED)
-        details = watermarks.with_event_time(self.live.details, watermarks.ORDERED)
-        return self.static.with_province(wide.order_wide(orders, details, SPAN, SPAN))
+    def order_wide(self) -> Joined:
+        operator = lambda orders, details: wide.order_wide(orders, details, SPAN, SPAN)
+        joined = Joined(self.live.orders, self.live.details, operator, SPAN, SPAN, watermarks.ORDERED)
+        return joined.then(self.static.with_province)
 
-    def payment_wide(self, orders: DataFrame) -> DataFrame:
+    def payment_wide(self, orders: DataFrame) -> Joined:
         # of all lines, those that close included: the wide orders have been run by now
         payments = self.table(ShopTables(self.spark, self.live.grown).payments, "payment_info")
-        return wide.payment_wide(
-            watermarks.with_event_time(payments, watermarks.PAYMENT),
-            watermarks.with_event_time(orders, watermarks.PAYMENT),
-            SPAN,
-        )
+        operator = lambda paid, ordered: wide.payment_wide(paid, ordered, SPAN)
+        return Joined(payments, orders, operator, SPAN, "0 seconds", watermarks.PAYMENT)
 
     def unique_visits(self, pages: DataFrame) -> DataFrame:
         return visits.unique_visits(watermarks.with_event_time(pages, watermarks.VISIT_MEMORY), TIE)
@@ -266,13 +304,15 @@ def stream_user_jumps(s: Streams) -> DataFrame:
 
 @_query
 def stream_order_wide(s: Streams) -> DataFrame:
-    return s.result(s.order_wide().select("detail_id", "order_id", "sku_id", "split_total_amount", "create_time"), "wide")
+    columns = ("detail_id", "order_id", "sku_id", "split_total_amount", "create_time")
+    return s.result(s.order_wide().then(lambda rows: rows.select(*columns)), "wide")
 
 
 @_query
 def stream_payment_wide(s: Streams) -> DataFrame:
     paid = s.payment_wide(s.layer(s.order_wide(), "order_wide"))
-    return s.result(paid.select("payment_id", "detail_id", "user_id", "total_amount", "callback_time"), "paid")
+    columns = ("payment_id", "detail_id", "user_id", "total_amount", "callback_time")
+    return s.result(paid.then(lambda rows: rows.select(*columns)), "paid")
 
 
 @_query
@@ -309,7 +349,7 @@ def stream_province_stats(s: Streams) -> DataFrame:
 
 @_query
 def stream_province_stats_sql(s: Streams) -> DataFrame:
-    named = wide.add_province(s.order_wide(), s.static.dims["province"])
+    named = s.order_wide().then(lambda rows: wide.add_province(rows, s.static.dims["province"]))
     orders = watermarks.with_event_time(s.layer(named, "order_wide"), watermarks.ORDERED)
     return s.result(order_stats.province_stats_sql(orders), "province_stats")
 

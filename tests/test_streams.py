@@ -3,15 +3,18 @@
 import json
 import os
 import random
+from functools import reduce
 
 import pytest
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace import schemas
 from millrace.functions import times
-from millrace.operators import logs, visits, wide
+from millrace.operators import joins, logs, visits, wide
 from millrace.plans.jobs import JOBS
 from millrace.plans import stream_queries
+from millrace.plans.queries import all_queries
 from millrace.plans.launch import start_change_routing, start_job
 from millrace.sinks.dimensions import DimensionTables
 from millrace.sinks.tables import TABLES, folder_writer
@@ -22,6 +25,7 @@ from millrace.streaming import watermarks
 from millrace.streaming.admission import Admission, start_admission
 from millrace.streaming.clock import TopicClock
 from millrace.streaming.first_seen import DailyVisits, FirstDays
+from millrace.streaming.interval_batches import IntervalBatches
 from millrace.streaming.run import run_to_folder, start, stream_session
 
 DAY = 86_400_000
@@ -535,3 +539,119 @@ def test_state_is_written_without_being_read_to_count_it(spark, live, tmp_path):
     state = [operator for progress in query.recentProgress for operator in progress["stateOperators"]]
     assert sum(operator["numRowsUpdated"] for operator in state) == 2
     assert max(operator["numRowsTotal"] for operator in state) <= 0
+
+
+def order(key, ms, customer=1):
+    return (key, customer, "O", 10.0, ms, "1-URGENT")
+
+
+def shop(spark, folder, orders, lines, events=()):
+    """Tables of own rows, in milliseconds, with three customers, provinces and products."""
+    def table(name, rows, time=None):
+        fields = [f.split() for f in stream_queries.TABLES[name].split(", ")]
+        schema = ", ".join(f"{n} {'bigint' if n == time else t}" for n, t in fields)
+        df = spark.createDataFrame(list(rows), schema)
+        if time:
+            df = df.withColumn(time, F.timestamp_millis(time).cast("timestamp_ntz"))
+        df.coalesce(1).write.parquet(f"{folder}/{name}.parquet")
+
+    table("orders", orders, "o_orderdate")
+    table("lineitem", lines, "l_shipdate")
+    table("events", events, "ts")
+    table("customer", [(i, f"c{i}", i, 1.0, "s") for i in range(3)])
+    table("nation", [(i, f"n{i}", 0) for i in range(3)])
+    table("region", [(0, "r")])
+    table("part", [(i, f"p{i}", f"Brand#{i}", "T", 1, 1.0) for i in range(3)])
+    return str(folder)
+
+
+def line(key, number, ms, part=1, flag="N"):
+    return (key, part, 1, number, 2.0, 5.0, 0.0, 0.0, flag, "F", ms)
+
+
+def bytes_below(folder, without):
+    files = [f for f in folder.rglob("*") if f.is_file()]
+    return sum(f.stat().st_size for f in files if not any(w in f"{f}" for w in without))
+
+
+@pytest.fixture(scope="module")
+def shop_folder(spark, tmp_path_factory):
+    """Orders of four years, most with a line within 30 days and one long after."""
+    r = random.Random(5)
+    keys = range(8_000)
+    at = {k: (9_000 + r.randrange(1_500)) * DAY for k in keys}
+    orders = [order(k, at[k], k % 4) for k in keys]
+    lines = [line(k, n, at[k] + r.randrange(-40, 120) * DAY, r.randrange(4), r.choice("RN")) for k in keys for n in (1, 2)]
+    events = [
+        (i, (9_000 + r.randrange(1_500)) * DAY, i % 50, r.choice(list(stream_queries.PAGE_OF_EVENT)), 1.0, json.dumps({"k": r.randrange(4)}))
+        for i in range(1_000)
+    ]
+    return shop(spark, tmp_path_factory.mktemp("shop"), orders, lines, events)
+
+
+def run_both(spark, folder, name):
+    """A stream query and its batch form, as rows in order."""
+    queries = [stream_queries.all_stream_queries()[name], all_queries()[name.removeprefix("stream_")]]
+    return [sorted(map(str, q(spark, folder).collect())) for q in queries]
+
+
+def test_orders_that_wait_for_lines_take_no_more_room_than_the_tables(spark, shop_folder, tmp_path, monkeypatch):
+    monkeypatch.setattr(stream_queries, "checkpoint_root", lambda _: str(tmp_path))
+    got, expected = run_both(spark, shop_folder, "stream_province_stats")
+    assert got == expected and len(got) > 1_000
+    (folder,) = tmp_path.glob("stream_province_stats-*")
+    # a state of one entry per row took about ten times as much
+    assert bytes_below(folder / "order_wide", ("/rows/",)) < bytes_below(folder / "tables", ())
+
+
+def test_a_join_batch_by_batch_gives_the_rows_of_a_join_of_streams(spark, tmp_path):
+    r = random.Random(3)
+    side = lambda n, at: spark.createDataFrame(
+        [(i, r.choice([1, 2, 3, None]), r.choice([None, *range(*at)]) if i % 9 == 0 else r.randrange(*at)) for i in range(n)],
+        "id bigint, key int, s bigint",
+    ).select("id", "key", F.timestamp_seconds("s").alias("event_time"))
+
+    def operator(left, right):
+        return joins.interval_join(
+            left.select(F.col("id").alias("l"), F.col("key").alias("lk"), F.col("event_time").alias("lt")),
+            right.select(F.col("id").alias("r"), F.col("key").alias("rk"), F.col("event_time").alias("rt")),
+            [("lk", "rk")], "lt", "rt", "5 seconds", "3 seconds",
+        )
+
+    late = spark.range(100, 101).select("id", F.lit(1).alias("key"), F.timestamp_seconds(F.lit(20)).alias("event_time"))
+    parts = [(side(30, (k * 40, k * 40 + 40)), side(40, (k * 40, k * 40 + 40))) for k in range(4)]
+    expected = sorted(map(str, operator(*[_united(p[s] for p in parts) for s in (0, 1)]).collect()))
+    waits = IntervalBatches(spark, str(tmp_path / "waits"), "5 seconds", "3 seconds", "0 seconds")
+    got = []
+    for k, (left, right) in enumerate(parts):
+        batch = waits.both(_united([left, late]) if k == 2 else left, right)
+        first = sorted(map(str, waits.join(batch, k, operator).collect()))
+        if k != 2:  # before and after the rows of the batch are said to be written
+            waits.done(k)
+        assert sorted(map(str, waits.join(batch, k, operator).collect())) == first
+        waits.done(k)
+        got += first
+    assert sorted(got) == expected and len(got) > 20
+    # what waits is what the watermark leaves; of earlier batches only the last one's stay
+    assert sorted(os.listdir(tmp_path / "waits" / "waiting")) == ["000000000002", "000000000003"]
+    waiting = spark.read.parquet(str(tmp_path / "waits" / "waiting" / "000000000003"))
+    assert 0 < waiting.count() < 40
+    assert os.listdir(tmp_path / "waits" / "arrived") == []
+
+
+def _united(frames):
+    return reduce(DataFrame.unionByName, frames)
+
+
+def test_rows_wait_until_both_topics_have_passed(spark, tmp_path):
+    waits = IntervalBatches(spark, str(tmp_path / "waits"), "1 second", "1 second", "0 seconds")
+    row = lambda *at: spark.createDataFrame([(s,) for s in at], "s bigint").select(F.timestamp_seconds("s").alias("event_time"))
+    operator = lambda left, right: joins.interval_join(
+        left.toDF("lt").withColumn("lk", F.lit(1)), right.toDF("rt").withColumn("rk", F.lit(1)), [("lk", "rk")], "lt", "rt", "1 second", "1 second"
+    )
+    found = lambda k, left, right: waits.join(waits.both(left, right), k, operator).count()
+    assert found(0, row(10, 500), row()) == 0
+    waits.done(0)
+    assert found(1, row(), row(11)) == 1
+    waits.done(1)
+    assert found(2, row(11, 12), row(12, 499)) == 3  # 11 is at the watermark and late; 12 with 12 and 11, 500 with 499

@@ -143,6 +143,7 @@ class Streams:
     def __init__(self, spark: SparkSession, folder: str, name: str):
         self.caller = spark
         self.spark = stream_session(spark, _state_partitions(spark, folder))
+        self.spark.conf.set("spark.sql.parquet.compression.codec", "zstd")
         self.root = f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"
         self.layers = 0
         self.live = GrowingTables(self.spark, folder, f"{self.root}/tables")

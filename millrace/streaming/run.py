@@ -28,6 +28,8 @@ def stream_session(spark: SparkSession, state_partitions: int | None = None) ->
     rocksdb = "spark.sql.streaming.stateStore.rocksdb"
     # counting the rows of the state costs a read for every write
     own.conf.set(f"{rocksdb}.trackTotalNumberOfRows", "false")
+    # it is on disk twice: in the folders of the executors and in the checkpoint
+    own.conf.set(f"{rocksdb}.compression", "zstd")
     # one limit for all, so that it does not grow with the number of state partitions
     own.conf.set(f"{rocksdb}.boundedMemoryUsage", "true")
     own.conf.set(f"{rocksdb}.maxMemoryUsageMB", str(STATE_MEMORY_MB))

@@ -604,6 +604,32 @@ def test_orders_that_wait_for_lines_take_no_more_room_than_the_tables(spark, sho
     assert bytes_below(folder / "order_wide", ("/rows/",)) < bytes_below(folder / "tables", ())
 
 
+def test_products_counted_take_no_room_for_rows_that_wait(spark, shop_folder, tmp_path, monkeypatch):
+    monkeypatch.setattr(stream_queries, "checkpoint_root", lambda _: str(tmp_path))
+    got, expected = run_both(spark, shop_folder, "stream_product_stats")
+    assert got == expected and len(got) > 1_000
+    (folder,) = tmp_path.glob("stream_product_stats-*")
+    joins_take = sum(bytes_below(folder / name, ("/rows/",)) for name in ("order_wide", "payment_wide"))
+    assert joins_take < 1.5 * bytes_below(folder / "tables", ())
+
+
+def test_state_takes_less_room_than_as_spark_writes_it(spark, live, tmp_path):
+    spark.range(40_000).selectExpr("id % 7 AS kind", "id", "timestamp_seconds(id) AS event_time").write.parquet(str(tmp_path / "in"))
+
+    def room(session, name):
+        rows = session.readStream.schema("kind bigint, id bigint, event_time timestamp").parquet(str(tmp_path / "in"))
+        counts = rows.groupBy(F.window("event_time", "10 seconds"), "kind", "id").count()
+        query = counts.writeStream.format("noop").outputMode("update").option("checkpointLocation", str(tmp_path / name))
+        query.trigger(availableNow=True).start().awaitTermination()
+        return bytes_below(tmp_path / name / "state", ())
+
+    plain = stream_session(spark, 2)
+    for session in (live, plain):  # else the checkpoint has the changes, not the state
+        session.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "false")
+    plain.conf.unset("spark.sql.streaming.stateStore.rocksdb.compression")
+    assert room(live, "ours") < 0.9 * room(plain, "plain")
+
+
 def test_a_join_batch_by_batch_gives_the_rows_of_a_join_of_streams(spark, tmp_path):
     r = random.Random(3)
     side = lambda n, at: spark.createDataFrame(

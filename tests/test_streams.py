@@ -541,7 +541,7 @@ def test_state_is_written_without_being_read_to_count_it(spark, live, tmp_path):
     assert max(operator["numRowsTotal"] for operator in state) <= 0
 
 
-def order(key, ms, customer=1):
+def order_row(key, ms, customer=1):
     return (key, customer, "O", 10.0, ms, "1-URGENT")
 
 
@@ -565,7 +565,7 @@ def shop(spark, folder, orders, lines, events=()):
     return str(folder)
 
 
-def line(key, number, ms, part=1, flag="N"):
+def line_row(key, number, ms, part=1, flag="N"):
     return (key, part, 1, number, 2.0, 5.0, 0.0, 0.0, flag, "F", ms)
 
 
@@ -580,8 +580,8 @@ def shop_folder(spark, tmp_path_factory):
     r = random.Random(5)
     keys = range(8_000)
     at = {k: (9_000 + r.randrange(1_500)) * DAY for k in keys}
-    orders = [order(k, at[k], k % 4) for k in keys]
-    lines = [line(k, n, at[k] + r.randrange(-40, 120) * DAY, r.randrange(4), r.choice("RN")) for k in keys for n in (1, 2)]
+    orders = [order_row(k, at[k], k % 4) for k in keys]
+    lines = [line_row(k, n, at[k] + r.randrange(-40, 120) * DAY, r.randrange(4), r.choice("RN")) for k in keys for n in (1, 2)]
     events = [
         (i, (9_000 + r.randrange(1_500)) * DAY, i % 50, r.choice(list(stream_queries.PAGE_OF_EVENT)), 1.0, json.dumps({"k": r.randrange(4)}))
         for i in range(1_000)
